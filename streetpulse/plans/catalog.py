@@ -145,6 +145,279 @@ def q_a3(spark, d):
     return fleet_statistics(latest_meta(spark, d))
 
 
+# ============================================================== 2.1 sources
+@register("S1", """
+SELECT event_id, sensor_id, ts, metric, value FROM readings""")
+def q_s1(spark, d):
+    """S1 batch form: messages in wire form (JSON text) parsed back to rows."""
+    from ..sources.streams import parse_messages
+    return parse_messages(FX.raw_messages(spark, d)).select("event_id", "sensor_id", "ts", "metric", "value")
+
+
+@register("S3", """
+SELECT event_id, ts, true AS parsed_ok FROM readings""")
+def q_s3(spark, d):
+    """S3: ISO-8601 text with 'Z' and '+00:00' parsed to the same UTC instant."""
+    r = readings(spark, d)
+    z = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    off = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS+00:00")
+    a, b = QU.parse_iso_ts(z), QU.parse_iso_ts(off)
+    return r.select("event_id", a.alias("ts"), (a == b).alias("parsed_ok"))
+
+
+@register("S6", "SELECT * FROM meta_d WHERE type = 'air_quality'")
+def q_s6(spark, d):
+    return EN.metadata_scan(meta(spark, d), "air_quality")
+
+
+def resolved_alerts(spark, d):
+    """S8 input: alerts older than 7 days before the newest alert are resolved."""
+    a = alerts(spark, d)
+    newest = a.agg(F.max("timestamp").alias("_n"))
+    ids = (a.join(F.broadcast(newest), on=F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), F.col("_n")))
+           .select("alert_id"))
+    return AL.resolve(a, ids)
+
+
+RESOLVED_SQL = """(SELECT * REPLACE (timestamp < (SELECT max(timestamp) FROM alerts) - INTERVAL 7 DAY AS resolved) FROM alerts)"""
+
+
+@register("S8", f"SELECT alert_id, resolved FROM {RESOLVED_SQL}")
+def q_s8(spark, d):
+    return resolved_alerts(spark, d).select("alert_id", "resolved")
+
+
+@register("S7", f"""
+SELECT alert_id, sensor_id, sensor_type, metric, value, severity, timestamp FROM {RESOLVED_SQL} WHERE NOT resolved""")
+def q_s7(spark, d):
+    return AL.unresolved(resolved_alerts(spark, d)).select(
+        "alert_id", "sensor_id", "sensor_type", "metric", "value", "severity", "timestamp")
+
+
+# ============================================================== 2.2 predicates
+@register("P3", """
+SELECT event_id, sensor_id, metric,
+  coalesce(CASE WHEN starts_with(sensor_id, 'Loop-') THEN 'traffic_loop' WHEN starts_with(sensor_id, 'Air-') THEN 'air_quality'
+                WHEN starts_with(sensor_id, 'Noise-') THEN 'noise' END,
+           CASE WHEN metric IN ('pm25','co','temp_c') THEN 'air_quality' WHEN metric = 'noise_db' THEN 'noise' ELSE 'traffic_loop' END) AS sensor_type
+FROM readings""")
+def q_p3(spark, d):
+    return readings(spark, d).select("event_id", "sensor_id", "metric",
+                                     EN.sensor_type("sensor_id", "metric").alias("sensor_type"))
+
+
+@register("P4", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM j1 WHERE sensor_type = 'air_quality'")
+def q_p4(spark, d):
+    from ..operators.dashboards import select_sensors
+    return agg_text(select_sensors(latest_meta(spark, d), stype="air_quality"))
+
+
+@register("P4_sensor", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM j1 WHERE sensor_id = 'Loop-0001'")
+def q_p4_sensor(spark, d):
+    from ..operators.dashboards import select_sensors
+    return agg_text(select_sensors(latest_meta(spark, d), stype="air_quality", sensor_id="Loop-0001"))
+
+
+@register("P5", """
+SELECT r.event_id, r.sensor_type, r.metric, r.value,
+  CASE WHEN crit THEN 'critical' WHEN warn THEN 'warning' END AS severity,
+  CASE WHEN crit THEN l.critical WHEN warn THEN l.warning END AS threshold_value
+FROM (SELECT *, coalesce(CASE WHEN starts_with(sensor_id, 'Loop-') THEN 'traffic_loop' WHEN starts_with(sensor_id, 'Air-') THEN 'air_quality'
+                WHEN starts_with(sensor_id, 'Noise-') THEN 'noise' END,
+           CASE WHEN metric IN ('pm25','co','temp_c') THEN 'air_quality' WHEN metric = 'noise_db' THEN 'noise' ELSE 'traffic_loop' END) AS sensor_type
+      FROM readings) r
+LEFT JOIN limits l ON r.sensor_type = l.sensor_type AND r.metric = l.metric,
+LATERAL (SELECT CASE WHEN l.direction = 'low' THEN r.value <= l.critical ELSE r.value >= l.critical END AS crit,
+                CASE WHEN l.direction = 'low' THEN r.value <= l.warning ELSE r.value >= l.warning END AS warn)""")
+def q_p5(spark, d):
+    r = readings(spark, d).withColumn("sensor_type", EN.sensor_type("sensor_id", "metric"))
+    j = EN.with_limits(r, schema.alert_limits(spark))
+    sev, thr = AL.severity_and_threshold(F.col("value"))
+    return j.select("event_id", "sensor_type", "metric", "value", sev.alias("severity"), thr.alias("threshold_value"))
+
+
+@register("P6", "SELECT alert_id, message FROM alerts")
+def q_p6(spark, d):
+    return alerts(spark, d).select("alert_id", "message")
+
+
+@register("P7", "SELECT * FROM meta_d")
+def q_p7(spark, d):
+    return EN.metadata_scan(meta(spark, d))
+
+
+@register("P8", """
+SELECT sensor_id, 'Road ' || CASE WHEN length(pt) >= 2 THEN pt ELSE lpad(pt, 2, '0') END AS road,
+  'Prishtina' AS city, 'Kosovo' AS country
+FROM (SELECT sensor_id, CASE WHEN strpos(sensor_id, '-') > 0 THEN split_part(sensor_id, '-', 2) ELSE '01' END AS pt FROM meta)""")
+def q_p8(spark, d):
+    loc = EN.location_map(F.col("sensor_id"))
+    return meta(spark, d).select("sensor_id", loc.getItem("road").alias("road"), loc.getItem("city").alias("city"),
+                                 loc.getItem("country").alias("country"))
+
+
+# ================================================================= 2.3 joins
+J2_SQL = f"""
+SELECT m.*, l.* EXCLUDE (sensor_id, breaches), array_to_string(l.breaches, ',') AS breaches
+FROM meta_d m LEFT JOIN latest l USING (sensor_id) WHERE m.type = 'traffic_loop'"""
+
+
+@register("J2", J2_SQL)
+def q_j2(spark, d):
+    return agg_text(EN.sensors_of_type_with_latest(agg(spark, d), meta(spark, d), "traffic_loop"))
+
+
+@register("J3", f"""
+SELECT m.*, a.* EXCLUDE (sensor_id, breaches), array_to_string(a.breaches, ',') AS breaches
+FROM meta_d m JOIN (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn
+                    FROM agg WHERE sensor_id = 'Loop-0001') a USING (sensor_id)
+WHERE m.sensor_id = 'Loop-0001' AND a.rn <= 10""")
+def q_j3(spark, d):
+    return agg_text(EN.sensor_detail(agg(spark, d), meta(spark, d), "Loop-0001", 10))
+
+
+HIST_SQL = {t: f"(SELECT * FROM agg WHERE sensor_id IN (SELECT sensor_id FROM meta WHERE type = '{t}'))"
+            for t in ("traffic_loop", "air_quality", "noise")}
+
+
+@register("J4", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM {HIST_SQL['traffic_loop']}")
+def q_j4(spark, d):
+    return agg_text(EN.history_of_type(agg(spark, d), meta(spark, d), "traffic_loop"))
+
+
+@register("J5", """
+SELECT r.event_id, r.sensor_type, r.metric, l.warning, l.critical, l.direction
+FROM (SELECT *, coalesce(CASE WHEN starts_with(sensor_id, 'Loop-') THEN 'traffic_loop' WHEN starts_with(sensor_id, 'Air-') THEN 'air_quality'
+                WHEN starts_with(sensor_id, 'Noise-') THEN 'noise' END,
+           CASE WHEN metric IN ('pm25','co','temp_c') THEN 'air_quality' WHEN metric = 'noise_db' THEN 'noise' ELSE 'traffic_loop' END) AS sensor_type
+      FROM readings) r
+LEFT JOIN limits l ON r.sensor_type = l.sensor_type AND r.metric = l.metric""")
+def q_j5(spark, d):
+    r = readings(spark, d).withColumn("sensor_type", EN.sensor_type("sensor_id", "metric"))
+    return EN.with_limits(r, schema.alert_limits(spark)).select(
+        "event_id", "sensor_type", "metric", "warning", "critical", "direction")
+
+
+# ============================================================ 2.4 aggregates
+@register("A2", f"""
+SELECT sensor_id, metric, avg_value, min_value, max_value, count,
+  CAST(sum(count) OVER (PARTITION BY sensor_id) AS BIGINT) AS window_size,
+  min(_first) OVER (PARTITION BY sensor_id) AS range_start, max(_last) OVER (PARTITION BY sensor_id) AS range_end
+FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value,
+        count(*) AS count, min(ts) AS _first, max(ts) AS _last
+      FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid)
+      WHERE rn <= 20 GROUP BY sensor_id, metric)""")
+def q_a2(spark, d):
+    return WI.last_readings_stats(valid(spark, d), 20)
+
+
+@register("A17", f"""
+SELECT count(*) AS total_alerts, count(*) FILTER (WHERE NOT resolved) AS active_alerts,
+  count(*) FILTER (WHERE NOT resolved AND severity = 'critical') AS critical_count,
+  count(*) FILTER (WHERE NOT resolved AND severity = 'warning') AS warning_count
+FROM {RESOLVED_SQL}""")
+def q_a17(spark, d):
+    return AL.alert_counts(resolved_alerts(spark, d))
+
+
+# =============================================================== 2.5 windows
+@register("Q2", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn FROM agg) WHERE rn <= 10""")
+def q_q2(spark, d):
+    return agg_text(WI.newest_n(agg(spark, d), 10))
+
+
+@register("Q2_period", f"""
+SELECT sensor_id, window_start, vehicle_count_per_min, avg_speed_kmh, avg_wait_time_s, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn
+  FROM {HIST_SQL['traffic_loop']}) WHERE rn <= 10000""")
+def q_q2_period(spark, d):
+    """E2 history: traffic sensors (J4), newest rows within the '1week' budget."""
+    h = EN.history_of_type(agg(spark, d), meta(spark, d), "traffic_loop")
+    return WI.newest_n(h, WI.period_budget("1week")).select(
+        "sensor_id", "window_start", "vehicle_count_per_min", "avg_speed_kmh", "avg_wait_time_s", "rn")
+
+
+@register("Q3", """
+SELECT event_id, sensor_id, ts, metric, value, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid) WHERE rn <= 20""")
+def q_q3(spark, d):
+    return WI.last_readings(valid(spark, d), 20).select("event_id", "sensor_id", "ts", "metric", "value", "rn")
+
+
+SPIKES_SQL = """
+SELECT event_id, sensor_id, metric, ts, value, recent_avg FROM (
+  SELECT *, count(value) OVER w AS recent_n,
+    CAST(sum(CAST(round_even(value * 10000, 0) AS BIGINT)) OVER w AS DOUBLE) / 10000.0 / 3.0 AS recent_avg
+  FROM valid
+  WINDOW w AS (PARTITION BY sensor_id, metric ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+WHERE recent_n = 3 AND value > recent_avg * 2"""
+
+
+@register("Q4", SPIKES_SQL)
+def q_q4(spark, d):
+    return WI.spikes(valid(spark, d))
+
+
+@register("A20", f"""
+SELECT (SELECT count(*) FROM validated WHERE is_valid) AS messages_processed,
+       (SELECT count(*) FROM validated WHERE NOT is_valid) AS validation_errors,
+       (SELECT count(*) FROM ({SPIKES_SQL})) AS anomalies_detected""")
+def q_a20(spark, d):
+    return QU.processing_counters(validated(spark, d), WI.spikes(valid(spark, d)))
+
+
+@register("T3", f"""
+SELECT sensor_id, metric, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
+  {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*) AS count
+FROM (SELECT v.*, date_trunc('minute', ts) - to_minutes(k) AS window_start FROM valid v, range(0, 10) r(k))
+GROUP BY sensor_id, metric, window_start""")
+def q_t3(spark, d):
+    return WI.sliding_windows(valid(spark, d))
+
+
+@register("T5", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg
+WHERE window_start >= (SELECT max(window_start) FROM agg) - INTERVAL 24 HOUR""")
+def q_t5(spark, d):
+    return agg_text(WI.retained(agg(spark, d), 24))
+
+
+@register("B1", f"SELECT sensor_id, window_start, status, {AGG_TEXT_SQL} FROM agg")
+def q_b1(spark, d):
+    return agg_text(agg(spark, d).select("sensor_id", "window_start", "status", "breaches"))
+
+
+# ================================================================ alerts
+ALERT_COLS = "alert_id, sensor_id, sensor_type, metric, value, severity, message, location['road'] AS road, timestamp, resolved, threshold_type, threshold_value"
+
+
+@register("T7", f"SELECT {ALERT_COLS} FROM alerts")
+def q_t7(spark, d):
+    """T7 batch form: every reading that breaches a limit becomes an alert row."""
+    a = alerts(spark, d)
+    return a.select(*[c for c in a.columns if c != "location"], F.col("location")["road"].alias("road"))
+
+
+NOTIFY_SQL = """(SELECT alert_id, sensor_id, timestamp, severity,
+  CASE sensor_type WHEN 'air_quality' THEN 'AIR' WHEN 'traffic_loop' THEN 'TRAFFIC' WHEN 'noise' THEN 'NOISE' ELSE 'ALERT' END
+  || ' ALERT!' || chr(10) || coalesce(location['road'], 'Unknown') || ': ' || metric || '=' || CAST(value AS VARCHAR) AS notification
+  FROM alerts)"""
+
+
+@register("P19", f"SELECT alert_id, sensor_id, timestamp, notification FROM {NOTIFY_SQL}")
+def q_p19(spark, d):
+    return AL.notification_text(alerts(spark, d))
+
+
+@register("T9", f"""
+SELECT alert_id, sensor_id, timestamp, notification FROM {NOTIFY_SQL}
+WHERE severity = 'critical' AND timestamp > (SELECT max(timestamp) FROM alerts) - INTERVAL 1 MINUTE""")
+def q_t9(spark, d):
+    return AL.critical_feed(alerts(spark, d), minutes=1)
+
+
 # =================================================================== flagship
 @register("flagship")
 def q_flagship(spark, d):
