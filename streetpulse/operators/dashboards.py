@@ -247,9 +247,11 @@ def pm25_temperature_pairs(history: DataFrame) -> DataFrame:
 
 
 def pm25_temperature_correlation(history: DataFrame) -> DataFrame:
-    """A15 summary: Pearson correlation (rounded to 9 digits) and pair count."""
+    """A15 summary: Pearson correlation (rounded to 9 digits; null below two
+    pairs or without variance) and pair count."""
     h = history.filter(F.col("pm25").isNotNull() & F.col("temp_c").isNotNull())
-    return h.agg(F.round(F.corr("temp_c", "pm25"), 9).alias("correlation"), F.count("*").alias("pairs"))
+    corr = F.when(F.count("*") >= 2, F.round(F.corr("temp_c", "pm25"), 9))
+    return h.agg(F.nanvl(corr, F.lit(None).cast("double")).alias("correlation"), F.count("*").alias("pairs"))
 
 
 # ------------------------------------------------------------------- A16

@@ -418,6 +418,425 @@ def q_t9(spark, d):
     return AL.critical_feed(alerts(spark, d), minutes=1)
 
 
+# ============================================================ dashboards
+from ..operators import dashboards as DB  # noqa: E402
+
+
+def _band_sql(x: str, spec) -> str:
+    parts = [f"WHEN {x} IS NULL THEN NULL"]
+    for label, upper, inclusive in spec:
+        if upper is None:
+            return "CASE " + " ".join(parts) + f" ELSE '{label}' END"
+        parts.append(f"WHEN {x} {'<=' if inclusive else '<'} {upper} THEN '{label}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _dec(x: str, digits: int) -> str:
+    return f"CAST(CAST(round(CAST({x} AS DECIMAL(18,4)), {digits}) AS DECIMAL(18,{digits})) AS VARCHAR)"
+
+
+def _zsum(c: str) -> str:
+    return f"(CAST(sum(CAST(round_even(coalesce({c}, 0) * 10000, 0) AS BIGINT)) AS DOUBLE) / 10000.0)"
+
+
+def _hist_sql(src: str, band_expr: str, labels) -> str:
+    vals = ", ".join(f"({i}, '{lab}')" for i, lab in enumerate(labels))
+    return (f"SELECT l.band_order, l.band, count(t.b) AS count FROM (VALUES {vals}) l(band_order, band) "
+            f"LEFT JOIN (SELECT {band_expr} AS b FROM {src}) t ON t.b = l.band GROUP BY l.band_order, l.band")
+
+
+def _dist_sql(src: str, band_expr: str, labels) -> str:
+    order = "CASE band " + " ".join(f"WHEN '{lab}' THEN {i}" for i, lab in enumerate(labels)) + " END"
+    return (f"SELECT {order} AS band_order, band, count(*) AS count FROM (SELECT {band_expr} AS band FROM {src}) "
+            f"GROUP BY band")
+
+
+def _labels(spec):
+    return [x[0] for x in spec]
+
+
+LATEST_T = "(SELECT * FROM j1 WHERE sensor_type = 'traffic_loop')"
+LATEST_A = "(SELECT * FROM j1 WHERE sensor_type = 'air_quality')"
+LATEST_N = "(SELECT * FROM j1 WHERE sensor_type = 'noise')"
+
+
+def history(spark, d, stype):
+    return EN.history_of_type(agg(spark, d), meta(spark, d), stype)
+
+
+@register("A4", f"""
+SELECT {_dec('total', 0)} AS total_vehicles, {_dec('avg_speed', 1)} AS avg_speed, {_dec('avg_wait', 1)} AS avg_wait_time,
+  {_dec('peak', 0)} AS peak_traffic, active_sensors, {_band_sql('avg_speed', DB.CONGESTION_LEVELS)} AS congestion_level
+FROM (SELECT {_zsum('vehicle_count_per_min')} AS total, {_zsum('avg_speed_kmh')} / count(*) AS avg_speed,
+        {_zsum('avg_wait_time_s')} / count(*) AS avg_wait, max(coalesce(vehicle_count_per_min, 0)) AS peak,
+        count(vehicle_count_per_min) AS active_sensors FROM {LATEST_T})""")
+def q_a4(spark, d):
+    return DB.traffic_kpis(latest_meta(spark, d))
+
+
+@register("A5", f"""
+SELECT {_dec('avg_pm25', 1)} AS avg_pm25, {_dec('avg_temp', 1)} AS avg_temp, {_dec('max_pm25', 1)} AS max_pm25,
+  good_air_quality, active_sensors, {_band_sql('avg_pm25', DB.AIR_LEVELS)} AS overall_quality
+FROM (SELECT {_zsum('pm25')} / count(*) AS avg_pm25, {_zsum('temp_c')} / count(*) AS avg_temp,
+        max(coalesce(pm25, 0)) AS max_pm25,
+        count(*) FILTER (WHERE {_band_sql('coalesce(pm25, 0)', DB.AIR_LEVELS)} = 'Good') AS good_air_quality,
+        count(pm25) AS active_sensors FROM {LATEST_A})""")
+def q_a5(spark, d):
+    return DB.air_kpis(latest_meta(spark, d))
+
+
+@register("A6", f"""
+SELECT {_dec('avg_noise', 1)} AS avg_noise, {_dec('max_noise', 1)} AS max_noise, {_dec('min_noise', 1)} AS min_noise,
+  quiet_sensors, loud_sensors, active_sensors, {_band_sql('avg_noise', DB.NOISE_LEVELS)} AS overall_level
+FROM (SELECT {_zsum('noise_db')} / count(*) AS avg_noise, max(coalesce(noise_db, 0)) AS max_noise,
+        min(coalesce(noise_db, 0)) AS min_noise, count(*) FILTER (WHERE coalesce(noise_db, 0) <= 40) AS quiet_sensors,
+        count(*) FILTER (WHERE noise_db > 80) AS loud_sensors, count(noise_db) AS active_sensors FROM {LATEST_N})""")
+def q_a6(spark, d):
+    return DB.noise_kpis(latest_meta(spark, d))
+
+
+@register("A7", _hist_sql(LATEST_T, _band_sql("coalesce(avg_speed_kmh, 0)", DB.SPEED_BANDS_CURRENT),
+                          _labels(DB.SPEED_BANDS_CURRENT)))
+def q_a7(spark, d):
+    return DB.speed_histogram_current(latest_meta(spark, d))
+
+
+@register("A7_history", _hist_sql(f"(SELECT * FROM {HIST_SQL['traffic_loop']} WHERE avg_speed_kmh IS NOT NULL)",
+                                  _band_sql("avg_speed_kmh", DB.SPEED_BANDS_HISTORY), _labels(DB.SPEED_BANDS_HISTORY)))
+def q_a7_history(spark, d):
+    return DB.speed_histogram_history(history(spark, d, "traffic_loop"))
+
+
+@register("A8", _hist_sql(f"(SELECT * FROM {HIST_SQL['air_quality']} WHERE temp_c IS NOT NULL)",
+                          _band_sql("temp_c", DB.TEMP_BANDS), _labels(DB.TEMP_BANDS)))
+def q_a8(spark, d):
+    return DB.temperature_histogram(history(spark, d, "air_quality"))
+
+
+@register("A9", _dist_sql(f"(SELECT * FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL)",
+                          _band_sql("pm25", DB.AIR_LEVELS), _labels(DB.AIR_LEVELS)))
+def q_a9(spark, d):
+    return DB.air_level_distribution(history(spark, d, "air_quality"))
+
+
+@register("A10", _hist_sql(LATEST_N, _band_sql("coalesce(noise_db, 0)", DB.NOISE_BANDS), _labels(DB.NOISE_BANDS)))
+def q_a10(spark, d):
+    return DB.noise_histogram(latest_meta(spark, d))
+
+
+@register("A10_categories", _dist_sql(LATEST_N, _band_sql("coalesce(noise_db, 0)", DB.NOISE_LEVELS),
+                                      _labels(DB.NOISE_LEVELS)))
+def q_a10_categories(spark, d):
+    return DB.noise_categories(latest_meta(spark, d))
+
+
+@register("A11", f"""
+SELECT CASE status WHEN 'OK' THEN 0 WHEN 'WARN' THEN 1 WHEN 'ALERT' THEN 2 WHEN 'UNKNOWN' THEN 3 ELSE 4 END AS status_order,
+  status, CAST(sum(c) AS BIGINT) AS count
+FROM (SELECT coalesce(status, 'UNKNOWN') AS status, count(*) AS c FROM {LATEST_T} GROUP BY 1
+      UNION ALL SELECT * FROM (VALUES ('OK', 0), ('WARN', 0), ('ALERT', 0), ('UNKNOWN', 0)) t(status, c))
+GROUP BY status""")
+def q_a11(spark, d):
+    return DB.status_distribution(latest_meta(spark, d))
+
+
+@register("A12", "SELECT sensor_type, count(*) AS sensor_count FROM j1 GROUP BY sensor_type")
+def q_a12(spark, d):
+    return DB.sensors_per_type(latest_meta(spark, d))
+
+
+A13_SQL = f"""
+SELECT bucket_start, {_mean('vehicle_count_per_min')} AS avg_vehicles, count(*) AS n,
+  strftime(bucket_start, '%-m/%-d %H:%M') AS label
+FROM (SELECT *, date_trunc('hour', window_start) AS bucket_start FROM {HIST_SQL['traffic_loop']}
+      WHERE vehicle_count_per_min IS NOT NULL)
+GROUP BY bucket_start"""
+
+
+@register("A13", A13_SQL)
+def q_a13(spark, d):
+    return DB.vehicle_rollup(history(spark, d, "traffic_loop"), "1hour", "1week")
+
+
+@register("A13_5min", f"""
+SELECT bucket_start, {_mean('vehicle_count_per_min')} AS avg_vehicles, count(*) AS n,
+  strftime(bucket_start, '%H:%M') AS label
+FROM (SELECT *, date_trunc('hour', window_start) + to_minutes(CAST(minute(window_start) // 5 * 5 AS BIGINT)) AS bucket_start
+      FROM {HIST_SQL['traffic_loop']} WHERE vehicle_count_per_min IS NOT NULL)
+GROUP BY bucket_start""")
+def q_a13_5min(spark, d):
+    return DB.vehicle_rollup(history(spark, d, "traffic_loop"), "5min", "1hour")
+
+
+@register("L5", f"""
+SELECT row_number() OVER (ORDER BY bucket_start) AS position, label, bucket_start FROM ({A13_SQL})""")
+def q_l5(spark, d):
+    """Chart labels ordered by true bucket time (R8), not by text. The
+    global order runs over the rolled-up buckets (one row per bucket)."""
+    from pyspark.sql import Window
+    r = DB.vehicle_rollup(history(spark, d, "traffic_loop"), "1hour", "1week")
+    return r.select(F.row_number().over(Window.orderBy("bucket_start")).alias("position"), "label", "bucket_start")
+
+
+@register("A14", f"""
+SELECT 'avg_wait_time_s' AS profile, hour(window_start) AS hour, {_mean('avg_wait_time_s')} AS avg_value, count(*) AS n,
+  printf('%02d:00', hour(window_start)) AS label
+FROM {HIST_SQL['traffic_loop']} WHERE avg_wait_time_s IS NOT NULL GROUP BY hour(window_start)
+UNION ALL
+SELECT 'pm25' AS profile, hour(window_start) AS hour, {_mean('pm25')} AS avg_value, count(*) AS n,
+  printf('%02d:00', hour(window_start)) AS label
+FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL GROUP BY hour(window_start)""")
+def q_a14(spark, d):
+    w = DB.hour_profile(history(spark, d, "traffic_loop"), "avg_wait_time_s").withColumn("profile", F.lit("avg_wait_time_s"))
+    p = DB.hour_profile(history(spark, d, "air_quality"), "pm25").withColumn("profile", F.lit("pm25"))
+    return w.unionByName(p)
+
+
+@register("A15", f"""
+SELECT sensor_id, window_start, temp_c AS x, pm25 AS y, CAST(15 AS DOUBLE) AS who_line
+FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL AND temp_c IS NOT NULL""")
+def q_a15(spark, d):
+    return DB.pm25_temperature_pairs(history(spark, d, "air_quality"))
+
+
+@register("A15_corr", f"""
+SELECT CASE WHEN count(*) >= 2 AND NOT isnan(corr(temp_c, pm25)) THEN round(corr(temp_c, pm25), 9) END AS correlation, count(*) AS pairs
+FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL AND temp_c IS NOT NULL""")
+def q_a15_corr(spark, d):
+    return DB.pm25_temperature_correlation(history(spark, d, "air_quality"))
+
+
+@register("A16", f"""
+SELECT avg_noise, standard, limit_db, avg_noise - limit_db AS difference
+FROM (SELECT {_zsum('noise_db')} / count(*) AS avg_noise FROM {LATEST_N}),
+     (VALUES {", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in DB.NOISE_STANDARDS)}) s(standard, limit_db)""")
+def q_a16(spark, d):
+    return DB.noise_vs_standards(latest_meta(spark, d))
+
+
+@register("A16_sensors", f"""
+SELECT sensor_id, coalesce(noise_db, 0) AS noise_db, {_band_sql('coalesce(noise_db, 0)', DB.NOISE_LEVELS)} AS level,
+  coalesce(noise_db, 0) > 55 AS above_who FROM {LATEST_N}""")
+def q_a16_sensors(spark, d):
+    return DB.noise_per_sensor(latest_meta(spark, d))
+
+
+@register("A22", """
+SELECT min(lat) AS min_lat, max(lat) AS max_lat, min(lon) AS min_lon, max(lon) AS max_lon, count(*) AS sensors FROM j1""")
+def q_a22(spark, d):
+    return DB.geographic_extent(latest_meta(spark, d))
+
+
+@register("Q5", f"""
+SELECT sensor_id, ranking, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY ranking ORDER BY value DESC, sensor_id) AS rank FROM (
+    SELECT sensor_id, 'byTraffic' AS ranking, coalesce(vehicle_count_per_min, 0) AS value FROM {LATEST_T}
+    UNION ALL SELECT sensor_id, 'bySpeed', coalesce(avg_speed_kmh, 0) FROM {LATEST_T}
+    UNION ALL SELECT sensor_id, 'byWaitTime', coalesce(avg_wait_time_s, 0) FROM {LATEST_T}))
+WHERE rank <= 10""")
+def q_q5(spark, d):
+    return DB.rankings(latest_meta(spark, d), 10)
+
+
+@register("L1", f"""
+SELECT * EXCLUDE (breaches, rn), {AGG_TEXT_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn FROM agg)
+WHERE rn <= 100 ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 30""")
+def q_l1(spark, d):
+    """L1: page 2 (30 per page) of the newest-first table, <= 100 rows per sensor."""
+    rows = WI.newest_n(agg(spark, d), 100).drop("rn")
+    return agg_text(DB.page(rows, [F.col("window_start").desc(), F.col("sensor_id")], page_no=2, per_page=30))
+
+
+@register("L2", "SELECT * FROM meta_d ORDER BY sensor_id LIMIT 30 OFFSET 30")
+def q_l2(spark, d):
+    return DB.page(EN.metadata_scan(meta(spark, d)), [F.col("sensor_id")], page_no=2, per_page=30)
+
+
+@register("L3", "SELECT count(*) AS total, CAST(ceil(count(*) / 30) AS BIGINT) AS pages, 30 AS per_page FROM agg")
+def q_l3(spark, d):
+    return DB.page_count(agg(spark, d), 30)
+
+
+@register("L4", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg WHERE vehicle_count_per_min IS NOT NULL
+ORDER BY vehicle_count_per_min DESC, sensor_id, window_start LIMIT 10""")
+def q_l4(spark, d):
+    return agg_text(DB.top_k(agg(spark, d), "vehicle_count_per_min", 10))
+
+
+@register("P17", f"""
+SELECT sensor_id, {_band_sql('avg_speed_kmh', DB.SPEED_BANDS_CURRENT)} AS speed_band,
+  {_band_sql('temp_c', DB.TEMP_BANDS)} AS temperature_band, {_band_sql('pm25', DB.AIR_LEVELS)} AS air_quality_level,
+  {_band_sql('noise_db', DB.NOISE_LEVELS)} AS noise_level, {_band_sql('avg_speed_kmh', DB.CONGESTION_LEVELS)} AS congestion_level
+FROM j1""")
+def q_p17(spark, d):
+    return DB.bands(latest_meta(spark, d))
+
+
+@register("P18", f"""
+SELECT sensor_id, coalesce(sensor_type, '-') AS sensor_type, coalesce(strftime(window_start, '%Y-%m-%dT%H:%M:%S'), '-') AS timestamp,
+  {", ".join(f"coalesce({_dec(c, 2)}, '-') AS {c}" for c in DB.REPORT_MEASURES)},
+  coalesce({_dec('lat', 6)}, '-') AS lat, coalesce({_dec('lon', 6)}, '-') AS lon, coalesce(status, '-') AS status,
+  CASE WHEN len(breaches) > 0 THEN array_to_string(breaches, ', ') ELSE '-' END AS breaches
+FROM j1""")
+def q_p18(spark, d):
+    return DB.report(latest_meta(spark, d))
+
+
+# ======================================================= features and rules
+from ..operators import features as FE  # noqa: E402
+
+TRAFFIC_INPUTS_SQL = f"""(SELECT sensor_id, window_start, coalesce(vehicle_count_per_min, 0) AS vehicle_count,
+  coalesce(avg_speed_kmh, 0) AS avg_speed, coalesce(avg_wait_time_s, 0) AS wait_time_s FROM {HIST_SQL['traffic_loop']})"""
+ONE = "CAST(1 AS DOUBLE)"
+
+
+def _rule_state_sql(sp: str, wt: str) -> str:
+    parts = " ".join(f"WHEN {sp} > {ms} AND {wt} < {mw} THEN '{st}'" for st, ms, mw, _ in FE.RULE_STATES)
+    return f"CASE {parts} ELSE '{FE.RULE_ELSE[0]}' END"
+
+
+def _lookup_sql(x: str, pairs, default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} = '{k}' THEN '{v}'" for k, v in pairs) + f" ELSE '{default}' END"
+
+
+def traffic_minutes(spark, d):
+    return FE.traffic_inputs(history(spark, d, "traffic_loop"))
+
+
+@register("P10", f"""
+SELECT *, avg_speed / greatest(vehicle_count, {ONE}) AS speed_variance,
+  wait_time_s * vehicle_count / greatest(avg_speed, {ONE}) AS congestion_index,
+  avg_speed / greatest(wait_time_s, {ONE}) AS flow_efficiency, hour(window_start) AS hour,
+  CAST((hour(window_start) BETWEEN 7 AND 9) OR (hour(window_start) BETWEEN 17 AND 19) AS INTEGER) AS is_rush_hour,
+  CAST(isodow(window_start) - 1 >= 5 AS INTEGER) AS is_weekend
+FROM {TRAFFIC_INPUTS_SQL}""")
+def q_p10(spark, d):
+    return FE.with_features(traffic_minutes(spark, d))
+
+
+@register("P11", f"SELECT * FROM {TRAFFIC_INPUTS_SQL}")
+def q_p11(spark, d):
+    return traffic_minutes(spark, d)
+
+
+P12_SQL = f"""SELECT sensor_id, window_start, st AS traffic_state,
+  CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS confidence,
+  {_lookup_sql('st', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS severity,
+  {_lookup_sql('st', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS predicted_duration
+FROM (SELECT *, {_rule_state_sql('avg_speed', 'wait_time_s')} AS st FROM {TRAFFIC_INPUTS_SQL})"""
+
+
+@register("P12", P12_SQL)
+def q_p12(spark, d):
+    t = traffic_minutes(spark, d)
+    return t.select("sensor_id", "window_start",
+                    FE.rule_classification(F.col("avg_speed"), F.col("wait_time_s")).alias("c")).select(
+        "sensor_id", "window_start", "c.*")
+
+
+def _fallback_sql(i: int, as_text: bool) -> str:
+    def lit(v):
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        return f"'{v}'" if isinstance(v, str) else f"CAST({v} AS DOUBLE)"
+    return (f"CASE WHEN vehicle_count > 35 OR wait_time_s > 60 THEN {lit(FE.FALLBACK_HEAVY[i])} "
+            f"WHEN vehicle_count > 20 OR wait_time_s > 30 THEN {lit(FE.FALLBACK_LIGHT[i])} ELSE {lit(FE.FALLBACK_FREE[i])} END")
+
+
+SCORING_NAMES = ["ai_traffic_state", "ai_confidence", "ai_severity", "ai_predicted_duration",
+                 "ai_anomaly_detected", "ai_anomaly_score"]
+P13_COLS = ", ".join(f"{_fallback_sql(i, False)} AS {n}" for i, n in enumerate(SCORING_NAMES)) \
+    + f", '{FE.FALLBACK_VERSION}' AS ai_model_version"
+
+
+@register("P13", f"SELECT sensor_id, window_start, {P13_COLS} FROM {TRAFFIC_INPUTS_SQL}")
+def q_p13(spark, d):
+    t = traffic_minutes(spark, d)
+    return t.select("sensor_id", "window_start",
+                    FE.fallback_scoring(F.col("vehicle_count"), F.col("wait_time_s")).alias("s")).select(
+        "sensor_id", "window_start", "s.*")
+
+
+@register("P14", f"""
+SELECT sensor_id, window_start, vehicle_count AS vehicle_count_per_min, avg_speed AS avg_speed_kmh,
+  wait_time_s AS avg_wait_time_s, 'OK' AS status, {P13_COLS},
+  wait_time_s * vehicle_count / greatest(avg_speed, {ONE}) AS ai_congestion_index
+FROM {TRAFFIC_INPUTS_SQL}""")
+def q_p14(spark, d):
+    s = FE.scored_minutes(history(spark, d, "traffic_loop"))
+    return s.withColumn("ai_congestion_index", F.col("ai_features")["congestion_index"]).drop("ai_features")
+
+
+def _reasons_sql() -> str:
+    terms = ", ".join(f"CASE WHEN {m} < {lo} OR {m} > {hi} THEN '{pre}' || CAST({m} AS VARCHAR) END"
+                      for m, lo, hi, pre in FE.NORMAL_RANGES)
+    return f"list_filter([{terms}], lambda x: x IS NOT NULL)"
+
+
+@register("P15", f"""
+SELECT sensor_id, window_start, len(r) > 0 AS is_anomaly,
+  CASE WHEN len(r) > 0 THEN 0.5 ELSE 0.3 END AS confidence, CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END AS anomaly_score,
+  array_to_string(r, ',') AS reasons
+FROM (SELECT *, {_reasons_sql()} AS r FROM {TRAFFIC_INPUTS_SQL})""")
+def q_p15(spark, d):
+    t = traffic_minutes(spark, d)
+    a = FE.rule_anomaly(F.col("vehicle_count"), F.col("avg_speed"), F.col("wait_time_s"))
+    return t.select("sensor_id", "window_start", a.is_anomaly.alias("is_anomaly"),
+                    a.confidence.cast("double").alias("confidence"),
+                    a.anomaly_score.cast("double").alias("anomaly_score"),
+                    F.array_join(a.reasons, ",").alias("reasons"))
+
+
+@register("P16", f"""
+SELECT traffic_state, {_lookup_sql('traffic_state', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS severity,
+  {_lookup_sql('traffic_state', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS predicted_duration, count(*) AS minutes
+FROM ({P12_SQL}) GROUP BY traffic_state""")
+def q_p16(spark, d):
+    """P16 over the rule states of every traffic minute: severity and duration
+    per state, with the number of minutes in that state."""
+    t = traffic_minutes(spark, d).select(FE.rule_state(F.col("avg_speed"), F.col("wait_time_s")).alias("traffic_state"))
+    return (t.groupBy("traffic_state").agg(F.count("*").alias("minutes"))
+            .select("traffic_state", FE.severity_of(F.col("traffic_state")).alias("severity"),
+                    FE.duration_of(F.col("traffic_state")).alias("predicted_duration"), "minutes"))
+
+
+M7_ITEMS_SQL = f"""(SELECT sensor_id, window_start, CAST(vehicle_count_per_min AS VARCHAR) AS vehicle_count,
+  CAST(avg_speed_kmh AS VARCHAR) AS avg_speed, CAST(avg_wait_time_s AS VARCHAR) AS wait_time_s FROM {HIST_SQL['traffic_loop']})"""
+
+
+@register("M7", f"""
+SELECT sensor_id, window_start, err AS error,
+  CASE WHEN err IS NULL THEN traffic_state END AS traffic_state, CASE WHEN err IS NULL THEN confidence END AS confidence,
+  CASE WHEN err IS NULL THEN severity END AS severity, CASE WHEN err IS NULL THEN predicted_duration END AS predicted_duration,
+  CASE WHEN err IS NULL THEN len(r) > 0 END AS anomaly_detected,
+  CASE WHEN err IS NULL THEN CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END END AS anomaly_score
+FROM (
+  SELECT i.sensor_id, i.window_start,
+    CASE WHEN len(miss) > 0 THEN 'Missing fields: [' || array_to_string(list_transform(miss, lambda x: chr(39) || x || chr(39)), ', ') || ']' END AS err,
+    st AS traffic_state,
+    CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS confidence,
+    {_lookup_sql('st', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS severity,
+    {_lookup_sql('st', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS predicted_duration,
+    {_reasons_sql()} AS r
+  FROM (SELECT sensor_id, window_start,
+          list_filter([CASE WHEN vehicle_count IS NULL THEN 'vehicle_count' END, CASE WHEN avg_speed IS NULL THEN 'avg_speed' END,
+                       CASE WHEN wait_time_s IS NULL THEN 'wait_time_s' END], lambda x: x IS NOT NULL) AS miss,
+          TRY_CAST(vehicle_count AS DOUBLE) AS vehicle_count, TRY_CAST(avg_speed AS DOUBLE) AS avg_speed,
+          TRY_CAST(wait_time_s AS DOUBLE) AS wait_time_s FROM {M7_ITEMS_SQL}) i,
+  LATERAL (SELECT {_rule_state_sql('i.avg_speed', 'i.wait_time_s')} AS st))""")
+def q_m7(spark, d):
+    """M7: every traffic minute submitted as a text item (null measure =
+    missing field); good items scored by the rules, the rest get an error."""
+    h = history(spark, d, "traffic_loop")
+    items = h.select("sensor_id", "window_start",
+                     F.col("vehicle_count_per_min").cast("string").alias("vehicle_count"),
+                     F.col("avg_speed_kmh").cast("string").alias("avg_speed"),
+                     F.col("avg_wait_time_s").cast("string").alias("wait_time_s"))
+    return FE.batch_score(items)
+
+
 # =================================================================== flagship
 @register("flagship")
 def q_flagship(spark, d):

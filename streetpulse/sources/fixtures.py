@@ -55,7 +55,7 @@ def _value(user_id: Column, event_type: Column, value: Column) -> Column:
 
 def sensor_number(sensor_id: Column) -> Column:
     """Numeric part of an id such as ``Loop-0012`` (null when there is none)."""
-    return F.try_cast(F.substring_index(sensor_id, "-", -1), "int")
+    return F.substring_index(sensor_id, "-", -1).try_cast("int")
 
 
 def _road(sensor_type: Column, number: Column) -> Column:
