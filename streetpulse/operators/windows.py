@@ -50,17 +50,24 @@ def breach_severity(value: Column, warning: float, critical: float, direction: s
 
 
 # ----------------------------------------------------------------- P9 + B1 (D3)
-def aggregates_minute(valid: DataFrame, limits=None) -> DataFrame:
+def aggregates_minute(valid: DataFrame, limits=None, event_time_window: bool = False) -> DataFrame:
     """D3 rows from valid readings in ONE aggregation (one shuffle on
     (sensor_id, window_start)): wide per-minute means (P9), and from the limits
     (D9) the breached metrics (``breaches``, sorted set) and ``status``
-    (ALERT if any critical, WARN if any warning, else OK) (B1)."""
+    (ALERT if any critical, WARN if any warning, else OK) (B1).
+
+    ``event_time_window``: group by ``window(ts, '1 minute')`` (needed by a
+    watermarked stream, T1); ``ts`` must then be a TIMESTAMP."""
     limits = list(limits if limits is not None else schema.ALERT_LIMITS)
     wide_metrics = [m for m, _ in schema.WIDE_COLUMNS]
     extra = sorted({m for _, m, *_ in limits} - set(wide_metrics))
     aggs = [exact_mean(F.when(F.col("metric") == m, F.col("value"))).alias(m)
             for m in wide_metrics + extra]
-    g = valid.groupBy("sensor_id", minute_floor("ts").alias("window_start")).agg(*aggs)
+    if event_time_window:
+        g = (valid.groupBy("sensor_id", F.window("ts", "1 minute").alias("_w")).agg(*aggs)
+             .withColumn("window_start", F.col("_w.start").cast("timestamp_ntz")).drop("_w"))
+    else:
+        g = valid.groupBy("sensor_id", minute_floor("ts").alias("window_start")).agg(*aggs)
     sev_terms, rank_terms = [], []
     for stype, metric, warning, critical, direction in limits:
         sev = F.when(_reading_type(metric) == stype,

@@ -837,6 +837,128 @@ def q_m7(spark, d):
     return FE.batch_score(items)
 
 
+# ============================================================== streaming
+from ..session import scratch_path  # noqa: E402
+from ..streaming import alerting as SA  # noqa: E402
+from ..streaming import buffers as SB  # noqa: E402
+from ..streaming import minutes as SM  # noqa: E402
+from ..streaming import sinks as SK  # noqa: E402
+
+
+def readings_stream(spark, d):
+    return FX.readings_from_events(FX.events_stream(spark, d))
+
+
+def _run_minutes(spark, d, mode):
+    base = scratch_path(spark, f"minutes-{mode}")
+    q = SM.start_minute_table(readings_stream(spark, d), schema.valid_ranges(spark), base + "/table",
+                              base + "/checkpoint", mode=mode)
+    q.awaitTermination()
+    return base
+
+
+@register("T1", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg
+WHERE window_start + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM readings)""")
+def q_t1(spark, d):
+    """Streaming tumbling minutes, append mode, 1-minute grace; every window
+    the watermark has closed, read back through the upsert view (S4)."""
+    base = _run_minutes(spark, d, "append")
+    return agg_text(SK.read_upserted(spark, base + "/table"))
+
+
+@register("T2", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg")
+def q_t2(spark, d):
+    """Update mode (changed windows re-emitted as new versions), newest
+    version per (sensor, minute): all windows, including still-open ones."""
+    base = _run_minutes(spark, d, "update")
+    return agg_text(SK.read_upserted(spark, base + "/table"))
+
+
+@register("S4", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL}, CAST(window_start AS DATE) AS day FROM agg")
+def q_s4(spark, d):
+    """Versioned upserts compacted into a day-partitioned table, read back."""
+    base = _run_minutes(spark, d, "update")
+    SK.compact(spark, base + "/table", base + "/compacted")
+    return agg_text(spark.read.parquet(base + "/compacted"))
+
+
+def _run_buffers(spark, d):
+    base = scratch_path(spark, "buffers")
+    r = readings_stream(spark, d)
+    complete, _ = QU.split_complete(r)
+    valid_s = QU.validate(complete, schema.valid_ranges(spark)).filter("is_valid")
+
+    def sink(df, batch_id):
+        SK.write_batch(df, base + "/table", batch_id)
+
+    q = (SB.buffered_stream(valid_s).writeStream.outputMode("append").foreachBatch(sink)
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return SK.read_versions(spark, base + "/table")
+
+
+@register("T4", f"""
+SELECT sensor_id, metric, avg_value, min_value, max_value, count,
+  CAST(sum(count) OVER (PARTITION BY sensor_id) AS BIGINT) AS window_size,
+  min(_first) OVER (PARTITION BY sensor_id) AS range_start, max(_last) OVER (PARTITION BY sensor_id) AS range_end
+FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value,
+        count(*) AS count, min(ts) AS _first, max(ts) AS _last
+      FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid)
+      WHERE rn <= 20 GROUP BY sensor_id, metric)""")
+def q_t4(spark, d):
+    """T4: per-sensor 20-reading state; the newest statistics per sensor and metric."""
+    v = _run_buffers(spark, d).filter("kind = 'stats'")
+    newest = SK.newest_versions(v, ("sensor_id", "metric"))
+    return newest.select("sensor_id", "metric", "avg_value", "min_value", "max_value", "count", "window_size",
+                         F.col("range_start").cast("timestamp_ntz").alias("range_start"),
+                         F.col("range_end").cast("timestamp_ntz").alias("range_end"))
+
+
+@register("T6", SPIKES_SQL)
+def q_t6(spark, d):
+    """Spike rule checked on every reading inside the T4 state."""
+    v = _run_buffers(spark, d).filter("kind = 'spike'")
+    return v.select("event_id", "sensor_id", "metric", F.col("ts").cast("timestamp_ntz").alias("ts"), "value",
+                    F.col("avg_value").alias("recent_avg"))
+
+
+def _run_alerts(spark, d):
+    base = scratch_path(spark, "alerts")
+    q = SA.start_alerts(readings_stream(spark, d), schema.alert_limits(spark), base + "/alerts",
+                        base + "/messages", base + "/checkpoint")
+    q.awaitTermination()
+    return base
+
+
+@register("T7_stream", f"SELECT {ALERT_COLS} FROM alerts")
+def q_t7_stream(spark, d):
+    """Streaming alerts written by the S5 sink, read back from the table."""
+    base = _run_alerts(spark, d)
+    a = SK.read_versions(spark, base + "/alerts").drop("batch_id")
+    return a.select(*[c for c in a.columns if c != "location"], F.col("location")["road"].alias("road"))
+
+
+@register("S5", "SELECT alert_id, sensor_id, severity, message FROM alerts")
+def q_s5(spark, d):
+    """The alert topic side of the sink (JSON messages), parsed back."""
+    base = _run_alerts(spark, d)
+    msgs = spark.read.json(base + "/messages")
+    m = F.from_json("value", "alert_id string, sensor_id string, severity string, message string")
+    return msgs.select(m.alias("m")).select("m.*")
+
+
+@register("T9_stream", f"SELECT alert_id, sensor_id, timestamp, notification FROM {NOTIFY_SQL} WHERE severity = 'critical'")
+def q_t9_stream(spark, d):
+    """T9 stream form: every critical alert exactly once, with its text."""
+    base = scratch_path(spark, "feed")
+    feed = SA.critical_feed_stream(SA.alert_stream(readings_stream(spark, d), schema.alert_limits(spark)))
+    q = (feed.writeStream.outputMode("append").format("parquet").option("path", base + "/feed")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/feed")
+
+
 # =================================================================== flagship
 @register("flagship")
 def q_flagship(spark, d):

@@ -81,7 +81,22 @@ def sensor_type_from_id(sensor_id: Column) -> Column:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 readings: event_id, sensor_id, ts (UTC, timestamp_ntz), metric, value, location."""
-    ev = events(spark, sf_dir)
+    return readings_from_events(events(spark, sf_dir))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``events`` table as a file stream (S1 over files)."""
+    path = os.path.join(sf_dir, "events.parquet")
+    schema_ = spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema_)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    # a glob keeps the folder as the base path when the table is a single file
+    return r.parquet(path[:-1] + "[" + path[-1] + "]")
+
+
+def readings_from_events(ev: DataFrame) -> DataFrame:
+    """Batch or streaming events -> D1 readings (a projection)."""
     sid = _sensor_id(F.col("user_id"))
     num = (F.floor(F.col("user_id") / 3) + 1).cast("int")
     kind = F.col("user_id") % 3
