@@ -959,6 +959,180 @@ def q_t9_stream(spark, d):
     return spark.read.parquet(base + "/feed")
 
 
+# ===================================================================== models
+from ..ml import hybrid as MH  # noqa: E402
+from ..ml import isolation as MI  # noqa: E402
+from ..ml import lifecycle as ML  # noqa: E402
+from ..ml import patterns as MP  # noqa: E402
+from ..ml import forest as MF  # noqa: E402
+from ..streaming import scoring as SS  # noqa: E402
+
+_BUNDLES: dict = {}
+
+
+def trained_bundle(spark, d) -> MH.ModelBundle:
+    """Models trained from the stored traffic history (M10: a scheduled fit,
+    never inside scoring), kept per session and data folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _BUNDLES:
+        _BUNDLES[key] = ML.train_all(history(spark, d, "traffic_loop"))
+    return _BUNDLES[key]
+
+
+def traffic_features(spark, d):
+    return ML.traffic_features(history(spark, d, "traffic_loop"))
+
+
+@register("M1")
+def q_m1(spark, d):
+    """M1: the fitted cluster centres (standardised space) with their names."""
+    pm = trained_bundle(spark, d).patterns
+    rows = [(i, pm.labels.get(i), [float(v) for v in c], pm.training_cost, pm.samples)
+            for i, c in enumerate(pm.centers)]
+    return spark.createDataFrame(rows, "cluster int, pattern string, center array<double>, training_cost double, "
+                                       "samples long")
+
+
+@register("A21")
+def q_a21(spark, d):
+    """Cluster profile over the training rows, ranked by mean speed."""
+    pm = trained_bundle(spark, d).patterns
+    return MP.cluster_profile(pm.pipeline.transform(traffic_features(spark, d)))
+
+
+@register("M2")
+def q_m2(spark, d):
+    out = MP.predict_patterns(trained_bundle(spark, d).patterns, traffic_features(spark, d))
+    return out.select("sensor_id", "window_start", "cluster", "pattern", "pattern_confidence")
+
+
+@register("M3")
+def q_m3(spark, d):
+    return MP.training_set(MP.predict_patterns(trained_bundle(spark, d).patterns, traffic_features(spark, d)))
+
+
+@register("M4")
+def q_m4(spark, d):
+    """M4: classifier state, confidence, severity and duration per traffic minute."""
+    out = MF.predict_states(trained_bundle(spark, d).states, traffic_features(spark, d))
+    return out.select("sensor_id", "window_start", "traffic_state", "confidence", "severity", "predicted_duration")
+
+
+@register("M4_importances")
+def q_m4_importances(spark, d):
+    imp = trained_bundle(spark, d).states.importances
+    return spark.createDataFrame(sorted(imp.items()), "feature string, importance double")
+
+
+@register("M5")
+def q_m5(spark, d):
+    """M5: isolation forest fitted on the traffic minutes and scoring them."""
+    feats = traffic_features(spark, d)
+    model = MI.fit_isolation(feats, ["sensor_id", "window_start"])
+    return MI.score_isolation(model, feats).select("sensor_id", "window_start", "vehicle_count", "avg_speed",
+                                                   "wait_time_s", "is_anomaly", "anomaly_score", "anomaly_confidence")
+
+
+def _inputs(spark, d):
+    return FE.traffic_inputs(history(spark, d, "traffic_loop"))
+
+
+@register("M6")
+def q_m6(spark, d):
+    """M6: hybrid scoring (classifier + isolation forest) of every traffic minute."""
+    return MH.hybrid_score(_inputs(spark, d), trained_bundle(spark, d))
+
+
+@register("M8")
+def q_m8(spark, d):
+    """M8: latest row of every traffic sensor scored with the models."""
+    return MH.score_latest(latest_meta(spark, d), trained_bundle(spark, d))
+
+
+def _rules_latest(spark, d):
+    return MH.score_latest(latest_meta(spark, d), None, fallback="rules")
+
+
+A18_SCORED = f"""(SELECT *, {_rule_state_sql('avg_speed', 'wait_time_s')} AS st, {_reasons_sql()} AS r
+  FROM (SELECT coalesce(vehicle_count_per_min, 0) AS vehicle_count, coalesce(avg_speed_kmh, 0) AS avg_speed,
+          coalesce(avg_wait_time_s, 0) AS wait_time_s FROM {LATEST_T}))"""
+
+
+@register("A18", f"""
+SELECT count(*) AS total_sensors, CAST(0 AS BIGINT) AS ml_available_count, CAST(0 AS DOUBLE) AS ml_availability_rate,
+  count(*) FILTER (WHERE len(r) > 0) AS anomaly_count,
+  coalesce(CAST(count(*) FILTER (WHERE len(r) > 0) AS DOUBLE) * 100.0 / count(*), 0) AS anomaly_rate,
+  round(coalesce(CAST(sum(CAST(round_even(c * 1000, 0) AS BIGINT)) AS DOUBLE) / 1000.0 / count(c), 0), 3) AS avg_confidence
+FROM (SELECT *, CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS c
+      FROM {A18_SCORED})""")
+def q_a18(spark, d):
+    """A18 with the rule fallback (no model loaded: ml_available is false)."""
+    return MH.prediction_summary(_rules_latest(spark, d))
+
+
+@register("A18_states", f"SELECT st AS traffic_state, count(*) AS sensors FROM {A18_SCORED} GROUP BY st")
+def q_a18_states(spark, d):
+    return MH.state_distribution(_rules_latest(spark, d))
+
+
+@register("A18_models")
+def q_a18_models(spark, d):
+    """A18 over model scores, with the state distribution as a map."""
+    scored = MH.score_latest(latest_meta(spark, d), trained_bundle(spark, d))
+    summary = MH.prediction_summary(scored)
+    return summary.unionByName(MH.state_distribution_map(scored), allowMissingColumns=True) \
+        .agg(*[F.max(c).alias(c) for c in summary.columns], F.first("state_distribution", ignorenulls=True)
+             .alias("state_distribution"))
+
+
+@register("M9")
+def q_m9(spark, d):
+    return ML.model_quality(history(spark, d, "traffic_loop"), trained_bundle(spark, d))
+
+
+@register("M10")
+def q_m10(spark, d):
+    """Retrain decisions for each model from the sample count in the
+    stored history (nothing trained yet: a first fit where due)."""
+    n = history(spark, d, "traffic_loop").agg(F.count("*").alias("n"))
+    rules = ", ".join(f"'{m}', {a}L, {b}L, {c}L" for m, (a, b, c) in ML.RETRAIN_RULES.items())
+    r = n.selectExpr("n", f"stack({len(ML.RETRAIN_RULES)}, {rules}) AS (model, first_at, every, minimum)")
+    need = F.greatest("first_at", "minimum")
+    return r.select("model", F.col("n").alias("samples"), (F.col("n") >= need).alias("due"),
+                    F.when(F.col("n") >= need, "first fit")
+                    .otherwise(F.concat(F.lit("needs "), need.cast("string"), F.lit(" samples"))).alias("reason"))
+
+
+@register("M11")
+def q_m11(spark, d):
+    """Save the models, load them back, score with the loaded bundle."""
+    path = scratch_path(spark, "models")
+    ML.save_bundle(spark, trained_bundle(spark, d), path)
+    return MH.hybrid_score(_inputs(spark, d), ML.load_bundle(spark, path))
+
+
+def _run_scoring(spark, d):
+    base = scratch_path(spark, "scoring")
+    minutes = SM.minute_stream(readings_stream(spark, d), schema.valid_ranges(spark), observe=False)
+    q = SS.start_scoring(minutes, trained_bundle(spark, d), base + "/scored", base + "/stats", base + "/checkpoint")
+    q.awaitTermination()
+    return base
+
+
+@register("T8")
+def q_t8(spark, d):
+    """Streaming scoring of the emitted traffic minutes (availableNow)."""
+    base = _run_scoring(spark, d)
+    return SK.read_versions(spark, base + "/scored")
+
+
+@register("A19")
+def q_a19(spark, d):
+    """Per-micro-batch scoring statistics of the T8 stream."""
+    base = _run_scoring(spark, d)
+    return SK.read_versions(spark, base + "/stats")
+
+
 # =================================================================== flagship
 @register("flagship")
 def q_flagship(spark, d):
