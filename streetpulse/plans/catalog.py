@@ -35,23 +35,44 @@ def register(name: str, oracle: str | None = None):
 
 
 # ------------------------------------------------------------- shared frames
+# Shared intermediate frames are lazy logical plans; they are built once per
+# session and data folder and reused by every query (no data is cached).
+_FRAMES: dict = {}
+
+
+def shared(fn):
+    def get(spark, d, *args):
+        key = (spark.sparkContext.applicationId, d, fn.__name__, args)
+        if key not in _FRAMES:
+            _FRAMES[key] = fn(spark, d, *args)
+        return _FRAMES[key]
+    get.__name__ = fn.__name__
+    get.__doc__ = fn.__doc__
+    return get
+
+
+@shared
 def readings(spark, d):
     return FX.readings(spark, d)
 
 
+@shared
 def meta(spark, d):
     return FX.sensor_metadata(spark, d)
 
 
+@shared
 def validated(spark, d):
     complete, _ = QU.split_complete(readings(spark, d))
     return QU.validate(complete, schema.valid_ranges(spark))
 
 
+@shared
 def valid(spark, d):
     return validated(spark, d).filter("is_valid").select("event_id", "sensor_id", "ts", "metric", "value")
 
 
+@shared
 def agg(spark, d):
     return WI.aggregates_minute(valid(spark, d))
 
@@ -61,10 +82,12 @@ def agg_text(df: DataFrame) -> DataFrame:
     return df.withColumn("breaches", F.array_join("breaches", ","))
 
 
+@shared
 def latest_meta(spark, d):
     return EN.latest_with_meta(agg(spark, d), meta(spark, d))
 
 
+@shared
 def alerts(spark, d):
     return AL.alerts_from_readings(readings(spark, d), schema.alert_limits(spark))
 
@@ -460,6 +483,7 @@ LATEST_A = "(SELECT * FROM j1 WHERE sensor_type = 'air_quality')"
 LATEST_N = "(SELECT * FROM j1 WHERE sensor_type = 'noise')"
 
 
+@shared
 def history(spark, d, stype):
     return EN.history_of_type(agg(spark, d), meta(spark, d), stype)
 

@@ -178,9 +178,19 @@ RANGE_SCHEMA = "metric string, min_value double, max_value double"
 LIMIT_SCHEMA = "sensor_type string, metric string, warning double, critical double, direction string"
 
 
-def valid_ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VALID_RANGES, RANGE_SCHEMA)
+def _values(spark: SparkSession, rows, names) -> DataFrame:
+    def lit(v):
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
+def valid_ranges(spark: SparkSession, rows=None) -> DataFrame:
+    """D8 as a local relation (a handful of literal rows)."""
+    return _values(spark, rows if rows is not None else VALID_RANGES, ["metric", "min_value", "max_value"])
 
 
 def alert_limits(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else ALERT_LIMITS, LIMIT_SCHEMA)
+    """D9 as a local relation (a handful of literal rows)."""
+    return _values(spark, rows if rows is not None else ALERT_LIMITS,
+                   ["sensor_type", "metric", "warning", "critical", "direction"])

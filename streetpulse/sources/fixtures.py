@@ -25,32 +25,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _sensor_id(user_id: Column) -> Column:
-    kind = user_id % 3
-    prefix = F.when(kind == 0, "Loop-").when(kind == 1, "Air-").otherwise("Noise-")
-    number = (F.floor(user_id / 3) + 1).cast("int")
-    return F.concat(prefix, F.format_string("%04d", number))
-
-
-def _metric(user_id: Column, event_type: Column) -> Column:
-    kind = user_id % 3
-    traffic = (F.when(event_type == "view", "avg_speed")
-               .when(event_type == "purchase", "wait_time_s")
-               .when(event_type == "error", "queue_len")
-               .otherwise("vehicle_count"))
-    air = (F.when(event_type.isin("click", "view"), "pm25")
-           .when(event_type == "error", "co")
-           .otherwise("temp_c"))
-    return F.when(kind == 0, traffic).when(kind == 1, air).otherwise(F.lit("noise_db"))
-
-
-def _value(user_id: Column, event_type: Column, value: Column) -> Column:
-    kind = user_id % 3
-    traffic = F.when(event_type == "purchase", value * 2).otherwise(value)
-    air = (F.when(event_type.isin("click", "view"), value * 2)
-           .when(event_type == "error", value / 10)
-           .otherwise(value / 2 - 10))
-    return F.when(kind == 0, traffic).when(kind == 1, air).otherwise(value / 2 + 25)
+# The mapping events -> readings, as SQL expressions over ``events`` columns
+# (one expression string per column: parsed once on the JVM side).
+KIND = "user_id % 3"
+NUMBER = "CAST(floor(user_id / 3) + 1 AS INT)"
+SENSOR_ID = (f"concat(CASE {KIND} WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, "
+             f"format_string('%04d', {NUMBER}))")
+SENSOR_TYPE = f"CASE {KIND} WHEN 0 THEN 'traffic_loop' WHEN 1 THEN 'air_quality' ELSE 'noise' END"
+METRIC = f"""CASE {KIND}
+  WHEN 0 THEN CASE event_type WHEN 'view' THEN 'avg_speed' WHEN 'purchase' THEN 'wait_time_s'
+                              WHEN 'error' THEN 'queue_len' ELSE 'vehicle_count' END
+  WHEN 1 THEN CASE WHEN event_type IN ('click', 'view') THEN 'pm25' WHEN event_type = 'error' THEN 'co'
+                   ELSE 'temp_c' END
+  ELSE 'noise_db' END"""
+VALUE = f"""CASE {KIND}
+  WHEN 0 THEN CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END
+  WHEN 1 THEN CASE WHEN event_type IN ('click', 'view') THEN value * 2 WHEN event_type = 'error' THEN value / 10
+                   ELSE value / 2 - 10 END
+  ELSE value / 2 + 25 END"""
+
+
+def _road_sql(kind: str, number: str) -> str:
+    return (f"CASE {kind} WHEN 0 THEN concat('Road ', {number}) "
+            f"WHEN 1 THEN concat('Air Quality Station ', {number}) "
+            f"ELSE concat('Noise Monitoring Point ', {number}) END")
+
+
+def _coord_sql(number: str, base: float, mult: int) -> str:
+    # base +- 0.05 computed from the sensor number; null for every 7th sensor
+    return (f"CASE WHEN {number} % 7 = 0 THEN CAST(NULL AS DOUBLE) "
+            f"ELSE {base}D + CAST(({number} * {mult}) % 101 - 50 AS DOUBLE) / 1000.0D END")
 
 
 def sensor_number(sensor_id: Column) -> Column:
@@ -58,19 +62,6 @@ def sensor_number(sensor_id: Column) -> Column:
     return F.substring_index(sensor_id, "-", -1).try_cast("int")
 
 
-def _road(sensor_type: Column, number: Column) -> Column:
-    n = number.cast("string")
-    return (F.when(sensor_type == "traffic_loop", F.concat(F.lit("Road "), n))
-            .when(sensor_type == "air_quality", F.concat(F.lit("Air Quality Station "), n))
-            .otherwise(F.concat(F.lit("Noise Monitoring Point "), n)))
-
-
-def _coord(number: Column, base: float, mult: int) -> Column:
-    # base +- 0.05 computed from the sensor number; null for every 7th sensor
-    offset = ((number * mult) % 101 - 50).cast("double") / 1000.0
-    return F.when(number % 7 == 0, F.lit(None).cast("double")).otherwise(F.lit(base) + offset)
-
-
 def sensor_type_from_id(sensor_id: Column) -> Column:
     expr = None
     for prefix, kind in schema.SENSOR_TYPE_PREFIXES:
@@ -97,20 +88,10 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
 
 def readings_from_events(ev: DataFrame) -> DataFrame:
     """Batch or streaming events -> D1 readings (a projection)."""
-    sid = _sensor_id(F.col("user_id"))
-    num = (F.floor(F.col("user_id") / 3) + 1).cast("int")
-    kind = F.col("user_id") % 3
-    stype = F.when(kind == 0, "traffic_loop").when(kind == 1, "air_quality").otherwise("noise")
-    return ev.select(
-        "event_id",
-        sid.alias("sensor_id"),
-        "ts",
-        _metric(F.col("user_id"), F.col("event_type")).alias("metric"),
-        _value(F.col("user_id"), F.col("event_type"), F.col("value")).alias("value"),
-        F.struct(F.lit(schema.CITY).alias("city"), _road(stype, num).alias("road"),
-                 _coord(num, 42.6629, 37).alias("lat"),
-                 _coord(num, 21.1639, 53).alias("lon")).alias("location"),
-    )
+    loc = (f"named_struct('city', '{schema.CITY}', 'road', {_road_sql(KIND, NUMBER)}, "
+           f"'lat', {_coord_sql(NUMBER, 42.6629, 37)}, 'lon', {_coord_sql(NUMBER, 21.1639, 53)})")
+    return ev.selectExpr("event_id", f"{SENSOR_ID} AS sensor_id", "ts", f"{METRIC} AS metric",
+                         f"{VALUE} AS value", f"{loc} AS location")
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,21 +109,16 @@ def sensor_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sensor seen in ``events`` plus one sensor per type that
     has no readings (the next free number), so inner and outer joins differ."""
     ev = events(spark, sf_dir)
-    seen = (ev.select("user_id").distinct()
-            .select((F.col("user_id") % 3).alias("kind"),
-                    (F.floor(F.col("user_id") / 3) + 1).cast("int").alias("number")))
+    seen = ev.select("user_id").distinct().selectExpr(f"{KIND} AS kind", f"{NUMBER} AS number")
     spare = seen.groupBy("kind").agg((F.max("number") + 1).alias("number"))
     ids = seen.unionByName(spare)
-    stype = F.when(F.col("kind") == 0, "traffic_loop").when(F.col("kind") == 1, "air_quality").otherwise("noise")
-    prefix = F.when(F.col("kind") == 0, "Loop-").when(F.col("kind") == 1, "Air-").otherwise("Noise-")
-    unit = F.when(F.col("kind") == 0, "vehicles/min").when(F.col("kind") == 1, "µg/m³").otherwise("dB")
-    return ids.select(
-        F.concat(prefix, F.format_string("%04d", F.col("number"))).alias("sensor_id"),
-        stype.alias("type"),
-        unit.alias("unit"),
-        F.lit(schema.CITY).alias("city"),
-        _road(stype, F.col("number")).alias("road"),
-        _coord(F.col("number"), 42.6629, 37).alias("lat"),
-        _coord(F.col("number"), 21.1639, 53).alias("lon"),
-        F.lit(60).alias("interval_s"),
-    )
+    return ids.selectExpr(
+        f"concat(CASE kind WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, "
+        f"format_string('%04d', number)) AS sensor_id",
+        "CASE kind WHEN 0 THEN 'traffic_loop' WHEN 1 THEN 'air_quality' ELSE 'noise' END AS type",
+        "CASE kind WHEN 0 THEN 'vehicles/min' WHEN 1 THEN 'µg/m³' ELSE 'dB' END AS unit",
+        f"'{schema.CITY}' AS city",
+        f"{_road_sql('kind', 'number')} AS road",
+        f"{_coord_sql('number', 42.6629, 37)} AS lat",
+        f"{_coord_sql('number', 21.1639, 53)} AS lon",
+        "60 AS interval_s")
