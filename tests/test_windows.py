@@ -100,3 +100,23 @@ def test_retention_by_event_time(spark):
                              (3, "Loop-1", T("2024-01-02 12:00:00"), "avg_speed", 1.0)])
     kept = WI.retained(WI.aggregates_minute(df), 24)
     assert sorted(r.window_start.day for r in kept.collect()) == [2, 2]
+
+
+def test_newest_n_bucketed_equals_plain(spark):
+    """Large budgets use per-day cut-offs; same rows and ranks as a plain window."""
+    import datetime as dt
+    rnd = random.Random(3)
+    data, eid = [], 0
+    for sensor in ("Loop-1", "Loop-2", "Loop-3"):
+        t = T("2024-01-01 00:00:00")
+        for _ in range(rnd.choice([900, 1500, 2600])):
+            t += dt.timedelta(minutes=rnd.choice([1, 2, 7, 90]))
+            data.append((eid, sensor, t, "avg_speed", 1.0))
+            eid += 1
+    agg = WI.aggregates_minute(readings_df(spark, data))
+    for n in (1500, 2000):
+        big = sorted(rows(WI.newest_n(agg, n), "sensor_id", "window_start", "rn"))
+        w = Window.partitionBy("sensor_id").orderBy(F.col("window_start").desc())
+        plain = sorted(rows(agg.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n),
+                            "sensor_id", "window_start", "rn"))
+        assert big == plain and len(big) > 3000
