@@ -983,6 +983,23 @@ def q_t9_stream(spark, d):
     return spark.read.parquet(base + "/feed")
 
 
+@register("T3_stream", f"""
+SELECT * FROM (
+  SELECT sensor_id, metric, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
+    {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*) AS count
+  FROM (SELECT v.*, date_trunc('minute', ts) - to_minutes(k) AS window_start FROM valid v, range(0, 10) r(k))
+  GROUP BY sensor_id, metric, window_start)
+WHERE window_end + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM readings)""")
+def q_t3_stream(spark, d):
+    """T3 stream form: sliding windows emitted once the watermark closes them."""
+    base = scratch_path(spark, "sliding")
+    s = SM.sliding_stream(readings_stream(spark, d), schema.valid_ranges(spark))
+    q = (s.writeStream.outputMode("append").format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out")
+
+
 # ===================================================================== models
 from ..ml import hybrid as MH  # noqa: E402
 from ..ml import isolation as MI  # noqa: E402

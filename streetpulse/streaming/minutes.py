@@ -63,3 +63,19 @@ def dropped_late_rows(query) -> int:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
             total += int(op.get("numRowsDroppedByWatermark", 0))
     return total
+
+
+def sliding_stream(readings: DataFrame, ranges: DataFrame, size: str = "10 minutes", slide: str = "1 minute",
+                   grace: str = "1 minute") -> DataFrame:
+    """T3 stream form: sliding-window avg/min/max/count per sensor and metric,
+    emitted when the watermark closes each window."""
+    from ..functions.columns import exact_mean
+    r = event_time(readings).withWatermark("ts", grace)
+    complete, _ = split_complete(r)
+    valid = validate(complete, ranges).filter("is_valid")
+    return (valid.groupBy("sensor_id", "metric", F.window("ts", size, slide).alias("w"))
+            .agg(exact_mean("value").alias("avg_value"), F.min("value").alias("min_value"),
+                 F.max("value").alias("max_value"), F.count("*").alias("count"))
+            .select("sensor_id", "metric", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "avg_value", "min_value",
+                    "max_value", "count"))

@@ -60,3 +60,17 @@ def write_alerts_and_messages(df: DataFrame, alerts_path: str, messages_path: st
            .write.mode("overwrite").json(os.path.join(messages_path, f"batch_id={int(batch_id)}")))
     finally:
         df.unpersist()
+
+
+def resolve_in_table(spark: SparkSession, alerts_path: str, ids: DataFrame, out_path: str) -> None:
+    """S8 resolve on a stored alert table: newest alert versions left-joined
+    with the id set, written as a new table version (a fresh path, then
+    swapped by the caller), never rewriting the input in place."""
+    from ..operators.alerts import resolve
+    current = newest_versions(read_versions(spark, alerts_path), ("alert_id",))
+    resolve(current, ids).write.mode("overwrite").parquet(out_path)
+
+
+def clear_table(spark: SparkSession, path: str, schema) -> None:
+    """S8 clear: replace a table by an empty one with the same schema."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
