@@ -191,8 +191,8 @@ def status_distribution(latest: DataFrame) -> DataFrame:
     observed = t.groupBy(st.alias("status")).agg(F.count("*").alias("count"))
     fixed = observed.sparkSession.createDataFrame(
         [(s, 0) for s in STATUS_LABELS], "status string, count long")
-    order = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in STATUS_LABELS]), F.col("status")) - 1,
-                       F.lit(len(STATUS_LABELS)))
+    pos = F.array_position(F.array(*[F.lit(s) for s in STATUS_LABELS]), F.col("status"))
+    order = F.when(pos > 0, pos - 1).otherwise(F.lit(len(STATUS_LABELS)))
     return (observed.unionByName(fixed).groupBy("status").agg(F.sum("count").cast("long").alias("count"))
             .select(order.cast("int").alias("status_order"), "status", "count"))
 

@@ -292,7 +292,7 @@ def q_j2(spark, d):
 
 @register("J3", f"""
 SELECT m.*, a.* EXCLUDE (sensor_id, breaches), array_to_string(a.breaches, ',') AS breaches
-FROM meta_d m JOIN (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn
+FROM meta_d m JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn
                     FROM agg WHERE sensor_id = 'Loop-0001') a USING (sensor_id)
 WHERE m.sensor_id = 'Loop-0001' AND a.rn <= 10""")
 def q_j3(spark, d):
@@ -328,7 +328,7 @@ SELECT sensor_id, metric, avg_value, min_value, max_value, count,
   min(_first) OVER (PARTITION BY sensor_id) AS range_start, max(_last) OVER (PARTITION BY sensor_id) AS range_end
 FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value,
         count(*) AS count, min(ts) AS _first, max(ts) AS _last
-      FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid)
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rn FROM valid)
       WHERE rn <= 20 GROUP BY sensor_id, metric)""")
 def q_a2(spark, d):
     return WI.last_readings_stats(valid(spark, d), 20)
@@ -346,14 +346,14 @@ def q_a17(spark, d):
 # =============================================================== 2.5 windows
 @register("Q2", f"""
 SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM (
-  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn FROM agg) WHERE rn <= 10""")
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn FROM agg) WHERE rn <= 10""")
 def q_q2(spark, d):
     return agg_text(WI.newest_n(agg(spark, d), 10))
 
 
 @register("Q2_period", f"""
 SELECT sensor_id, window_start, vehicle_count_per_min, avg_speed_kmh, avg_wait_time_s, rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn
   FROM {HIST_SQL['traffic_loop']}) WHERE rn <= 10000""")
 def q_q2_period(spark, d):
     """E2 history: traffic sensors (J4), newest rows within the '1week' budget."""
@@ -364,7 +364,7 @@ def q_q2_period(spark, d):
 
 @register("Q3", """
 SELECT event_id, sensor_id, ts, metric, value, rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid) WHERE rn <= 20""")
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rn FROM valid) WHERE rn <= 20""")
 def q_q3(spark, d):
     return WI.last_readings(valid(spark, d), 20).select("event_id", "sensor_id", "ts", "metric", "value", "rn")
 
@@ -593,7 +593,7 @@ def q_a13_5min(spark, d):
 
 
 @register("L5", f"""
-SELECT row_number() OVER (ORDER BY bucket_start) AS position, label, bucket_start FROM ({A13_SQL})""")
+SELECT CAST(row_number() OVER (ORDER BY bucket_start) AS INTEGER) AS position, label, bucket_start FROM ({A13_SQL})""")
 def q_l5(spark, d):
     """Chart labels ordered by true bucket time (R8), not by text. The
     global order runs over the rolled-up buckets (one row per bucket)."""
@@ -603,11 +603,11 @@ def q_l5(spark, d):
 
 
 @register("A14", f"""
-SELECT 'avg_wait_time_s' AS profile, hour(window_start) AS hour, {_mean('avg_wait_time_s')} AS avg_value, count(*) AS n,
+SELECT 'avg_wait_time_s' AS profile, CAST(hour(window_start) AS INTEGER) AS hour, {_mean('avg_wait_time_s')} AS avg_value, count(*) AS n,
   printf('%02d:00', hour(window_start)) AS label
 FROM {HIST_SQL['traffic_loop']} WHERE avg_wait_time_s IS NOT NULL GROUP BY hour(window_start)
 UNION ALL
-SELECT 'pm25' AS profile, hour(window_start) AS hour, {_mean('pm25')} AS avg_value, count(*) AS n,
+SELECT 'pm25' AS profile, CAST(hour(window_start) AS INTEGER) AS hour, {_mean('pm25')} AS avg_value, count(*) AS n,
   printf('%02d:00', hour(window_start)) AS label
 FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL GROUP BY hour(window_start)""")
 def q_a14(spark, d):
@@ -653,7 +653,7 @@ def q_a22(spark, d):
 
 @register("Q5", f"""
 SELECT sensor_id, ranking, value, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY ranking ORDER BY value DESC, sensor_id) AS rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY ranking ORDER BY value DESC, sensor_id) AS INTEGER) AS rank FROM (
     SELECT sensor_id, 'byTraffic' AS ranking, coalesce(vehicle_count_per_min, 0) AS value FROM {LATEST_T}
     UNION ALL SELECT sensor_id, 'bySpeed', coalesce(avg_speed_kmh, 0) FROM {LATEST_T}
     UNION ALL SELECT sensor_id, 'byWaitTime', coalesce(avg_wait_time_s, 0) FROM {LATEST_T}))
@@ -664,7 +664,7 @@ def q_q5(spark, d):
 
 @register("L1", f"""
 SELECT * EXCLUDE (breaches, rn), {AGG_TEXT_SQL} FROM (
-  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS rn FROM agg)
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn FROM agg)
 WHERE rn <= 100 ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 30""")
 def q_l1(spark, d):
     """L1: page 2 (30 per page) of the newest-first table, <= 100 rows per sensor."""
@@ -732,7 +732,7 @@ def traffic_minutes(spark, d):
 @register("P10", f"""
 SELECT *, avg_speed / greatest(vehicle_count, {ONE}) AS speed_variance,
   wait_time_s * vehicle_count / greatest(avg_speed, {ONE}) AS congestion_index,
-  avg_speed / greatest(wait_time_s, {ONE}) AS flow_efficiency, hour(window_start) AS hour,
+  avg_speed / greatest(wait_time_s, {ONE}) AS flow_efficiency, CAST(hour(window_start) AS INTEGER) AS hour,
   CAST((hour(window_start) BETWEEN 7 AND 9) OR (hour(window_start) BETWEEN 17 AND 19) AS INTEGER) AS is_rush_hour,
   CAST(isodow(window_start) - 1 >= 5 AS INTEGER) AS is_weekend
 FROM {TRAFFIC_INPUTS_SQL}""")
@@ -746,7 +746,7 @@ def q_p11(spark, d):
 
 
 P12_SQL = f"""SELECT sensor_id, window_start, st AS traffic_state,
-  CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS confidence,
+  CAST(CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS DOUBLE) AS confidence,
   {_lookup_sql('st', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS severity,
   {_lookup_sql('st', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS predicted_duration
 FROM (SELECT *, {_rule_state_sql('avg_speed', 'wait_time_s')} AS st FROM {TRAFFIC_INPUTS_SQL})"""
@@ -801,7 +801,7 @@ def _reasons_sql() -> str:
 
 @register("P15", f"""
 SELECT sensor_id, window_start, len(r) > 0 AS is_anomaly,
-  CASE WHEN len(r) > 0 THEN 0.5 ELSE 0.3 END AS confidence, CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END AS anomaly_score,
+  CAST(CASE WHEN len(r) > 0 THEN 0.5 ELSE 0.3 END AS DOUBLE) AS confidence, CAST(CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END AS DOUBLE) AS anomaly_score,
   array_to_string(r, ',') AS reasons
 FROM (SELECT *, {_reasons_sql()} AS r FROM {TRAFFIC_INPUTS_SQL})""")
 def q_p15(spark, d):
@@ -835,12 +835,12 @@ SELECT sensor_id, window_start, err AS error,
   CASE WHEN err IS NULL THEN traffic_state END AS traffic_state, CASE WHEN err IS NULL THEN confidence END AS confidence,
   CASE WHEN err IS NULL THEN severity END AS severity, CASE WHEN err IS NULL THEN predicted_duration END AS predicted_duration,
   CASE WHEN err IS NULL THEN len(r) > 0 END AS anomaly_detected,
-  CASE WHEN err IS NULL THEN CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END END AS anomaly_score
+  CAST(CASE WHEN err IS NULL THEN CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END END AS DOUBLE) AS anomaly_score
 FROM (
   SELECT i.sensor_id, i.window_start,
     CASE WHEN len(miss) > 0 THEN 'Missing fields: [' || array_to_string(list_transform(miss, lambda x: chr(39) || x || chr(39)), ', ') || ']' END AS err,
     st AS traffic_state,
-    CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS confidence,
+    CAST(CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS DOUBLE) AS confidence,
     {_lookup_sql('st', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS severity,
     {_lookup_sql('st', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS predicted_duration,
     {_reasons_sql()} AS r
@@ -928,7 +928,7 @@ SELECT sensor_id, metric, avg_value, min_value, max_value, count,
   min(_first) OVER (PARTITION BY sensor_id) AS range_start, max(_last) OVER (PARTITION BY sensor_id) AS range_end
 FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value,
         count(*) AS count, min(ts) AS _first, max(ts) AS _last
-      FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM valid)
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rn FROM valid)
       WHERE rn <= 20 GROUP BY sensor_id, metric)""")
 def q_t4(spark, d):
     """T4: per-sensor 20-reading state; the newest statistics per sensor and metric."""
@@ -1104,7 +1104,7 @@ SELECT count(*) AS total_sensors, CAST(0 AS BIGINT) AS ml_available_count, CAST(
   count(*) FILTER (WHERE len(r) > 0) AS anomaly_count,
   coalesce(CAST(count(*) FILTER (WHERE len(r) > 0) AS DOUBLE) * 100.0 / count(*), 0) AS anomaly_rate,
   round(coalesce(CAST(sum(CAST(round_even(c * 1000, 0) AS BIGINT)) AS DOUBLE) / 1000.0 / count(c), 0), 3) AS avg_confidence
-FROM (SELECT *, CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS c
+FROM (SELECT *, CAST(CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS DOUBLE) AS c
       FROM {A18_SCORED})""")
 def q_a18(spark, d):
     """A18 with the rule fallback (no model loaded: ml_available is false)."""

@@ -36,7 +36,7 @@ def minute_stream(readings: DataFrame, ranges: DataFrame, grace: str = "1 minute
     if observe:
         checked = checked.observe("counters", F.count_if("is_valid").alias("messages_processed"),
                                   F.count_if(~F.col("is_valid")).alias("validation_errors"))
-    valid = checked.filter("is_valid").select("event_id", "sensor_id", "ts", "metric", "value")
+    valid = checked.filter("is_valid").select("sensor_id", "ts", "metric", "value")
     return aggregates_minute(valid, limits, event_time_window=True)
 
 
