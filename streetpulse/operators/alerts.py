@@ -124,10 +124,6 @@ def critical_feed(alerts: DataFrame, minutes: int = 1, as_of: Column | None = No
     """T9 batch form: critical alerts newer than ``as_of - minutes`` (default
     as-of: the newest alert time in the table)."""
     if as_of is None:
-        newest = alerts.agg(F.max("timestamp").alias("_asof"))
-        cut = F.timestamp_add("MINUTE", F.lit(-minutes), F.col("_asof"))
-        # one-row frame: bounded broadcast
-        j = alerts.join(F.broadcast(newest), on=F.col("timestamp") > cut, how="inner").drop("_asof")
-    else:
-        j = alerts.filter(F.col("timestamp") > F.timestamp_add("MINUTE", F.lit(-minutes), as_of))
+        as_of = alerts.agg(F.max("timestamp")).scalar()  # scalar subquery, no join
+    j = alerts.filter(F.col("timestamp") > F.timestamp_add("MINUTE", F.lit(-minutes), as_of))
     return notification_text(j.filter(F.col("severity") == "critical"))

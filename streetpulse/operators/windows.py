@@ -225,8 +225,5 @@ def sliding_windows(valid: DataFrame, size: str = "10 minutes", slide: str = "1
 # --------------------------------------------------------------------------- T5
 def retained(agg: DataFrame, hours: int = 24, ts_col: str = "window_start") -> DataFrame:
     """T5 batch form: rows within ``hours`` of the newest event time."""
-    newest = agg.agg(F.max(ts_col).alias("_newest"))
-    cutoff = F.timestamp_add("HOUR", F.lit(-hours), F.col("_newest"))
-    # one-row frame: the broadcast is bounded by construction
-    return (agg.join(F.broadcast(newest), how="inner", on=F.col(ts_col) >= cutoff)
-            .drop("_newest"))
+    newest = agg.agg(F.max(ts_col)).scalar()  # scalar subquery, no join
+    return agg.filter(F.col(ts_col) >= F.timestamp_add("HOUR", F.lit(-hours), newest))

@@ -196,9 +196,8 @@ def q_s6(spark, d):
 def resolved_alerts(spark, d):
     """S8 input: alerts older than 7 days before the newest alert are resolved."""
     a = alerts(spark, d)
-    newest = a.agg(F.max("timestamp").alias("_n"))
-    ids = (a.join(F.broadcast(newest), on=F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), F.col("_n")))
-           .select("alert_id"))
+    newest = a.agg(F.max("timestamp")).scalar()
+    ids = a.filter(F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), newest)).select("alert_id")
     return AL.resolve(a, ids)
 
 

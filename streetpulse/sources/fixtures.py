@@ -29,8 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # (one expression string per column: parsed once on the JVM side).
 KIND = "user_id % 3"
 NUMBER = "CAST(floor(user_id / 3) + 1 AS INT)"
+
+
+def padded(number: str) -> str:
+    """'%04d' of a number; lpad (cheap) on the usual range, format_string beyond it."""
+    return (f"CASE WHEN {number} >= 0 AND {number} < 10000 THEN lpad(CAST({number} AS STRING), 4, '0') "
+            f"ELSE format_string('%04d', {number}) END")
+
+
 SENSOR_ID = (f"concat(CASE {KIND} WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, "
-             f"format_string('%04d', {NUMBER}))")
+             f"{padded(NUMBER)})")
 SENSOR_TYPE = f"CASE {KIND} WHEN 0 THEN 'traffic_loop' WHEN 1 THEN 'air_quality' ELSE 'noise' END"
 METRIC = f"""CASE {KIND}
   WHEN 0 THEN CASE event_type WHEN 'view' THEN 'avg_speed' WHEN 'purchase' THEN 'wait_time_s'
@@ -114,7 +122,7 @@ def sensor_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = seen.unionByName(spare)
     return ids.selectExpr(
         f"concat(CASE kind WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, "
-        f"format_string('%04d', number)) AS sensor_id",
+        f"{padded('number')}) AS sensor_id",
         "CASE kind WHEN 0 THEN 'traffic_loop' WHEN 1 THEN 'air_quality' ELSE 'noise' END AS type",
         "CASE kind WHEN 0 THEN 'vehicles/min' WHEN 1 THEN 'µg/m³' ELSE 'dB' END AS unit",
         f"'{schema.CITY}' AS city",
