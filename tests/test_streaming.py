@@ -63,3 +63,18 @@ def test_replayed_batch_adds_no_duplicates(spark):
     SK.write_batch(df.withColumn("v", F.lit(5.0)), base, 4)
     assert SK.read_versions(spark, base).count() == 2
     assert [r.v for r in SK.read_upserted(spark, base).collect()] == [5.0]
+
+
+def test_observed_counters_in_progress(spark):
+    base = tempfile.mkdtemp(prefix="sp-obs-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    _write_files(src, [[("Loop-0001", "2024-01-01T10:00:00Z", "avg_speed", 500.0),
+                        ("Loop-0001", "2024-01-01T10:00:05Z", "avg_speed", 50.0),
+                        ("Loop-0001", "2024-01-01T10:00:06Z", "queue_len", 5.0)]])
+    stream = parse_messages(json_file_stream(spark, src))
+    q = SM.start_minute_table(stream, schema.valid_ranges(spark), base + "/t", base + "/c", mode="update")
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["counters"] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get("counters") and p["numInputRows"] > 0]
+    assert seen and seen[0]["messages_processed"] == 2 and seen[0]["validation_errors"] == 1
