@@ -7,9 +7,12 @@ here is for tests, the bench and local runs only.
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +39,38 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``streetpulse`` importable by Python workers (pandas UDFs,
+    applyInPandas, streaming state functions) wherever the driver runs from:
+    the package is zipped once per application and added with ``addPyFile``,
+    which distributes it to every executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.join("streetpulse", os.path.relpath(full, root)))
+    data = buf.getvalue()
+    out_dir = tempfile.mkdtemp(prefix="streetpulse-pyfiles-")
+    path = os.path.join(out_dir, f"streetpulse-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    with open(path, "wb") as fh:
+        fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
