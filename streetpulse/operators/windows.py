@@ -21,9 +21,6 @@ from .. import schema
 from ..functions.columns import exact_mean, fixed_units, minute_floor, time_floor
 from ..sources.fixtures import sensor_type_from_id
 
-SEVERITY_RANK = {"warning": 1, "critical": 2}
-
-
 # --------------------------------------------------------------------------- A1
 def minute_means(valid: DataFrame) -> DataFrame:
     """A1 (long form): mean, count per (sensor_id, window_start, metric)."""

@@ -199,13 +199,6 @@ def _message_sql() -> str:
 
 CTES["alerts"] = CTES["alerts"].replace("__MESSAGE__", _message_sql())
 
-_IDENT = re.compile(r"\b([a-z_][a-z0-9_]*)\b")
-
-
-def _deps(body: str) -> list[str]:
-    return [n for n in CTES if n not in ("events",) and re.search(rf"\b{n}\b", body)]
-
-
 def sql(body: str, extra: dict[str, str] | None = None) -> str:
     """Prepend, in dependency order, the shared CTEs that ``body`` mentions."""
     defs = {**CTES, **(extra or {})}

@@ -78,3 +78,26 @@ def test_observed_counters_in_progress(spark):
     seen = [p["observedMetrics"]["counters"] for p in q.recentProgress
             if p.get("observedMetrics", {}).get("counters") and p["numInputRows"] > 0]
     assert seen and seen[0]["messages_processed"] == 2 and seen[0]["validation_errors"] == 1
+
+
+def test_restart_from_checkpoint_processes_only_new_files(spark):
+    base = tempfile.mkdtemp(prefix="sp-restart-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    _write_files(src, BATCHES[:1])
+
+    def run():
+        stream = parse_messages(json_file_stream(spark, src))
+        q = SM.start_minute_table(stream, schema.valid_ranges(spark), base + "/t", base + "/c", mode="update")
+        q.awaitTermination()
+
+    run()
+    first = SK.read_versions(spark, base + "/t").count()
+    run()                                     # restart, nothing new: no new versions
+    assert SK.read_versions(spark, base + "/t").count() == first
+    with open(os.path.join(src, "part-new.json"), "w") as fh:
+        fh.write(json.dumps({"sensor_id": "Loop-0001", "ts": "2024-01-01T10:05:40Z", "metric": "avg_speed",
+                             "value": 0.0}) + "\n")
+    run()                                     # restart with one new file: only its minute changes
+    view = {r.window_start.minute: r.avg_speed_kmh for r in SK.read_upserted(spark, base + "/t").collect()}
+    assert len(view) == 6 and view[5] == 30.0 and view[0] == 10.0
