@@ -99,5 +99,9 @@ def number_text(col) -> Column:
 
 
 def title_case(col) -> Column:
-    """'vehicle_count_per_min' -> 'Vehicle Count Per Min'."""
-    return F.initcap(F.replace(_c(col), F.lit("_"), F.lit(" ")))
+    """'vehicle_count_per_min' -> 'Vehicle Count Per Min': underscores to
+    spaces, first letter of each word upper-cased, the rest left as it is
+    (unlike ``initcap``, which lower-cases it: 'sensorID' -> 'SensorID')."""
+    words = F.split(F.replace(_c(col), F.lit("_"), F.lit(" ")), " ")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
+                                                              F.substring(w, 2, 1 << 30))), " ")

@@ -42,7 +42,7 @@ _FRAMES: dict = {}
 
 def shared(fn):
     def get(spark, d, *args):
-        key = (spark.sparkContext.applicationId, d, fn.__name__, args)
+        key = (spark.sparkContext.applicationId, id(spark), d, fn.__name__, args)
         if key not in _FRAMES:
             _FRAMES[key] = fn(spark, d, *args)
         return _FRAMES[key]

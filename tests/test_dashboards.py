@@ -77,3 +77,9 @@ def test_report_formatting(spark):
     assert (r.pm25, r.temp_c, r.noise_db, r.breaches, r.lon) == ("12.35", "-3.00", "-", "co, pm25", "21.123500")
     titles = [x.title for x in DB.column_titles(df.select("sensor_id", "vehicle_count_per_min")).collect()]
     assert titles == ["Sensor Id", "Vehicle Count Per Min"]
+
+
+def test_title_case_keeps_inner_capitals(spark):
+    from streetpulse.functions.columns import title_case
+    df = spark.createDataFrame([("sensorID_value",), ("avg_speed_kmh",)], "c string")
+    assert [r[0] for r in df.select(title_case("c")).collect()] == ["SensorID Value", "Avg Speed Kmh"]
