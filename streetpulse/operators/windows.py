@@ -8,7 +8,7 @@ Scale notes
 * "Latest row" is ``max_by`` in an aggregation (partial, no per-key sort).
 * "Newest N" filters ``row_number() <= N``: Spark plans a per-partition group
   limit before the shuffle, so at most N rows per key and map task move.
-* Running windows over a key's whole history (Q4) are split into time buckets
+* Running windows over a key's whole history (Q4) are split into hour buckets
   with a halo of the previous rows, so a hot key is spread over many tasks.
 """
 
@@ -104,16 +104,16 @@ GROUP_LIMIT_MAX = 1000  # Spark plans a map-side group limit up to this n
 
 
 def newest_n(df: DataFrame, n: int, key: str = "sensor_id", order=("window_start",),
-             bucket_unit: str = "day") -> DataFrame:
+             bucket_unit: str = "hour") -> DataFrame:
     """Q2: newest ``n`` rows per key (rank column ``rn``, 1 = newest).
 
     Small ``n``: ``row_number() <= n``, which Spark runs with a per-task group
     limit before the shuffle (each task ships <= n rows per key).
-    Large ``n`` (row budgets up to 10,080): rows are counted per (key, day);
-    from those counts (one row per key and day) each key's cut-off day is
-    found, whole newer days are kept and only rows of the cut-off day are
-    ranked. All heavy work is partitioned by (key, day), so a hot key is
-    spread over its days instead of one task."""
+    Large ``n`` (row budgets up to 10,080): rows are counted per (key, hour);
+    from those counts (one row per key and hour) each key's cut-off hour is
+    found, newer hours are kept and rows are ranked within (key, hour). All
+    heavy work is partitioned by (key, hour), so a hot key is spread over
+    its hours instead of one task."""
     desc = [F.col(c).desc() for c in order]
     if n <= GROUP_LIMIT_MAX:
         w = Window.partitionBy(key).orderBy(*desc)
@@ -192,7 +192,7 @@ def halo_partitioned(df: DataFrame, keys: list[str], order: list[str], bucket: C
     return tagged.withColumn("_halo", F.lit(False)).unionByName(moved)
 
 
-def spikes(valid: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def spikes(valid: DataFrame, bucket_unit: str = "hour") -> DataFrame:
     """Q4: readings whose value exceeds twice the mean of the last three values
     (itself included) of the same sensor and metric, when three exist."""
     keys, order = ["sensor_id", "metric"], ["ts", "event_id"]
