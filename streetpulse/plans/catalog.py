@@ -1119,10 +1119,8 @@ def q_a18_states(spark, d):
 def q_a18_models(spark, d):
     """A18 over model scores, with the state distribution as a map."""
     scored = MH.score_latest(latest_meta(spark, d), trained_bundle(spark, d))
-    summary = MH.prediction_summary(scored)
-    return summary.unionByName(MH.state_distribution_map(scored), allowMissingColumns=True) \
-        .agg(*[F.max(c).alias(c) for c in summary.columns], F.first("state_distribution", ignorenulls=True)
-             .alias("state_distribution"))
+    states = MH.state_distribution_map(scored).scalar()
+    return MH.prediction_summary(scored).withColumn("state_distribution", states)
 
 
 @register("M9")

@@ -20,17 +20,15 @@ from .sinks import write_batch
 
 
 def batch_statistics(scored: DataFrame, batch_id: int) -> DataFrame:
-    """One row per micro-batch."""
+    """One row per micro-batch; the state distribution (one entry per
+    state) is a scalar subquery."""
     per_state = scored.groupBy("ai_traffic_state").agg(F.count("*").alias("n"))
-    states = per_state.agg(F.map_from_entries(F.collect_list(F.struct("ai_traffic_state", "n"))).alias("states"))
-    totals = scored.agg(F.count("*").alias("rows"), F.avg("ai_confidence").alias("mean_confidence"),
-                        F.avg(F.col("ai_anomaly_detected").cast("double")).alias("anomaly_rate"),
-                        F.array_sort(F.collect_set("ai_model_version")).alias("model_versions"))
-    both = totals.unionByName(states, allowMissingColumns=True)
-    return both.agg(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.max("rows").alias("rows"),
-                    F.first("states", ignorenulls=True).alias("states"),
-                    F.max("mean_confidence").alias("mean_confidence"), F.max("anomaly_rate").alias("anomaly_rate"),
-                    F.first("model_versions", ignorenulls=True).alias("model_versions"))
+    states = per_state.agg(F.map_from_entries(F.collect_list(F.struct("ai_traffic_state", "n")))).scalar()
+    return scored.agg(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.count("*").alias("rows"),
+                      F.avg("ai_confidence").alias("mean_confidence"),
+                      F.avg(F.col("ai_anomaly_detected").cast("double")).alias("anomaly_rate"),
+                      F.array_sort(F.collect_set("ai_model_version")).alias("model_versions")) \
+        .withColumn("states", states)
 
 
 def start_scoring(minute_rows: DataFrame, bundle: ModelBundle | None, scored_path: str, stats_path: str,
