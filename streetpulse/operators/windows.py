@@ -166,6 +166,28 @@ def last_readings_stats(valid: DataFrame, n: int = 20) -> DataFrame:
         F.max("_last").over(w).alias("range_end"))
 
 
+def running_buffer_stats(valid: DataFrame, n: int = 20, bucket_unit: str = "hour") -> DataFrame:
+    """Q3 running form: at every reading, the sensor's last ``n`` readings
+    (itself included, all metrics, ordered by event time then event_id):
+    buffer size, and per wide metric the mean and count inside the buffer.
+
+    Evaluated per (sensor, hour) with a halo of the ``n - 1`` preceding
+    readings (see ``halo_partitioned``), so a hot sensor is spread over its
+    hours; equal to ``rowsBetween(-(n-1), 0)`` over the whole history."""
+    keys, order = ["sensor_id"], ["ts", "event_id"]
+    base = valid.select("event_id", "sensor_id", "ts", "metric", "value")
+    parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), n - 1)
+    w = Window.partitionBy("sensor_id", "_bucket").orderBy(*order).rowsBetween(-(n - 1), 0)
+    cols = [F.count("*").over(w).alias("buffer_size")]
+    for m, _ in schema.WIDE_COLUMNS:
+        hit = F.col("metric") == m
+        cnt = F.count(F.when(hit, F.col("value"))).over(w)
+        tot = F.sum(F.when(hit, fixed_units("value"))).over(w).cast("double") / 10000.0
+        cols += [F.try_divide(tot, cnt).alias(f"{m}_avg"), cnt.alias(f"{m}_count")]
+    return (parts.select("event_id", "sensor_id", "ts", "metric", "value", "_halo", *cols)
+            .filter(~F.col("_halo")).drop("_halo"))
+
+
 # --------------------------------------------------------------------------- Q4
 def halo_partitioned(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                      halo: int) -> DataFrame:

@@ -368,6 +368,25 @@ def q_q3(spark, d):
     return WI.last_readings(valid(spark, d), 20).select("event_id", "sensor_id", "ts", "metric", "value", "rn")
 
 
+def _running_cols() -> str:
+    out = []
+    for m in ["vehicle_count", "avg_speed", "wait_time_s", "pm25", "noise_db", "temp_c"]:
+        c = f"count(CASE WHEN metric = '{m}' THEN value END) OVER w"
+        s = f"CAST(sum(CASE WHEN metric = '{m}' THEN CAST(round_even(value * 10000, 0) AS BIGINT) END) OVER w AS DOUBLE) / 10000.0"
+        out.append(f"{s} / {c} AS {m}_avg, {c} AS {m}_count")
+    return ",\n  ".join(out)
+
+
+@register("Q3_running", f"""
+SELECT event_id, sensor_id, ts, metric, value, count(*) OVER w AS buffer_size,
+  {_running_cols()}
+FROM valid
+WINDOW w AS (PARTITION BY sensor_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+def q_q3_running(spark, d):
+    """Q3 running form: statistics of each sensor's last 20 readings at every reading."""
+    return WI.running_buffer_stats(valid(spark, d), 20)
+
+
 SPIKES_SQL = """
 SELECT event_id, sensor_id, metric, ts, value, recent_avg FROM (
   SELECT *, count(value) OVER w AS recent_n,
