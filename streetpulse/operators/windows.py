@@ -8,8 +8,10 @@ Scale notes
 * "Latest row" is ``max_by`` in an aggregation (partial, no per-key sort).
 * "Newest N" filters ``row_number() <= N``: Spark plans a per-partition group
   limit before the shuffle, so at most N rows per key and map task move.
-* Running windows over a key's whole history (Q4) are split into hour buckets
-  with a halo of the previous rows, so a hot key is spread over many tasks.
+* Running windows over a key's whole history (Q3 running form, Q4): keys with
+  more than a million rows are split into hour buckets with a halo of the
+  previous rows, so a hot key is spread over many tasks; other keys are not
+  split (no halo overhead for sparse keys).
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .. import schema
 from ..functions.columns import exact_mean, fixed_units, minute_floor, time_floor
 from ..sources.fixtures import sensor_type_from_id
 
+HOT_KEY_ROWS = 1_000_000  # a key above this many rows is split into time buckets
+
 # --------------------------------------------------------------------------- A1
 def minute_means(valid: DataFrame) -> DataFrame:
     """A1 (long form): mean, count per (sensor_id, window_start, metric)."""
@@ -166,17 +170,18 @@ def last_readings_stats(valid: DataFrame, n: int = 20) -> DataFrame:
         F.max("_last").over(w).alias("range_end"))
 
 
-def running_buffer_stats(valid: DataFrame, n: int = 20, bucket_unit: str = "hour") -> DataFrame:
+def running_buffer_stats(valid: DataFrame, n: int = 20, bucket_unit: str = "hour",
+                         hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Q3 running form: at every reading, the sensor's last ``n`` readings
     (itself included, all metrics, ordered by event time then event_id):
     buffer size, and per wide metric the mean and count inside the buffer.
 
-    Evaluated per (sensor, hour) with a halo of the ``n - 1`` preceding
-    readings (see ``halo_partitioned``), so a hot sensor is spread over its
-    hours; equal to ``rowsBetween(-(n-1), 0)`` over the whole history."""
+    Hot sensors are evaluated per (sensor, hour) with a halo of the ``n - 1``
+    preceding readings (see ``halo_partitioned``), so they are spread over
+    their hours; equal to ``rowsBetween(-(n-1), 0)`` over the whole history."""
     keys, order = ["sensor_id"], ["ts", "event_id"]
     base = valid.select("event_id", "sensor_id", "ts", "metric", "value")
-    parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), n - 1)
+    parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), n - 1, hot_rows)
     w = Window.partitionBy("sensor_id", "_bucket").orderBy(*order).rowsBetween(-(n - 1), 0)
     cols = [F.count("*").over(w).alias("buffer_size")]
     for m, _ in schema.WIDE_COLUMNS:
@@ -190,36 +195,47 @@ def running_buffer_stats(valid: DataFrame, n: int = 20, bucket_unit: str = "hour
 
 # --------------------------------------------------------------------------- Q4
 def halo_partitioned(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-                     halo: int) -> DataFrame:
-    """Split each key's ordered history into time buckets and add, to every
-    bucket, the last ``halo`` rows that precede it (flag ``_halo``).
-
-    A running window with ``rowsBetween(-halo, 0)`` evaluated per
-    (keys, ``_bucket``) then equals the window over the key's whole history for
-    the non-halo rows, while a hot key is spread over many tasks. The tails of
-    the ``halo`` previous non-empty buckets are enough: each holds >= 1 row.
-    """
-    tagged = df.withColumn("_bucket", bucket)
+                     halo: int, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Prepare a running window ``rowsBetween(-halo, 0)`` per key so that no
+    task holds a hot key's whole history.
+
+    Keys with more than ``hot_rows`` rows (found by a partial aggregation; at
+    most total rows / ``hot_rows`` of them) are split into time buckets
+    (``bucket``); every bucket gets the last ``halo`` rows that precede it
+    (flag ``_halo``), taken from the tails of its ``halo`` previous non-empty
+    buckets. Other keys keep one bucket (null) and get no halo rows. A window
+    partitioned by (keys, ``_bucket``) then equals the window over the key's
+    whole history for the non-halo rows."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    tagged = (df.join(hot, keys, "left")
+              .withColumn("_bucket", F.when(F.col("_hot"), bucket))
+              .drop("_hot"))
+    split = tagged.filter(F.col("_bucket").isNotNull())
     tail_w = Window.partitionBy(*keys, "_bucket").orderBy(*[F.col(c).desc() for c in order])
-    tails = (tagged.withColumn("_rk", F.row_number().over(tail_w))
+    tails = (split.withColumn("_rk", F.row_number().over(tail_w))
              .filter(F.col("_rk") <= halo).drop("_rk"))
-    buckets = tagged.select(*keys, "_bucket").distinct()
+    buckets = split.select(*keys, "_bucket").distinct()
     bw = Window.partitionBy(*keys).orderBy("_bucket")
     nexts = buckets.select(*keys, F.col("_bucket").alias("_src"),
                            F.array(*[F.lead("_bucket", k).over(bw) for k in range(1, halo + 1)])
                            .alias("_dst"))
     moved = (tails.withColumnRenamed("_bucket", "_src").join(nexts, keys + ["_src"])
              .select("*", F.explode(F.array_compact("_dst")).alias("_bucket"))
-             .drop("_src", "_dst").withColumn("_halo", F.lit(True)))
+             .drop("_src", "_dst"))
+    # at most ``halo`` halo rows per bucket: the newest ones before it
+    cap = Window.partitionBy(*keys, "_bucket").orderBy(*[F.col(c).desc() for c in order])
+    moved = (moved.withColumn("_rk", F.row_number().over(cap)).filter(F.col("_rk") <= halo)
+             .drop("_rk").withColumn("_halo", F.lit(True)))
     return tagged.withColumn("_halo", F.lit(False)).unionByName(moved)
 
 
-def spikes(valid: DataFrame, bucket_unit: str = "hour") -> DataFrame:
+def spikes(valid: DataFrame, bucket_unit: str = "hour", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Q4: readings whose value exceeds twice the mean of the last three values
     (itself included) of the same sensor and metric, when three exist."""
     keys, order = ["sensor_id", "metric"], ["ts", "event_id"]
     base = valid.select("event_id", "sensor_id", "metric", "ts", "value")
-    parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), 2)
+    parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), 2, hot_rows)
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(-2, 0)
     units = fixed_units("value")
     return (parts

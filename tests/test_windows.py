@@ -78,7 +78,8 @@ def test_halo_buckets_equal_plain_window(spark):
                          "vehicle_count", float(rnd.choice([1, 2, 3, 10, 40]))))
             eid += 1
     df = readings_df(spark, data)
-    got = sorted(r.event_id for r in WI.spikes(df, bucket_unit="hour").collect())
+    got = sorted(r.event_id for r in WI.spikes(df, bucket_unit="hour", hot_rows=100).collect())
+    assert got == sorted(r.event_id for r in WI.spikes(df).collect())   # no key hot: one bucket
     w = Window.partitionBy("sensor_id", "metric").orderBy("ts", "event_id").rowsBetween(-2, 0)
     plain = (df.withColumn("n", F.count("value").over(w)).withColumn("a", F.avg("value").over(w))
              .filter((F.col("n") == 3) & (F.col("value") > 2 * F.col("a"))))
@@ -120,3 +121,23 @@ def test_newest_n_bucketed_equals_plain(spark):
         plain = sorted(rows(agg.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n),
                             "sensor_id", "window_start", "rn"))
         assert big == plain and len(big) > 3000
+
+
+def test_running_buffer_split_equals_plain(spark):
+    """Hot keys split into hour buckets with a 19-row halo give the same
+    running statistics as one window over the whole history."""
+    import datetime as dt
+    rnd = random.Random(11)
+    data, eid = [], 0
+    for sensor in ("Loop-1", "Loop-2"):
+        t = T("2024-01-01 00:00:00")
+        for _ in range(600):
+            t += dt.timedelta(minutes=rnd.choice([1, 3, 20, 70, 300]))
+            data.append((eid, sensor, t, rnd.choice(["avg_speed", "vehicle_count", "wait_time_s"]),
+                         float(rnd.randint(0, 90))))
+            eid += 1
+    df = readings_df(spark, data)
+    cols = ["event_id", "buffer_size", "avg_speed_avg", "avg_speed_count", "vehicle_count_avg", "wait_time_s_count"]
+    split = sorted(rows(WI.running_buffer_stats(df, 20, hot_rows=100), *cols))
+    plain = sorted(rows(WI.running_buffer_stats(df, 20), *cols))
+    assert split == plain and len(split) == 1200
