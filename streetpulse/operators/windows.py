@@ -208,7 +208,8 @@ def halo_partitioned(df: DataFrame, keys: list[str], order: list[str], bucket: C
     whole history for the non-halo rows."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    tagged = (df.join(hot, keys, "left")
+    # at most (total rows / hot_rows) hot keys: a proven bound, so broadcast
+    tagged = (df.join(F.broadcast(hot), keys, "left")
               .withColumn("_bucket", F.when(F.col("_hot"), bucket))
               .drop("_hot"))
     split = tagged.filter(F.col("_bucket").isNotNull())
