@@ -4,11 +4,13 @@ Zhou, "Isolation Forest", ICDM 2008).
 Training, distributed:
 1. Standardise the three inputs with mean and population deviation (one
    aggregation).
-2. Per tree, sample ``psi`` (<= 256) rows without a shuffle of the data: each
-   row draws a uniform number per tree from a hash of (row key, tree, seed);
-   rows under ~3 psi / N are candidates, a per-tree group limit keeps the
-   ``psi`` smallest. The sample does not depend on partitioning and is at
-   most trees x 3 psi rows whatever N is.
+2. Per tree, sample ``psi`` (<= 256) rows without a shuffle of the data: a
+   hash of (row key, seed) keeps a uniform pool of ~3 x trees x psi rows;
+   each pooled row draws a uniform number per tree from a hash of (row key,
+   tree, seed); rows under ~3 psi / pool are candidates and a per-tree group
+   limit keeps the ``psi`` smallest. Each tree's sample is a uniform subset
+   of the data, does not depend on partitioning, and the per-tree work is
+   the same whatever N is.
 3. ``groupBy(tree).applyInPandas`` grows one random isolation tree per group
    (depth limit ceil(log2 psi)).
 Scoring: the trees have at most trees x (2 psi - 1) nodes, a size fixed by the
@@ -154,13 +156,17 @@ def fit_isolation(data: DataFrame, key: list[str], trees: int = 100, psi: int =
         means = [float(st[f"m_{f}"]) for f in INPUTS]
         scales = [float(st[f"s_{f}"]) if st[f"s_{f}"] else 1.0 for f in INPUTS]
         psi_eff = min(psi, n)
-        q = min(1.0, 3.0 * psi_eff / n)
+        # 1. a uniform pool of ~3 x trees x psi rows (one hash per row): the
+        #    per-tree work below is then constant, whatever N is
+        p_pool = min(1.0, 3.0 * trees * psi_eff / n)
         row_key = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-        draws = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                     lambda t: F.struct(t.alias("tree"), _uniform(row_key, t, seed).alias("u"))),
-                         lambda s: s["u"] < q)
-        cand = d.select(*_standardised(d, means, scales), F.explode(draws).alias("_d")) \
-            .select("*", "_d.tree", "_d.u").drop("_d")
+        pool = d.select(*_standardised(d, means, scales), row_key.alias("_key")) \
+            .filter(_uniform(F.col("_key"), F.lit(-1), seed) < p_pool)
+        # 2. per tree, candidates with a draw under ~3 psi / pool size
+        q = min(1.0, 3.0 * psi_eff / (n * p_pool))
+        cand = (pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+                .withColumn("u", _uniform(F.col("_key"), F.col("tree"), seed))
+                .filter(F.col("u") < q).drop("_key"))
         from pyspark.sql import Window
         w = Window.partitionBy("tree").orderBy("u")
         sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi_eff).drop("_r", "u")
