@@ -70,9 +70,10 @@ def train_all(minutes: DataFrame, restarts: int = 10, trees: int = 100, seed: in
 
 
 def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees: int = 100) -> DataFrame:
-    """M9 (D6): held-out accuracy, weighted precision and recall of the state
-    classifier (80/20 seeded split of the labelled samples), dated by the
-    newest event time of the data."""
+    """M9 (D6), one row per model type, dated by the newest event time:
+    random forest: held-out accuracy, weighted precision and recall (80/20
+    seeded split of the labelled samples); kmeans: silhouette; isolation
+    forest: share of training rows flagged (target: the contamination)."""
     spark = minutes.sparkSession
     feats = traffic_features(minutes)
     labelled = patterns.training_set(patterns.predict_patterns(bundle.patterns, feats))
@@ -87,12 +88,25 @@ def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees
     def metric(name):
         return MulticlassClassificationEvaluator(labelCol="_label", predictionCol="_pred", metricName=name).evaluate(pred)
     acc, prec, rec = metric("accuracy"), metric("weightedPrecision"), metric("weightedRecall")
-    newest = minutes.agg(F.max("window_start").alias("t"))
-    return newest.select(
-        F.lit("random_forest").alias("model_type"), F.to_date("t").alias("date"),
-        F.lit(sm.samples).cast("int").alias("training_samples"), F.lit(float(acc)).alias("accuracy_score"),
-        F.lit(float(prec)).alias("precision_score"), F.lit(float(rec)).alias("recall_score"),
-        F.lit(MODEL_VERSION).alias("model_version"), F.col("t").alias("last_updated"))
+    rows = [("random_forest", sm.samples, float(acc), float(prec), float(rec))]
+    if bundle.patterns is not None:
+        # K-Means: silhouette of the clustering on its training rows
+        from pyspark.ml.evaluation import ClusteringEvaluator
+        assigned = bundle.patterns.pipeline.transform(feats)
+        sil = ClusteringEvaluator(featuresCol="_scaled", predictionCol="cluster").evaluate(assigned)
+        rows.append(("kmeans", bundle.patterns.samples, float(sil), None, None))
+    if bundle.anomalies is not None:
+        # isolation forest: share of training rows flagged (target: contamination)
+        flagged = isolation.score_isolation(bundle.anomalies, feats).agg(
+            F.avg(F.col("is_anomaly").cast("double"))).first()[0]
+        rows.append(("isolation_forest", bundle.anomalies.samples, float(flagged), None, None))
+    stats = spark.createDataFrame(rows, "model_type string, training_samples long, accuracy_score double, "
+                                        "precision_score double, recall_score double")
+    newest = minutes.agg(F.max("window_start")).scalar()
+    return stats.select(
+        "model_type", F.to_date(newest).alias("date"), F.col("training_samples").cast("int"),
+        "accuracy_score", "precision_score", "recall_score",
+        F.lit(MODEL_VERSION).alias("model_version"), newest.alias("last_updated"))
 
 
 # ------------------------------------------------------------------- M11
