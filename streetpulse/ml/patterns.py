@@ -2,8 +2,8 @@
 the cluster profile that names the clusters (A21).
 
 Spark ML K-Means on the nine standardised features. The reference restarts
-K-Means 10 times and keeps the best; here each restart is a seeded fit and the
-lowest ``trainingCost`` wins. The model is k centres of nine numbers, so the
+K-Means 10 times and keeps the best; here each restart is a seeded fit (run
+concurrently) and the lowest ``trainingCost`` wins (ties: lowest seed). The model is k centres of nine numbers, so the
 distance-based confidence is computed with array expressions against the
 centres as literals (JVM-side, no UDF).
 """
@@ -36,31 +36,39 @@ class PatternModel:
     samples: int = 0
 
 
-def _stages(k: int, seed: int):
+def _prep_stages():
     return [VectorAssembler(inputCols=FEATURES, outputCol="_raw", handleInvalid="keep"),
-            StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-            KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster", maxIter=50)]
+            StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)]
 
 
 def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-                 min_samples: int = MIN_SAMPLES) -> PatternModel | None:
-    """M1: best of ``restarts`` seeded K-Means fits; None below ``min_samples``."""
+                 min_samples: int = MIN_SAMPLES, parallelism: int = 4) -> PatternModel | None:
+    """M1: best (lowest ``trainingCost``) of ``restarts`` seeded K-Means fits;
+    None below ``min_samples``. The scaler is fitted once; the independent
+    restarts run as concurrent Spark jobs over the cached scaled rows."""
+    from concurrent.futures import ThreadPoolExecutor
     data = features.select(*FEATURES).persist()
+    scaled = None
     try:
         n = data.count()
         if n < min_samples:
             return None
-        best = None
-        for i in range(restarts):
-            model = Pipeline(stages=_stages(k, seed + i)).fit(data)
-            cost = model.stages[-1].summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
-        model, cost = best
+        prep = Pipeline(stages=_prep_stages()).fit(data)
+        scaled = prep.transform(data).persist()
+
+        def fit(i):
+            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=20).fit(scaled)
+            return m.summary.trainingCost, i, m
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
+            cost, _, best = min(pool.map(fit, range(restarts)), key=lambda r: (r[0], r[1]))
+        model = PipelineModel(stages=list(prep.stages) + [best])
         labels = name_clusters(model.transform(data))
-        centers = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+        centers = [list(map(float, c)) for c in best.clusterCenters()]
         return PatternModel(model, labels, centers, float(cost), int(n))
     finally:
+        if scaled is not None:
+            scaled.unpersist()
         data.unpersist()
 
 
