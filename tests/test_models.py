@@ -60,3 +60,13 @@ def test_hybrid_defaults_without_models(spark):
     assert out.ai_traffic_state == "Gridlock" and out.ai_anomaly_detected and out.ai_model_version == "rules-v1"
     summ = H.prediction_summary(rules).collect()[0]
     assert summ.total_sensors == 31 and 0 <= summ.anomaly_rate <= 100 and summ.ml_available_count == 0
+
+
+def test_retrain_rule_minimums_and_cadence():
+    from streetpulse.ml.lifecycle import retrain_due
+    assert not retrain_due("patterns", 99, None).due
+    assert retrain_due("patterns", 100, None).due
+    assert not retrain_due("patterns", 140, 100).due and retrain_due("patterns", 150, 100).due
+    assert not retrain_due("states", 49, None).due and retrain_due("states", 50, None).due
+    assert retrain_due("states", 75, 50).due and not retrain_due("states", 74, 50).due
+    assert retrain_due("anomalies", 100, None).due and not retrain_due("anomalies", 60, None).due
