@@ -109,12 +109,21 @@ def _standardised(df: DataFrame, means, scales) -> list[Column]:
 
 
 def _score_udf(spark: SparkSession, model: IsolationModel):
-    arrays = spark.sparkContext.broadcast((model.feature, model.threshold, model.left, model.right,
-                                           model.size, model.psi, model.means, model.scales))
+    payload = (model.feature, model.threshold, model.left, model.right, model.size, model.psi,
+               model.means, model.scales)
+    try:
+        shared = spark.sparkContext.broadcast(payload)
+
+        def trees():
+            return shared.value
+    except Exception:  # noqa: BLE001 - Spark Connect: the bounded trees travel with the UDF
+
+        def trees():
+            return payload
 
     @F.pandas_udf("double")
     def score(vc: pd.Series, sp: pd.Series, wt: pd.Series) -> pd.Series:
-        feat, thr, left, right, size, psi, means, scales = arrays.value
+        feat, thr, left, right, size, psi, means, scales = trees()
         X = np.column_stack([vc.fillna(0.0).to_numpy(dtype="float64"), sp.fillna(0.0).to_numpy(dtype="float64"),
                              wt.fillna(0.0).to_numpy(dtype="float64")])
         X = (X - np.asarray(means)) / np.asarray(scales)

@@ -19,6 +19,7 @@ from ..operators import enrich as EN
 from ..operators import quality as QU
 from ..operators import windows as WI
 from ..sources import fixtures as FX
+from ..session import session_key
 from .oracle import _mean, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +43,7 @@ _FRAMES: dict = {}
 
 def shared(fn):
     def get(spark, d, *args):
-        key = (spark.sparkContext.applicationId, id(spark), d, fn.__name__, args)
+        key = (session_key(spark), d, fn.__name__, args)
         if key not in _FRAMES:
             _FRAMES[key] = fn(spark, d, *args)
         return _FRAMES[key]
@@ -1032,7 +1033,7 @@ _BUNDLES: dict = {}
 def trained_bundle(spark, d) -> MH.ModelBundle:
     """Models trained from the stored traffic history (M10: a scheduled fit,
     never inside scoring), kept per session and data folder."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (session_key(spark), d)
     if key not in _BUNDLES:
         _BUNDLES[key] = ML.train_all(history(spark, d, "traffic_loop"))
     return _BUNDLES[key]

@@ -51,7 +51,10 @@ def ship_package(spark: SparkSession) -> None:
     applyInPandas, streaming state functions) wherever the driver runs from:
     the package is zipped once per application and added with ``addPyFile``,
     which distributes it to every executor."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: use spark.addArtifacts instead
+        return
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
@@ -81,10 +84,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="streetpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect client
+        pass
     return path
 
 
+def session_key(spark: SparkSession):
+    """Identity of a session for per-session caches of lazy plans."""
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return ("connect", id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one job's output
     (stream checkpoints, materialised tables that cut lineage)."""
