@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetpulse.llm import adapt_join, blob_ledger, line_quality, warc
+from streetpulse.llm import adapt_join, blob_ledger, line_quality, qgram_decon, warc
 from streetpulse.llm.tables import table
 
 
@@ -24,7 +24,12 @@ def op9_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_line_frequency, op5_blob_ledger, op9_adaptive_prefix_join)}
+def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgram_decon.find_matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_line_frequency, op5_blob_ledger, op9_adaptive_prefix_join,
+                                      op10_qgram_decontamination)}
 
 LLM_ORACLE = {
     "op1_warc_segments": warc.WARC_SQL,
