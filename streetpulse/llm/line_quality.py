@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetpulse.llm.tables import SPACE_RUN, packed, words
+from streetpulse.llm.tables import SPACE_RUN, packed, stored, words
 
 HAS_WORD = "[^\\x20\\x09-\\x0D]"
 NOT_SYMBOLS = "[^#*$%&|<>]+"
@@ -36,11 +36,12 @@ def normalised(line: Column) -> Column:
 
 
 def line_hash(line: Column) -> Column:
-    return F.unhex(F.md5(normalised(line).cast("binary")))
+    return F.xxhash64(normalised(line))
 
 
 def text_hash(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text, F.octet_length(text))
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -91,18 +92,19 @@ def text_lines(docs: DataFrame) -> DataFrame:
         .groupBy("host", "text_hash", "line_hash").agg(F.sum("n").alias("words"), F.min("doc_id").alias("doc_id"))
 
 
-def removed_lines(docs: DataFrame, max_docs: int = MAX_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(text lines, marked): ``marked`` has the text lines with ``removed``."""
-    lines = text_lines(docs)
+def marked_lines(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """The distinct text lines with ``removed``."""
+    lines = stored(text_lines(docs), "text-lines")
     frequent = lines.groupBy("host", "line_hash").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "text_hash"))["text_hash"].alias("first_text")) \
         .where(F.col("n_docs") > max_docs)
-    a, b = lines.alias("a"), frequent.alias("b")
+    # A merge join at every size: the frequent lines grow with the corpus.
+    a, b = lines.alias("a"), frequent.hint("merge").alias("b")
     on = F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col("a.line_hash") == F.col("b.line_hash"))
     marked = a.join(b, on, "left").select(
         "a.host", "a.text_hash", "a.line_hash", "a.words",
         (F.col("b.first_text").isNotNull() & (F.col("b.first_text") != F.col("a.text_hash"))).alias("removed"))
-    return lines, marked
+    return marked
 
 
 def verdicts(marked: DataFrame, max_removed_percent: int = MAX_REMOVED_PERCENT, with_hashes: bool = False) -> DataFrame:
@@ -119,7 +121,7 @@ def line_frequency(docs: DataFrame, max_docs: int = MAX_DOCS,
                    max_removed_percent: int = MAX_REMOVED_PERCENT) -> DataFrame:
     """Measures and verdict of every row of ``docs`` (doc_id, text, source)."""
     base = base_measures(docs).alias("d")
-    _, marked = removed_lines(docs, max_docs)
+    marked = marked_lines(docs, max_docs)
     v = verdicts(marked, max_removed_percent).alias("v")
     on = F.col("d.host").eqNullSafe(F.col("v.host")) & (F.col("d.text_hash") == F.col("v.text_hash"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -141,7 +143,7 @@ def cleaned_documents(docs: DataFrame, max_docs: int = MAX_DOCS,
     base = base_measures(docs).select(
         "host", "text_hash", ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .alias("base_failed")).groupBy("host", "text_hash").agg(F.max("base_failed").alias("base_failed"))
-    _, marked = removed_lines(docs, max_docs)
+    marked = marked_lines(docs, max_docs)
     v = verdicts(marked, max_removed_percent, with_hashes=True).alias("v")
     b = base.alias("b")
     same = F.col("b.host").eqNullSafe(F.col("v.host")) & (F.col("b.text_hash") == F.col("v.text_hash"))
@@ -153,7 +155,7 @@ def cleaned_documents(docs: DataFrame, max_docs: int = MAX_DOCS,
         F.split(F.col("row.text"), "\n", -1),
         lambda x: ~(x.rlike(HAS_WORD) & F.array_contains(F.col("k.gone"), line_hash(x)))), "\n")) \
         .otherwise(F.col("row.text"))
-    out = r.join(k := keep, on).withColumn("cut", text)
+    out = r.join(keep, on).withColumn("cut", text)
     cols = [F.col("cut").alias(c) if c == "text" else
             F.char_length("cut").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
             F.col("row").getField(c).alias(c) for c in names]
