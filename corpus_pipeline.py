@@ -1,6 +1,60 @@
-STAGES = []
+"""Training-data pipeline over the documents table.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next stage's docs. All stages but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from streetpulse.llm import adapt_join, blob_ledger, line_quality, qgram_decon, soft_mix
+from streetpulse.llm.tables import stored, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; frequent lines are cut from the others."""
+    return line_quality.cleaned_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays."""
+    return adapt_join.one_of_each(spark, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item go."""
+    return qgram_decon.without_matches(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts."""
+    return blob_ledger.redacted_documents(spark, docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their sampling rate; those with rate 0 go."""
+    return soft_mix.mixed_documents(docs, table(spark, sf_dir, "labels"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mixing),
+]
+
+# The join, the alignment and the classifier have no SQL form; the stages are
+# tested against brute-force versions in tests/llm.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, f"pipeline-{i}")
+    return docs
