@@ -122,7 +122,7 @@ def scan_increment(spark: SparkSession, versions: DataFrame, ledger: Ledger, rul
         "v.blob", "v.text", "n.lacks")
     every = [r.pattern for r in rules]
     texts = texts.where(F.col("text").rlike("|".join(f"(?:{p})" for p in every)))
-    texts = texts.persist()
+    texts = texts.dropDuplicates(["blob"]).persist()  # repeated rows of the representative path
     for rule in rules:
         findings.append(matches(texts.where(F.array_contains("lacks", rule.name)), rule))
     found = findings[0]

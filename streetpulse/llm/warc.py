@@ -127,7 +127,7 @@ def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict, bytes]]:
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             name, _, value = line.decode("utf-8", "replace").partition(":")
             headers[name.strip().lower()] = value.strip()
-        yield headers, stream.read(int(headers.get("content-length", 0)))
+        yield headers, stream.read(max(0, _number(headers.get("content-length")) or 0))
 
 
 def decode_chunked(framed: bytes) -> bytes | None:
