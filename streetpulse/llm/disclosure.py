@@ -215,7 +215,7 @@ def sanitised(text: str | None, terms: list | None) -> str | None:
     if text is None:
         return None
     marks = [(s, e, f"[{k.upper()}]") for k, s, e, _ in base_spans(text)]
-    for x in terms or []:
+    for x in terms if terms is not None else []:
         word = text[x["start"]:x["end"]]
         kind = "[NUMBER]" if word.isdigit() else "[NAME]" if word[:1].isupper() else "[WORD]"
         marks.append((x["start"], x["end"], kind if x["act"] == "generalise" else ""))
