@@ -38,7 +38,7 @@ from streetpulse.llm.tables import stored
 DOMAINS = ("good", "good_toxic", "poor", "poor_toxic")
 # Share of the corpus tokens that each domain shall have after mixing.
 TARGETS = {"good": 0.85, "good_toxic": 0.0, "poor": 0.15, "poor_toxic": 0.0}
-SAMPLE = 10_000       # labelled rows to fit on, those with the smallest hash
+SAMPLE = 20_000       # labelled rows to fit on, those with the smallest hash
 WORDS = 256           # words used as features, those most telling by G-test
 STEPS = 60
 STORE_EVERY = 6
@@ -98,7 +98,7 @@ class Classifier:
         return tokens, np.stack([good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic], 1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 15) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 15) -> np.ndarray:
     """Newton's method with a ridge on all weights but a weak one on the constant."""
     penalty = np.full(x.shape[1], ridge)
     penalty[0] = 1e-2
