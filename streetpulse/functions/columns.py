@@ -1,11 +1,4 @@
-"""Column-expression building blocks (all JVM-side, whole-stage codegen).
-
-Means and sums of measures are computed over values fixed to 1e-4 units and
-summed as 64-bit integers: the result then does not depend on how rows are
-split over partitions or in which order they are added, so a job gives the
-same digits on 8 threads or 1000 executors (and as any SQL engine that sums
-the same integers).
-"""
+"""Column-expression building blocks (all JVM-side, whole-stage codegen)."""
 
 from __future__ import annotations
 
@@ -14,25 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 10000.0
-
-
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def fixed_units(col) -> Column:
-    """Value in 1e-4 units as a long (exact for data with <= 4 decimals)."""
-    return F.rint(_c(col) * SCALE).cast("long")
-
-
-def exact_sum(col) -> Column:
-    return F.sum(fixed_units(col)).cast("double") / SCALE
-
-
-def exact_mean(col) -> Column:
-    """Null-skipping mean, independent of summation order; null when no values."""
-    return F.try_divide(exact_sum(col), F.count(_c(col)))
+def mean(col) -> Column:
+    """Null-skipping mean in full precision; null when there are no values."""
+    return F.avg(_c(col))
 
 
 def minute_floor(ts) -> Column:
@@ -80,11 +61,9 @@ def banded(col, spec: Sequence[tuple[str, float | None]], null_label: str | None
 
 
 def decimal_text(col, digits: int) -> Column:
-    """Number as text with a fixed number of decimals, rounded half up on the
-    value fixed to 4 decimals (never prints a double directly)."""
-    d = _c(col).cast("decimal(18,4)")
-    return F.round(d, digits).cast(f"decimal(18,{digits})").cast("string") if digits > 0 \
-        else F.round(d, 0).cast("decimal(18,0)").cast("string")
+    """Number as text with a fixed number of decimals, rounded half up once
+    (never prints a double directly); null when it has over 26 integer digits."""
+    return F.round(_c(col).try_cast("decimal(38,12)"), digits).cast(f"decimal(38,{digits})").cast("string")
 
 
 def dash_or(col, digits: int) -> Column:

@@ -32,14 +32,15 @@ class ModelBundle:
     version: str = MODEL_VERSION
 
 
-def hybrid_score(inputs: DataFrame, bundle: ModelBundle | None = None, fallback: str = "rules") -> DataFrame:
+def hybrid_score(inputs: DataFrame, bundle: ModelBundle | None = None, fallback: str = "default",
+                 no_model: tuple = NO_MODEL_STATE) -> DataFrame:
     """M6: inputs (vehicle_count, avg_speed, wait_time_s, window_start) ->
     inputs + D7 columns + ``ml_available``.
 
-    State: the classifier when present; otherwise the P12 rules
-    (``fallback='rules'``) or the defaults 'Unknown', 0.0, Low, '5-15 minutes'
-    (``fallback='default'``). Anomaly: the isolation forest when present;
-    otherwise the P15 rules, or (False, 0.0)."""
+    State: the classifier when present; otherwise ``no_model``, by default
+    'Unknown', 0.0, Low, '5-15 minutes', or, where a service runs without a
+    fitted scaler (``fallback='rules'``), the P12 rules. Anomaly: the isolation
+    forest when present; otherwise (False, 0.0), or the P15 rules."""
     feats = with_features(inputs)
     has_states = bundle is not None and bundle.states is not None
     has_anom = bundle is not None and bundle.anomalies is not None
@@ -51,7 +52,7 @@ def hybrid_score(inputs: DataFrame, bundle: ModelBundle | None = None, fallback:
     elif fallback == "rules":
         s = feats.withColumn("_state", rule_classification(F.col("avg_speed"), F.col("wait_time_s")))
     else:
-        st, conf, sev, dur = NO_MODEL_STATE
+        st, conf, sev, dur = no_model
         s = feats.withColumn("_state", F.struct(F.lit(st).alias("traffic_state"), F.lit(conf).alias("confidence"),
                                                 F.lit(sev).alias("severity"), F.lit(dur).alias("predicted_duration")))
     if has_anom:
@@ -78,10 +79,14 @@ def hybrid_score(inputs: DataFrame, bundle: ModelBundle | None = None, fallback:
         F.lit(has_states or has_anom).alias("ml_available"))
 
 
-def score_latest(latest: DataFrame, bundle: ModelBundle | None = None, fallback: str = "rules") -> DataFrame:
+# What the overview shows for a sensor that could not be scored.
+UNAVAILABLE = ("Unknown", 0.0, "Low", "Unknown")
+
+
+def score_latest(latest: DataFrame, bundle: ModelBundle | None = None, fallback: str = "default") -> DataFrame:
     """M8: latest row of every traffic sensor (J1 output), nulls -> 0, scored."""
     t = latest.filter(F.col("sensor_type") == "traffic_loop")
-    return hybrid_score(traffic_inputs(t), bundle, fallback)
+    return hybrid_score(traffic_inputs(t), bundle, fallback, UNAVAILABLE)
 
 
 def prediction_summary(scored: DataFrame) -> DataFrame:
@@ -96,8 +101,7 @@ def prediction_summary(scored: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(avail * 100.0, n), F.lit(0.0)).alias("ml_availability_rate"),
         anom.alias("anomaly_count"),
         F.coalesce(F.try_divide(anom * 100.0, n), F.lit(0.0)).alias("anomaly_rate"),
-        F.round(F.coalesce(F.try_divide(F.sum(F.rint(pos * 1000).cast("long")).cast("double") / 1000.0,
-                                        F.count(pos)), F.lit(0.0)), 3).alias("avg_confidence"))
+        F.round(F.coalesce(F.avg(pos), F.lit(0.0)), 3).alias("avg_confidence"))
 
 
 def state_distribution(scored: DataFrame) -> DataFrame:

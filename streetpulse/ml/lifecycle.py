@@ -49,6 +49,22 @@ def retrain_due(model: str, samples: int, trained_at: int | None) -> RetrainDeci
     return RetrainDecision(model, samples, False, "up to date")
 
 
+def retrain_decisions(cases: DataFrame) -> DataFrame:
+    """M10 over rows (model, samples, trained_at): adds ``due`` and ``reason``
+    by the rule of ``retrain_due``."""
+    need, every = F.lit(None).cast("long"), F.lit(None).cast("long")
+    for model, (first, step, minimum) in RETRAIN_RULES.items():
+        is_model = F.col("model") == model
+        need = F.when(is_model, F.lit(max(first, minimum))).otherwise(need)
+        every = F.when(is_model, F.lit(step)).otherwise(every)
+    new = F.col("samples") - F.col("trained_at")
+    short, never = F.col("samples") < need, F.col("trained_at").isNull()
+    return cases.withColumn("due", ~short & (never | (new >= every))).withColumn(
+        "reason", F.when(short, F.concat(F.lit("needs "), need.cast("string"), F.lit(" samples")))
+        .when(never, "first fit").when(new >= every, F.concat(new.cast("string"), F.lit(" new samples")))
+        .otherwise("up to date"))
+
+
 def traffic_features(minutes: DataFrame) -> DataFrame:
     """Minute rows of traffic sensors -> inputs (P11) + features (P10)."""
     return with_features(traffic_inputs(minutes))
@@ -73,7 +89,8 @@ def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees
     """M9 (D6), one row per model type, dated by the newest event time:
     random forest: held-out accuracy, weighted precision and recall (80/20
     seeded split of the labelled samples); kmeans: silhouette; isolation
-    forest: share of training rows flagged (target: the contamination)."""
+    forest: share of training rows flagged (target: the contamination), each in
+    a column of its own."""
     spark = minutes.sparkSession
     feats = traffic_features(minutes)
     labelled = patterns.training_set(patterns.predict_patterns(bundle.patterns, feats))
@@ -81,31 +98,32 @@ def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees
     sm = forest.fit_states(train, num_trees=trees, seed=seed)
     if sm is None:
         return spark.createDataFrame([], "model_type string, date date, training_samples int, accuracy_score double, "
-                                         "precision_score double, recall_score double, model_version string, "
-                                         "last_updated timestamp_ntz")
+                                         "precision_score double, recall_score double, silhouette double, "
+                                         "flagged_share double, model_version string, last_updated timestamp_ntz")
     pred = sm.pipeline.transform(forest._prepare(test))
 
     def metric(name):
         return MulticlassClassificationEvaluator(labelCol="_label", predictionCol="_pred", metricName=name).evaluate(pred)
     acc, prec, rec = metric("accuracy"), metric("weightedPrecision"), metric("weightedRecall")
-    rows = [("random_forest", sm.samples, float(acc), float(prec), float(rec))]
+    rows = [("random_forest", sm.samples, float(acc), float(prec), float(rec), None, None)]
     if bundle.patterns is not None:
         # K-Means: silhouette of the clustering on its training rows
         from pyspark.ml.evaluation import ClusteringEvaluator
         assigned = bundle.patterns.pipeline.transform(feats)
         sil = ClusteringEvaluator(featuresCol="_scaled", predictionCol="cluster").evaluate(assigned)
-        rows.append(("kmeans", bundle.patterns.samples, float(sil), None, None))
+        rows.append(("kmeans", bundle.patterns.samples, None, None, None, float(sil), None))
     if bundle.anomalies is not None:
         # isolation forest: share of training rows flagged (target: contamination)
         flagged = isolation.score_isolation(bundle.anomalies, feats).agg(
             F.avg(F.col("is_anomaly").cast("double"))).first()[0]
-        rows.append(("isolation_forest", bundle.anomalies.samples, float(flagged), None, None))
+        rows.append(("isolation_forest", bundle.anomalies.samples, None, None, None, None, float(flagged)))
     stats = spark.createDataFrame(rows, "model_type string, training_samples long, accuracy_score double, "
-                                        "precision_score double, recall_score double")
+                                        "precision_score double, recall_score double, silhouette double, "
+                                        "flagged_share double")
     newest = minutes.agg(F.max("window_start")).scalar()
     return stats.select(
         "model_type", F.to_date(newest).alias("date"), F.col("training_samples").cast("int"),
-        "accuracy_score", "precision_score", "recall_score",
+        "accuracy_score", "precision_score", "recall_score", "silhouette", "flagged_share",
         F.lit(MODEL_VERSION).alias("model_version"), newest.alias("last_updated"))
 
 

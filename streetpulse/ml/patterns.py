@@ -57,7 +57,7 @@ def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         scaled = prep.transform(data).persist()
 
         def fit(i):
-            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=20).fit(scaled)
+            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=300).fit(scaled)
             return m.summary.trainingCost, i, m
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
@@ -106,7 +106,7 @@ def predict_patterns(model: PatternModel | None, features: DataFrame) -> DataFra
     out = model.pipeline.transform(features)
     x = vector_to_array("_scaled")
     dists = F.array(*[_distance(x, c) for c in model.centers])
-    conf = F.greatest(F.lit(CONFIDENCE_FLOOR), 1.0 - F.array_min(dists) / F.array_max(dists))
+    conf = F.greatest(F.lit(CONFIDENCE_FLOOR), F.coalesce(1.0 - F.try_divide(F.array_min(dists), F.array_max(dists)), F.lit(0.0)))
     names = F.create_map(*[F.lit(v) for kv in sorted(model.labels.items()) for v in kv])
     pattern = F.coalesce(names[F.col("cluster")], F.concat(F.lit("Pattern "), F.col("cluster").cast("string")))
     return (out.withColumn("pattern", pattern).withColumn("pattern_confidence", conf)

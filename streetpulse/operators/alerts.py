@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..functions.columns import decimal_text, fixed_units, number_text
+from ..functions.columns import decimal_text, number_text
 from .enrich import location_map, sensor_type, with_limits
 from .quality import completeness
 
@@ -60,7 +60,7 @@ def alert_id(sensor_id: Column, metric: Column, ts: Column, value: Column) -> Co
     """Deterministic id (R19): a hash of (sensor, metric, event time, value),
     laid out as a uuid; replaying a batch gives the same ids."""
     ts_text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    h = F.sha2(F.concat_ws("|", sensor_id, metric, ts_text, fixed_units(value).cast("string")), 256)
+    h = F.sha2(F.concat_ws("|", sensor_id, metric, ts_text, value.cast("string")), 256)
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 

@@ -16,8 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (band, banded, dash_or, decimal_text, exact_mean, exact_sum,
-                                 floor_minutes, time_floor, title_case)
+from ..functions.columns import (band, banded, dash_or, decimal_text, floor_minutes, mean,
+                                 time_floor, title_case)
 
 # ---------------------------------------------------------------------------
 # Fixed values of the reference dashboards (band edges, labels, standards).
@@ -70,7 +70,7 @@ def select_sensors(df: DataFrame, stype: str | None = None, sensor_id: str | Non
 def fleet_statistics(latest: DataFrame) -> DataFrame:
     """A3: per type, sensor count and null-skipping means (0 when none)."""
     def m(c):
-        return F.coalesce(exact_mean(c), F.lit(0.0))
+        return F.coalesce(mean(c), F.lit(0.0))
     return latest.groupBy("sensor_type").agg(
         F.count("*").alias("sensor_count"),
         m("vehicle_count_per_min").alias("vehicle_count_avg"), m("avg_speed_kmh").alias("speed_avg"),
@@ -80,14 +80,14 @@ def fleet_statistics(latest: DataFrame) -> DataFrame:
 
 def _zero_mean(c: str) -> Column:
     """Mean with nulls counted as 0 (UI rule); null on empty input."""
-    return F.try_divide(exact_sum(zero(c)), F.count("*"))
+    return F.avg(zero(c))
 
 
 # --------------------------------------------------------------------- A4-A6
 def traffic_kpis(latest: DataFrame) -> DataFrame:
     """A4 over the latest traffic rows: nulls count as 0 in means."""
     t = of_type(latest, "traffic_loop")
-    k = t.agg(exact_sum(zero("vehicle_count_per_min")).alias("total"),
+    k = t.agg(F.sum(zero("vehicle_count_per_min")).alias("total"),
               _zero_mean("avg_speed_kmh").alias("avg_speed"),
               _zero_mean("avg_wait_time_s").alias("avg_wait"),
               F.max(zero("vehicle_count_per_min")).alias("peak"),
@@ -226,7 +226,7 @@ def vehicle_rollup(history: DataFrame, granularity: str = "1hour", period: str =
     h = history.filter(F.col("vehicle_count_per_min").isNotNull())
     b = bucket_start("window_start", granularity)
     return (h.groupBy(b.alias("bucket_start"))
-            .agg(exact_mean("vehicle_count_per_min").alias("avg_vehicles"), F.count("*").alias("n"))
+            .agg(mean("vehicle_count_per_min").alias("avg_vehicles"), F.count("*").alias("n"))
             .withColumn("label", bucket_label(F.col("bucket_start"), granularity, period)))
 
 
@@ -234,7 +234,7 @@ def hour_profile(history: DataFrame, measure: str) -> DataFrame:
     """Mean of ``measure`` by hour of day (rows with a value)."""
     h = history.filter(F.col(measure).isNotNull())
     hr = F.hour("window_start")
-    return (h.groupBy(hr.alias("hour")).agg(exact_mean(measure).alias("avg_value"), F.count("*").alias("n"))
+    return (h.groupBy(hr.alias("hour")).agg(mean(measure).alias("avg_value"), F.count("*").alias("n"))
             .withColumn("label", F.format_string("%02d:00", F.col("hour"))))
 
 
@@ -309,9 +309,10 @@ def page_count(df: DataFrame, per_page: int = 30) -> DataFrame:
             .withColumn("per_page", F.lit(per_page)))
 
 
-def top_k(df: DataFrame, measure: str, k: int = 10, tie: Sequence[str] = ("sensor_id", "window_start")) -> DataFrame:
-    """L4: ``k`` rows with the largest ``measure`` (TakeOrderedAndProject)."""
-    return df.filter(F.col(measure).isNotNull()).orderBy(F.col(measure).desc(), *tie).limit(k)
+def top_k(latest: DataFrame, measure: str, k: int = 10, tie: Sequence[str] = ("sensor_id",)) -> DataFrame:
+    """L4: ``k`` sensors with the largest latest ``measure``, null as 0
+    (TakeOrderedAndProject)."""
+    return latest.orderBy(zero(measure).desc(), *tie).limit(k)
 
 
 # ------------------------------------------------------------------- P17

@@ -42,10 +42,11 @@ FEATURES = ["vehicle_count", "avg_speed", "wait_time_s", "speed_variance", "cong
 INPUTS = ["vehicle_count", "avg_speed", "wait_time_s"]
 
 
-def traffic_inputs(minutes: DataFrame) -> DataFrame:
-    """Minute rows (D3) -> scoring inputs, null measures -> 0."""
+def traffic_inputs(minutes: DataFrame, carried=()) -> DataFrame:
+    """Minute rows (D3) -> scoring inputs, null measures -> 0 (P11); ``carried``
+    columns come along as they are."""
     return minutes.select(
-        "sensor_id", "window_start",
+        "sensor_id", "window_start", *carried,
         F.coalesce(F.col("vehicle_count_per_min"), F.lit(0.0)).alias("vehicle_count"),
         F.coalesce(F.col("avg_speed_kmh"), F.lit(0.0)).alias("avg_speed"),
         F.coalesce(F.col("avg_wait_time_s"), F.lit(0.0)).alias("wait_time_s"))
@@ -123,15 +124,15 @@ def fallback_scoring(vc: Column, wait: Column) -> Column:
 def scored_minutes(minutes: DataFrame) -> DataFrame:
     """Minute rows with the flattened scoring struct (D3 names), status 'OK',
     ai_features map."""
-    inp = traffic_inputs(minutes)
-    feats = with_features(inp)
+    carried = [c for c in ("pm25", "noise_db", "temp_c") if c in minutes.columns]
+    feats = with_features(traffic_inputs(minutes, carried))
     fmap = F.create_map(*[x for f in FEATURES for x in (F.lit(f), F.col(f).cast("double"))])
     return (feats.withColumn("api_results", fallback_scoring(F.col("vehicle_count"), F.col("wait_time_s")))
             .select("sensor_id", "window_start",
                     F.col("vehicle_count").alias("vehicle_count_per_min"),
                     F.col("avg_speed").alias("avg_speed_kmh"),
                     F.col("wait_time_s").alias("avg_wait_time_s"),
-                    F.lit("OK").alias("status"), "api_results.*", fmap.alias("ai_features")))
+                    *carried, F.lit("OK").alias("status"), "api_results.*", fmap.alias("ai_features")))
 
 
 def rule_anomaly(vc: Column, speed: Column, wait: Column) -> Column:

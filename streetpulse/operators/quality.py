@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions.columns import number_text
 
+# The keys a reading must have.
 REQUIRED_KEYS = ("sensor_id", "ts", "metric", "value")
+LARGEST_VALUE = 1e12  # no measure of any metric is larger; beyond it, or not finite, a reading is quarantined
+
+
+def finite(value: Column) -> Column:
+    """True for a usable number, false for null, NaN, infinite or absurd ones."""
+    return F.coalesce(~F.isnan(value) & (F.abs(value) <= LARGEST_VALUE), F.lit(False))
 
 
 def completeness(df: DataFrame, strict_text: bool = False) -> Column:
@@ -18,11 +25,10 @@ def completeness(df: DataFrame, strict_text: bool = False) -> Column:
     if strict_text:
         return (F.coalesce(F.col("sensor_id") != "", F.lit(False))
                 & F.coalesce(F.col("metric") != "", F.lit(False))
-                & F.col("value").isNotNull())
-    cond = None
-    for k in REQUIRED_KEYS:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
+                & finite(F.col("value")))
+    cond = finite(F.col("value"))
+    for k in REQUIRED_KEYS[:-1]:
+        cond = cond & F.col(k).isNotNull()
     return cond
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..functions.columns import exact_mean, fixed_units, minute_floor, time_floor
+from ..functions.columns import mean, minute_floor, time_floor
 from ..sources.fixtures import sensor_type_from_id
 
 HOT_KEY_ROWS = 1_000_000  # a key above this many rows is split into time buckets
@@ -29,7 +29,7 @@ HOT_KEY_ROWS = 1_000_000  # a key above this many rows is split into time bucket
 def minute_means(valid: DataFrame) -> DataFrame:
     """A1 (long form): mean, count per (sensor_id, window_start, metric)."""
     return (valid.groupBy("sensor_id", minute_floor("ts").alias("window_start"), "metric")
-            .agg(exact_mean("value").alias("mean_value"), F.count("*").alias("n")))
+            .agg(mean("value").alias("mean_value"), F.count("*").alias("n")))
 
 
 def _reading_type(metric: str) -> Column:
@@ -62,7 +62,7 @@ def aggregates_minute(valid: DataFrame, limits=None, event_time_window: bool = F
     limits = list(limits if limits is not None else schema.ALERT_LIMITS)
     wide_metrics = [m for m, _ in schema.WIDE_COLUMNS]
     extra = sorted({m for _, m, *_ in limits} - set(wide_metrics))
-    aggs = [exact_mean(F.when(F.col("metric") == m, F.col("value"))).alias(m)
+    aggs = [mean(F.when(F.col("metric") == m, F.col("value"))).alias(m)
             for m in wide_metrics + extra]
     if event_time_window:
         g = (valid.groupBy("sensor_id", F.window("ts", "1 minute").alias("_w")).agg(*aggs)
@@ -96,13 +96,6 @@ def latest_per_sensor(agg: DataFrame, ts_col: str = "window_start") -> DataFrame
     return agg.groupBy("sensor_id").agg(s.alias("_r")).select("sensor_id", "_r.*")
 
 
-def latest_reading_per_metric(readings: DataFrame) -> DataFrame:
-    """Q1 on raw readings: newest value per (sensor_id, metric), ties broken by event_id."""
-    s = F.max_by(F.struct("ts", "event_id", "value"), F.struct("ts", "event_id"))
-    return (readings.groupBy("sensor_id", "metric").agg(s.alias("_r"))
-            .select("sensor_id", "metric", "_r.ts", "_r.event_id", "_r.value"))
-
-
 # --------------------------------------------------------------------------- Q2
 GROUP_LIMIT_MAX = 1000  # Spark plans a map-side group limit up to this n
 
@@ -133,17 +126,22 @@ def newest_n(df: DataFrame, n: int, key: str = "sensor_id", order=("window_start
             .filter(F.col("rn") <= n).drop("_b", "_before"))
 
 
-# Row budgets by period (api: rows, not time). Fixed values of the reference;
-# 'hour'/'week' are accepted synonyms.
-PERIOD_ROWS = {"1hour": 60, "2days": 2880, "1week": 10080}
-PERIOD_SYNONYMS = {"hour": "1hour", "week": "1week"}
-ROW_CAP = 10000
-TRAFFIC_PERIOD_DEFAULT = 60
+# Row budgets by sensor type and period (rows, not time).
+PERIOD_ROWS = {
+    "traffic_loop": {"hour": 60, "day": 1440, "2days": 2880, "week": 10080},
+    "air_quality": {"hour": 60, "day": 1440, "week": 10080},
+    "noise": {"hour": 60, "day": 1440, "week": 10080},
+}
+PERIOD_SYNONYMS = {"1hour": "hour", "1day": "day", "1week": "week"}  # R7
 
 
-def period_budget(period: str) -> int:
-    p = PERIOD_SYNONYMS.get(period, period)
-    return min(PERIOD_ROWS.get(p, TRAFFIC_PERIOD_DEFAULT), ROW_CAP)
+def period_budget(period: str, stype: str = "traffic_loop", cap: int | None = None) -> int:
+    """Q2 rows of a period for a sensor type. ``cap``: an upper bound such as
+    the traffic history's 10,000 rows, if the caller wants one."""
+    rows = PERIOD_ROWS[stype].get(PERIOD_SYNONYMS.get(period, period))
+    if rows is None:
+        raise ValueError(f"unknown period {period!r} for {stype}")
+    return min(rows, cap) if cap else rows
 
 
 # --------------------------------------------------------------------- Q3 / A2
@@ -159,7 +157,7 @@ def last_readings_stats(valid: DataFrame, n: int = 20) -> DataFrame:
     with the buffer size and its time range."""
     last = last_readings(valid, n)
     per_metric = last.groupBy("sensor_id", "metric").agg(
-        exact_mean("value").alias("avg_value"), F.min("value").alias("min_value"),
+        mean("value").alias("avg_value"), F.min("value").alias("min_value"),
         F.max("value").alias("max_value"), F.count("*").alias("count"),
         F.min("ts").alias("_first"), F.max("ts").alias("_last"))
     w = Window.partitionBy("sensor_id")
@@ -186,9 +184,8 @@ def running_buffer_stats(valid: DataFrame, n: int = 20, bucket_unit: str = "hour
     cols = [F.count("*").over(w).alias("buffer_size")]
     for m, _ in schema.WIDE_COLUMNS:
         hit = F.col("metric") == m
-        cnt = F.count(F.when(hit, F.col("value"))).over(w)
-        tot = F.sum(F.when(hit, fixed_units("value"))).over(w).cast("double") / 10000.0
-        cols += [F.try_divide(tot, cnt).alias(f"{m}_avg"), cnt.alias(f"{m}_count")]
+        held = F.when(hit, F.col("value"))
+        cols += [F.avg(held).over(w).alias(f"{m}_avg"), F.count(held).over(w).alias(f"{m}_count")]
     return (parts.select("event_id", "sensor_id", "ts", "metric", "value", "_halo", *cols)
             .filter(~F.col("_halo")).drop("_halo"))
 
@@ -208,8 +205,8 @@ def halo_partitioned(df: DataFrame, keys: list[str], order: list[str], bucket: C
     whole history for the non-halo rows."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    # at most (total rows / hot_rows) hot keys: a proven bound, so broadcast
-    tagged = (df.join(F.broadcast(hot), keys, "left")
+    # The hot keys grow with the data: the join is left to the measured sizes.
+    tagged = (df.join(hot, keys, "left")
               .withColumn("_bucket", F.when(F.col("_hot"), bucket))
               .drop("_hot"))
     split = tagged.filter(F.col("_bucket").isNotNull())
@@ -237,29 +234,31 @@ def spikes(valid: DataFrame, bucket_unit: str = "hour", hot_rows: int = HOT_KEY_
     keys, order = ["sensor_id", "metric"], ["ts", "event_id"]
     base = valid.select("event_id", "sensor_id", "metric", "ts", "value")
     parts = halo_partitioned(base, keys, order, time_floor("ts", bucket_unit), 2, hot_rows)
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(-2, 0)
-    units = fixed_units("value")
+    w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     return (parts
-            .withColumn("recent_n", F.count("value").over(w))
-            .withColumn("recent_avg", F.sum(units).over(w).cast("double") / 10000.0 / 3.0)
-            .filter(~F.col("_halo") & (F.col("recent_n") == 3)
-                    & (F.col("value") > F.col("recent_avg") * 2))
+            .withColumn("recent_avg", (F.lag("value", 2).over(w) + F.lag("value", 1).over(w) + F.col("value")) / 3.0)
+            .filter(~F.col("_halo") & (F.col("value") > F.col("recent_avg") * 2))
             .select("event_id", "sensor_id", "metric", "ts", "value", "recent_avg"))
 
 
 # --------------------------------------------------------------------------- T3
 def sliding_windows(valid: DataFrame, size: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
     """T3 batch form: sliding-window avg/min/max/count per sensor and metric."""
-    w = F.window("ts", size, slide)
-    return (valid.groupBy("sensor_id", "metric", w.alias("w"))
-            .agg(exact_mean("value").alias("avg_value"), F.min("value").alias("min_value"),
-                 F.max("value").alias("max_value"), F.count("*").alias("count"))
+    # Partial sums per slide first: the tenfold expansion then only meets those.
+    part = valid.groupBy("sensor_id", "metric", F.window("ts", slide).alias("p")).agg(
+        F.sum("value").alias("s"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
+    part = part.select("sensor_id", "metric", F.col("p.start").alias("at"), "s", "lo", "hi", "n")
+    return (part.groupBy("sensor_id", "metric", F.window("at", size, slide).alias("w"))
+            .agg((F.sum("s") / F.sum("n")).alias("avg_value"), F.min("lo").alias("min_value"),
+                 F.max("hi").alias("max_value"), F.sum("n").alias("count"))
             .select("sensor_id", "metric", F.col("w.start").alias("window_start"),
                     F.col("w.end").alias("window_end"), "avg_value", "min_value", "max_value", "count"))
 
 
 # --------------------------------------------------------------------------- T5
-def retained(agg: DataFrame, hours: int = 24, ts_col: str = "window_start") -> DataFrame:
-    """T5 batch form: rows within ``hours`` of the newest event time."""
-    newest = agg.agg(F.max(ts_col)).scalar()  # scalar subquery, no join
-    return agg.filter(F.col(ts_col) >= F.timestamp_add("HOUR", F.lit(-hours), newest))
+def retained(readings: DataFrame, hours: int = 24, limits=None) -> DataFrame:
+    """T5 batch form: minute rows within ``hours`` of the newest minute. The
+    cut-off comes from the narrow time column, and only readings after it are
+    aggregated."""
+    newest = minute_floor(readings.agg(F.max("ts")).scalar())  # scalar subquery, no join
+    return aggregates_minute(readings.filter(F.col("ts") >= F.timestamp_add("HOUR", F.lit(-hours), newest)), limits)

@@ -96,10 +96,13 @@ def alerts(spark, d):
 AGG_TEXT_SQL = "array_to_string(breaches, ',') AS breaches"
 
 # ======================================================================== 2.1
-@register("S2", """
-SELECT count(*) FILTER (WHERE sensor_id IS NOT NULL AND ts IS NOT NULL AND metric IS NOT NULL AND value IS NOT NULL) AS complete_rows,
-       count(*) FILTER (WHERE NOT (sensor_id IS NOT NULL AND ts IS NOT NULL AND metric IS NOT NULL AND value IS NOT NULL)) AS quarantined_rows,
-       count(*) FILTER (WHERE coalesce(sensor_id <> '', false) AND coalesce(metric <> '', false) AND value IS NOT NULL) AS alert_complete_rows
+_FINITE = "coalesce(abs(value) <= 1e12, false)"
+_KEYS = f"(sensor_id IS NOT NULL AND ts IS NOT NULL AND metric IS NOT NULL AND {_FINITE})"
+
+
+@register("S2", f"""
+SELECT count(*) FILTER (WHERE {_KEYS}) AS complete_rows, count(*) FILTER (WHERE NOT {_KEYS}) AS quarantined_rows,
+       count(*) FILTER (WHERE coalesce(sensor_id <> '', false) AND coalesce(metric <> '', false) AND {_FINITE}) AS alert_complete_rows
 FROM readings""")
 def q_s2(spark, d):
     r = readings(spark, d)
@@ -179,14 +182,16 @@ def q_s1(spark, d):
 
 
 @register("S3", """
-SELECT event_id, ts, true AS parsed_ok FROM readings""")
+SELECT event_id, CASE WHEN event_id % 10 <> 7 THEN ts END AS ts, ts IS NOT NULL AND event_id % 10 <> 7 AS parsed_ok
+FROM readings""")
 def q_s3(spark, d):
-    """S3: ISO-8601 text with 'Z' and '+00:00' parsed to the same UTC instant."""
+    """S3: ISO-8601 text with 'Z' and '+00:00' parsed to the same UTC instant;
+    every tenth text is no time."""
     r = readings(spark, d)
-    z = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    z = F.when(F.col("event_id") % 10 == 7, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     off = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS+00:00")
     a, b = QU.parse_iso_ts(z), QU.parse_iso_ts(off)
-    return r.select("event_id", a.alias("ts"), (a == b).alias("parsed_ok"))
+    return r.select("event_id", a.alias("ts"), F.coalesce(a == b, F.lit(False)).alias("parsed_ok"))
 
 
 @register("S6", "SELECT * FROM meta_d WHERE type = 'air_quality'")
@@ -202,7 +207,7 @@ def resolved_alerts(spark, d):
     return AL.resolve(a, ids)
 
 
-RESOLVED_SQL = """(SELECT * REPLACE (timestamp < (SELECT max(timestamp) FROM alerts) - INTERVAL 7 DAY AS resolved) FROM alerts)"""
+RESOLVED_SQL = """(SELECT * REPLACE (coalesce(timestamp < (SELECT max(timestamp) FROM alerts) - INTERVAL 7 DAY, false) AS resolved) FROM alerts)"""
 
 
 @register("S8", f"SELECT alert_id, resolved FROM {RESOLVED_SQL}")
@@ -248,12 +253,13 @@ SELECT r.event_id, r.sensor_type, r.metric, r.value,
 FROM (SELECT *, coalesce(CASE WHEN starts_with(sensor_id, 'Loop-') THEN 'traffic_loop' WHEN starts_with(sensor_id, 'Air-') THEN 'air_quality'
                 WHEN starts_with(sensor_id, 'Noise-') THEN 'noise' END,
            CASE WHEN metric IN ('pm25','co','temp_c') THEN 'air_quality' WHEN metric = 'noise_db' THEN 'noise' ELSE 'traffic_loop' END) AS sensor_type
-      FROM readings) r
+      FROM readings WHERE coalesce(abs(value) <= 1e12, false)) r
 LEFT JOIN limits l ON r.sensor_type = l.sensor_type AND r.metric = l.metric,
 LATERAL (SELECT CASE WHEN l.direction = 'low' THEN r.value <= l.critical ELSE r.value >= l.critical END AS crit,
                 CASE WHEN l.direction = 'low' THEN r.value <= l.warning ELSE r.value >= l.warning END AS warn)""")
 def q_p5(spark, d):
-    r = readings(spark, d).withColumn("sensor_type", EN.sensor_type("sensor_id", "metric"))
+    r = readings(spark, d).filter(QU.finite(F.col("value"))).withColumn(
+        "sensor_type", EN.sensor_type("sensor_id", "metric"))
     j = EN.with_limits(r, schema.alert_limits(spark))
     sev, thr = AL.severity_and_threshold(F.col("value"))
     return j.select("event_id", "sensor_type", "metric", "value", sev.alias("severity"), thr.alias("threshold_value"))
@@ -354,12 +360,39 @@ def q_q2(spark, d):
 @register("Q2_period", f"""
 SELECT sensor_id, window_start, vehicle_count_per_min, avg_speed_kmh, avg_wait_time_s, rn FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn
-  FROM {HIST_SQL['traffic_loop']}) WHERE rn <= 10000""")
+  FROM {HIST_SQL['traffic_loop']}) WHERE rn <= 10080""")
 def q_q2_period(spark, d):
     """E2 history: traffic sensors (J4), newest rows within the '1week' budget."""
-    h = EN.history_of_type(agg(spark, d), meta(spark, d), "traffic_loop")
-    return WI.newest_n(h, WI.period_budget("1week")).select(
-        "sensor_id", "window_start", "vehicle_count_per_min", "avg_speed_kmh", "avg_wait_time_s", "rn")
+    return _period(spark, d, "traffic_loop", "1week", ["vehicle_count_per_min", "avg_speed_kmh", "avg_wait_time_s"])
+
+
+def _period(spark, d, stype, period, measures):
+    h = EN.history_of_type(agg(spark, d), meta(spark, d), stype)
+    return WI.newest_n(h, WI.period_budget(period, stype)).select("sensor_id", "window_start", *measures, "rn")
+
+
+def _period_sql(stype: str, measures: str, rows: int) -> str:
+    return f"""
+SELECT sensor_id, window_start, {measures}, rn FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn
+  FROM {HIST_SQL[stype]}) WHERE rn <= {rows}"""
+
+
+@register("Q2_day", _period_sql("traffic_loop", "vehicle_count_per_min, avg_speed_kmh, avg_wait_time_s", 1440))
+def q_q2_day(spark, d):
+    return _period(spark, d, "traffic_loop", "day", ["vehicle_count_per_min", "avg_speed_kmh", "avg_wait_time_s"])
+
+
+@register("Q2_air", _period_sql("air_quality", "pm25, temp_c", 1440))
+def q_q2_air(spark, d):
+    """Air-quality history within the 'day' budget."""
+    return _period(spark, d, "air_quality", "day", ["pm25", "temp_c"])
+
+
+@register("Q2_noise", _period_sql("noise", "noise_db", 10080))
+def q_q2_noise(spark, d):
+    """Noise history within the 'week' budget."""
+    return _period(spark, d, "noise", "week", ["noise_db"])
 
 
 @register("Q3", """
@@ -373,8 +406,8 @@ def _running_cols() -> str:
     out = []
     for m in ["vehicle_count", "avg_speed", "wait_time_s", "pm25", "noise_db", "temp_c"]:
         c = f"count(CASE WHEN metric = '{m}' THEN value END) OVER w"
-        s = f"CAST(sum(CASE WHEN metric = '{m}' THEN CAST(round_even(value * 10000, 0) AS BIGINT) END) OVER w AS DOUBLE) / 10000.0"
-        out.append(f"{s} / {c} AS {m}_avg, {c} AS {m}_count")
+        a = f"avg(CASE WHEN metric = '{m}' THEN value END) OVER w"
+        out.append(f"{a} AS {m}_avg, {c} AS {m}_count")
     return ",\n  ".join(out)
 
 
@@ -390,11 +423,9 @@ def q_q3_running(spark, d):
 
 SPIKES_SQL = """
 SELECT event_id, sensor_id, metric, ts, value, recent_avg FROM (
-  SELECT *, count(value) OVER w AS recent_n,
-    CAST(sum(CAST(round_even(value * 10000, 0) AS BIGINT)) OVER w AS DOUBLE) / 10000.0 / 3.0 AS recent_avg
-  FROM valid
-  WINDOW w AS (PARTITION BY sensor_id, metric ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
-WHERE recent_n = 3 AND value > recent_avg * 2"""
+  SELECT *, (lag(value, 2) OVER w + lag(value, 1) OVER w + value) / 3 AS recent_avg
+  FROM valid WINDOW w AS (PARTITION BY sensor_id, metric ORDER BY ts, event_id))
+WHERE value > recent_avg * 2"""
 
 
 @register("Q4", SPIKES_SQL)
@@ -423,7 +454,7 @@ def q_t3(spark, d):
 SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg
 WHERE window_start >= (SELECT max(window_start) FROM agg) - INTERVAL 24 HOUR""")
 def q_t5(spark, d):
-    return agg_text(WI.retained(agg(spark, d), 24))
+    return agg_text(WI.retained(valid(spark, d), 24))
 
 
 @register("B1", f"SELECT sensor_id, window_start, status, {AGG_TEXT_SQL} FROM agg")
@@ -474,11 +505,11 @@ def _band_sql(x: str, spec) -> str:
 
 
 def _dec(x: str, digits: int) -> str:
-    return f"CAST(CAST(round(CAST({x} AS DECIMAL(18,4)), {digits}) AS DECIMAL(18,{digits})) AS VARCHAR)"
+    return f"CAST(CAST(round(CAST({x} AS DECIMAL(38,12)), {digits}) AS DECIMAL(38,{digits})) AS VARCHAR)"
 
 
 def _zsum(c: str) -> str:
-    return f"(CAST(sum(CAST(round_even(coalesce({c}, 0) * 10000, 0) AS BIGINT)) AS DOUBLE) / 10000.0)"
+    return f"sum(coalesce({c}, 0))"
 
 
 def _hist_sql(src: str, band_expr: str, labels) -> str:
@@ -682,13 +713,10 @@ def q_q5(spark, d):
 
 
 @register("L1", f"""
-SELECT * EXCLUDE (breaches, rn), {AGG_TEXT_SQL} FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY window_start DESC) AS INTEGER) AS rn FROM agg)
-WHERE rn <= 100 ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 30""")
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 30""")
 def q_l1(spark, d):
-    """L1: page 2 (30 per page) of the newest-first table, <= 100 rows per sensor."""
-    rows = WI.newest_n(agg(spark, d), 100).drop("rn")
-    return agg_text(DB.page(rows, [F.col("window_start").desc(), F.col("sensor_id")], page_no=2, per_page=30))
+    """L1: page 2 (30 per page) of the newest-first table of all rows."""
+    return agg_text(DB.page(agg(spark, d), [F.col("window_start").desc(), F.col("sensor_id")], page_no=2, per_page=30))
 
 
 @register("L2", "SELECT * FROM meta_d ORDER BY sensor_id LIMIT 30 OFFSET 30")
@@ -702,10 +730,11 @@ def q_l3(spark, d):
 
 
 @register("L4", f"""
-SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg WHERE vehicle_count_per_min IS NOT NULL
-ORDER BY vehicle_count_per_min DESC, sensor_id, window_start LIMIT 10""")
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM {LATEST_T}
+ORDER BY coalesce(vehicle_count_per_min, 0) DESC, sensor_id LIMIT 10""")
 def q_l4(spark, d):
-    return agg_text(DB.top_k(agg(spark, d), "vehicle_count_per_min", 10))
+    """L4: the ten traffic sensors with the largest latest vehicle count."""
+    return agg_text(DB.top_k(DB.of_type(latest_meta(spark, d), "traffic_loop"), "vehicle_count_per_min", 10))
 
 
 @register("P17", f"""
@@ -804,9 +833,9 @@ def q_p13(spark, d):
 
 @register("P14", f"""
 SELECT sensor_id, window_start, vehicle_count AS vehicle_count_per_min, avg_speed AS avg_speed_kmh,
-  wait_time_s AS avg_wait_time_s, 'OK' AS status, {P13_COLS},
+  wait_time_s AS avg_wait_time_s, pm25, noise_db, temp_c, 'OK' AS status, {P13_COLS},
   wait_time_s * vehicle_count / greatest(avg_speed, {ONE}) AS ai_congestion_index
-FROM {TRAFFIC_INPUTS_SQL}""")
+FROM {TRAFFIC_INPUTS_SQL} JOIN (SELECT sensor_id, window_start, pm25, noise_db, temp_c FROM agg) USING (sensor_id, window_start)""")
 def q_p14(spark, d):
     s = FE.scored_minutes(history(spark, d, "traffic_loop"))
     return s.withColumn("ai_congestion_index", F.col("ai_features")["congestion_index"]).drop("ai_features")
@@ -902,7 +931,7 @@ def _run_minutes(spark, d, mode):
 
 @register("T1", f"""
 SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg
-WHERE window_start + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM readings)""")
+WHERE window_start + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM valid)""")
 def q_t1(spark, d):
     """Streaming tumbling minutes, append mode, 1-minute grace; every window
     the watermark has closed, read back through the upsert view (S4)."""
@@ -950,9 +979,9 @@ FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min
       FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rn FROM valid)
       WHERE rn <= 20 GROUP BY sensor_id, metric)""")
 def q_t4(spark, d):
-    """T4: per-sensor 20-reading state; the newest statistics per sensor and metric."""
+    """T4: per-sensor 20-reading state; the statistics of each sensor's newest batch."""
     v = _run_buffers(spark, d).filter("kind = 'stats'")
-    newest = SK.newest_versions(v, ("sensor_id", "metric"))
+    newest = SK.newest_rows(v)
     return newest.select("sensor_id", "metric", "avg_value", "min_value", "max_value", "count", "window_size",
                          F.col("range_start").cast("timestamp_ntz").alias("range_start"),
                          F.col("range_end").cast("timestamp_ntz").alias("range_end"))
@@ -978,7 +1007,7 @@ def _run_alerts(spark, d):
 def q_t7_stream(spark, d):
     """Streaming alerts written by the S5 sink, read back from the table."""
     base = _run_alerts(spark, d)
-    a = SK.read_versions(spark, base + "/alerts").drop("batch_id")
+    a = SK.read_versions(spark, base + "/alerts").drop(*SK.VERSION)
     return a.select(*[c for c in a.columns if c != "location"], F.col("location")["road"].alias("road"))
 
 
@@ -1008,7 +1037,7 @@ SELECT * FROM (
     {_mean('value')} AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*) AS count
   FROM (SELECT v.*, date_trunc('minute', ts) - to_minutes(k) AS window_start FROM valid v, range(0, 10) r(k))
   GROUP BY sensor_id, metric, window_start)
-WHERE window_end + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM readings)""")
+WHERE window_end + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM valid)""")
 def q_t3_stream(spark, d):
     """T3 stream form: sliding windows emitted once the watermark closes them."""
     base = scratch_path(spark, "sliding")
@@ -1109,30 +1138,42 @@ def q_m8(spark, d):
     return MH.score_latest(latest_meta(spark, d), trained_bundle(spark, d))
 
 
-def _rules_latest(spark, d):
-    return MH.score_latest(latest_meta(spark, d), None, fallback="rules")
+@register("M8_unavailable", f"""
+SELECT sensor_id, window_start, coalesce(vehicle_count_per_min, 0) AS vehicle_count, coalesce(avg_speed_kmh, 0) AS avg_speed,
+  coalesce(avg_wait_time_s, 0) AS wait_time_s, 'Unknown' AS ai_traffic_state, CAST(0 AS DOUBLE) AS ai_confidence,
+  'Low' AS ai_severity, 'Unknown' AS ai_predicted_duration, false AS ai_anomaly_detected,
+  CAST(0 AS DOUBLE) AS ai_anomaly_score, 'fallback-v1.0' AS ai_model_version, false AS ml_available
+FROM {LATEST_T}""")
+def q_m8_unavailable(spark, d):
+    """M8 without models: every sensor Unknown, not available."""
+    return MH.score_latest(latest_meta(spark, d), None)
 
 
-A18_SCORED = f"""(SELECT *, {_rule_state_sql('avg_speed', 'wait_time_s')} AS st, {_reasons_sql()} AS r
-  FROM (SELECT coalesce(vehicle_count_per_min, 0) AS vehicle_count, coalesce(avg_speed_kmh, 0) AS avg_speed,
-          coalesce(avg_wait_time_s, 0) AS wait_time_s FROM {LATEST_T}))"""
+@register("M6_rules", f"""
+SELECT sensor_id, window_start, vehicle_count, avg_speed, wait_time_s, st AS ai_traffic_state,
+  CAST(CASE st WHEN 'Free Flow' THEN 0.7 WHEN 'Light Traffic' THEN 0.6 WHEN 'Heavy Congestion' THEN 0.5 ELSE 0.4 END AS DOUBLE) AS ai_confidence,
+  {_lookup_sql('st', FE.STATE_SEVERITY, FE.DEFAULT_SEVERITY)} AS ai_severity,
+  {_lookup_sql('st', FE.STATE_DURATION, FE.DEFAULT_DURATION)} AS ai_predicted_duration,
+  len(r) > 0 AS ai_anomaly_detected, CAST(CASE WHEN len(r) > 0 THEN -0.5 ELSE 0.3 END AS DOUBLE) AS ai_anomaly_score,
+  'rules-v1' AS ai_model_version, false AS ml_available
+FROM (SELECT *, {_rule_state_sql('avg_speed', 'wait_time_s')} AS st, {_reasons_sql()} AS r FROM {TRAFFIC_INPUTS_SQL})""")
+def q_m6_rules(spark, d):
+    """M6 on the rule path: every traffic minute scored without fitted models."""
+    return MH.hybrid_score(_inputs(spark, d), None, fallback="rules")
 
 
 @register("A18", f"""
 SELECT count(*) AS total_sensors, CAST(0 AS BIGINT) AS ml_available_count, CAST(0 AS DOUBLE) AS ml_availability_rate,
-  count(*) FILTER (WHERE len(r) > 0) AS anomaly_count,
-  coalesce(CAST(count(*) FILTER (WHERE len(r) > 0) AS DOUBLE) * 100.0 / count(*), 0) AS anomaly_rate,
-  round(coalesce(CAST(sum(CAST(round_even(c * 1000, 0) AS BIGINT)) AS DOUBLE) / 1000.0 / count(c), 0), 3) AS avg_confidence
-FROM (SELECT *, CAST(CASE st {" ".join(f"WHEN '{a}' THEN {c}" for a, _, _, c in FE.RULE_STATES)} ELSE {FE.RULE_ELSE[1]} END AS DOUBLE) AS c
-      FROM {A18_SCORED})""")
+  CAST(0 AS BIGINT) AS anomaly_count, CAST(0 AS DOUBLE) AS anomaly_rate, CAST(0 AS DOUBLE) AS avg_confidence
+FROM {LATEST_T}""")
 def q_a18(spark, d):
-    """A18 with the rule fallback (no model loaded: ml_available is false)."""
-    return MH.prediction_summary(_rules_latest(spark, d))
+    """A18 with no model loaded: every sensor Unknown and not available."""
+    return MH.prediction_summary(MH.score_latest(latest_meta(spark, d), None))
 
 
-@register("A18_states", f"SELECT st AS traffic_state, count(*) AS sensors FROM {A18_SCORED} GROUP BY st")
+@register("A18_states", f"SELECT 'Unknown' AS traffic_state, count(*) AS sensors FROM {LATEST_T} HAVING count(*) > 0")
 def q_a18_states(spark, d):
-    return MH.state_distribution(_rules_latest(spark, d))
+    return MH.state_distribution(MH.score_latest(latest_meta(spark, d), None))
 
 
 @register("A18_models")
@@ -1148,17 +1189,26 @@ def q_m9(spark, d):
     return ML.model_quality(history(spark, d, "traffic_loop"), trained_bundle(spark, d))
 
 
-@register("M10")
+@register("M10", f"""
+SELECT model, CAST(n AS BIGINT) AS samples, trained_at,
+  n >= greatest(first_at, minimum) AND (trained_at IS NULL OR n - trained_at >= every) AS due,
+  CASE WHEN n < greatest(first_at, minimum) THEN 'needs ' || greatest(first_at, minimum) || ' samples'
+       WHEN trained_at IS NULL THEN 'first fit'
+       WHEN n - trained_at >= every THEN (n - trained_at) || ' new samples' ELSE 'up to date' END AS reason
+FROM (SELECT *, CASE which WHEN 1 THEN n - every WHEN 2 THEN n - every + 1 END AS trained_at
+      FROM (SELECT count(*) AS n FROM {HIST_SQL['traffic_loop']}),
+           (VALUES ('patterns', 100, 50, 20), ('anomalies', 100, 50, 50), ('states', 50, 25, 20)) r(model, first_at, every, minimum),
+           range(0, 3) w(which))""")
 def q_m10(spark, d):
-    """Retrain decisions for each model from the sample count in the
-    stored history (nothing trained yet: a first fit where due)."""
-    n = history(spark, d, "traffic_loop").agg(F.count("*").alias("n"))
-    rules = ", ".join(f"'{m}', {a}L, {b}L, {c}L" for m, (a, b, c) in ML.RETRAIN_RULES.items())
-    r = n.selectExpr("n", f"stack({len(ML.RETRAIN_RULES)}, {rules}) AS (model, first_at, every, minimum)")
-    need = F.greatest("first_at", "minimum")
-    return r.select("model", F.col("n").alias("samples"), (F.col("n") >= need).alias("due"),
-                    F.when(F.col("n") >= need, "first fit")
-                    .otherwise(F.concat(F.lit("needs "), need.cast("string"), F.lit(" samples"))).alias("reason"))
+    """Retrain decisions of each model for the stored history: never
+    trained, trained as many samples ago as asked for, and one sample fewer."""
+    n = history(spark, d, "traffic_loop").agg(F.count("*").alias("samples"))
+    rules = ", ".join(f"'{m}', {every}L" for m, (_, every, _) in ML.RETRAIN_RULES.items())
+    cases = n.selectExpr("samples", f"stack({len(ML.RETRAIN_RULES)}, {rules}) AS (model, every)") \
+        .withColumn("which", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn(
+        "trained_at", F.when(F.col("which") == 1, F.col("samples") - F.col("every")).when(
+            F.col("which") == 2, F.col("samples") - F.col("every") + 1))
+    return ML.retrain_decisions(cases).select("model", "samples", "trained_at", "due", "reason")
 
 
 @register("M11")
@@ -1181,14 +1231,14 @@ def _run_scoring(spark, d):
 def q_t8(spark, d):
     """Streaming scoring of the emitted traffic minutes (availableNow)."""
     base = _run_scoring(spark, d)
-    return SK.read_versions(spark, base + "/scored")
+    return SK.read_versions(spark, base + "/scored").drop(*SK.VERSION)
 
 
 @register("A19")
 def q_a19(spark, d):
     """Per-micro-batch scoring statistics of the T8 stream."""
     base = _run_scoring(spark, d)
-    return SK.read_versions(spark, base + "/stats")
+    return SK.read_versions(spark, base + "/stats").drop("written_at", "query")
 
 
 # =================================================================== flagship
@@ -1199,3 +1249,46 @@ def q_flagship(spark, d):
 
 
 ORACLE["flagship"] = ORACLE["A3"]
+
+
+# ------------------------------------------------------------------ comparison
+# Means are computed in full precision; engines add doubles in different orders,
+# so the compared projection (here, and in the SQL twin) rounds them.
+DIGITS = 9
+_WIDE = "vehicle_count_per_min avg_speed_kmh avg_wait_time_s pm25 noise_db temp_c"
+ROUNDED = {
+    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T2", "S4"],
+                    _WIDE),
+    **dict.fromkeys(["A2", "T3", "A14", "T4", "T3_stream"], "avg_value"),
+    **dict.fromkeys(["Q2_period", "Q2_day"], "vehicle_count_per_min avg_speed_kmh avg_wait_time_s"),
+    **dict.fromkeys(["A13", "A13_5min"], "avg_vehicles"),
+    **dict.fromkeys(["Q4", "T6"], "recent_avg"),
+    "A1": "mean_value",
+    "A3": "vehicle_count_avg speed_avg wait_time_avg pm25_avg temp_avg noise_avg",
+    "A15": "x y",
+    "A16": "avg_noise difference",
+    "A16_sensors": "noise_db",
+    "P10": "vehicle_count avg_speed wait_time_s speed_variance congestion_index flow_efficiency",
+    "P11": "vehicle_count avg_speed wait_time_s",
+    "P14": f"{_WIDE} ai_congestion_index",
+    "M6_rules": "vehicle_count avg_speed wait_time_s",
+    "M8_unavailable": "vehicle_count avg_speed wait_time_s",
+    "Q2_air": "pm25 temp_c",
+    "Q2_noise": "noise_db",
+    "Q3_running": "vehicle_count_avg avg_speed_avg wait_time_s_avg pm25_avg noise_db_avg temp_c_avg",
+    "Q5": "value",
+}
+
+
+def _rounding(fn, cols: list[str]):
+    def run(spark, d):
+        return fn(spark, d).withColumns({c: F.round(c, DIGITS) + F.lit(0.0) for c in cols})  # -0.0 is 0.0
+    run.__doc__ = fn.__doc__
+    return run
+
+
+for _name, _cols in ROUNDED.items():
+    QUERIES[_name] = _rounding(QUERIES[_name], _cols.split())
+    _replaced = ", ".join(f"round({c}, {DIGITS}) + 0.0 AS {c}" for c in _cols.split())
+    ORACLE[_name] = f"SELECT * REPLACE ({_replaced}) FROM (\n{ORACLE[_name]}\n)"
+QUERIES["flagship"], ORACLE["flagship"] = QUERIES["A3"], ORACLE["A3"]

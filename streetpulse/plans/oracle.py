@@ -16,9 +16,7 @@ _NUM = "(CAST(user_id // 3 AS INTEGER) + 1)"
 
 
 def _mean(expr: str) -> str:
-    """Order-independent mean (see functions.columns.exact_mean)."""
-    return (f"(CAST(sum(CAST(round_even(({expr}) * 10000, 0) AS BIGINT)) AS DOUBLE) / 10000.0 "
-            f"/ count({expr}))")
+    return f"avg({expr})"
 
 
 def _stype(col: str = "sensor_id") -> str:
@@ -38,7 +36,7 @@ def _num_text(x: str) -> str:
 
 
 def _dec_text(x: str, digits: int) -> str:
-    return f"CAST(CAST(round(CAST({x} AS DECIMAL(18,4)), {digits}) AS DECIMAL(18,{digits})) AS VARCHAR)"
+    return f"CAST(CAST(round(CAST({x} AS DECIMAL(38,12)), {digits}) AS DECIMAL(38,{digits})) AS VARCHAR)"
 
 
 def _coord(base: float, mult: int) -> str:
@@ -58,6 +56,7 @@ def _sev(value: str, warning: float, critical: float, direction: str) -> str:
             f"WHEN {value} {op} {warning} THEN 'warning' END")
 
 
+# Fixed values, typed here by hand: limits, valid ranges, message templates.
 LIMITS = [
     ("traffic_loop", "wait_time_s", 8.0, 12.0, "high"),
     ("traffic_loop", "vehicle_count", 8.0, 12.0, "high"),
@@ -89,21 +88,21 @@ _rank_terms = ", ".join(
 
 CTES: dict[str, str] = {
     "readings": f"""
-SELECT event_id,
-  concat(CASE {_KIND} WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, printf('%04d', {_NUM})) AS sensor_id,
-  ts,
-  CASE {_KIND}
-    WHEN 0 THEN CASE event_type WHEN 'view' THEN 'avg_speed' WHEN 'purchase' THEN 'wait_time_s'
-                                WHEN 'error' THEN 'queue_len' ELSE 'vehicle_count' END
-    WHEN 1 THEN CASE WHEN event_type IN ('click','view') THEN 'pm25'
-                     WHEN event_type = 'error' THEN 'co' ELSE 'temp_c' END
-    ELSE 'noise_db' END AS metric,
-  CASE {_KIND}
-    WHEN 0 THEN CASE event_type WHEN 'purchase' THEN value * 2 ELSE value END
-    WHEN 1 THEN CASE WHEN event_type IN ('click','view') THEN value * 2
-                     WHEN event_type = 'error' THEN value / 10 ELSE value / 2 - 10 END
-    ELSE value / 2 + 25 END AS value
-FROM events""",
+SELECT event_id * 4 + k AS event_id,
+  CASE event_id % 101 WHEN 3 THEN '' WHEN 5 THEN 'S-' || {_NUM}
+    ELSE concat(CASE {_KIND} WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, printf('%04d', {_NUM})) END AS sensor_id,
+  CASE WHEN event_id % 101 <> 6 THEN ts END AS ts,
+  CASE WHEN event_id % 101 <> 4 THEN m END AS metric,
+  CASE event_id % 101 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN CAST(1e15 AS DOUBLE) ELSE v END AS value
+FROM (
+  SELECT *, 0 AS k, 'vehicle_count' AS m, value / 4 AS v FROM events WHERE {_KIND} = 0
+  UNION ALL SELECT *, 1, 'avg_speed', 125 - value / 4 FROM events WHERE {_KIND} = 0
+  UNION ALL SELECT *, 2, 'wait_time_s', CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value / 5 END FROM events WHERE {_KIND} = 0
+  UNION ALL SELECT *, 3, 'queue_len', value FROM events WHERE {_KIND} = 0 AND event_type = 'error'
+  UNION ALL SELECT *, 0, 'pm25', CASE WHEN event_type IN ('click', 'view') THEN value * 2 ELSE value / 10 END FROM events WHERE {_KIND} = 1
+  UNION ALL SELECT *, 1, 'temp_c', value / 8 - 10 FROM events WHERE {_KIND} = 1
+  UNION ALL SELECT *, 2, 'co', value / 10 FROM events WHERE {_KIND} = 1 AND event_type = 'error'
+  UNION ALL SELECT *, 0, 'noise_db', value / 2 + 25 FROM events WHERE {_KIND} = 2)""",
     "meta_ids": f"""
 SELECT kind, number FROM (SELECT DISTINCT {_KIND} AS kind, {_NUM} AS number FROM events)
 UNION ALL
@@ -131,7 +130,7 @@ SELECT r.event_id, r.sensor_id, r.ts, r.metric, r.value,
        ELSE 'Out of range: ' || CAST(r.value AS VARCHAR) || ' not in [' || {_num_text('g.min_value')}
             || ', ' || {_num_text('g.max_value')} || ']' END AS validation_msg
 FROM readings r LEFT JOIN ranges g ON r.metric = g.metric
-WHERE r.sensor_id IS NOT NULL AND r.ts IS NOT NULL AND r.metric IS NOT NULL AND r.value IS NOT NULL""",
+WHERE r.sensor_id IS NOT NULL AND r.ts IS NOT NULL AND r.metric IS NOT NULL AND coalesce(abs(r.value) <= 1e12, false)""",
     "valid": "SELECT event_id, sensor_id, ts, metric, value FROM validated WHERE is_valid",
     "agg_g": "SELECT sensor_id, date_trunc('minute', ts) AS window_start, "
              + ", ".join(f"{_mean(f'CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN value END')} AS {m}"
@@ -154,7 +153,7 @@ SELECT
   * EXCLUDE (h)
 FROM (
   SELECT sha256(concat_ws('|', sensor_id, metric, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'),
-                          CAST(CAST(round_even(value * 10000, 0) AS BIGINT) AS VARCHAR))) AS h,
+                          CAST(value AS VARCHAR))) AS h,
     sensor_id, sensor_type, metric, value, severity, message, location, ts AS timestamp,
     false AS resolved, severity AS threshold_type, threshold_value
   FROM (
@@ -166,7 +165,7 @@ FROM (
     FROM (SELECT r.*, {_ptype()} AS sensor_type,
             CASE WHEN strpos(sensor_id, '-') > 0 THEN split_part(sensor_id, '-', 2) ELSE '01' END AS pt
           FROM readings r
-          WHERE coalesce(sensor_id <> '', false) AND coalesce(metric <> '', false) AND value IS NOT NULL) r
+          WHERE coalesce(sensor_id <> '', false) AND coalesce(metric <> '', false) AND coalesce(abs(value) <= 1e12, false)) r
     JOIN limits l ON r.sensor_type = l.sensor_type AND r.metric = l.metric,
     LATERAL (SELECT CASE WHEN l.direction = 'low' THEN r.value <= l.critical ELSE r.value >= l.critical END AS crit,
                     CASE WHEN l.direction = 'low' THEN r.value <= l.warning ELSE r.value >= l.warning END AS warn)

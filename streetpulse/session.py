@@ -78,10 +78,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is used
-    as is. Only when it is unset (local tests) a fresh folder is made here.
+    as is. Only when it is unset on a local master (tests) a fresh folder is
+    made here; on a cluster a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="streetpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

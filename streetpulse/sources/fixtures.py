@@ -40,17 +40,17 @@ def padded(number: str) -> str:
 SENSOR_ID = (f"concat(CASE {KIND} WHEN 0 THEN 'Loop-' WHEN 1 THEN 'Air-' ELSE 'Noise-' END, "
              f"{padded(NUMBER)})")
 SENSOR_TYPE = f"CASE {KIND} WHEN 0 THEN 'traffic_loop' WHEN 1 THEN 'air_quality' ELSE 'noise' END"
-METRIC = f"""CASE {KIND}
-  WHEN 0 THEN CASE event_type WHEN 'view' THEN 'avg_speed' WHEN 'purchase' THEN 'wait_time_s'
-                              WHEN 'error' THEN 'queue_len' ELSE 'vehicle_count' END
-  WHEN 1 THEN CASE WHEN event_type IN ('click', 'view') THEN 'pm25' WHEN event_type = 'error' THEN 'co'
-                   ELSE 'temp_c' END
-  ELSE 'noise_db' END"""
-VALUE = f"""CASE {KIND}
-  WHEN 0 THEN CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END
-  WHEN 1 THEN CASE WHEN event_type IN ('click', 'view') THEN value * 2 WHEN event_type = 'error' THEN value / 10
-                   ELSE value / 2 - 10 END
-  ELSE value / 2 + 25 END"""
+# Every event gives the readings of one device at one time: (place, metric, value).
+MEASURES = f"""CASE {KIND}
+  WHEN 0 THEN array(struct(0 AS k, 'vehicle_count' AS m, value / 4 AS v), struct(1 AS k, 'avg_speed' AS m, 125 - value / 4 AS v),
+                    struct(2 AS k, 'wait_time_s' AS m, CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value / 5 END AS v),
+                    struct(3 AS k, 'queue_len' AS m, CASE WHEN event_type = 'error' THEN value END AS v))
+  WHEN 1 THEN array(struct(0 AS k, 'pm25' AS m, CASE WHEN event_type IN ('click', 'view') THEN value * 2 ELSE value / 10 END AS v),
+                    struct(1 AS k, 'temp_c' AS m, value / 8 - 10 AS v),
+                    struct(2 AS k, 'co' AS m, CASE WHEN event_type = 'error' THEN value / 10 END AS v))
+  ELSE array(struct(0 AS k, 'noise_db' AS m, value / 2 + 25 AS v)) END"""
+# Some events are bad in a fixed way, by their number: the first ones of every 101.
+BAD = "event_id % 101"
 
 
 def _road_sql(kind: str, number: str) -> str:
@@ -65,11 +65,6 @@ def _coord_sql(number: str, base: float, mult: int) -> str:
             f"ELSE {base}D + CAST(({number} * {mult}) % 101 - 50 AS DOUBLE) / 1000.0D END")
 
 
-def sensor_number(sensor_id: Column) -> Column:
-    """Numeric part of an id such as ``Loop-0012`` (null when there is none)."""
-    return F.substring_index(sensor_id, "-", -1).try_cast("int")
-
-
 def sensor_type_from_id(sensor_id: Column) -> Column:
     expr = None
     for prefix, kind in schema.SENSOR_TYPE_PREFIXES:
@@ -98,8 +93,15 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
     """Batch or streaming events -> D1 readings (a projection)."""
     loc = (f"named_struct('city', '{schema.CITY}', 'road', {_road_sql(KIND, NUMBER)}, "
            f"'lat', {_coord_sql(NUMBER, 42.6629, 37)}, 'lon', {_coord_sql(NUMBER, 21.1639, 53)})")
-    return ev.selectExpr("event_id", f"{SENSOR_ID} AS sensor_id", "ts", f"{METRIC} AS metric",
-                         f"{VALUE} AS value", f"{loc} AS location")
+    rows = ev.selectExpr("event_id", "user_id", "ts", f"filter({MEASURES}, x -> x.v IS NOT NULL) AS ms").selectExpr(
+        "event_id", "user_id", "ts", "explode(ms) AS x")
+    return rows.selectExpr(
+        "event_id * 4 + x.k AS event_id",
+        f"CASE {BAD} WHEN 3 THEN '' WHEN 5 THEN concat('S-', {NUMBER}) ELSE {SENSOR_ID} END AS sensor_id",
+        f"CASE WHEN {BAD} = 6 THEN CAST(NULL AS TIMESTAMP_NTZ) ELSE ts END AS ts",
+        f"CASE WHEN {BAD} = 4 THEN CAST(NULL AS STRING) ELSE x.m END AS metric",
+        f"CASE {BAD} WHEN 0 THEN CAST(NULL AS DOUBLE) WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN 1E15D ELSE x.v END AS value",
+        f"{loc} AS location")
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,6 @@ OUTPUT_SCHEMA = ("kind string, sensor_id string, metric string, event_id long, t
 STATE_SCHEMA = ("buf_event_id array<long>, buf_ts array<long>, buf_metric array<string>, buf_value array<double>, "
                 "tail_event_id array<long>, tail_ts array<long>, tail_metric array<string>, tail_value array<double>")
 _COLS = ["event_id", "ts_us", "metric", "value"]
-SCALE = 10000.0
 
 
 def _frame(ids, ts, metric, value) -> pd.DataFrame:
@@ -40,10 +39,6 @@ def _frame(ids, ts, metric, value) -> pd.DataFrame:
                          "metric": pd.Series(metric, dtype="object"), "value": np.asarray(value, dtype="float64")})
 
 
-def _exact_mean(v: pd.Series) -> float:
-    return float(np.rint(v.to_numpy() * SCALE).astype("int64").sum()) / SCALE / len(v)
-
-
 def make_state_fn(n: int = 20, retention_ms: int = 24 * 3600 * 1000):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         sensor_id = key[0]
@@ -66,12 +61,9 @@ def make_state_fn(n: int = 20, retention_ms: int = 24 * 3600 * 1000):
         # Spikes, last three values per metric (state tail + this batch)
         comb = pd.concat([tail.assign(_old=True), new.assign(_old=False)], ignore_index=True)
         comb = comb.sort_values(["metric", "ts_us", "event_id"], kind="stable")
-        units = pd.Series(np.rint(comb["value"].to_numpy() * SCALE).astype("int64"), index=comb.index)
-        grp = comb.groupby("metric", sort=False)
-        roll_n = grp["value"].transform(lambda x: x.rolling(3, min_periods=1).count())
-        roll_sum = units.groupby(comb["metric"], sort=False).transform(lambda x: x.rolling(3, min_periods=1).sum())
-        recent_avg = roll_sum / SCALE / 3.0
-        hit = (~comb["_old"]) & (roll_n == 3) & (comb["value"] > recent_avg * 2)
+        held = comb.groupby("metric", sort=False)["value"]
+        recent_avg = (held.shift(2) + held.shift(1) + comb["value"]) / 3.0
+        hit = (~comb["_old"]) & (comb["value"] > recent_avg * 2)
         spikes = comb[hit].assign(recent_avg=recent_avg[hit])
         new_tail = comb.groupby("metric", sort=False).tail(3)
 
@@ -88,7 +80,7 @@ def make_state_fn(n: int = 20, retention_ms: int = 24 * 3600 * 1000):
         stats = []
         for metric, g in buf.groupby("metric", sort=True):
             stats.append({"kind": "stats", "sensor_id": sensor_id, "metric": metric, "event_id": None, "ts": None,
-                          "value": None, "avg_value": _exact_mean(g["value"]), "min_value": float(g["value"].min()),
+                          "value": None, "avg_value": float(g["value"].mean()), "min_value": float(g["value"].min()),
                           "max_value": float(g["value"].max()), "count": len(g), "window_size": len(buf),
                           "range_start": rs, "range_end": re})
         names = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
@@ -115,7 +107,7 @@ def buffered_stream(readings: DataFrame, n: int = 20, retention: str = "24 hours
     the retention so that idle sensors' state times out)."""
     r = (readings.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", retention)
          .select("sensor_id", "event_id", "ts", "metric", "value"))
-    hours = int(retention.split()[0]) if retention.endswith("hours") else 24
+    kept = pd.Timedelta(retention)  # fails on a text that is no duration
     return r.groupBy("sensor_id").applyInPandasWithState(
-        make_state_fn(n, hours * 3600 * 1000), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        make_state_fn(n, int(kept.total_seconds() * 1000)), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)

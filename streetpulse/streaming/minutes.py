@@ -28,15 +28,25 @@ def event_time(readings: DataFrame) -> DataFrame:
     return readings.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+AHEAD = "1 hour"  # event times further ahead of the clock than this are quarantined
+
+
+def _checked(readings: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Complete readings with their validity. Only valid readings may move a
+    watermark: one reading from the far future would close all windows."""
+    complete, _ = split_complete(event_time(readings))
+    checked = validate(complete, ranges)
+    ahead = F.col("ts") > F.current_timestamp() + F.expr(f"INTERVAL {AHEAD}")
+    return checked.withColumn("is_valid", F.col("is_valid") & ~ahead)
+
+
 def minute_stream(readings: DataFrame, ranges: DataFrame, grace: str = "1 minute", limits=None,
                   observe: bool = True) -> DataFrame:
-    r = event_time(readings).withWatermark("ts", grace)
-    complete, _ = split_complete(r)
-    checked = validate(complete, ranges)
+    checked = _checked(readings, ranges)
     if observe:
         checked = checked.observe("counters", F.count_if("is_valid").alias("messages_processed"),
                                   F.count_if(~F.col("is_valid")).alias("validation_errors"))
-    valid = checked.filter("is_valid").select("sensor_id", "ts", "metric", "value")
+    valid = checked.filter("is_valid").select("sensor_id", "ts", "metric", "value").withWatermark("ts", grace)
     return aggregates_minute(valid, limits, event_time_window=True)
 
 
@@ -69,12 +79,10 @@ def sliding_stream(readings: DataFrame, ranges: DataFrame, size: str = "10 minut
                    grace: str = "1 minute") -> DataFrame:
     """T3 stream form: sliding-window avg/min/max/count per sensor and metric,
     emitted when the watermark closes each window."""
-    from ..functions.columns import exact_mean
-    r = event_time(readings).withWatermark("ts", grace)
-    complete, _ = split_complete(r)
-    valid = validate(complete, ranges).filter("is_valid")
+    from ..functions.columns import mean
+    valid = _checked(readings, ranges).filter("is_valid").withWatermark("ts", grace)
     return (valid.groupBy("sensor_id", "metric", F.window("ts", size, slide).alias("w"))
-            .agg(exact_mean("value").alias("avg_value"), F.min("value").alias("min_value"),
+            .agg(mean("value").alias("avg_value"), F.min("value").alias("min_value"),
                  F.max("value").alias("max_value"), F.count("*").alias("count"))
             .select("sensor_id", "metric", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "avg_value", "min_value",

@@ -16,26 +16,34 @@ from pyspark.sql import functions as F
 
 from ..ml.hybrid import ModelBundle, hybrid_score
 from ..operators.features import traffic_inputs
+from ..sources.fixtures import sensor_type_from_id
 from .sinks import write_batch
 
 
 def batch_statistics(scored: DataFrame, batch_id: int) -> DataFrame:
-    """One row per micro-batch; the state distribution (one entry per
-    state) is a scalar subquery."""
-    per_state = scored.groupBy("ai_traffic_state").agg(F.count("*").alias("n"))
-    states = per_state.agg(F.map_from_entries(F.collect_list(F.struct("ai_traffic_state", "n")))).scalar()
+    """One row per micro-batch: rows, mean confidence, anomalies in percent,
+    and the counts per state and model version (scalar subqueries)."""
+    def counts(column):
+        per = scored.groupBy(column).agg(F.count("*").alias("n"))
+        return per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n"))))).scalar()
+    states, versions = counts("ai_traffic_state"), counts("ai_model_version")
     return scored.agg(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.count("*").alias("rows"),
                       F.avg("ai_confidence").alias("mean_confidence"),
-                      F.avg(F.col("ai_anomaly_detected").cast("double")).alias("anomaly_rate"),
-                      F.array_sort(F.collect_set("ai_model_version")).alias("model_versions")) \
-        .withColumn("states", states)
+                      (F.avg(F.col("ai_anomaly_detected").cast("double")) * 100).alias("anomaly_rate")) \
+        .withColumn("states", states).withColumn("model_versions", versions)
+
+
+def _is_traffic():
+    """P3 on a minute row: the id's type, else traffic if it has a traffic measure."""
+    measured = F.coalesce("vehicle_count_per_min", "avg_speed_kmh", "avg_wait_time_s").isNotNull()
+    return F.coalesce(sensor_type_from_id(F.col("sensor_id")) == "traffic_loop", measured)
 
 
 def start_scoring(minute_rows: DataFrame, bundle: ModelBundle | None, scored_path: str, stats_path: str,
-                  checkpoint: str, trigger: dict | None = None, fallback: str = "rules"):
+                  checkpoint: str, trigger: dict | None = None, fallback: str = "default"):
     """Score every emitted traffic minute; trigger defaults to availableNow
     (use ``{"processingTime": "20 seconds"}`` for a running service)."""
-    traffic = minute_rows.filter(F.col("sensor_id").startswith("Loop-"))
+    traffic = minute_rows.filter(_is_traffic())
 
     def sink(df: DataFrame, batch_id: int) -> None:
         scored = hybrid_score(traffic_inputs(df), bundle, fallback).persist()

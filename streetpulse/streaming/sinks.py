@@ -2,9 +2,11 @@
 
 There is no transactional table format on the classpath, so an upsert is a
 versioned append: every micro-batch is written, in overwrite mode, to its own
-folder ``batch_id=<n>``. A replayed batch (``foreachBatch`` is at-least-once)
-rewrites the same folder, so replays add no duplicates; readers keep the
-newest version per key. Compaction rewrites the newest versions once.
+folder ``query=<id>/batch_id=<n>``. The id belongs to the checkpoint: a
+replayed batch (``foreachBatch`` is at-least-once) rewrites the same folder, so
+replays add no duplicates, and a job with a new checkpoint, whose batches start
+at 0 again, never touches older folders. Readers keep the version written last
+per key. Compaction rewrites the newest versions once.
 """
 
 from __future__ import annotations
@@ -15,9 +17,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _folder(spark: SparkSession, batch_id: int) -> str:
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"query={query}/batch_id={int(batch_id)}"
+
+
+VERSION = ["written_at", "query", "batch_id"]  # columns of a stored row's version
+
+
 def write_batch(df: DataFrame, table_path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite").parquet(os.path.join(table_path, f"batch_id={int(batch_id)}")))
+    (df.withColumn("written_at", F.current_timestamp())
+       .write.mode("overwrite").parquet(os.path.join(table_path, _folder(df.sparkSession, batch_id))))
 
 
 def read_versions(spark: SparkSession, table_path: str) -> DataFrame:
@@ -25,10 +35,16 @@ def read_versions(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 def newest_versions(versions: DataFrame, keys=("sensor_id", "window_start")) -> DataFrame:
-    """S4 read view: the row of the highest ``batch_id`` per key (upsert
-    semantics). A per-key group limit, planned before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return versions.withColumn("_v", F.row_number().over(w)).filter("_v = 1").drop("_v", "batch_id")
+    """S4 read view: the row written last per key (upsert semantics). A per-key
+    group limit, planned before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in VERSION])
+    return versions.withColumn("_v", F.row_number().over(w)).filter("_v = 1").drop("_v", *VERSION)
+
+
+def newest_rows(versions: DataFrame, key: str = "sensor_id") -> DataFrame:
+    """All rows of the version written last per key (a batch's whole state)."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in VERSION])
+    return versions.withColumn("_v", F.rank().over(w)).filter("_v = 1").drop("_v", *VERSION)
 
 
 def read_upserted(spark: SparkSession, table_path: str, keys=("sensor_id", "window_start")) -> DataFrame:
@@ -57,7 +73,7 @@ def write_alerts_and_messages(df: DataFrame, alerts_path: str, messages_path: st
                                  F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
                                  "resolved"))
         (df.select(F.col("sensor_id").alias("key"), msg.alias("value"))
-           .write.mode("overwrite").json(os.path.join(messages_path, f"batch_id={int(batch_id)}")))
+           .write.mode("overwrite").json(os.path.join(messages_path, _folder(df.sparkSession, batch_id))))
     finally:
         df.unpersist()
 

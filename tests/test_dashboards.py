@@ -74,7 +74,7 @@ def test_report_formatting(spark):
     df = _latest(spark, [("A1", "air_quality", t, None, None, None, 12.345, None, -3.0, "WARN", ["co", "pm25"],
                           42.1, 21.123456789)])
     r = DB.report(df).collect()[0]
-    assert (r.pm25, r.temp_c, r.noise_db, r.breaches, r.lon) == ("12.35", "-3.00", "-", "co, pm25", "21.123500")
+    assert (r.pm25, r.temp_c, r.noise_db, r.breaches, r.lon) == ("12.35", "-3.00", "-", "co, pm25", "21.123457")
     titles = [x.title for x in DB.column_titles(df.select("sensor_id", "vehicle_count_per_min")).collect()]
     assert titles == ["Sensor Id", "Vehicle Count Per Min"]
 

@@ -4,13 +4,14 @@ the events scan (the unused ``props`` column is never read)."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF
 
+from streetpulse.plans.catalog import QUERIES
+
 STREAMING_OR_MODELS = {"T1", "T2", "S4", "T4", "T6", "T7_stream", "S5", "T9_stream", "T3_stream", "T8", "A19",
                        "M1", "A21", "M2", "M3", "M4", "M4_importances", "M5", "M6", "M8", "A18_models", "M9",
-                       "M10", "M11"}
-RELATIONAL = [k for k in E.queries() if k not in STREAMING_OR_MODELS]
+                       "M11"}
+RELATIONAL = [k for k in QUERIES if k not in STREAMING_OR_MODELS]
 
 
 def _plan(df) -> str:
@@ -19,10 +20,18 @@ def _plan(df) -> str:
 
 @pytest.mark.parametrize("name", RELATIONAL)
 def test_relational_plan_properties(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan, f"{name}: {bad}"
     for line in plan.splitlines():
         if "FileScan parquet" in line and "events.parquet" in line:
             assert "props" not in line.split("ReadSchema:")[-1], f"{name}: events scan reads props"
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [("A1", 1, 1), ("T3", 1, 2), ("T5", 2, 2), ("Q3", 1, 1), ("P2", 2, 1),
+                                                    ("Q4", 7, 9)])
+def test_scans_and_exchanges(spark, name, scans, exchanges):
+    """At most this many reads of ``events`` and shuffles (scalar subqueries included)."""
+    plan = _plan(QUERIES[name](spark, SF))
+    assert plan.count("FileScan parquet") <= scans and plan.count("Exchange ") - plan.count("BroadcastExchange ") <= exchanges

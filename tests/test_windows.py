@@ -99,7 +99,7 @@ def test_retention_by_event_time(spark):
     df = readings_df(spark, [(1, "Loop-1", T("2024-01-01 00:00:00"), "avg_speed", 1.0),
                              (2, "Loop-1", T("2024-01-02 00:00:00"), "avg_speed", 1.0),
                              (3, "Loop-1", T("2024-01-02 12:00:00"), "avg_speed", 1.0)])
-    kept = WI.retained(WI.aggregates_minute(df), 24)
+    kept = WI.retained(df, 24)
     assert sorted(r.window_start.day for r in kept.collect()) == [2, 2]
 
 
