@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from ..operators.features import FEATURES, duration_of, severity_of
 
 MIN_SAMPLES = 20
-TRAIN_FEATURES = ["vehicle_count", "avg_speed", "wait_time_s", "speed_variance", "congestion_index",
-                  "flow_efficiency", "hour", "is_rush_hour", "is_weekend"]
-
-
 @dataclass
 class StateModel:
     pipeline: PipelineModel

@@ -348,6 +348,3 @@ def column_titles(df: DataFrame) -> DataFrame:
     rows = [(i, c) for i, c in enumerate(df.columns)]
     keys = df.sparkSession.createDataFrame(rows, "position int, column string")
     return keys.withColumn("title", title_case("column"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["band"]

@@ -921,9 +921,26 @@ def readings_stream(spark, d):
     return FX.readings_from_events(FX.events_stream(spark, d))
 
 
-def _run_minutes(spark, d, mode):
+SLICES, FILES = 4, 4
+
+
+def sliced_stream(spark, d):
+    """The events as a stream of ``SLICES`` micro-batches in event-time order:
+    time slices written one after the other as ``FILES`` files each."""
+    path = scratch_path(spark, "events-sliced")
+    ev = FX.events(spark, d)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(SLICES if lo is not None else 0):
+        start, end = (F.lit(lo + (hi - lo) * k / SLICES) for k in (i, i + 1))
+        inside = (F.col("ts") >= start) & ((F.col("ts") < end) if i < SLICES - 1 else F.lit(True))
+        ev.filter(inside).repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    return FX.readings_from_events(stream)
+
+
+def _run_minutes(spark, d, mode, source=readings_stream):
     base = scratch_path(spark, f"minutes-{mode}")
-    q = SM.start_minute_table(readings_stream(spark, d), schema.valid_ranges(spark), base + "/table",
+    q = SM.start_minute_table(source(spark, d), schema.valid_ranges(spark), base + "/table",
                               base + "/checkpoint", mode=mode)
     q.awaitTermination()
     return base
@@ -955,16 +972,16 @@ def q_s4(spark, d):
     return agg_text(spark.read.parquet(base + "/compacted"))
 
 
-def _run_buffers(spark, d):
+def _run_buffers(spark, d, source=readings_stream, retention="24 hours"):
     base = scratch_path(spark, "buffers")
-    r = readings_stream(spark, d)
+    r = source(spark, d)
     complete, _ = QU.split_complete(r)
     valid_s = QU.validate(complete, schema.valid_ranges(spark)).filter("is_valid")
 
     def sink(df, batch_id):
         SK.write_batch(df, base + "/table", batch_id)
 
-    q = (SB.buffered_stream(valid_s).writeStream.outputMode("append").foreachBatch(sink)
+    q = (SB.buffered_stream(valid_s, retention=retention).writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return SK.read_versions(spark, base + "/table")
@@ -980,7 +997,11 @@ FROM (SELECT sensor_id, metric, {_mean('value')} AS avg_value, min(value) AS min
       WHERE rn <= 20 GROUP BY sensor_id, metric)""")
 def q_t4(spark, d):
     """T4: per-sensor 20-reading state; the statistics of each sensor's newest batch."""
-    v = _run_buffers(spark, d).filter("kind = 'stats'")
+    return _newest_stats(_run_buffers(spark, d))
+
+
+def _newest_stats(rows):
+    v = rows.filter("kind = 'stats'")
     newest = SK.newest_rows(v)
     return newest.select("sensor_id", "metric", "avg_value", "min_value", "max_value", "count", "window_size",
                          F.col("range_start").cast("timestamp_ntz").alias("range_start"),
@@ -990,11 +1011,41 @@ def q_t4(spark, d):
 @register("T6", SPIKES_SQL)
 def q_t6(spark, d):
     """Spike rule checked on every reading inside the T4 state."""
-    v = _run_buffers(spark, d).filter("kind = 'spike'")
+    return _spike_rows(_run_buffers(spark, d))
+
+
+def _spike_rows(rows):
+    v = rows.filter("kind = 'spike'")
     return v.select("event_id", "sensor_id", "metric", F.col("ts").cast("timestamp_ntz").alias("ts"), "value",
                     F.col("avg_value").alias("recent_avg"))
 
 
+@register("T1_multi")
+def q_t1_multi(spark, d):
+    """T1 over several micro-batches: state and watermark carried between them."""
+    base = _run_minutes(spark, d, "append", sliced_stream)
+    return agg_text(SK.read_upserted(spark, base + "/table"))
+
+
+LONG_RETENTION = "2000 hours"  # longer than the table, so that no idle sensor's state is dropped
+
+
+@register("T4_multi")
+def q_t4_multi(spark, d):
+    """T4 over several micro-batches: each sensor's newest batch, all its metrics."""
+    return _newest_stats(_run_buffers(spark, d, sliced_stream, LONG_RETENTION))
+
+
+@register("T6_multi")
+def q_t6_multi(spark, d):
+    """T6 over several micro-batches: the last values carried in the state."""
+    return _spike_rows(_run_buffers(spark, d, sliced_stream, LONG_RETENTION))
+
+
+for _name in ("T1", "T4", "T6"):
+    ORACLE[f"{_name}_multi"] = ORACLE[_name]
+
+
 def _run_alerts(spark, d):
     base = scratch_path(spark, "alerts")
     q = SA.start_alerts(readings_stream(spark, d), schema.alert_limits(spark), base + "/alerts",
@@ -1011,6 +1062,17 @@ def q_t7_stream(spark, d):
     return a.select(*[c for c in a.columns if c != "location"], F.col("location")["road"].alias("road"))
 
 
+@register("S8_stored", f"SELECT alert_id, resolved FROM {RESOLVED_SQL}")
+def q_s8_stored(spark, d):
+    """S8 on the stored alert table: old alerts resolved, written as a new version."""
+    base = _run_alerts(spark, d)
+    stored = SK.newest_versions(SK.read_versions(spark, base + "/alerts"), ("alert_id",))
+    newest = stored.agg(F.max("timestamp")).scalar()
+    ids = stored.filter(F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), newest)).select("alert_id")
+    SK.resolve_in_table(spark, base + "/alerts", ids, base + "/resolved")
+    return spark.read.parquet(base + "/resolved").select("alert_id", "resolved")
+
+
 @register("S5", "SELECT alert_id, sensor_id, severity, message FROM alerts")
 def q_s5(spark, d):
     """The alert topic side of the sink (JSON messages), parsed back."""
@@ -1257,12 +1319,11 @@ ORACLE["flagship"] = ORACLE["A3"]
 DIGITS = 9
 _WIDE = "vehicle_count_per_min avg_speed_kmh avg_wait_time_s pm25 noise_db temp_c"
 ROUNDED = {
-    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T2", "S4"],
-                    _WIDE),
-    **dict.fromkeys(["A2", "T3", "A14", "T4", "T3_stream"], "avg_value"),
+    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T1_multi", "T2", "S4"], _WIDE),
+    **dict.fromkeys(["A2", "T3", "A14", "T4", "T4_multi", "T3_stream"], "avg_value"),
     **dict.fromkeys(["Q2_period", "Q2_day"], "vehicle_count_per_min avg_speed_kmh avg_wait_time_s"),
     **dict.fromkeys(["A13", "A13_5min"], "avg_vehicles"),
-    **dict.fromkeys(["Q4", "T6"], "recent_avg"),
+    **dict.fromkeys(["Q4", "T6", "T6_multi"], "recent_avg"),
     "A1": "mean_value",
     "A3": "vehicle_count_avg speed_avg wait_time_avg pm25_avg temp_avg noise_avg",
     "A15": "x y",

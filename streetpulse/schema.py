@@ -50,27 +50,6 @@ SENSOR_METADATA = T.StructType([
     T.StructField("interval_s", T.IntegerType()),
 ])
 
-# --- D3: aggregates_minute -------------------------------------------------------
-AGGREGATES_MINUTE = T.StructType([
-    T.StructField("sensor_id", T.StringType(), False),
-    T.StructField("window_start", T.TimestampNTZType(), False),
-    T.StructField("vehicle_count_per_min", T.DoubleType()),
-    T.StructField("avg_speed_kmh", T.DoubleType()),
-    T.StructField("avg_wait_time_s", T.DoubleType()),
-    T.StructField("pm25", T.DoubleType()),
-    T.StructField("noise_db", T.DoubleType()),
-    T.StructField("temp_c", T.DoubleType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("breaches", T.ArrayType(T.StringType())),
-    T.StructField("ai_traffic_state", T.StringType()),
-    T.StructField("ai_confidence", T.DoubleType()),
-    T.StructField("ai_severity", T.StringType()),
-    T.StructField("ai_predicted_duration", T.StringType()),
-    T.StructField("ai_anomaly_detected", T.BooleanType()),
-    T.StructField("ai_anomaly_score", T.DoubleType()),
-    T.StructField("ai_model_version", T.StringType()),
-    T.StructField("ai_features", T.MapType(T.StringType(), T.DoubleType())),
-])
 
 # --- D4: alerts -----------------------------------------------------------------
 ALERTS = T.StructType([
@@ -104,17 +83,6 @@ AI_TRAINING_DATA = T.StructType([
     T.StructField("used_for_training", T.BooleanType()),
 ])
 
-# --- D6: ai_model_stats -------------------------------------------------------------
-AI_MODEL_STATS = T.StructType([
-    T.StructField("model_type", T.StringType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("training_samples", T.IntegerType()),
-    T.StructField("accuracy_score", T.DoubleType()),
-    T.StructField("precision_score", T.DoubleType()),
-    T.StructField("recall_score", T.DoubleType()),
-    T.StructField("model_version", T.StringType()),
-    T.StructField("last_updated", T.TimestampNTZType()),
-])
 
 # --- D7: scoring struct ---------------------------------------------------------------
 SCORING = T.StructType([

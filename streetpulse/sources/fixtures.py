@@ -21,10 +21,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
 # The mapping events -> readings, as SQL expressions over ``events`` columns
 # (one expression string per column: parsed once on the JVM side).
 KIND = "user_id % 3"

@@ -70,3 +70,15 @@ def test_retrain_rule_minimums_and_cadence():
     assert not retrain_due("states", 49, None).due and retrain_due("states", 50, None).due
     assert retrain_due("states", 75, 50).due and not retrain_due("states", 74, 50).due
     assert retrain_due("anomalies", 100, None).due and not retrain_due("anomalies", 60, None).due
+
+
+def test_constant_history_has_no_division_by_zero(spark):
+    from pyspark.sql import functions as F
+    from streetpulse.ml import patterns as MP
+    from streetpulse.ml.lifecycle import traffic_features
+    rows = spark.range(120).selectExpr("'Loop-0001' AS sensor_id", "timestamp_ntz'2024-01-01 10:00:00' AS window_start",
+                                       "20.0D AS vehicle_count_per_min", "40.0D AS avg_speed_kmh", "10.0D AS avg_wait_time_s")
+    feats = traffic_features(rows)
+    model = MP.fit_patterns(feats, restarts=2)
+    out = MP.predict_patterns(model, feats).agg(F.min("pattern_confidence")).first()[0]
+    assert out is not None and out >= 0.1

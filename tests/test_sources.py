@@ -31,7 +31,7 @@ def test_wire_messages_parse_and_quarantine(spark):
 def test_fixture_roundtrip_through_wire_format(spark):
     direct = FX.readings(spark, SF).select("event_id", "sensor_id", "ts", "metric", "value")
     wire = parse_messages(FX.raw_messages(spark, SF)).select("event_id", "sensor_id", "ts", "metric", "value")
-    assert direct.count() == 1000 and direct.exceptAll(wire).count() == 0 and wire.exceptAll(direct).count() == 0
+    assert direct.count() > FX.events(spark, SF).count() and direct.exceptAll(wire).count() == 0 and wire.exceptAll(direct).count() == 0
 
 
 def test_metadata_has_one_spare_sensor_per_type(spark):

@@ -101,3 +101,45 @@ def test_restart_from_checkpoint_processes_only_new_files(spark):
     run()                                     # restart with one new file: only its minute changes
     view = {r.window_start.minute: r.avg_speed_kmh for r in SK.read_upserted(spark, base + "/t").collect()}
     assert len(view) == 6 and view[5] == 30.0 and view[0] == 10.0
+
+
+def test_new_checkpoint_loses_nothing(spark, tmp_path):
+    """Batches of a job with a new checkpoint start at 0 again; older folders stay."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    schema_ = "sensor_id string, window_start timestamp, v double"
+    for i in range(2):
+        df = spark.createDataFrame([(f"s{i}", None, float(i))], schema_)
+        df.write.mode("append").parquet(src)
+        (spark.readStream.schema(df.schema).parquet(src).writeStream.foreachBatch(lambda b, n: SK.write_batch(b, out, n))
+         .option("checkpointLocation", str(tmp_path / f"ckpt{i}")).trigger(availableNow=True).start().awaitTermination())
+    assert SK.read_versions(spark, out).count() == 3              # the first row was read by both jobs
+    newest = SK.newest_versions(SK.read_versions(spark, out), ("sensor_id",))
+    assert sorted((r.sensor_id, r.v) for r in newest.collect()) == [("s0", 0.0), ("s1", 1.0)]
+
+
+def test_a_reading_from_the_future_moves_no_watermark(spark, tmp_path):
+    from streetpulse import schema
+    from streetpulse.streaming import minutes as SM
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+    cols = "event_id long, sensor_id string, ts timestamp, metric string, value double"
+    batches = [[(1, "Loop-0001", "2024-01-01 00:00:10", 50.0), (2, "Loop-0001", "2999-01-01 00:00:00", 50.0),
+                (3, "Loop-0001", "2024-03-01 00:00:00", 1e15), (4, "Loop-0001", "2024-03-01 00:00:00", float("nan"))],
+               [(5, "Loop-0002", "2024-01-01 00:00:40", 60.0)], [(6, "Loop-0002", "2024-01-01 00:10:00", 60.0)]]
+    for rows in batches:
+        spark.createDataFrame([(i, s, v) + (t,) for i, s, t, v in rows], "event_id long, sensor_id string, value double, t string") \
+            .selectExpr("event_id", "sensor_id", "CAST(t AS TIMESTAMP) AS ts", "'avg_speed' AS metric", "value") \
+            .coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(cols).option("maxFilesPerTrigger", 1).parquet(src)
+    SM.start_minute_table(stream, schema.valid_ranges(spark), base + "/t", base + "/c").awaitTermination()
+    got = SK.read_upserted(spark, base + "/t").collect()
+    assert sorted(r.sensor_id for r in got) == ["Loop-0001", "Loop-0002"]
+
+
+def test_clear_and_resolve_stored_tables(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    df = spark.createDataFrame([("a", False), ("b", False)], "alert_id string, resolved boolean")
+    SK.write_batch(df, path, 0)
+    SK.resolve_in_table(spark, path, df.filter("alert_id = 'a'").select("alert_id"), path + "-new")
+    assert {(r.alert_id, r.resolved) for r in spark.read.parquet(path + "-new").collect()} == {("a", True), ("b", False)}
+    SK.clear_table(spark, path + "-new", "alert_id string, resolved boolean")
+    assert spark.read.parquet(path + "-new").count() == 0
