@@ -230,11 +230,16 @@ def vehicle_rollup(history: DataFrame, granularity: str = "1hour", period: str =
             .withColumn("label", bucket_label(F.col("bucket_start"), granularity, period)))
 
 
-def hour_profile(history: DataFrame, measure: str) -> DataFrame:
-    """Mean of ``measure`` by hour of day (rows with a value)."""
-    h = history.filter(F.col(measure).isNotNull())
-    hr = F.hour("window_start")
-    return (h.groupBy(hr.alias("hour")).agg(mean(measure).alias("avg_value"), F.count("*").alias("n"))
+def hour_profiles(agg: DataFrame, meta: DataFrame, profiles: Sequence[tuple[str, str]]) -> DataFrame:
+    """Mean by hour of day for each (sensor type, measure), over the rows
+    with a value, from one aggregation of the minute rows."""
+    typed = agg.join(meta.select("sensor_id", "type"), "sensor_id")
+    held = [F.when(F.col("type") == stype, F.col(m)) for stype, m in profiles]
+    g = typed.groupBy(F.hour("window_start").alias("hour")).agg(
+        *[mean(h).alias(f"avg_{m}") for h, (_, m) in zip(held, profiles)],
+        *[F.count(h).alias(f"n_{m}") for h, (_, m) in zip(held, profiles)])
+    each = ", ".join(f"'{m}', avg_{m}, n_{m}" for _, m in profiles)
+    return (g.selectExpr("hour", f"stack({len(profiles)}, {each}) AS (profile, avg_value, n)").filter("n > 0")
             .withColumn("label", F.format_string("%02d:00", F.col("hour"))))
 
 

@@ -200,11 +200,12 @@ def q_s6(spark, d):
 
 
 def resolved_alerts(spark, d):
-    """S8 input: alerts older than 7 days before the newest alert are resolved."""
+    """S8 by age: alerts older than 7 days before the newest reading that has an
+    alert are resolved; a rule on the row itself, no join (ids: ``S8_stored``)."""
     a = alerts(spark, d)
     newest = a.agg(F.max("timestamp")).scalar()
-    ids = a.filter(F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), newest)).select("alert_id")
-    return AL.resolve(a, ids)
+    old = F.coalesce(F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), newest), F.lit(False))
+    return a.withColumn("resolved", F.col("resolved") | old)
 
 
 RESOLVED_SQL = """(SELECT * REPLACE (coalesce(timestamp < (SELECT max(timestamp) FROM alerts) - INTERVAL 7 DAY, false) AS resolved) FROM alerts)"""
@@ -661,9 +662,7 @@ SELECT 'pm25' AS profile, CAST(hour(window_start) AS INTEGER) AS hour, {_mean('p
   printf('%02d:00', hour(window_start)) AS label
 FROM {HIST_SQL['air_quality']} WHERE pm25 IS NOT NULL GROUP BY hour(window_start)""")
 def q_a14(spark, d):
-    w = DB.hour_profile(history(spark, d, "traffic_loop"), "avg_wait_time_s").withColumn("profile", F.lit("avg_wait_time_s"))
-    p = DB.hour_profile(history(spark, d, "air_quality"), "pm25").withColumn("profile", F.lit("pm25"))
-    return w.unionByName(p)
+    return DB.hour_profiles(agg(spark, d), meta(spark, d), [("traffic_loop", "avg_wait_time_s"), ("air_quality", "pm25")])
 
 
 @register("A15", f"""
