@@ -6,19 +6,21 @@ hash. With n shingles, any partner at similarity s shares at least
 T = ceil(s * n) of them, so a prefix of n - T + l shingles of either document
 shares at least l. Each document picks its own l by estimated cost: a longer
 prefix reads more (and more frequent) posting entries, but a partner must then
-share l of them before it is verified. A pair is a candidate when its prefixes
-share min(l, l') shingles; the smaller prefix scheme is contained in the larger
-one, so no linked pair is lost.
+share l of them before it is verified. For a pair of known sizes the overlap is
+at least o = ceil(s (n + n') / (1 + s)): with the smaller l of the two, at least
+l shingles are common among the first n - o + l and n' - o + l, which both
+prefixes hold. Fewer make no candidate, and no linked pair is lost.
 
 The frequencies are estimated by a counter sketch of fixed size, summed over
 the whole corpus. The order only has to be the same for all documents; the
 estimate decides cost, never results.
 
 Links are only needed up to connectivity, so pairs inside a component are not
-enumerated: first each document is verified against one hub of its posting
-lists (the smallest node with whom it shares most), the links are contracted,
-and only pairs of different components that share enough prefix shingles are
-enumerated and verified. Exact copies (equal shingle sets) are linked by digest.
+enumerated. Exact copies (equal shingle sets) are linked by digest. Then, in a
+few rounds, each document is verified against hubs of a sample of its posting
+lists, and what is linked is contracted; this only saves work. At last every
+posting list that still holds several components is enumerated in full: all
+pairs of different components that share enough prefix shingles are verified.
 
 Defined cases: a text without words (or null) has no shingles and is its own
 component; fewer than five words count as one shingle; rows with one doc_id are
@@ -45,9 +47,14 @@ PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCK = 4096
 MAX_EXTRA = 64        # largest l tried; any l is correct
-VERIFY_COST = 4.0     # cost of verifying one shingle against reading one posting entry
+VERIFY_COST = 0.1    # cost of verifying one shingle of a candidate against joining one posting entry
 NO_ID = 1 << 62       # nodes of rows without doc_id lie above this
 LONG_WORD = 64
+WORDS = 4             # 64-bit words of a set's parity bitmap
+BITS = [f"bits{i}" for i in range(WORDS)]
+HUB_ROUNDS = 4        # rounds of verifying against hubs before all open pairs
+HUB_LISTS = 8         # posting lists a document uses in such a round
+HUBS_TRIED = 2        # hubs a document is verified against in a round
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BASE = 0x9E3779B97F4A7C15
@@ -98,6 +105,13 @@ def shingle_hashes(text: str | None, size: int = SHINGLE, block: int = 65536) ->
     return np.unique(np.concatenate(parts))
 
 
+def parity_bits(h: np.ndarray) -> list[int]:
+    """Bit b is the parity of the shingles with hash b. Two sets differ in at
+    least as many shingles as their bitmaps differ in bits."""
+    odd = (np.bincount((h % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def _node(doc_id, digest: bytes) -> int:
     return NO_ID + (int.from_bytes(digest[:8], "big") >> 3) if doc_id is None or doc_id != doc_id else int(doc_id)
 
@@ -106,7 +120,8 @@ def _ids(pdf: pd.DataFrame) -> list:
     return [None if x is None or x is pd.NA or x != x else int(x) for x in pdf["doc_id"]]
 
 
-MEASURED = "doc_id long, node long, n long, digest binary, block int, counts binary"
+MEASURED = ("doc_id long, node long, n long, digest binary, " + ", ".join(f"bits{i} long" for i in range(WORDS))
+            + ", block int, counts binary")
 
 
 def _measure(batches):
@@ -118,13 +133,13 @@ def _measure(batches):
         for doc_id, text in zip(_ids(pdf), pdf["text"]):
             h = shingle_hashes(text)
             digest = hashlib.md5(h.tobytes()).digest()
-            out.append((doc_id, _node(doc_id, digest), len(h), digest))
+            out.append((doc_id, _node(doc_id, digest), len(h), digest, *parity_bits(h)))
             if len(h) and digest not in seen:
                 seen.add(digest)
                 held.append(h >> np.uint64(64 - SKETCH_BITS))
         if held:
             counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts))
-        df = pd.DataFrame(out, columns=["doc_id", "node", "n", "digest"])
+        df = pd.DataFrame(out, columns=["doc_id", "node", "n", "digest", *BITS])
         df["doc_id"] = pd.array([r[0] for r in out], dtype="Int64")
         yield df.assign(block=pd.array([None] * len(df), dtype="Int32"), counts=None)
     if counts.any():
@@ -132,6 +147,7 @@ def _measure(batches):
         yield pd.DataFrame({
             "doc_id": pd.array([None] * len(k), dtype="Int64"), "node": pd.array([None] * len(k), dtype="Int64"),
             "n": pd.array([None] * len(k), dtype="Int64"), "digest": None,
+            **{b: pd.array([None] * len(k), dtype="Int64") for b in BITS},
             "block": pd.array([i // SKETCH_BLOCK for i in k], dtype="Int32"),
             "counts": [counts[i:i + SKETCH_BLOCK].astype(np.uint32).tobytes() for i in k]})
 
@@ -154,7 +170,7 @@ def _sketch(measured: DataFrame) -> np.ndarray:
 
 
 def chosen_prefix(h: np.ndarray, counts: np.ndarray, percent: int = PERCENT,
-                  max_extra: int = MAX_EXTRA) -> tuple[int, np.ndarray]:
+                  max_extra: int = MAX_EXTRA, verify_cost: float = VERIFY_COST) -> tuple[int, np.ndarray]:
     """(l, prefix) of a document: the l of least estimated cost."""
     n = len(h)
     least = n - (-(-percent * n // 100))          # prefix length is least + l
@@ -163,7 +179,7 @@ def chosen_prefix(h: np.ndarray, counts: np.ndarray, percent: int = PERCENT,
     order = np.argsort(df, kind="stable")[:least + top]
     read = np.cumsum(df[order])[least:]           # entries read for l = 1, 2, ...
     tried = np.arange(1, top + 1)
-    cost = read + VERIFY_COST * n * read / tried / max(n, 1)
+    cost = read + verify_cost * n * read / tried / max(n, 1)
     best = int(np.argmin(cost))
     return best + 1, h[order[:least + best + 1]]
 
@@ -221,8 +237,8 @@ def _verify(batches):
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
-    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("packed_b")), "b")
-    both = with_b.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("packed_a")), "a")
+    side = {k: texts.select(F.col("node").alias(k), F.col("packed").alias(f"packed_{k}")).hint("merge") for k in "ab"}
+    both = pairs.join(side["b"], "b").join(side["a"], "a")
     return both.select("a", "b", "packed_a", "packed_b").mapInPandas(_verify, "a long, b long")
 
 
@@ -237,44 +253,85 @@ def links_and_sizes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, Da
     docs = docs.select("doc_id", "text")
     measured = stored(docs.mapInPandas(_measure, MEASURED), "adapt-rows")
     rows = measured.where("block IS NULL").select("doc_id", "node", "n", "digest")
+    # A doc_id with several texts has no bitmap of its own.
+    bits = measured.where("block IS NULL").groupBy("node").agg(
+        (F.min("digest") == F.max("digest")).alias("one"), *[F.max(b).alias(b) for b in BITS]).select(
+        "node", *[F.when(F.col("one"), F.col(b)).alias(b) for b in BITS])
     counts = spark.sparkContext.broadcast(_sketch(measured))
     entries = docs.mapInPandas(_emitter(counts), "node long, n int, l int, tokens array<long>").select(
-        "node", "n", "l", F.explode("tokens").alias("token"))
-    entries = entries.withColumn("class", _size_class(F.col("n")))
-    by_token = W.partitionBy("token").orderBy("class", "node")
-    by_class = W.partitionBy("token", "class").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
+        "node", "n", "l", F.posexplode("tokens").alias("pos", "token"))
+    by_token = W.partitionBy("token").orderBy("node")
     shared = entries.select(
-        "token", "class", "node", "n", "l",
-        (F.lag("node").over(by_token).isNotNull() | F.lead("node").over(by_token).isNotNull()).alias("met"),
-        F.first("node").over(by_class).alias("hub")).where("met").drop("met")
+        "token", "node", "n", "l", "pos",
+        (F.lag("node").over(by_token).isNotNull() | F.lead("node").over(by_token).isNotNull()).alias("met")) \
+        .where("met").drop("met")
     shared = stored(shared, "adapt-entries")
-    held = shared.select("node").distinct()
+    # The join kinds are fixed: both sides grow with the corpus, at every size.
+    held = shared.select("node").distinct().hint("shuffle_hash")
     texts = stored(docs.mapInPandas(_packer, "node long, packed binary").join(held, "node", "left_semi")
                    .dropDuplicates(["node", "packed"]), "adapt-texts")
     copies = rows.where("n > 0").groupBy("digest").agg(F.min("node").alias("a"))
     copies = rows.where("n > 0").join(copies, "digest").where("node > a").select("a", F.col("node").alias("b"))
-    star = shared.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(
-        F.max(F.struct("k", (-F.col("hub")).alias("minus")))["minus"].alias("minus")).select(
-        (-F.col("minus")).alias("a"), F.col("node").alias("b"))
-    same = rows.select(F.col("node").alias("b"), F.col("digest").alias("db")).distinct()
-    same_a = rows.select(F.col("node").alias("a"), F.col("digest").alias("da")).distinct()
-    star = star.join(same, "b").join(same_a, "a").where("da <> db").select("a", "b").distinct()
-    first = stored(copies.select("a", "b").unionByName(_verified(star, texts)).distinct(), "adapt-star-links")
-    labels = components(first)
-    # Second round: pairs of different components.
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = stored(labelled.select("token", "class", "node", "n", "l", "label"), "adapt-labelled")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-        .where("low < high").select("token")
-    open_entries = labelled.join(mixed, "token", "left_semi")
-    x = open_entries.select(*[F.col(c).alias(f"{c}_a") if c != "token" else F.col(c) for c in open_entries.columns])
-    y = open_entries.select(*[F.col(c).alias(f"{c}_b") if c != "token" else F.col(c) for c in open_entries.columns])
-    fits = (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    pairs = x.join(y, "token").where((F.col("label_a") < F.col("label_b")) & fits).groupBy("node_a", "node_b").agg(
-        F.count(F.lit(1)).alias("k"), F.min(F.least("l_a", "l_b")).alias("l")).where("k >= l").select(
+    links = stored(copies.distinct(), "adapt-copies")
+    labels = components(links)
+    for turn in range(HUB_ROUNDS):
+        pairs = stored(_hub_pairs(shared, labels, turn), "adapt-hub-pairs")
+        found = stored(_verified(pairs, texts), "adapt-hub-links")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = components(links)
+    second = stored(_verified(_open_pairs(shared, labels, bits), texts), "adapt-open-links")
+    return rows, components(links.unionByName(second))
+
+
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    return entries.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _hub_pairs(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each document b with the hubs of other components it shares most
+    sampled posting lists with. A list's hub is its first document in an order
+    that differs from turn to turn; the lists are sampled by the hash of their
+    shingle, about ``HUB_LISTS`` for each document."""
+    every = F.greatest(F.lit(1.0), F.pow(F.lit(100 / PERCENT), F.col("class")) * ((100 - PERCENT) / 100 / HUB_LISTS))
+    some = shared.drop("pos").withColumn("class", _size_class(F.col("n")))
+    some = _labelled(some.where(F.pmod(F.xxhash64("token"), F.floor(every)) == 0), labels)
+    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    hubs = some.groupBy("token", "class").agg(F.min(F.struct(order.alias("o"), "node", "label", "n")).alias("hub"))
+    met = some.join(hubs.hint("merge"), ["token", "class"]).where(
+        (F.col("label") != F.col("hub.label")) & _size_fits(F.col("n"), F.col("hub.n")))
+    counted = met.groupBy("node", F.col("hub.node").alias("a")).agg(F.count(F.lit(1)).alias("k"))
+    best = W.partitionBy("node").orderBy(F.desc("k"), "a")
+    return counted.withColumn("at", F.row_number().over(best)).where(F.col("at") <= HUBS_TRIED).select(
+        "a", F.col("node").alias("b"))
+
+
+def _open_pairs(shared: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
+    """(a, b): all pairs of different components whose prefixes share enough
+    shingles. Only lists that hold several components are enumerated, only
+    shingles in the first n - overlap + l places of both documents count, and
+    pairs whose bitmaps differ in more bits than a linked pair can are left out."""
+    base = _labelled(shared, labels).join(bits.hint("merge"), "node").select(
+        "token", "node", "n", "l", "pos", "label", *BITS).repartition("token")
+    mixed = base.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "low < high").select("token")
+    some = base.join(mixed.hint("merge"), "token", "left_semi")
+    x, y = (some.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "l", "pos", "label", *BITS)])
+            for side in "ab")
+    overlap = F.expr(f"({PERCENT} * (n_a + n_b) + {99 + PERCENT}) DIV {100 + PERCENT}")
+    least = F.least("l_a", "l_b")
+    early = (F.col("pos_a") < F.col("n_a") - overlap + least) & (F.col("pos_b") < F.col("n_b") - overlap + least)
+    differ = sum((F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS), F.lit(0))
+    near = F.coalesce(differ <= F.col("n_a") + F.col("n_b") - 2 * overlap, F.lit(True))
+    return x.join(y.hint("merge"), "token").where(
+        (F.col("label_a") < F.col("label_b")) & _size_fits(F.col("n_a"), F.col("n_b")) & early & near).groupBy(
+        "node_a", "node_b").agg(F.count(F.lit(1)).alias("k"), F.min(least).alias("l")).where("k >= l").select(
         F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    second = _verified(pairs, texts)
-    return rows, components(stored(first.unionByName(second), "adapt-links"))
+
+
+def _size_fits(n: Column, m: Column) -> Column:
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:

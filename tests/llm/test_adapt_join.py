@@ -110,11 +110,15 @@ def test_prefixes_keep_the_lemma():
         both = len(np.intersect1d(a, b))
         if 100 * both < 75 * (len(a) + len(b) - both):
             continue
-        (la, pa), (lb, pb) = A.chosen_prefix(a, counts), A.chosen_prefix(b, counts)
+        (la, pa), (lb, pb) = (A.chosen_prefix(x, counts, verify_cost=rng.choice([0.1, 4, 60])) for x in (a, b))
         seen.add(la)
-        overlap = -(-75 * (len(a) + len(b)) // 175)
-        outside = max(len(a) - len(pa), len(b) - len(pb))
-        assert len(np.intersect1d(pa, pb)) >= max(min(la, lb), overlap - outside)
+        differ = sum(bin(x & (1 << 64) - 1 ^ y & (1 << 64) - 1).count("1")
+                     for x, y in zip(A.parity_bits(a), A.parity_bits(b)))
+        assert differ <= len(np.setxor1d(a, b)) <= len(a) + len(b) - 2 * -(-75 * (len(a) + len(b)) // 175)
+        overlap, least = -(-75 * (len(a) + len(b)) // 175), min(la, lb)
+        early = [x[:len(x0) - overlap + least] for x, x0 in ((pa, a), (pb, b))]
+        assert [len(e) for e in early] == [len(a) - overlap + least, len(b) - overlap + least]
+        assert len(np.intersect1d(*early)) >= least
         assert len(a) - len(pa) == -(-75 * len(a) // 100) - la
     assert len(seen) > 3
 
