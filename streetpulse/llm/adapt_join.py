@@ -20,7 +20,9 @@ enumerated. Exact copies (equal shingle sets) are linked by digest. Then, in a
 few rounds, each document is verified against hubs of a sample of its posting
 lists, and what is linked is contracted; this only saves work. At last every
 posting list that still holds several components is enumerated in full: all
-pairs of different components that share enough prefix shingles are verified.
+pairs of different components that share enough prefix shingles are verified,
+but for those whose parity bitmaps differ in more bits than the shingles of a
+linked pair can.
 
 Defined cases: a text without words (or null) has no shingles and is its own
 component; fewer than five words count as one shingle; rows with one doc_id are
