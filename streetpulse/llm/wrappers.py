@@ -1,29 +1,37 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with the host's reference page (its shortest) by
-simple tree matching: the largest order-preserving matching of two trees with
-equal tags. Matched nodes with equal texts are constant (template), the others
-vary. The innermost container that holds most of a page's varying text is the
-page's vote for the content slot; the votes of all pages of a host, weighted by
-their varying text, decide its slot. The slot's blocks are the content; menus,
-headers, footers, notices, adverts, forms and comments never are.
+Pages of one host are aligned with the host's reference page (its
+shortest) by simple tree matching: the largest order-preserving
+matching of two trees with equal tags. Matched nodes with equal texts are
+constant, the others vary. The containers that together hold all of a page's
+varying text are the page's vote for the content slot. Matched nodes have equal
+tag paths, so the pages that hold a text at a tag path are counted over the
+whole host; a text on most of at least ``EVIDENCE`` different pages is template
+and opens no container. What holds a page's other text is its
+content: all containers with text that varies, whatever their share. Outside of
+an article or main, varying text that is all links (menus) opens no container.
+Menus, headers, footers, notices, adverts, forms and comments never are content.
 
 What travels for the alignment is a page's skeleton (tags, text hashes and
-lengths), a fraction of the page. A host's reference skeleton and its slot are
-joined with salted copies, so a hot host's pages spread over ``SALTS`` tasks;
-votes are partial sums.
-
-Defined cases: null or empty html gives an empty text; pages whose host has no
-slot (single pages, equal pages, null urls) or that lack it use their article,
-main or body element; repeated rows are treated alike; broken markup is closed
+lengths), a fraction of the page; equal ones count once. A host's reference
+skeleton and its results are joined with salted copies, so a hot host's pages
+spread over ``SALTS`` tasks; counts are partial sums.
+
+Defined cases: null or empty html gives an empty text; pages without
+varying prose or with too few pages on their host use the host's commonest slot,
+and without one (single pages, equal pages, null urls) their article, main or
+body element; repeated rows are treated alike; broken markup is closed
 as a browser would close paragraphs, list items and table cells.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
+from collections import Counter
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -33,7 +41,8 @@ from pyspark.sql import functions as F
 from streetpulse.llm.tables import stored
 
 SALTS = 32
-VOTE_PERCENT = 80
+EVIDENCE = 3  # different pages from which on a text held by most of them is template
+FLUSH = 100_000
 DEEPEST = 150  # elements nested deeper are kept, as siblings of what they hold
 
 # HTML's element kinds and the names that mark boilerplate.
@@ -43,6 +52,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 DROPPED = frozenset("head title script style noscript template nav footer aside form button select option textarea "
                     "iframe object embed svg canvas audio video dialog menu".split())
 CONTAINERS = frozenset("article main section div td body".split())
+SLOTS = frozenset("article main section div body".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SAME_CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th",
                "option": "option"}
@@ -55,12 +65,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert dial
 
 
 class Node:
-    __slots__ = ("tag", "mark", "skip", "children")
+    __slots__ = ("tag", "mark", "skip", "children", "constant")
 
     def __init__(self, tag: str, attrs: list):
         got = {k: v or "" for k, v in reversed(attrs)}
         names = f"{got.get('class', '')} {got.get('id', '')}".lower()
-        self.tag, self.children = tag, []
+        self.tag, self.children, self.constant = tag, [], False
         self.mark = tag + "".join("." + x for x in got.get("class", "").split()[:2])
         self.skip = (tag in DROPPED or "hidden" in got or got.get("role", "").lower() in ROLES
                      or (tag not in ("body", "html", "article", "main")
@@ -115,25 +125,39 @@ class Tree(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def skeleton(node: Node, skip: bool = False) -> list:
-    """[tag, mark, hash of own text, length of own text, skipped, children];
-    the text of inline elements belongs to the block around them."""
+def own_text(node: Node, content: bool) -> tuple[str, bool, list[Node], bool]:
+    """(own text, whether it is prose, inner elements, in an article or main);
+    the text of inline elements belongs to the block around them. Text that is
+    all links is no prose, unless it stands in an article or main."""
     texts, inner = [], []
+    content = content or node.tag in ("article", "main")
+    prose = content
 
-    def own_parts(n: Node) -> None:
+    def own_parts(n: Node, linked: bool) -> None:
+        nonlocal prose
         for c in n.children:
             if isinstance(c, str):
                 texts.append(c)
+                prose = prose or not linked and any(map(str.isalnum, c))
             elif c.tag in INLINE and not c.skip:
-                own_parts(c)
+                own_parts(c, linked or c.tag == "a")
             else:
                 inner.append(c)
-    own_parts(node)
+    own_parts(node, False)
     own = " ".join(" ".join(texts).split())
+    return own, bool(own) and prose, inner, content
+
+
+def skeleton(node: Node, skip: bool = False, content: bool = False) -> list:
+    """[tag, mark, hash of own text, length of own text, skipped, children, prose]"""
+    own, prose, inner, content = own_text(node, content)
     skip = skip or node.skip
-    digest = hashlib.blake2b(own.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest() if own else ""
-    return [node.tag, node.mark, digest, len(own), int(skip),
-            [skeleton(c, skip) for c in inner]]
+    return [node.tag, node.mark, text_hash(own) if own else "", len(own), int(skip),
+            [skeleton(c, skip, content) for c in inner], int(prose)]
+
+
+def text_hash(own: str) -> str:
+    return hashlib.blake2b(own.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
 
 
 def match(a: list, b: list) -> tuple[int, list]:
@@ -177,36 +201,47 @@ def match(a: list, b: list) -> tuple[int, list]:
     return size, pairs
 
 
-def vote(page: list, reference: list) -> tuple[str, int]:
-    """(path (marks, outermost first) of the innermost container with most of the varying text, its
-    varying characters); an empty path when nothing varies."""
-    constant = {id(p) for p, q in match(page, reference)[1] if p[2] == q[2]}
+def outermost(paths) -> str:
+    """The paths that lie in no other one, one a line."""
+    out: list[str] = []
+    for p in sorted(set(paths)):
+        if not any(p.startswith(q + " ") for q in out):
+            out.append(p)
+    return "\n".join(out)
 
-    def varying(n: list) -> int:
-        own = 0 if n[4] or id(n) in constant else n[3]
-        total[id(n)] = own + sum(varying(c) for c in n[5])
-        return total[id(n)]
-    total: dict[int, int] = {}
-    most = varying(page)
-    if not most:
-        return "", 0
-    path, best, node = page[1], page[1], page
-    while inner := next((c for c in node[5] if total[id(c)] * 100 >= VOTE_PERCENT * most), None):
-        path, node = f"{path} {inner[1]}", inner
-        if inner[0] in CONTAINERS:
-            best = path
-    return best, most
-
-
-def _at_path(root: Node, path: str) -> list[Node]:
-    """Nodes at a slot's path, outermost first, in page order."""
-    marks = path.split(" ")
-    if root.mark != marks[0]:
-        return []
-    level = [root]
-    for m in marks[1:]:
-        level = [c for n in level for c in _elements(n) if c.mark == m]
-    return level
+
+def vote(page: list, reference: list) -> str:
+    """The page's slot: the paths (marks, outermost first) of the containers that together hold all of its
+    varying text; empty when nothing varies."""
+    constant = {id(p) for p, q in match(page, reference)[1] if p[2] == q[2]}
+    return outermost(at for n, _, at in texts_of(page) if n[6] and id(n) not in constant)
+
+
+def texts_of(node: list, tags: str = "", path: str = "", at: str = "") -> Iterator[tuple[list, str, str]]:
+    """(node, tag path, path of its container) of the nodes with own text outside of boilerplate."""
+    if node[4]:
+        return
+    tags, path = f"{tags} {node[0]}".lstrip(), f"{path} {node[1]}".lstrip()
+    at = path if node[0] in SLOTS or not at else at
+    if node[3]:
+        yield node, tags, at
+    for c in node[5]:
+        yield from texts_of(c, tags, path, at)
+
+
+def _at_paths(root: Node, slot: str) -> list[Node]:
+    """Nodes at a slot's paths, outermost ones, in page order."""
+    paths, out = set(slot.split("\n")), []
+
+    def walk(n: Node, path: str) -> None:
+        if path in paths:
+            out.append(n)
+        elif any(p.startswith(path + " ") for p in paths):
+            for c in _elements(n):
+                if not c.skip:
+                    walk(c, f"{path} {c.mark}")
+    walk(root, root.mark)
+    return out
 
 
 def _elements(node: Node) -> list[Node]:
@@ -222,22 +257,48 @@ def _first(node: Node, tag: str) -> list[Node]:
     return [x for c in node.children if not isinstance(c, str) and not c.skip for x in _first(c, tag)]
 
 
+def _varying(root: Node, constant: frozenset) -> list[Node]:
+    """Outermost containers that hold the page's varying prose, in page order;
+    nodes whose own text is constant on the host are marked."""
+    found: set[int] = set()
+
+    def look(n: Node, tags: str, at: Node | None, content: bool) -> None:
+        if n.skip:
+            return
+        tags = f"{tags} {n.tag}".lstrip()
+        at = n if n.tag in SLOTS or at is None else at
+        own, prose, inner, content = own_text(n, content)
+        if own:
+            n.constant = f"{tags} {text_hash(own)}" in constant
+            if prose and not n.constant:
+                found.add(id(at))
+        for c in inner:
+            look(c, tags, at, content)
+
+    def outer(n: Node) -> list[Node]:
+        return [n] if id(n) in found else [x for c in _elements(n) for x in outer(c)]
+    look(root, "", None, False)
+    return outer(root) if found else []
+
+
 def blocks(node: Node) -> list[str]:
+    """Texts of the blocks that are no boilerplate."""
     out, current = [], []
 
-    def walk(n: Node) -> None:
+    def walk(n: Node, constant: bool) -> None:
         for c in n.children:
             if isinstance(c, str):
-                current.append(c)
+                if not constant:
+                    current.append(c)
             elif c.skip:
                 current.append(" " if c.tag not in INLINE else "")
             elif c.tag == "br":
                 current.append(" ")
             elif c.tag in INLINE:
-                walk(c)
+                walk(c, constant)
             else:
                 flush()
-                walk(c)
+                walk(c, False)
                 flush()
 
     def flush() -> None:
@@ -245,16 +306,25 @@ def blocks(node: Node) -> list[str]:
         current.clear()
         if text:
             out.append(text)
-    walk(node)
+    walk(node, False)
     flush()
     return out
 
 
-def main_text(html: str | None, slot: str | None) -> str:
+@functools.lru_cache(256)
+def _lines(text: str) -> frozenset:
+    return frozenset(text.split("\n"))
+
+
+def main_text(html: str | None, slot: str | None, constant: str | None = None) -> str:
+    """``constant``: the host's template texts, one "tags hash" a line; None when
+    its pages are too few to tell."""
     if not html:
         return ""
     root = Tree(html).root
-    nodes = _at_path(root, slot) if slot else []
+    nodes = _varying(root, _lines(constant)) if constant is not None else []
+    if not nodes:
+        nodes = _at_paths(root, slot) if slot else []
     if not nodes:
         nodes = _first(root, "article") or _first(root, "main") or _first(root, "body") or [root]
     return " ".join(b for n in nodes for b in blocks(n))
@@ -272,38 +342,65 @@ def _salted(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def host_slots(pages: DataFrame) -> DataFrame:
-    """(host, slot) from the votes of all pages of (page_id, url, html)."""
+def host_wrappers(pages: DataFrame) -> DataFrame:
+    """(host, slot, constant) from all different pages of (page_id, url, html):
+    the commonest slot, and the texts that most pages hold at one tag path
+    (null for hosts of fewer than ``EVIDENCE`` different pages)."""
     def bones(batches):
         for pdf in batches:
             trees = [json.dumps(skeleton(Tree(h).root), separators=(",", ":")) if h else None for h in pdf["html"]]
-            yield pdf[["page_id", "host", "salt"]].assign(bones=trees, page_id=pdf["page_id"].astype("Int64"))
-    keyed = pages.select("page_id", host_of(F.col("url")).alias("host"), "html").where("host <> ''").withColumn(
-        "salt", _salt(F.col("page_id")))
-    rows = stored(keyed.mapInPandas(bones, "page_id long, host string, salt int, bones string").where(
-        "bones IS NOT NULL"), "wrapper-bones")
+            yield pdf[["host"]].assign(bones=trees)
+    keyed = pages.select(host_of(F.col("url")).alias("host"), "html").where("host <> ''")
+    rows = stored(keyed.mapInPandas(bones, "host string, bones string").where("bones IS NOT NULL").distinct(),
+                  "wrapper-bones").withColumn("hash", F.xxhash64("bones")).withColumn(
+        "salt", F.pmod("hash", F.lit(SALTS)).cast("int"))
     reference = rows.groupBy("host").agg(F.min(F.struct(F.length("bones").alias("n"), "bones"))["bones"].alias("ref"))
 
-    def votes(batches):
+    def count(batches):
+        held: Counter = Counter()
+
+        def out():
+            rows = [(*k, n) for k, n in held.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=["host", "slot", "at", "n"])
         for pdf in batches:
-            got = [vote(json.loads(b), json.loads(r)) for b, r in zip(pdf["bones"], pdf["ref"])]
-            yield pd.DataFrame({"host": pdf["host"], "slot": [g[0] for g in got], "weight": [g[1] for g in got]})
-    cast = rows.join(_salted(reference), ["host", "salt"]).select("host", "bones", "ref").mapInPandas(
-        votes, "host string, slot string, weight long").where("weight > 0")
-    per_slot = cast.groupBy("host", "slot").agg(F.sum("weight").alias("weight"))
-    return per_slot.groupBy("host").agg(F.max_by("slot", F.struct("weight", "slot")).alias("slot"))
+            for host, b, r in zip(pdf["host"], pdf["bones"], pdf["ref"]):
+                page = json.loads(b)
+                held[host, vote(page, json.loads(r)), None] += 1
+                held.update({(host, None, f"{tags} {n[2]}") for n, tags, _ in texts_of(page)})
+                if len(held) > FLUSH:
+                    yield out()
+        yield out()
+    counted = stored(rows.join(_salted(reference), ["host", "salt"]).select("host", "bones", "ref").mapInPandas(
+        count, "host string, slot string, at string, n long"), "wrapper-counts")
+    per_slot = counted.where("slot IS NOT NULL").groupBy("host", "slot").agg(F.sum("n").alias("n"))
+    hosts = per_slot.groupBy("host").agg(
+        F.max_by("slot", F.when(F.col("slot") != "", F.struct("n", "slot"))).alias("slot"),
+        F.sum("n").alias("pages"))
+    held = counted.where("at IS NOT NULL").groupBy("host", "at").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= EVIDENCE)
+    constant = held.join(hosts.select("host", "pages"), "host").where("n * 2 > pages").groupBy("host").agg(
+        F.array_join(F.sort_array(F.collect_list("at")), "\n").alias("at"))
+    return hosts.join(constant, "host", "left").select("host", "slot", F.when(
+        F.col("pages") >= EVIDENCE, F.coalesce("at", F.lit(""))).alias("constant"))
+
+
+def host_slots(pages: DataFrame) -> DataFrame:
+    """(host, slot) of the hosts with a slot."""
+    return host_wrappers(pages).where("slot IS NOT NULL").select("host", "slot")
 
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    slots = _salted(stored(host_slots(pages), "wrapper-slots"))
+    wrappers = _salted(stored(host_wrappers(pages), "wrappers"))
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).withColumn(
         "salt", _salt(F.col("page_id")))
-    joined = keyed.join(slots.hint("shuffle_hash"), ["host", "salt"], "left").select("page_id", "url", "html", "slot")
+    joined = keyed.join(wrappers.hint("shuffle_hash"), ["host", "salt"], "left").select(
+        "page_id", "url", "html", "slot", "constant")
 
     def run(batches):
         for pdf in batches:
-            texts = [main_text(h, s) for h, s in zip(pdf["html"], pdf["slot"])]
+            texts = [main_text(*x) for x in zip(pdf["html"], pdf["slot"], pdf["constant"])]
             yield pdf[["page_id", "url"]].assign(page_id=pdf["page_id"].astype("Int64"), text=texts,
                                                  n_chars=[len(t) for t in texts])
     return joined.mapInPandas(run, "page_id long, url string, text string, n_chars long")

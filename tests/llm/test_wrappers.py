@@ -96,3 +96,28 @@ def test_edge_cases(spark):
     text = {1: "a", 4: "c"}
     assert got == sorted(((p, u, t := "b" if h == "<p>b" else text.get(p, ""), len(t)) for p, u, h in rows), key=repr)
     assert W.extract(spark, spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def varied(i, n):
+    return " ".join(f"u{i}x{k}" for k in range(n))
+
+
+TOP = "<div class=top><p>Our old town paper</p><ul><li><a href=/>Home</a></ul></div>"
+LAYOUTS = {
+    "title-and-body.example": "<article><h1>{a}</h1><div class='text'><p>{b}</p></div></article>",
+    "lead-and-body.example": "<div class='lead'><p>{a}</p></div><div class='text'><p>{b}</p></div>",
+    "sections.example": "<div class=c><section class=s1><p>{b}</p></section><section class=s2><p>{a}</p></section></div>",
+}
+
+
+def test_the_slot_holds_all_varying_text(spark):
+    rows, want = [], {}
+    for h, (host, layout) in enumerate(LAYOUTS.items()):
+        for i in range(7):
+            key = h * 10 + i
+            a, b = varied(f"{key}a", 4), varied(f"{key}b", 400 if i < 2 else 60)
+            rows.append((key, f"http://{host}/{i}", f"<body>{TOP}{layout.format(a=a, b=b)}<div><p>All rights here</p></div></body>"))
+            want[key] = f"{b} {a}" if host == "sections.example" else f"{a} {b}"
+    assert one(spark, rows) == want
+    two = [r for r in rows if r[0] % 10 < 2]  # too few pages to tell template text: the host's slot
+    assert one(spark, two) == {r[0]: want[r[0]] for r in two}
