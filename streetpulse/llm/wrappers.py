@@ -1,13 +1,13 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with the host's reference page (its
-shortest) by simple tree matching: the largest order-preserving
+Pages of one host are aligned with the host's reference page (of a sample the
+one of median size) by simple tree matching: the largest order-preserving
 matching of two trees with equal tags. Matched nodes with equal texts are
 constant, the others vary. The containers that together hold all of a page's
 varying text are the page's vote for the content slot. Matched nodes have equal
 tag paths, so the pages that hold a text at a tag path are counted over the
 whole host; a text on most of at least ``EVIDENCE`` different pages is template
-and opens no container. What holds a page's other text is its
+and goes, also inside the content. What holds a page's other text is its
 content: all containers with text that varies, whatever their share. Outside of
 an article or main, varying text that is all links (menus) opens no container.
 Menus, headers, footers, notices, adverts, forms and comments never are content.
@@ -42,6 +42,7 @@ from streetpulse.llm.tables import stored
 
 SALTS = 32
 EVIDENCE = 3  # different pages from which on a text held by most of them is template
+SAMPLES = 9
 FLUSH = 100_000
 DEEPEST = 150  # elements nested deeper are kept, as siblings of what they hold
 
@@ -282,7 +283,7 @@ def _varying(root: Node, constant: frozenset) -> list[Node]:
 
 
 def blocks(node: Node) -> list[str]:
-    """Texts of the blocks that are no boilerplate."""
+    """Texts of the blocks that are neither boilerplate nor constant."""
     out, current = [], []
 
     def walk(n: Node, constant: bool) -> None:
@@ -298,7 +299,7 @@ def blocks(node: Node) -> list[str]:
                 walk(c, constant)
             else:
                 flush()
-                walk(c, False)
+                walk(c, c.constant)
                 flush()
 
     def flush() -> None:
@@ -306,7 +307,7 @@ def blocks(node: Node) -> list[str]:
         current.clear()
         if text:
             out.append(text)
-    walk(node, False)
+    walk(node, node.constant)
     flush()
     return out
 
@@ -354,7 +355,12 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
     rows = stored(keyed.mapInPandas(bones, "host string, bones string").where("bones IS NOT NULL").distinct(),
                   "wrapper-bones").withColumn("hash", F.xxhash64("bones")).withColumn(
         "salt", F.pmod("hash", F.lit(SALTS)).cast("int"))
-    reference = rows.groupBy("host").agg(F.min(F.struct(F.length("bones").alias("n"), "bones"))["bones"].alias("ref"))
+    # One page by hash in each of ``SAMPLES`` parts, of these the one of median size.
+    size = F.struct(F.length("bones").alias("n"), "bones")
+    reference = rows.groupBy("host", F.pmod(F.shiftright("hash", 8), F.lit(SAMPLES)).alias("part")).agg(
+        F.min_by(size, F.struct("hash", "bones")).alias("one")).groupBy("host").agg(
+        F.sort_array(F.collect_list("one")).alias("some")).select(
+        "host", F.expr("some[cast((size(some) - 1) / 2 AS int)].bones").alias("ref"))
 
     def count(batches):
         held: Counter = Counter()

@@ -121,3 +121,17 @@ def test_the_slot_holds_all_varying_text(spark):
     assert one(spark, rows) == want
     two = [r for r in rows if r[0] % 10 < 2]  # too few pages to tell template text: the host's slot
     assert one(spark, two) == {r[0]: want[r[0]] for r in two}
+
+
+def test_constant_nodes_are_template_and_odd_pages_do_no_harm(spark):
+    """A notice without a telling name inside the article, unnamed menus around it, an empty and an error page."""
+    rows, want = [(0, "http://h.example/0", "<html></html>"), (1, "http://h.example/1", "<body><p>Error")], {0: "", 1: "Error"}
+    for i in range(2, 12):
+        a, b = varied(i, 3), varied(i + 100, 40)
+        rows.append((i, f"http://h.example/{i}", f"<body>{TOP}<article><h1>{a}</h1><p>Join our letter today</p><p>{b}</p>"
+                                                 f"<div><p>By the desk</p></div></article><div><p>All rights</p></div>"))
+        want[i] = f"{a} {b}"
+    assert one(spark, rows) == want
+    # Equal pages are one page of evidence.
+    same = [(i, f"http://s.example/{i}", rows[5][2]) for i in range(5)]
+    assert set(one(spark, same).values()) == {f"{varied(5, 3)} Join our letter today {varied(105, 40)} By the desk"}
