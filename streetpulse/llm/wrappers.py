@@ -10,7 +10,8 @@ whole host; a text on most of at least ``EVIDENCE`` different pages is template
 and goes, also inside the content. What holds a page's other text is its
 content: all containers with text that varies, whatever their share. Outside of
 an article or main, varying text that is all links (menus) opens no container.
-Menus, headers, footers, notices, adverts, forms and comments never are content.
+Menus, headers, footers, notices, adverts, forms and comments never are content;
+in an article or main a name that only contains such a word is no proof.
 
 What travels for the alignment is a page's skeleton (tags, text hashes and
 lengths), a fraction of the page; equal ones count once. A host's reference
@@ -44,7 +45,7 @@ SALTS = 32
 EVIDENCE = 3  # different pages from which on a text held by most of them is template
 SAMPLES = 9
 FLUSH = 100_000
-DEEPEST = 150  # elements nested deeper are kept, as siblings of what they hold
+DEEPEST = 150  # deeper elements (inline ones from half of it on) are siblings of what they hold; skipped ones go whole
 
 # HTML's element kinds and the names that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,20 +63,31 @@ BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsen
     banner sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr
     notice notices notification alert newsletter subscribe subscription signup login popup modal share sharing social
     comment comments respond reply replies disqus related recommended widget pagination pager toolbar""".split())
+HEADERS = frozenset("header masthead banner".split())
+_PART = re.compile(r"[^a-z]+")
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 
 
 class Node:
-    __slots__ = ("tag", "mark", "skip", "children", "constant")
+    __slots__ = ("tag", "mark", "skip", "flat", "children", "constant")
 
-    def __init__(self, tag: str, attrs: list):
+    def __init__(self, tag: str, attrs: list, inside: bool = False):
         got = {k: v or "" for k, v in reversed(attrs)}
-        names = f"{got.get('class', '')} {got.get('id', '')}".lower()
-        self.tag, self.children, self.constant = tag, [], False
+        self.tag, self.flat, self.children, self.constant = tag, False, [], False
         self.mark = tag + "".join("." + x for x in got.get("class", "").split()[:2])
-        self.skip = (tag in DROPPED or "hidden" in got or got.get("role", "").lower() in ROLES
-                     or (tag not in ("body", "html", "article", "main")
-                         and bool(BOILERPLATE.intersection(re.split(r"[^a-z]+", names)))))
+        self.skip = tag in DROPPED or "hidden" in got or got.get("role", "").lower() in ROLES
+        if not self.skip and tag not in ("body", "html", "article", "main"):
+            self.skip = named(f"{got.get('class', '')} {got.get('id', '')}".lower(), inside)
+
+
+def named(names: str, inside: bool) -> bool:
+    """Whether class and id name boilerplate: by any part of a name; in an
+    article or main only a name all of whose parts do, and that is no header.
+    Other names there are left to the count of constant texts."""
+    if not inside:
+        return bool(BOILERPLATE.intersection(_PART.split(names)))
+    parts = ({x for x in _PART.split(name) if x} for name in names.split())
+    return any(p and p <= BOILERPLATE and not p & HEADERS for p in parts)
 
 
 class Tree(HTMLParser):
@@ -85,6 +97,8 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", [])
         self.open = [self.root]
+        self.gone: list[str] = []  # open elements from a skipped one on that is too deep to open
+        self.gone_of: Counter = Counter()
         self.feed(html)
         self.close()
 
@@ -99,21 +113,47 @@ class Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             return
+        if self.gone:
+            if tag not in VOID:
+                self._lose(tag)
+            return
         if tag not in INLINE and tag not in VOID:
             self._pop(CLOSED_BY_BLOCK, CONTAINERS | {"li", "blockquote", "td", "th"})
         if tag in SAME_CLOSES:
             self._pop(SAME_CLOSES[tag].split(), SCOPE[tag].split())
-        node = Node(tag, attrs)
-        if tag == "header" and not any(n.tag in ("article", "main") for n in self.open):
+        inside = any(n.tag in ("article", "main") for n in self.open)
+        node = Node(tag, attrs, inside)
+        if tag == "header" and not inside:
             node.skip = True
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag in VOID:
+            return
+        if len(self.open) < (DEEPEST // 2 if tag in INLINE else DEEPEST):
             self.open.append(node)
+        elif node.skip:
+            self._lose(tag)
+        else:
+            node.flat = True
+
+    def _lose(self, tag: str) -> None:
+        self.gone.append(tag)
+        self.gone_of[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if self.gone:
+            if not self.gone_of[tag]:
+                if tag in INLINE or not any(n.tag == tag for n in self.open[1:]):
+                    return
+                self.gone, self.gone_of = [], Counter()  # an element around it ends
+            else:
+                last = None
+                while last != tag:
+                    last = self.gone.pop()
+                    self.gone_of[last] -= 1
+                return
         if any(n.tag == tag for n in self.open[1:]) and not (
                 tag in INLINE and any(n.tag not in INLINE for n in self._above(tag))):
             self._pop({tag})
@@ -123,7 +163,8 @@ class Tree(HTMLParser):
         return self.open[last + 1:]
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        if not self.gone:
+            self.open[-1].children.append(data)
 
 
 def own_text(node: Node, content: bool) -> tuple[str, bool, list[Node], bool]:
@@ -253,7 +294,7 @@ def _elements(node: Node) -> list[Node]:
 
 def _first(node: Node, tag: str) -> list[Node]:
     """Outermost elements with a tag, in page order, outside of boilerplate."""
-    if node.tag == tag:
+    if node.tag == tag and not node.flat:
         return [node]
     return [x for c in node.children if not isinstance(c, str) and not c.skip for x in _first(c, tag)]
 

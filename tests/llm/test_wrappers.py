@@ -135,3 +135,18 @@ def test_constant_nodes_are_template_and_odd_pages_do_no_harm(spark):
     # Equal pages are one page of evidence.
     same = [(i, f"http://s.example/{i}", rows[5][2]) for i in range(5)]
     assert set(one(spark, same).values()) == {f"{varied(5, 3)} Join our letter today {varied(105, 40)} By the desk"}
+
+
+@pytest.mark.parametrize("name", ["entry-header", "post-header", "header", "related-work", "social-policy", "alert-systems"])
+def test_names_are_no_proof_inside_an_article(name):
+    assert W.main_text(f"<article><div class='{name}'><h1>T</h1></div><p>x</p></article>", None) == "T x"
+    assert W.main_text(f"<div class='{name}'>no</div><p>x</p>", None) == "x"
+
+
+@pytest.mark.parametrize("inner", ["<nav><ul><li>no</ul></nav>", "<form><div>no</div> no</form>", "<script>no</script>",
+                                   "<style>no</style>", "<div class=ad><div>no</div>no</div>"])
+@pytest.mark.parametrize("deep", ["<b>" * 160, "<font>" * 160, "<div>" * 160])
+def test_skipped_elements_go_at_any_depth(deep, inner):
+    assert W.main_text(f"{deep}<p>a</p>{inner}<p>z</p>", None) == "a z"
+    assert W.main_text(f"<article>{deep}<p>a</p>{inner}z</article>", None) == "a z"
+    assert W.main_text(f"<b>{'<b>' * 160}<article><p>a</p>{inner}z</article>", None) == "a z"
