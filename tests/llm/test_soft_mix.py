@@ -109,3 +109,19 @@ def test_edge_cases_and_empty(spark):
         assert len(both) == 2 and both[0] == both[1]
     one = spark.createDataFrame([(i, 1, 0) for i in range(60)], labels.schema)
     assert S.mixing_rates(docs, one).count() == 60
+
+
+def test_rates_are_those_of_the_minimum(spark):
+    """Soft posteriors and zero targets: the projected gradient of the stated sum of squares is zero."""
+    rng = np.random.default_rng(3)
+    good, toxic = (1 / (1 + np.exp(-(np.where(rng.random(3000) < share, 2, -2) + rng.normal(0, 1, 3000)))) for share in (0.8, 0.1))
+    p = np.stack([good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic], 1)
+    tokens = rng.integers(1, 900, 3000)
+    rows, _ = S.fit_rates(table(spark, tokens, p))
+    x = np.array([r.rate for r in rows.orderBy("doc_id").collect()])
+    start, total = p.T @ tokens, tokens.sum()
+    error = (p.T @ (x * tokens) - np.array([S.TARGETS[d] for d in S.DOMAINS]) * total) / start
+    slope = p @ error + S.RIDGE * (x - 1)
+    assert np.abs(slope[x > 0]).max() < 1e-6 and slope[x == 0].min() > -1e-6 and (x == 0).any()
+    with pytest.raises(RuntimeError):
+        S.fit_rates(table(spark, tokens, p), steps=2)
