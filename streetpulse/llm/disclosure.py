@@ -1,18 +1,20 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans (e-mail, IP address, card, phone) are found in every whole text and
-are the protected entities. For an entity c and a term t within ``WINDOW``
-terms of one of its mentions, the corpus says how strongly t reveals c:
+are the protected entities. For an entity c and a term t anywhere in a text
+that mentions it, the corpus says how strongly t reveals c:
 PMI(c; t) = log2(N df(c, t) / (df(c) df(t))) against the information content
 IC(c) = log2(N / df(c)), where N and all df count documents of the whole
 corpus. Terms that carry at least ``REMOVE`` of the entity's information are
 removed, from ``GENERALISE`` on they are replaced by their class; estimates from
-fewer than ``SUPPORT`` documents are no evidence. Texts without protected
-entities are left alone.
+fewer than ``SUPPORT`` documents are no evidence, so an entity of one document gets
+none. All occurrences of a disclosing term go in every text that mentions the
+entity. Texts without protected entities are left alone.
 
-Document frequencies of terms are counted per task and summed; pairs exist only
-within windows, so their number is linear in the mentions. Everything joins on
-(entity, term) or term; no entity's documents are gathered.
+Document frequencies of terms are counted per task and summed. Only texts with
+entities give pairs, and of their terms only those rare enough to disclose:
+df(c, t) <= df(c), so PMI >= g IC(c) needs df(t) <= N^(1 - g) df(c)^g. Everything
+joins on text, (entity, term) or term; no entity's documents are gathered.
 
 Defined cases: a null text is empty; a null doc_id is kept; repeated rows each
 count as a document and get the same spans; an entity in every document has no
@@ -98,9 +100,8 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def nearby_terms(text: str, spans: list, window: int = WINDOW) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms within ``window`` terms of each
-    mention; parts of base spans are no terms."""
+def free_terms(text: str, spans: list) -> list[tuple[int, int]]:
+    """(start, end) of all terms; parts of base spans are no terms."""
     taken = sorted((s, e) for _, s, e, _ in spans)
     starts = [s for s, _ in taken]
     ends_so_far, top = [], 0
@@ -112,6 +113,12 @@ def nearby_terms(text: str, spans: list, window: int = WINDOW) -> list[tuple[str
         i = bisect.bisect_left(starts, m.end())
         if i == 0 or ends_so_far[i - 1] <= m.start():
             terms.append((m.start(), m.end()))
+    return terms
+
+
+def nearby_terms(text: str, spans: list, window: int = WINDOW) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) of the terms within ``window`` terms of each mention."""
+    terms = free_terms(text, spans)
     at = [s for s, _ in terms]
     out = set()
     for kind, s, e, entity in spans:
@@ -122,7 +129,7 @@ def nearby_terms(text: str, spans: list, window: int = WINDOW) -> list[tuple[str
 
 
 PASS = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-        "text_key string, near array<struct<entity:string,term:string,start:int,end:int>>, term string, n long")
+        "text_key string, entities array<string>, places array<struct<term:string,start:int,end:int>>, term string, n long")
 _PASS_NAMES = [c.split()[0] for c in PASS.split(", ")]
 
 
@@ -131,7 +138,7 @@ def text_key(text: str) -> str:
 
 
 def _scan(batches):
-    """Per row its base spans and nearby terms; per task the document
+    """Per row its base spans, and its terms if it has any; per task the document
     frequencies of all terms, in parts of at most ``FLUSH``."""
     df: Counter = Counter()
     for pdf in batches:
@@ -146,9 +153,10 @@ def _scan(batches):
             spans = base_spans(text)
             base = ",".join(f"{k}:{s}:{e}" for k, s, e, _ in spans)
             n = Counter(k for k, *_ in spans)
-            near = [dict(zip(("entity", "term", "start", "end"), x)) for x in nearby_terms(text, spans)] if spans else []
+            entities = sorted({f"{k}:{entity}" for k, _, _, entity in spans})
+            places = [{"term": text[a:b].lower(), "start": a, "end": b} for a, b in free_terms(text, spans)] if spans else []
             rows.append((doc_id, *(n[k] for k in KINDS), hashlib.sha256(base.encode()).hexdigest(), base,
-                         text_key(text) if spans else None, near, None, None))
+                         text_key(text) if spans else None, entities, places, None, None))
         yield _frame(rows)
     if df:
         yield _counts(df)
@@ -162,31 +170,35 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _counts(df: Counter) -> pd.DataFrame:
-    return _frame([(None,) * 9 + (w.decode("utf-8", "replace"), k) for w, k in df.items()])
+    return _frame([(None,) * 10 + (w.decode("utf-8", "replace"), k) for w, k in df.items()])
 
 
 def term_spans(passed: DataFrame) -> DataFrame:
     """(text_key, start, end, share, act) of the terms that disclose an entity."""
     rows = passed.where("base IS NOT NULL")
     total = rows.agg(F.count(F.lit(1))).first()[0]
-    near = rows.where("text_key IS NOT NULL").select("text_key", F.explode("near").alias("x")).select("text_key", "x.*")
-    # Documents per (entity, term) and per entity, repeated rows included.
-    per_text = rows.where("text_key IS NOT NULL").groupBy("text_key").agg(
-        F.count(F.lit(1)).alias("times"), F.first("near").alias("near"))
-    once = per_text.select("times", F.explode(F.array_distinct(F.transform(
-        "near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x")) \
-        .select("times", "x.*")
-    pairs = once.groupBy("entity", "term").agg(F.sum("times").alias("both")).where(F.col("both") >= SUPPORT)
-    entities = per_text.select("times", F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"])))
-                               .alias("entity")).groupBy("entity").agg(F.sum("times").alias("of_entity"))
-    terms = passed.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("of_term"))
-    n = F.lit(float(total or 1))
-    pmi = F.log2(n * F.col("both") / (F.col("of_entity") * F.col("of_term")))
-    share = F.try_divide(pmi, F.log2(n / F.col("of_entity")))
-    told = pairs.join(entities, "entity").join(terms, "term").select("entity", "term", share.alias("share")) \
-        .where(F.col("share") >= GENERALISE)
-    spans = near.distinct().join(told, ["entity", "term"]).groupBy("text_key", "start", "end").agg(
+    n = float(total or 1)
+    # One row per text; documents are its rows, repeated ones included.
+    texts = rows.where("text_key IS NOT NULL").groupBy("text_key").agg(
+        F.count(F.lit(1)).alias("times"), F.first("entities").alias("entities"), F.first("places").alias("places"))
+    mentions = texts.select("text_key", "times", F.explode("entities").alias("entity"))
+    entities = mentions.groupBy("entity").agg(F.sum("times").alias("of_entity")).where(F.col("of_entity") >= SUPPORT)
+    mentions = mentions.join(entities, "entity")
+    terms = passed.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("of_term")).where(
+        F.col("of_term") >= SUPPORT)
+    held = texts.join(mentions.select("text_key").distinct(), "text_key", "left_semi")
+    once = held.select("text_key", F.explode(F.array_distinct(F.col("places")["term"])).alias("term")).join(terms, "term")
+    rare = F.col("of_term") <= F.lit(n ** (1 - GENERALISE) * (1 + 1e-9)) * F.pow(F.col("of_entity"), F.lit(GENERALISE))
+    pairs = once.join(mentions, "text_key").where(rare).groupBy("entity", "term", "of_entity", "of_term").agg(
+        F.sum("times").alias("both")).where(F.col("both") >= SUPPORT)
+    pmi = F.log2(F.lit(n) * F.col("both") / (F.col("of_entity") * F.col("of_term")))
+    share = F.try_divide(pmi, F.log2(F.lit(n) / F.col("of_entity")))
+    told = pairs.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+    # All occurrences in every text that mentions the entity.
+    marked = mentions.select("text_key", "entity").join(told, "entity").groupBy("text_key", "term").agg(
         F.max("share").alias("share"))
+    places = held.select("text_key", F.explode("places").alias("x")).select("text_key", "x.*")
+    spans = places.join(marked, ["text_key", "term"]).select("text_key", "start", "end", "share")
     return spans.withColumn("act", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise"))
 
 

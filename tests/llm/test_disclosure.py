@@ -122,3 +122,14 @@ def test_edge_cases_and_empty(spark):
     out = D.sanitised_documents(spark, df)
     assert out.columns == df.columns and out.count() == len(E.ROWS)
     assert D.personal_data(spark, E.empty(spark)).count() == 0 and D.sanitised_documents(spark, E.empty(spark)).count() == 0
+
+
+def test_all_occurrences_go_and_far_terms_count(spark):
+    """A disclosing name goes wherever it stands in the text, also if it never stands near the mention."""
+    filler = " ".join(f"plain{i}" for i in range(40))
+    rows = [(i, f"Write Miller at miller@mail.example.com now {filler} Miller {filler} Quagmire") for i in range(3)]
+    rows = [(i, f"{t} end{i}") for i, t in rows] + [(100 + i, f"{filler} now write at end") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in D.sanitised_documents(spark, df).collect()}
+    for i in range(3):
+        assert "Miller" not in out[i] and "Quagmire" not in out[i] and "plain7" in out[i] and f"end{i}" in out[i]
