@@ -342,7 +342,7 @@ def repair(spark: SparkSession, rows: DataFrame) -> DataFrame:
                     F.when(F.col("fault").isNull(), "0").when(F.col("fault") == "truncated", "1").otherwise("2"))
     segments = faulty.select("conv_id", "seg", F.struct("ord", code.alias("code")).alias("row")).groupBy(
         "conv_id", "seg").agg(F.array_join(F.array_sort(F.collect_list("row"))["code"], "").alias("codes"))
-    tables = segments.mapInPandas(_segment_tables, f"conv_id {kind}, seg bigint, illegal bigint, first string, "
+    tables = segments.mapInPandas(_segment_tables, "conv_id string, seg bigint, illegal bigint, first string, "
                                                    "last string, table string")
     together = tables.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
         "seg", "illegal", "first", "last", "table"))).alias("s")).select(
