@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetpulse.llm import adapt_join, audit_repair, blob_ledger, chat_masks, disclosure, dual_rank, lang_bloom, line_quality, qgram_decon, soft_mix, warc, wrappers
+from streetpulse.llm import adapt_join, audit_repair, blob_ledger, chat_masks, disclosure, dual_rank, lang_bloom, line_quality, qgram_decon, soft_mix, suffix_levels, warc, wrappers
 from streetpulse.llm.tables import table
 
 
@@ -52,6 +52,10 @@ def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qgram_decon.find_matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.deduplicated(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_rank.ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,13 +66,14 @@ def op13_persistent_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_line_frequency, op3_disclosure, op4_soft_mixing, op5_blob_ledger, op6_offset_masks,
                                       op7_bitmask_filters, op8_wrapper_induction, op9_adaptive_prefix_join,
-                                      op10_qgram_decontamination, op12_dual_tree, op13_persistent_audit)}
+                                      op10_qgram_decontamination, op11_suffix_levels, op12_dual_tree, op13_persistent_audit)}
 
 LLM_ORACLE = {
     "op1_warc_segments": warc.WARC_SQL,
     "op2_line_frequency": line_quality.LINE_FREQUENCY_SQL,
     "op5_blob_ledger": blob_ledger.BLOB_LEDGER_SQL,
     "op6_offset_masks": chat_masks.CHAT_SQL,
+    "op11_suffix_levels": suffix_levels.SPANS_SQL,
     "op12_dual_tree": dual_rank.RANK_SQL,
     "op13_persistent_audit": audit_repair.AUDIT_SQL,
 }
