@@ -23,7 +23,8 @@ around an anchor) to the part of their suffix, with the smallest doc_id that has
 them. There equal contexts give the smallest document, and among the different
 contexts of one gram all 50-byte windows are compared. The chunk gets back what
 is covered and cuts its texts. A gram with more than ``HOT`` occurrences never
-meets in one part: its windows are aggregated as rows, with partial sums.
+meets in one part: its windows, distinct within a chunk, go to parts of their
+own by hash.
 
 Defined cases: null and empty texts have no bytes (the digest of nothing); a
 text under 50 bytes is kept; rows with one doc_id remove nothing from each
@@ -317,9 +318,25 @@ class Hits:
         self.group = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(w))))
         self.first, self.words = self.at[runs], w[runs]
         self.low = np.minimum.reduceat(chunk.low[self.text], runs) if len(runs) else np.empty(0, np.int64)
-        self.high = np.maximum.reduceat(chunk.high[self.text], runs) if len(runs) else np.empty(0, np.int64)
         self.hot = np.isin(_text_keys(self.words), hot) if len(runs) else np.empty(0, bool)
 
+    def hot_windows(self):
+        """(hashes, smallest document of the chunk) of the distinct windows
+        around hot anchors in the order of their hashes; per hot class and place
+        the window's number, -1 beyond the text."""
+        many = np.flatnonzero(self.hot)
+        number = np.full((len(many), ROOM + 1), -1, np.int64)
+        if not len(many):
+            return np.empty((0, 2), _U), self.low[many], number
+        h1, h2, valid = windows(self.chunk.contexts(self.first[many]))
+        row, place = np.nonzero(valid)
+        h1, h2 = h1[valid], h2[valid]
+        order = np.lexsort((h2, h1))
+        runs = _runs(h1[order], h2[order])
+        number[row[order], place[order]] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(order))))
+        low, first = self.low[many][row[order]], order[runs]
+        return np.column_stack([h1[first], h2[first]]), np.minimum.reduceat(low, runs) if len(runs) else low, number
+
 
 def windows(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of contexts: (hash, hash, whether it lies within the text) of all their
@@ -335,33 +352,30 @@ def windows(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[0], hashes[1], gone[:, LENGTH:] == gone[:, :-LENGTH]
 
 
-CONTEXTS = "part int, chunk bigint, body binary, w1 bigint, w2 bigint, low bigint, high bigint"
+CONTEXTS = "part int, chunk bigint, body binary"
 
 
 def _contexts(bounds, hot):
+    """Per chunk and part the contexts of cold grams and, in parts beyond, the
+    windows of hot ones."""
     def run(batches):
         for batch in batches:
             for number, body, bodies in zip(*[batch.column(c).to_pylist() for c in ("chunk", "body", "hits")]):
                 hits = Hits(Chunk(body), bodies or [], hot.value)
-                cold = np.flatnonzero(~hits.hot)
-                w = hits.words[cold]
-                cuts = _cuts(w, bounds.value)
-                parts = np.flatnonzero(np.diff(cuts))
+                cold, n_parts = np.flatnonzero(~hits.hot), len(bounds.value) + 1
+                cuts = _cuts(hits.words[cold], bounds.value)
+                parts = np.flatnonzero(np.diff(cuts)).tolist()
                 own = [cold[cuts[p]:cuts[p + 1]] for p in parts]
                 bodies = [_packed(hits.chunk.contexts(hits.first[o]), hits.low[o]) for o in own]
-                n, none = len(parts), pa.nulls(len(parts), pa.int64())
-                yield pa.record_batch([pa.array(parts, pa.int32()), pa.array([number] * n, pa.int64()), pa.array(bodies, pa.binary()),
-                                       none, none, none, none], names=["part", "chunk", "body", "w1", "w2", "low", "high"])
-                many = np.flatnonzero(hits.hot)
-                for i in range(0, len(many), 1 << 13):
-                    some = many[i:i + (1 << 13)]
-                    h1, h2, valid = windows(hits.chunk.contexts(hits.first[some]))
-                    row = np.broadcast_to(np.arange(len(some))[:, None], valid.shape)[valid]
-                    n = len(row)
-                    yield pa.record_batch([pa.nulls(n, pa.int32()), pa.array([number] * n, pa.int64()), pa.nulls(n, pa.binary()),
-                                           pa.array(h1[valid].view(np.int64)), pa.array(h2[valid].view(np.int64)),
-                                           pa.array(hits.low[some][row]), pa.array(hits.high[some][row])],
-                                          names=["part", "chunk", "body", "w1", "w2", "low", "high"])
+                w, low, _ = hits.hot_windows()
+                cuts = np.searchsorted(w[:, 0], np.arange(n_parts, dtype=_U) * _U(((1 << 64) - 1) // n_parts))
+                cuts = np.append(cuts, len(w))
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
+                    some = slice(cuts[p], cuts[p + 1])
+                    parts.append(n_parts + p)
+                    bodies.append(_packed(w[some], low[some]))
+                yield pa.record_batch([pa.array(parts, pa.int32()), pa.array([number] * len(parts), pa.int64()),
+                                       pa.array(bodies, pa.binary())], names=["part", "chunk", "body"])
     return run
 
 
@@ -398,13 +412,11 @@ def covered_windows(c: np.ndarray, low: np.ndarray, gram_starts: np.ndarray, row
     return begin, end
 
 
-def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Contexts of one part: for each chunk's the smallest document, and what
-    windows of other contexts cover."""
-    held = [_unpacked(b) for b in pdf["body"]]
-    sizes = [len(h[1]) for h in held]
-    c, low = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-    del held
+def _settled_contexts(bodies: list) -> list[bytes]:
+    """For each chunk's contexts the smallest document that has them, and the
+    bytes that windows of other contexts cover."""
+    sizes = [len(h[1]) for h in bodies]
+    c, low = np.concatenate([h[0] for h in bodies]), np.concatenate([h[1] for h in bodies])
     w = np.ascontiguousarray(c[:, ROOM:ROOM + GRAM]).view(">u8").astype(_U)
     parts = [_column_hashes(c[i:i + ROWS]) for i in range(0, len(c), ROWS)]
     h1, h2 = (np.concatenate([p[i] for p in parts]) for i in range(2))
@@ -416,8 +428,26 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     of = np.empty(len(c), np.int64)
     of[order] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(c))))
     edges = np.cumsum([0, *sizes])
-    bodies = [_packed(least[of[a:b]], begin[of[a:b]], end[of[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
-    return pd.DataFrame({"part": pdf["part"], "chunk": pdf["chunk"], "body": bodies})
+    return [_packed(least[of[a:b]], begin[of[a:b]], end[of[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def _settled_windows(bodies: list) -> list[bytes]:
+    """For each chunk's windows the smallest document that has them."""
+    sizes = [len(h[1]) for h in bodies]
+    w, low = np.concatenate([h[0] for h in bodies]), np.concatenate([h[1] for h in bodies])
+    order = np.lexsort((w[:, 1], w[:, 0]))
+    runs = _runs(w[order, 0], w[order, 1])
+    least = np.empty(len(w), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(low[order], runs), np.diff(np.append(runs, len(w))))
+    edges = np.cumsum([0, *sizes])
+    return [_packed(least[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def _settle(n_parts: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        settled = _settled_contexts if pdf["part"].iloc[0] < n_parts else _settled_windows
+        return pd.DataFrame({"part": pdf["part"], "chunk": pdf["chunk"], "body": settled([_unpacked(b) for b in pdf["body"]])})
+    return run
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -433,38 +463,39 @@ def _cut(text: bytes, begins: np.ndarray, ends: np.ndarray):
     return int(gone.sum()), spans, hashlib.sha256(np.frombuffer(text, np.uint8)[~gone].tobytes()).hexdigest()
 
 
-def _hot_intervals(hits: Hits, rows: list):
-    """(text, begin, end) of the windows around hot anchors that a smaller
-    document holds; places are those of the buffer."""
-    known = {(r["w1"], r["w2"]): r["least"] for r in rows}
-    hot = np.flatnonzero(hits.hot[hits.group]) if len(hits.group) else []
-    out = []
-    for i in range(0, len(hot), 1 << 13):
-        some = hot[i:i + (1 << 13)]
-        h1, h2, valid = windows(hits.chunk.contexts(hits.at[some]))
-        row, place = np.nonzero(valid)
-        for r, p, a, b in zip(row, place, h1[valid].view(np.int64).tolist(), h2[valid].view(np.int64).tolist()):
-            text = hits.text[some[r]]
-            if known.get((a, b), NO_ID) < hits.chunk.low[text]:
-                begin = hits.at[some[r]] - ROOM + p
-                out.append((text, begin, begin + LENGTH))
-    return np.array(out, np.int64).reshape(-1, 3)
+def _hot_cuts(hits: Hits, least: np.ndarray) -> np.ndarray:
+    """(text, begin, end) of what a smaller document's windows cover around hot
+    anchors; places are those of the buffer. ``least`` has the smallest document
+    of each of the chunk's hot windows."""
+    number = hits.hot_windows()[2]
+    by_class = np.where(number >= 0, np.append(least, NO_ID)[number], NO_ID)
+    row = np.cumsum(hits.hot) - 1
+    hot = np.flatnonzero(hits.hot[hits.group]) if len(hits.group) else np.empty(0, np.int64)
+    out = [np.empty((0, 3), np.int64)]
+    for i in range(0, len(hot), ROWS):
+        some = hot[i:i + ROWS]
+        covered = by_class[row[hits.group[some]]] < hits.chunk.low[hits.text[some]][:, None]
+        some, covered = some[covered.any(axis=1)], covered[covered.any(axis=1)]
+        begin = hits.at[some] - ROOM
+        out.append(np.column_stack([hits.text[some], begin + covered.argmax(axis=1),
+                                    begin + ROOM - covered[:, ::-1].argmax(axis=1) + LENGTH]))
+    return np.concatenate(out)
 
 
 def _apply(hot):
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("chunk", "body", "hits", "settled", "rows")]
-            for _, body, bodies, settled, rows in zip(*columns):
+            for body, bodies, settled in zip(*[batch.column(c).to_pylist() for c in ("body", "hits", "settled")]):
                 chunk = Chunk(body)
                 hits = Hits(chunk, bodies or [], hot.value)
                 least = np.full(len(hits.first), NO_ID)
                 begin, end = np.zeros(len(hits.first), np.int64), np.zeros(len(hits.first), np.int64)
                 answers = [_unpacked(s["body"]) for s in sorted(settled or [], key=lambda s: s["part"])]
-                if answers:
+                of_contexts, of_windows = [a for a in answers if len(a) == 3], [a[0] for a in answers if len(a) == 1]
+                if of_contexts:
                     cold = np.flatnonzero(~hits.hot)
                     for whole, i in ((least, 0), (begin, 1), (end, 2)):
-                        whole[cold] = np.concatenate([a[i] for a in answers])
+                        whole[cold] = np.concatenate([a[i] for a in of_contexts])
                 # what a smaller document with the same context covers: all windows within the text
                 size = np.array([len(t) for t in chunk.texts], np.int64)[hits.text]
                 inside = hits.at - chunk.starts[hits.text]
@@ -474,7 +505,8 @@ def _apply(hot):
                 b = np.where(whole, hits.at + GRAM + right, hits.at - ROOM + end[hits.group])
                 some = np.where(whole, left + right >= ROOM, end[hits.group] > 0)
                 cuts = np.column_stack([hits.text[some], a[some], b[some]])
-                cuts = np.concatenate([cuts, _hot_intervals(hits, rows or [])])
+                if of_windows:
+                    cuts = np.concatenate([cuts, _hot_cuts(hits, np.concatenate(of_windows))])
                 cuts = cuts[np.argsort(cuts[:, 0], kind="stable")]
                 edges = np.searchsorted(cuts[:, 0], np.arange(len(chunk.texts) + 1))
                 out = []
@@ -537,16 +569,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = N
     hits = told.where("kind = 'hit'").groupBy("chunk").agg(F.collect_list("body").alias("hits"))
     found = stored(chunks.join(hits.hint("merge"), "chunk", "left").select("chunk", "body", "hits").mapInArrow(
         _contexts(bounds, hot), CONTEXTS), "suffix-contexts")
-    settled = stored(found.where("body IS NOT NULL").select("part", "chunk", "body").groupBy("part").applyInPandas(
-        _settle, "part int, chunk bigint, body binary"), "suffix-settled")
-    rows = found.where("body IS NULL").select("chunk", "w1", "w2", "low", "high")
-    least = rows.groupBy("w1", "w2").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").drop("most")
-    rows = rows.select("chunk", "w1", "w2").distinct().join(least, ["w1", "w2"]).groupBy("chunk").agg(
-        F.collect_list(F.struct("w1", "w2", "least")).alias("rows"))
+    settled = stored(found.groupBy("part").applyInPandas(_settle(len(bounds.value) + 1), CONTEXTS), "suffix-settled")
     answers = settled.groupBy("chunk").agg(F.collect_list(F.struct("part", "body")).alias("settled"))
-    both = chunks.join(hits.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left").join(
-        rows.hint("merge"), "chunk", "left")
-    return both.select("chunk", "body", "hits", "settled", "rows").mapInArrow(_apply(hot), RESULT)
+    both = chunks.join(hits.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left")
+    return both.select("body", "hits", "settled").mapInArrow(_apply(hot), RESULT)
 
 
 # Bytes as pairs of hex digits; every window as a row.
