@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetpulse.llm.tables import stored
+from streetpulse.session import scratch_path
 
 LENGTH = 50
 GRAM = 16
@@ -533,6 +534,21 @@ def _bounds(chunks: DataFrame, parts: int) -> np.ndarray:
     return np.unique(keys[np.linspace(0, len(keys), parts, endpoint=False).astype(int)[1:]])
 
 
+def _scan_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """A scan's rows written by kind to a fresh folder of the shared checkpoint
+    folder, and that folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "suffix-scan")
+    df.write.partitionBy("kind").parquet(path)
+    return spark.read.schema(SCANNED).parquet(path), path
+
+
+def _superseded(spark: SparkSession, path: str) -> None:
+    """Deletes a level that a written one has replaced; nothing reads it again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/kind=level")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of
     (doc_id, text)."""
@@ -544,7 +560,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = N
     hot_least = max(HOT, entries >> HOT_SHARE)
     bounds = spark.sparkContext.broadcast(_bounds(chunks, max(16, -(-entries // PART_ENTRIES))))
     n_batches = n_batches or BATCHES
-    levels: dict[int, DataFrame] = {}
+    levels: dict[int, tuple[DataFrame, str]] = {}
     scans = []
     for i in range(n_batches):
         batch = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(n_batches)) == i).mapInArrow(_suffix_arrays(bounds), ARRAYS)
@@ -553,13 +569,14 @@ def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = N
             carried.add(new)
             new += 1
         rows = batch
-        for level in levels.values():
+        for level, _ in levels.values():
             rows = rows.unionByName(level)
-        scanned = stored(rows.groupBy("part").applyInPandas(
-            _merge_scan(frozenset(carried), new if i < n_batches - 1 else -1, hot_least), SCANNED), "suffix-scan")
-        for c in carried:
-            del levels[c]
-        levels[new] = scanned.where("kind = 'level'").drop("kind")
+        last = i == n_batches - 1
+        scanned, path = _scan_table(rows.groupBy("part").applyInPandas(
+            _merge_scan(frozenset(carried), -1 if last else new, hot_least), SCANNED))
+        for level in list(levels) if last else carried:
+            _superseded(spark, levels.pop(level)[1])
+        levels[new] = scanned.where("kind = 'level'").drop("kind"), path
         scans.append(scanned)
     told = scans[0]
     for s in scans[1:]:
