@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -543,6 +544,15 @@ def _scan_table(df: DataFrame) -> tuple[DataFrame, str]:
     return spark.read.schema(SCANNED).parquet(path), path
 
 
+def _bucketed(chunks: DataFrame) -> tuple[DataFrame, str]:
+    """The chunks as a table bucketed by chunk in the shared checkpoint folder:
+    what is known of a chunk joins it without moving its texts."""
+    spark, name = chunks.sparkSession, f"suffix_chunks_{uuid.uuid4().hex}"
+    chunks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option(
+        "path", scratch_path(spark, "suffix-chunks")).saveAsTable(name)
+    return spark.table(name), name
+
+
 def _superseded(spark: SparkSession, path: str) -> None:
     """Deletes a level that a written one has replaced; nothing reads it again."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/kind=level")
@@ -553,8 +563,8 @@ def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = N
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of
     (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = stored(docs.mapInArrow(_pack, "body binary, bytes bigint").withColumn("chunk", F.monotonically_increasing_id()),
-                    "suffix-chunks")
+    chunks, name = _bucketed(docs.mapInArrow(_pack, "body binary, bytes bigint").withColumn(
+        "chunk", F.monotonically_increasing_id()))
     total = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     entries = int(total * DENSITY)
     hot_least = max(HOT, entries >> HOT_SHARE)
@@ -589,7 +599,9 @@ def deduplicated(spark: SparkSession, docs: DataFrame, n_batches: int | None = N
     settled = stored(found.groupBy("part").applyInPandas(_settle(len(bounds.value) + 1), CONTEXTS), "suffix-settled")
     answers = settled.groupBy("chunk").agg(F.collect_list(F.struct("part", "body")).alias("settled"))
     both = chunks.join(hits.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left")
-    return both.select("body", "hits", "settled").mapInArrow(_apply(hot), RESULT)
+    result = stored(both.select("body", "hits", "settled").mapInArrow(_apply(hot), RESULT), "suffix-result")
+    spark.sql(f"DROP TABLE {name}")
+    return result
 
 
 # Bytes as pairs of hex digits; every window as a row.

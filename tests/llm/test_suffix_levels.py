@@ -123,3 +123,11 @@ def test_levels_merge_geometrically():
     assert counts.tolist() == [1, 2, 3, 1, 1] and known.tolist() == [False, True, True, False, False]
     hits, none = scan([batch(4, [9, 3])] + level1, frozenset(), -1, 100)
     assert hits == {3: [9], 4: [3, 9]} or hits == {3: [9], 4: [9, 3]} and none == []
+
+
+def test_texts_are_not_shuffled(spark):
+    chunks, name = S._bucketed(spark.range(3).selectExpr("id AS chunk", "CAST('x' AS binary) AS body"))
+    hits = spark.range(9).selectExpr("id % 3 AS chunk", "id AS hit").groupBy("chunk").count()
+    plan = chunks.join(hits.hint("merge"), "chunk", "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(chunk") == 1 and "Bucketed: true" in plan
+    spark.sql(f"DROP TABLE {name}")
