@@ -980,9 +980,7 @@ def _run_buffers(spark, d, source=readings_stream, retention="24 hours"):
     def sink(df, batch_id):
         SK.write_batch(df, base + "/table", batch_id)
 
-    q = (SB.buffered_stream(valid_s, retention=retention).writeStream.outputMode("append").foreachBatch(sink)
-         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    SB.start_buffers(valid_s, sink, base + "/checkpoint", retention=retention).awaitTermination()
     return SK.read_versions(spark, base + "/table")
 
 

@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -107,3 +108,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     (stream checkpoints, materialised tables that cut lineage)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "streetpulse", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in the RocksDB store, which
+    state variables and timers need. A stream takes its settings when it
+    starts, so the session's own setting is put back right after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -1,113 +1,201 @@
 """Count-based state per sensor (T4) with the running spike check.
 
-``applyInPandasWithState`` keeps, per sensor, the last ``n`` readings across
-all metrics (ordered by event time, ties by event_id) and the last three
-values per metric. Each micro-batch emits the buffer's per-metric statistics
-(``kind = 'stats'``, the on-demand aggregates of A2) and every reading that is a
-spike (``kind = 'spike'``, the Q4 rule checked on every reading). The state is
-bounded (n + 3 per metric rows) and dropped by an event-time timeout after
+A stateful processor keeps, per sensor, the last ``n`` readings across all
+metrics (list state, ordered by event time, ties by event_id) and the last
+three values per metric (map state). Each micro-batch emits the buffer's
+per-metric statistics (``kind = 'stats'``, the on-demand aggregates of A2) and
+every reading that is a spike (``kind = 'spike'``, the Q4 rule checked on every
+reading). State lives in the RocksDB store; an event-time timer drops it after
 ``retention`` without data (T5).
 
-Within a micro-batch the readings of a sensor are sorted by event time;
-readings older than the buffer's oldest are dropped when it is full, so for
-on-time data the result equals the batch operators Q3/A2/Q4.
+A sensor's readings of a micro-batch arrive as a stream of Arrow batches in any
+order. The newest ``n`` are kept as they pass. The spike rule needs event-time
+order: up to ``spool_rows`` readings are sorted in memory; what is beyond goes to
+a map state keyed by time bucket, on the store's disk, and is taken back bucket
+by bucket, so a sensor with any number of readings in one batch holds
+``spool_rows`` plus one bucket in memory. Readings older than the buffer's
+oldest are dropped when it is full, so for on-time data the result equals the
+batch operators Q3/A2/Q4.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty or all-NA.*")
+from ..session import rocksdb_state
 
 OUTPUT_SCHEMA = ("kind string, sensor_id string, metric string, event_id long, ts timestamp, value double, "
                  "avg_value double, min_value double, max_value double, count long, window_size long, "
                  "range_start timestamp, range_end timestamp")
-STATE_SCHEMA = ("buf_event_id array<long>, buf_ts array<long>, buf_metric array<string>, buf_value array<double>, "
-                "tail_event_id array<long>, tail_ts array<long>, tail_metric array<string>, tail_value array<double>")
-_COLS = ["event_id", "ts_us", "metric", "value"]
-
-
-def _frame(ids, ts, metric, value) -> pd.DataFrame:
-    return pd.DataFrame({"event_id": np.asarray(ids, dtype="int64"), "ts_us": np.asarray(ts, dtype="int64"),
-                         "metric": pd.Series(metric, dtype="object"), "value": np.asarray(value, dtype="float64")})
-
-
-def make_state_fn(n: int = 20, retention_ms: int = 24 * 3600 * 1000):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        sensor_id = key[0]
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            s = state.get
-            buf = _frame(s[0], s[1], s[2], s[3])
-            tail = _frame(s[4], s[5], s[6], s[7])
+_NAMES = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
+_READING = "event_id long, ts_us long, metric string, value double"
+_READINGS = "event_id array<long>, ts_us array<long>, metric array<string>, value array<double>, old array<boolean>"
+_KINDS = (np.int64, np.int64, object, np.float64, bool)
+SPIKE_VALUES = 3
+
+
+def _arrays(*columns) -> list[np.ndarray]:
+    """Readings as arrays event_id, ts_us, metric, value, old."""
+    return [np.asarray(c, dtype=k) for c, k in zip(columns, _KINDS)]
+
+
+_NONE = _arrays(*[[]] * 5)
+
+
+def _together(parts: list) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*parts)] if parts else _NONE
+
+
+def _in_order(readings: list[np.ndarray]) -> list[np.ndarray]:
+    order = np.lexsort((readings[0], readings[1]))
+    return [c[order] for c in readings]
+
+
+def find_spikes(readings: list[np.ndarray], carried: dict) -> list[tuple]:
+    """(metric, event_id, ts_us, value, mean of the last three) of the spikes
+    among the readings that are not old; ``carried`` has each metric's last
+    readings before these and is moved on."""
+    readings, found = _in_order(readings), []
+    for metric in sorted(set(readings[2])):
+        own = readings[2] == metric
+        ids, ts, _, value, old = _together([carried.get(metric, _NONE), [c[own] for c in readings]])
+        carried[metric] = [c[-SPIKE_VALUES:] for c in (ids, ts, np.full(len(ids), metric, object), value, np.ones(len(ids), bool))]
+        recent = (value[:-2] + value[1:-1] + value[2:]) / 3.0
+        for i in np.flatnonzero(~old[2:] & (value[2:] > recent * 2)):
+            found.append((metric, int(ids[i + 2]), int(ts[i + 2]), float(value[i + 2]), float(recent[i])))
+    return found
+
+
+class SensorBuffer(StatefulProcessor):
+    def __init__(self, n: int, retention_ms: int, spool_rows: int = 200_000, bucket_us: int = 3_600_000_000):
+        self.n, self.retention_ms, self.spool_rows, self.bucket_us = n, retention_ms, spool_rows, bucket_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.recent = handle.getListState("recent", _READING)
+        self.tails = handle.getMapState("tails", "metric string", "event_id array<long>, ts_us array<long>, value array<double>")
+        self.spool = handle.getMapState("spool", "bucket long, seq long", _READINGS)
+
+    def close(self) -> None:
+        pass
+
+    def _to_spool(self, parts: list, buckets: dict) -> None:
+        readings = _together(parts)
+        bucket = readings[1] // self.bucket_us
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        for own in np.split(order, cuts):
+            key = int(bucket[own[0]])
+            seq = buckets.get(key, 0)
+            self.spool.updateValue((key, seq), tuple(c[own].tolist() for c in readings))
+            buckets[key] = seq + 1
+
+    def _from_spool(self, bucket: int, parts: int) -> list[np.ndarray]:
+        taken = []
+        for seq in range(parts):
+            taken.append(_arrays(*self.spool.getValue((bucket, seq))))
+            self.spool.removeKey((bucket, seq))
+        return _together(taken)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = [tuple(r) for r in self.recent.get()]
+        known = bool(held)
+        recent = _arrays(*zip(*held), [True] * len(held)) if held else _NONE
+        tails = {}
+        for (metric,), (ids, ts, value) in list(self.tails.iterator()):
+            tails[metric] = _arrays(ids, ts, [metric] * len(ids), value, [True] * len(ids))
+        pending, waiting, buckets = list(tails.values()), 0, {}
+        for pdf in rows:
+            ts = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+            new = _arrays(pdf["event_id"], ts, pdf["metric"], pdf["value"], np.zeros(len(pdf), bool))
+            recent = [c[-self.n:] for c in _in_order(_together([recent, new]))]
+            pending.append(new)
+            waiting += len(pdf)
+            if waiting > self.spool_rows:
+                self._to_spool(pending, buckets)
+                pending, waiting = [], 0
+        carried: dict = {}
+        if buckets:
+            if pending:
+                self._to_spool(pending, buckets)
+            for bucket in sorted(buckets):
+                yield from self._spikes(key[0], find_spikes(self._from_spool(bucket, buckets[bucket]), carried))
         else:
-            buf = tail = _frame([], [], [], [])
-        parts = [p for p in pdfs if len(p)]
-        if not parts:
-            return
-        new = pd.concat(parts, ignore_index=True)
-        new = _frame(new["event_id"], pd.to_datetime(new["ts"]).astype("int64") // 1000, new["metric"], new["value"])
-        new = new.sort_values(["ts_us", "event_id"], kind="stable")
-
-        # Spikes, last three values per metric (state tail + this batch)
-        comb = pd.concat([tail.assign(_old=True), new.assign(_old=False)], ignore_index=True)
-        comb = comb.sort_values(["metric", "ts_us", "event_id"], kind="stable")
-        held = comb.groupby("metric", sort=False)["value"]
-        recent_avg = (held.shift(2) + held.shift(1) + comb["value"]) / 3.0
-        hit = (~comb["_old"]) & (comb["value"] > recent_avg * 2)
-        spikes = comb[hit].assign(recent_avg=recent_avg[hit])
-        new_tail = comb.groupby("metric", sort=False).tail(3)
-
-        # T4: last n readings across metrics
-        merged = pd.concat([buf, new], ignore_index=True).sort_values(["ts_us", "event_id"], kind="stable")
-        buf = merged.tail(n)
-
-        state.update((buf["event_id"].tolist(), buf["ts_us"].tolist(), buf["metric"].tolist(), buf["value"].tolist(),
-                      new_tail["event_id"].tolist(), new_tail["ts_us"].tolist(), new_tail["metric"].tolist(),
-                      new_tail["value"].tolist()))
-        state.setTimeoutTimestamp(int(merged["ts_us"].max() // 1000) + retention_ms)
-
-        rs, re = pd.to_datetime(buf["ts_us"].min(), unit="us"), pd.to_datetime(buf["ts_us"].max(), unit="us")
-        stats = []
-        for metric, g in buf.groupby("metric", sort=True):
-            stats.append({"kind": "stats", "sensor_id": sensor_id, "metric": metric, "event_id": None, "ts": None,
-                          "value": None, "avg_value": float(g["value"].mean()), "min_value": float(g["value"].min()),
-                          "max_value": float(g["value"].max()), "count": len(g), "window_size": len(buf),
-                          "range_start": rs, "range_end": re})
-        names = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-        rows = [pd.DataFrame(stats, columns=names)]
-        if len(spikes):
-            k = len(spikes)
-            rows.append(pd.DataFrame({
-                "kind": ["spike"] * k, "sensor_id": [sensor_id] * k, "metric": spikes["metric"].to_numpy(),
-                "event_id": spikes["event_id"].to_numpy(), "ts": pd.to_datetime(spikes["ts_us"], unit="us").to_numpy(),
-                "value": spikes["value"].to_numpy(), "avg_value": spikes["recent_avg"].to_numpy(),
-                "min_value": np.nan, "max_value": np.nan, "count": pd.NA, "window_size": pd.NA,
-                "range_start": pd.NaT, "range_end": pd.NaT}, columns=names))
-        out = pd.concat(rows, ignore_index=True)
-        for c in ["min_value", "max_value", "avg_value", "value"]:
-            out[c] = out[c].astype("float64")
-        for c in ["count", "window_size", "event_id"]:
-            out[c] = out[c].astype("Int64")
-        yield out[[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]]
-    return fn
-
-
-def buffered_stream(readings: DataFrame, n: int = 20, retention: str = "24 hours") -> DataFrame:
+            yield from self._spikes(key[0], find_spikes(_together(pending), carried))
+        for metric, last in carried.items():
+            old = tails.get(metric)
+            if old is None or not np.array_equal(old[0], last[0]):
+                self.tails.updateValue((metric,), (last[0].tolist(), last[1].tolist(), last[3].tolist()))
+        self.recent.put(list(zip(*[c.tolist() for c in recent[:4]])))
+        if not known:   # one timer a sensor, moved on when it expires
+            self.handle.registerTimer(int(recent[1][-1]) // 1000 + self.retention_ms)
+        yield self._stats(key[0], recent)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        newest = max((r[1] for r in self.recent.get()), default=None)
+        due = None if newest is None else newest // 1000 + self.retention_ms
+        if due is not None and due > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(due)
+        else:
+            self.recent.clear()
+            self.tails.clear()
+        return iter([])
+
+    def _spikes(self, sensor_id, found: list) -> Iterator[pd.DataFrame]:
+        if found:
+            metric, ids, ts, value, recent = zip(*found)
+            yield _frame(kind="spike", sensor_id=sensor_id, metric=metric, event_id=ids,
+                         ts=np.array(ts, "datetime64[us]"), value=value, avg_value=recent)
+
+    def _stats(self, sensor_id, recent: list[np.ndarray]) -> pd.DataFrame:
+        _, ts, metric, value, _ = recent
+        names = sorted(set(metric))
+        own = [value[metric == m] for m in names]
+        start, end = ts[[0, -1]].astype("datetime64[us]")
+        return _frame(kind="stats", sensor_id=sensor_id, metric=names, avg_value=[float(v.mean()) for v in own],
+                      min_value=[v.min() for v in own], max_value=[v.max() for v in own], count=[len(v) for v in own],
+                      window_size=len(ts), range_start=start, range_end=end)
+
+
+def _frame(**columns) -> pd.DataFrame:
+    """Output rows; columns not given are null."""
+    n = len(columns["metric"])
+    out = {}
+    for name in _NAMES:
+        value = columns.get(name)
+        if name in ("event_id", "count", "window_size"):
+            out[name] = pd.array([None] * n if value is None else [value] * n if np.isscalar(value) else value, dtype="Int64")
+        elif name in ("ts", "range_start", "range_end"):
+            out[name] = np.full(n, np.datetime64("NaT"), "datetime64[us]") if value is None else (
+                value if isinstance(value, np.ndarray) else np.full(n, value))
+        elif name in ("kind", "sensor_id", "metric"):
+            out[name] = [value] * n if isinstance(value, str) else list(value)
+        else:
+            out[name] = np.full(n, np.nan) if value is None else np.asarray(value, np.float64)
+    return pd.DataFrame(out, columns=_NAMES)
+
+
+def buffered_stream(readings: DataFrame, n: int = 20, retention: str = "24 hours", spool_rows: int = 200_000) -> DataFrame:
     """T4/T6 over a readings stream (``ts`` cast to TIMESTAMP, watermarked by
-    the retention so that idle sensors' state times out)."""
+    the retention so that idle sensors' state times out). Start it within
+    ``rocksdb_state``, or with ``start_buffers``."""
     r = (readings.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", retention)
          .select("sensor_id", "event_id", "ts", "metric", "value"))
     kept = pd.Timedelta(retention)  # fails on a text that is no duration
-    return r.groupBy("sensor_id").applyInPandasWithState(
-        make_state_fn(n, int(kept.total_seconds() * 1000)), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    processor = SensorBuffer(n, int(kept.total_seconds() * 1000), spool_rows)
+    return r.groupBy("sensor_id").transformWithStateInPandas(processor, OUTPUT_SCHEMA, "Append", "EventTime")
+
+
+def start_buffers(readings: DataFrame, sink, checkpoint: str, n: int = 20, retention: str = "24 hours",
+                  spool_rows: int = 200_000, trigger: dict | None = None):
+    """Run T4/T6; ``sink(df, batch_id)`` takes each micro-batch's rows."""
+    stream = buffered_stream(readings, n, retention, spool_rows)
+    with rocksdb_state(readings.sparkSession):
+        return (stream.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"availableNow": True})).start())
