@@ -59,16 +59,25 @@ def aggregates_minute(valid: DataFrame, limits=None, event_time_window: bool = F
 
     ``event_time_window``: group by ``window(ts, '1 minute')`` (needed by a
     watermarked stream, T1); ``ts`` must then be a TIMESTAMP."""
-    limits = list(limits if limits is not None else schema.ALERT_LIMITS)
-    wide_metrics = [m for m, _ in schema.WIDE_COLUMNS]
-    extra = sorted({m for _, m, *_ in limits} - set(wide_metrics))
-    aggs = [mean(F.when(F.col("metric") == m, F.col("value"))).alias(m)
-            for m in wide_metrics + extra]
+    aggs = [mean(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in minute_metrics(limits)]
     if event_time_window:
         g = (valid.groupBy("sensor_id", F.window("ts", "1 minute").alias("_w")).agg(*aggs)
              .withColumn("window_start", F.col("_w.start").cast("timestamp_ntz")).drop("_w"))
     else:
         g = valid.groupBy("sensor_id", minute_floor("ts").alias("window_start")).agg(*aggs)
+    return minute_rows(g, limits)
+
+
+def minute_metrics(limits=None) -> list[str]:
+    """Metrics a minute row needs: those of its columns and those with limits."""
+    wide_metrics = [m for m, _ in schema.WIDE_COLUMNS]
+    return wide_metrics + sorted({m for _, m, *_ in (limits if limits is not None else schema.ALERT_LIMITS)} - set(wide_metrics))
+
+
+def minute_rows(g: DataFrame, limits=None) -> DataFrame:
+    """D3 rows from one row per (sensor_id, window_start) with a mean per metric
+    (P9), with the breached metrics and the status of the means (B1)."""
+    limits = list(limits if limits is not None else schema.ALERT_LIMITS)
     sev_terms, rank_terms = [], []
     for stype, metric, warning, critical, direction in limits:
         sev = F.when(_reading_type(metric) == stype,

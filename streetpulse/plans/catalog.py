@@ -913,6 +913,8 @@ from ..session import scratch_path  # noqa: E402
 from ..streaming import alerting as SA  # noqa: E402
 from ..streaming import buffers as SB  # noqa: E402
 from ..streaming import minutes as SM  # noqa: E402
+from ..streaming import partials as SP  # noqa: E402
+from ..streaming import rollups as SR  # noqa: E402
 from ..streaming import sinks as SK  # noqa: E402
 
 
@@ -923,13 +925,13 @@ def readings_stream(spark, d):
 SLICES, FILES = 4, 4
 
 
-def sliced_stream(spark, d):
-    """The events as a stream of ``SLICES`` micro-batches in event-time order:
-    time slices written one after the other as ``FILES`` files each."""
+def sliced_stream(spark, d, order=tuple(range(SLICES))):
+    """The events as a stream of micro-batches: ``SLICES`` time slices written
+    one after the other, in ``order``, as ``FILES`` files each."""
     path = scratch_path(spark, "events-sliced")
     ev = FX.events(spark, d)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
-    for i in range(SLICES if lo is not None else 0):
+    for i in order if lo is not None else ():
         start, end = (F.lit(lo + (hi - lo) * k / SLICES) for k in (i, i + 1))
         inside = (F.col("ts") >= start) & ((F.col("ts") < end) if i < SLICES - 1 else F.lit(True))
         ev.filter(inside).repartition(FILES).write.mode("append").parquet(path)
@@ -963,12 +965,77 @@ def q_t2(spark, d):
     return agg_text(SK.read_upserted(spark, base + "/table"))
 
 
+def _maintained(spark, d, sink=None):
+    """The minute table kept up to date by four micro-batches, with a fold after
+    every second one; ``sink`` sees the table, the batch's rows and its number."""
+    base = scratch_path(spark, "minute-days")
+    table = SM.minute_day_table(spark, base + "/minutes")
+
+    def on_batch(df, batch_id):
+        if sink:
+            sink(base, table, df, batch_id)
+        if batch_id == 1:
+            table.fold()
+
+    SM.start_minute_days(sliced_stream(spark, d), schema.valid_ranges(spark), table, base + "/checkpoint",
+                         on_batch=on_batch).awaitTermination()
+    return base, table
+
+
 @register("S4", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL}, CAST(window_start AS DATE) AS day FROM agg")
 def q_s4(spark, d):
-    """Versioned upserts compacted into a day-partitioned table, read back."""
-    base = _run_minutes(spark, d, "update")
-    SK.compact(spark, base + "/table", base + "/compacted")
-    return agg_text(spark.read.parquet(base + "/compacted"))
+    """Upserts of four micro-batches; the days of the first two are folded,
+    the rest is merged on read."""
+    return agg_text(_maintained(spark, d)[1].read())
+
+
+@register("T2_late", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg")
+def q_t2_late(spark, d):
+    """T2 with a whole slice behind the watermark: its partial sums go to the
+    side table and are merged into the emitted minutes by reconciliation."""
+    base = scratch_path(spark, "late-minutes")
+    late = SP.LateMinutes(spark, base)
+    late.start(sliced_stream(spark, d, (0, 2, 3, 1)), schema.valid_ranges(spark), base + "/checkpoint").awaitTermination()
+    late.reconcile()
+    return agg_text(late.minutes())
+
+
+def _hours(spark, d):
+    """The hour table maintained with the minute table: each micro-batch
+    recomputes the hours it touches."""
+    hours = []
+
+    def sink(base, table, df, batch_id):
+        if not hours:
+            hours.append(SR.hour_table(spark, base + "/hours"))
+        SR.refresh_hours(table, hours[0], df, batch_id)
+        if batch_id == 2:
+            hours[0].fold()
+
+    base, _ = _maintained(spark, d, sink)
+    return (hours[0] if hours else SR.hour_table(spark, base + "/hours")).read()
+
+
+@register("A13_view", A13_SQL)
+def q_a13_view(spark, d):
+    """A13 from the maintained hour table."""
+    return SR.vehicle_rollup(_hours(spark, d), meta(spark, d), "traffic_loop", "1hour", "1week")
+
+
+@register("A13_view_day", f"""
+SELECT bucket_start, {_mean('vehicle_count_per_min')} AS avg_vehicles, count(*) AS n, strftime(bucket_start, '%-m/%-d') AS label
+FROM (SELECT *, date_trunc('day', window_start)::TIMESTAMP AS bucket_start FROM {HIST_SQL['traffic_loop']}
+      WHERE vehicle_count_per_min IS NOT NULL)
+GROUP BY bucket_start""")
+def q_a13_view_day(spark, d):
+    """A13 by day from the maintained hour table."""
+    return SR.vehicle_rollup(_hours(spark, d), meta(spark, d), "traffic_loop", "1day", "month")
+
+
+@register("A14_view")
+def q_a14_view(spark, d):
+    """A14 from the maintained hour table."""
+    return SR.hour_profiles(_hours(spark, d), meta(spark, d), [("traffic_loop", "avg_wait_time_s"), ("air_quality", "pm25")])
 
 
 def _run_buffers(spark, d, source=readings_stream, retention="24 hours"):
@@ -1044,36 +1111,59 @@ for _name in ("T1", "T4", "T6"):
 
 
 def _run_alerts(spark, d):
+    """(folder, alert table) after the alert stream."""
     base = scratch_path(spark, "alerts")
-    q = SA.start_alerts(readings_stream(spark, d), schema.alert_limits(spark), base + "/alerts",
+    table = SA.alert_table(spark, base + "/alerts")
+    q = SA.start_alerts(readings_stream(spark, d), schema.alert_limits(spark), table,
                         base + "/messages", base + "/checkpoint")
     q.awaitTermination()
-    return base
+    return base, table
 
 
 @register("T7_stream", f"SELECT {ALERT_COLS} FROM alerts")
 def q_t7_stream(spark, d):
     """Streaming alerts written by the S5 sink, read back from the table."""
-    base = _run_alerts(spark, d)
-    a = SK.read_versions(spark, base + "/alerts").drop(*SK.VERSION)
+    a = _run_alerts(spark, d)[1].read().drop("day")
     return a.select(*[c for c in a.columns if c != "location"], F.col("location")["road"].alias("road"))
 
 
-@register("S8_stored", f"SELECT alert_id, resolved FROM {RESOLVED_SQL}")
-def q_s8_stored(spark, d):
-    """S8 on the stored alert table: old alerts resolved, written as a new version."""
-    base = _run_alerts(spark, d)
-    stored = SK.newest_versions(SK.read_versions(spark, base + "/alerts"), ("alert_id",))
+def _resolved_table(spark, d):
+    """The stored alert table with old alerts resolved: the ids are written as
+    marks, half of them folded in, the others merged on read."""
+    table = _run_alerts(spark, d)[1]
+    stored = table.read()
     newest = stored.agg(F.max("timestamp")).scalar()
     ids = stored.filter(F.col("timestamp") < F.timestamp_add("DAY", F.lit(-7), newest)).select("alert_id")
-    SK.resolve_in_table(spark, base + "/alerts", ids, base + "/resolved")
-    return spark.read.parquet(base + "/resolved").select("alert_id", "resolved")
+    half = F.pmod(F.xxhash64("alert_id"), F.lit(2))
+    table.mark_keys(ids.filter(half == 0), 0, "resolve")
+    table.fold()
+    table.mark_keys(ids.filter(half == 1), 1, "resolve")
+    return table.read()
+
+
+@register("S8_stored", f"SELECT alert_id, resolved FROM {RESOLVED_SQL}")
+def q_s8_stored(spark, d):
+    """S8 on the stored alert table: only the resolved ids are written."""
+    return _resolved_table(spark, d).select("alert_id", "resolved")
+
+
+@register("S7_stored")
+def q_s7_stored(spark, d):
+    """S7 from the stored alert table."""
+    return AL.unresolved(_resolved_table(spark, d)).select(
+        "alert_id", "sensor_id", "sensor_type", "metric", "value", "severity", "timestamp")
+
+
+@register("A17_stored")
+def q_a17_stored(spark, d):
+    """A17 from the stored alert table."""
+    return AL.alert_counts(_resolved_table(spark, d))
 
 
 @register("S5", "SELECT alert_id, sensor_id, severity, message FROM alerts")
 def q_s5(spark, d):
     """The alert topic side of the sink (JSON messages), parsed back."""
-    base = _run_alerts(spark, d)
+    base, _ = _run_alerts(spark, d)
     msgs = spark.read.json(base + "/messages")
     m = F.from_json("value", "alert_id string, sensor_id string, severity string, message string")
     return msgs.select(m.alias("m")).select("m.*")
@@ -1307,6 +1397,8 @@ def q_flagship(spark, d):
     return q_a3(spark, d)
 
 
+for _view, _whole in (("A14_view", "A14"), ("S7_stored", "S7"), ("A17_stored", "A17")):
+    ORACLE[_view] = ORACLE[_whole]
 ORACLE["flagship"] = ORACLE["A3"]
 
 
@@ -1316,10 +1408,10 @@ ORACLE["flagship"] = ORACLE["A3"]
 DIGITS = 9
 _WIDE = "vehicle_count_per_min avg_speed_kmh avg_wait_time_s pm25 noise_db temp_c"
 ROUNDED = {
-    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T1_multi", "T2", "S4"], _WIDE),
-    **dict.fromkeys(["A2", "T3", "A14", "T4", "T4_multi", "T3_stream"], "avg_value"),
+    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T1_multi", "T2", "T2_late", "S4"], _WIDE),
+    **dict.fromkeys(["A2", "T3", "A14", "A14_view", "T4", "T4_multi", "T3_stream"], "avg_value"),
     **dict.fromkeys(["Q2_period", "Q2_day"], "vehicle_count_per_min avg_speed_kmh avg_wait_time_s"),
-    **dict.fromkeys(["A13", "A13_5min"], "avg_vehicles"),
+    **dict.fromkeys(["A13", "A13_5min", "A13_view", "A13_view_day"], "avg_vehicles"),
     **dict.fromkeys(["Q4", "T6", "T6_multi"], "recent_avg"),
     "A1": "mean_value",
     "A3": "vehicle_count_avg speed_avg wait_time_avg pm25_avg temp_avg noise_avg",

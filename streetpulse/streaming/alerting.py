@@ -9,12 +9,19 @@ same rows into the same ``batch_id`` folder: each alert is stored once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.alerts import alerts_from_readings, notification_text
+from .day_table import DayTable
 from .sinks import write_alerts_and_messages
 
 
+def alert_table(spark: SparkSession, path: str) -> DayTable:
+    """D4 as a day table: one row an alert id; resolving an alert marks its id
+    (S8), which is merged on read and folded in later."""
+    return DayTable(spark, path, ["alert_id"], "timestamp", mark="resolved")
+
+
 def alert_stream(readings: DataFrame, limits: DataFrame) -> DataFrame:
     return alerts_from_readings(readings, limits)
 
@@ -24,7 +31,7 @@ def critical_feed_stream(alerts: DataFrame) -> DataFrame:
     return notification_text(alerts.filter("severity = 'critical'"))
 
 
-def start_alerts(readings: DataFrame, limits: DataFrame, alerts_path: str, messages_path: str,
+def start_alerts(readings: DataFrame, limits: DataFrame, alerts_path, messages_path: str,
                  checkpoint: str, trigger: dict | None = None):
     def sink(df: DataFrame, batch_id: int) -> None:
         write_alerts_and_messages(df, alerts_path, messages_path, batch_id)

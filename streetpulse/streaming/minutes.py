@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import split_complete, validate
 from ..operators.windows import aggregates_minute
+from .day_table import DayTable
 from .sinks import write_batch
 
 
@@ -66,6 +67,28 @@ def start_minute_table(readings: DataFrame, ranges: DataFrame, table_path: str,
     return w.start()
 
 
+def minute_day_table(spark, path: str) -> DayTable:
+    """D3 as a day table: the row written last per sensor and minute."""
+    return DayTable(spark, path, ["sensor_id", "window_start"], "window_start")
+
+
+def start_minute_days(readings: DataFrame, ranges: DataFrame, table: DayTable, checkpoint: str, mode: str = "update",
+                      grace: str = "1 minute", trigger: dict | None = None, on_batch=None):
+    """T2 (or T1) into a day table. ``on_batch(rows, batch_id)`` runs after each
+    append: maintained views, folds."""
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()       # the batch's state is read once
+        try:
+            table.append(df, batch_id)
+            if on_batch:
+                on_batch(df, batch_id)
+        finally:
+            df.unpersist()
+
+    return (minute_stream(readings, ranges, grace).writeStream.outputMode(mode).foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def dropped_late_rows(query) -> int:
     """Rows dropped as too late over the query's recent progress (T2, append)."""
     total = 0

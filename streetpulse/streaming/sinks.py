@@ -62,12 +62,15 @@ def compact(spark: SparkSession, table_path: str, out_path: str,
     (w.partitionBy(partition_by) if partition_by else w).parquet(out_path)
 
 
-def write_alerts_and_messages(df: DataFrame, alerts_path: str, messages_path: str, batch_id: int) -> None:
-    """The alert rows to the table and, as JSON text, to the alert topic
+def write_alerts_and_messages(df: DataFrame, alerts_path, messages_path: str, batch_id: int) -> None:
+    """The alert rows to the table (a day table or a folder) and, as JSON text, to the alert topic
     (a folder of JSON lines here; a Kafka sink takes the same ``value``)."""
     df = df.persist()
     try:
-        write_batch(df, alerts_path, batch_id)
+        if isinstance(alerts_path, str):
+            write_batch(df, alerts_path, batch_id)
+        else:
+            alerts_path.append(df, batch_id)
         msg = F.to_json(F.struct("alert_id", "sensor_id", "sensor_type", "metric", "value", "severity",
                                  "message", "location",
                                  F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
