@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from streetpulse.llm.components import components
+from streetpulse.llm.components import components, merged_labels
 from streetpulse.llm.tables import packed, stored
 
 SHINGLE = 5
@@ -275,16 +275,15 @@ def links_and_sizes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, Da
     copies = rows.where("n > 0").groupBy("digest").agg(F.min("node").alias("a"))
     copies = rows.where("n > 0").join(copies, "digest").where("node > a").select("a", F.col("node").alias("b"))
     links = stored(copies.distinct(), "adapt-copies")
-    labels = components(links)
+    labels = stored(components(links), "adapt-labels")
     for turn in range(HUB_ROUNDS):
         pairs = stored(_hub_pairs(shared, labels, turn), "adapt-hub-pairs")
         found = stored(_verified(pairs, texts), "adapt-hub-links")
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-        labels = components(links)
+        labels = merged_labels(labels, found)
     second = stored(_verified(_open_pairs(shared, labels, bits), texts), "adapt-open-links")
-    return rows, components(links.unionByName(second))
+    return rows, merged_labels(labels, second)
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -346,8 +345,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) whose document is the smallest of its
-    component; of repeated rows of a document with shingles one stays. Rows
-    without shingles all stay."""
+    component; of its rows with equal texts and shingles the least one (as JSON)
+    stays. Rows without shingles all stay."""
     rows, labels = links_and_sizes(spark, docs)
     linked = rows.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("times")).join(labels, "node", "left")
     touched = stored(linked.select("node", (F.col("label") < F.col("node")).alias("gone"), "times").where(
@@ -355,7 +354,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     repeated = touched.where("times > 1 AND (gone IS NULL OR NOT gone)").select("node")
     keyed = _keyed(docs)
     single = keyed.join(touched.select("node"), "node", "left_anti")
-    once = keyed.join(repeated, "node", "left_semi").dropDuplicates(["node"])
+    once = keyed.join(repeated, "node", "left_semi").groupBy("node", F.md5(F.col("row")["text"])).agg(
+        F.min_by("row", F.to_json("row")).alias("row")).select("node", "row")
     return single.unionByName(once).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

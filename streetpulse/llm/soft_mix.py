@@ -92,13 +92,20 @@ class Classifier:
         return x
 
     def posteriors(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and the posteriors of the four domains of each text."""
-        got = [shape(t) for t in texts]
-        tokens = np.array([g[0] for g in got], np.int64)
+        """Tokens and the posteriors of the four domains of each text. A text
+        is scored from the weights of its own words, in their order, so that
+        one text is held at a time and every pass gives the same sums."""
+        tokens, scores = [], []
+        for text in texts:
+            n, features, distinct = shape(text)
+            tokens.append(n)
+            if self.quality is not None:
+                own = 1 + N_SHAPE + np.sort(np.array([self.place[w] for w in self.known & distinct], np.int64))
+                scores.append([w[0] + features @ w[1:1 + N_SHAPE] + w[own].sum() for w in (self.quality, self.toxic)])
+        tokens = np.array(tokens, np.int64)
         if self.quality is None:
-            return tokens, np.full((len(got), len(DOMAINS)), 1 / len(DOMAINS))
-        rows = np.array([self.row(g[1], g[2]) for g in got], np.float64).reshape(len(got), -1)
-        good, toxic = (1 / (1 + np.exp(-np.clip(rows @ w, -30, 30))) for w in (self.quality, self.toxic))
+            return tokens, np.full((len(tokens), len(DOMAINS)), 1 / len(DOMAINS))
+        good, toxic = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in np.array(scores, np.float64).reshape(-1, 2).T)
         return tokens, np.stack([good * (1 - toxic), good * toxic, (1 - good) * (1 - toxic), (1 - good) * toxic], 1)
 
 
@@ -178,7 +185,7 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
 
     def score(batches):
         for batch in batches:
-            tokens, p = model.posteriors([t.as_py() for t in batch.column("text")])
+            tokens, p = model.posteriors(t.as_py() for t in batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(tokens), *[pa.array(p[:, k]) for k in range(len(DOMAINS))]],
                 names=[f.split()[0] for f in fields.split(", ")])
@@ -259,7 +266,7 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict | None = N
 
     def rate(batches):
         for batch in batches:
-            _, p = model.posteriors([t.as_py() for t in batch.column("text")])
+            _, p = model.posteriors(t.as_py() for t in batch.column("text"))
             x = np.ones(len(p))
             for step in steps:
                 x = np.maximum(0.0, x - p @ step)

@@ -4,9 +4,11 @@ from collections import defaultdict
 
 import edge_cases as E
 import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from streetpulse.llm import adapt_join as A
-from streetpulse.llm.components import components
+from streetpulse.llm.components import components, merged_labels
 
 
 def shingles(text):
@@ -129,3 +131,24 @@ def test_components_of_chains_and_stars(spark):
     labels = {r.node: r.label for r in components(df).collect()}
     assert all(labels[i] == 0 for i in range(61)) and all(labels[100 + i] == 100 for i in range(40)) and labels[300] == 299
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=12), min_size=1, max_size=3))
+def test_labels_merged_in_rounds_are_those_of_all_links(spark, rounds):
+
+    frames = [spark.createDataFrame(r, "a long, b long") for r in rounds]
+    labels = components(frames[0])
+    for f in frames[1:]:
+        labels = merged_labels(labels, f)
+    parent = list(range(26))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in (e for r in rounds for e in r):
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {r.node: r.label for r in labels.collect()}
+    assert all(got.get(i, i) == find(i) for i in range(26))
