@@ -8,6 +8,7 @@ scan, so Catalyst prunes columns and pushes filters down to it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -912,6 +913,9 @@ def q_m7(spark, d):
 from ..session import scratch_path  # noqa: E402
 from ..streaming import alerting as SA  # noqa: E402
 from ..streaming import buffers as SB  # noqa: E402
+from ..operators import pages as PG  # noqa: E402
+from ..sources import clustered as CL  # noqa: E402
+from ..streaming import ingest as SI  # noqa: E402
 from ..streaming import minutes as SM  # noqa: E402
 from ..streaming import partials as SP  # noqa: E402
 from ..streaming import rollups as SR  # noqa: E402
@@ -1180,6 +1184,116 @@ def q_t9_stream(spark, d):
     return spark.read.parquet(base + "/feed")
 
 
+@register("T9_redelivered", f"""
+SELECT alert_id, sensor_id, timestamp, notification FROM {NOTIFY_SQL} WHERE severity = 'critical' AND timestamp IS NOT NULL""")
+def q_t9_redelivered(spark, d):
+    """T9 over a stream that delivers two of its four slices again: every
+    critical alert with a time once."""
+    base = scratch_path(spark, "feed")
+    alerted = SA.alert_stream(sliced_stream(spark, d, (0, 1, 0, 2, 3, 2)), schema.alert_limits(spark))
+    feed = SA.critical_feed_stream(alerted.filter("timestamp IS NOT NULL"), LONG_RETENTION)
+    q = (feed.writeStream.outputMode("append").format("parquet").option("path", base + "/feed")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/feed")
+
+
+_SENT_BAD = "event_id % 50 = 3 OR event_id % 50 = 7"
+
+
+@register("S1_outcomes", f"""
+SELECT outcome, reason, count(*) AS messages FROM (
+  SELECT CASE WHEN sent_bad OR missing <> '' OR NOT finite THEN 'dead' WHEN in_range THEN 'good' ELSE 'invalid' END AS outcome,
+         CASE WHEN sent_bad THEN 'not a message' WHEN missing <> '' THEN 'missing or unreadable: ' || missing
+              WHEN NOT finite THEN 'value is no usable number' WHEN NOT in_range THEN 'Out of range' END AS reason
+  FROM (SELECT {_SENT_BAD} AS sent_bad, {_FINITE} AS finite,
+               g.metric IS NULL OR coalesce(r.value >= g.min_value AND r.value <= g.max_value, false) AS in_range,
+               array_to_string(list_filter([CASE WHEN sensor_id IS NULL THEN 'sensor_id' END, CASE WHEN ts IS NULL THEN 'ts' END,
+                 CASE WHEN r.metric IS NULL THEN 'metric' END, CASE WHEN value IS NULL THEN 'value' END], lambda x: x IS NOT NULL), ', ') AS missing
+        FROM readings r LEFT JOIN ranges g ON r.metric = g.metric))
+GROUP BY outcome, reason""")
+def q_s1_outcomes(spark, d):
+    """A message stream, some of it broken text, into the good, invalid
+    and dead-letter tables; what each holds and why."""
+    base = scratch_path(spark, "ingest")
+    m = FX.raw_messages(spark, d).select("event_id", "value")
+    kind = F.col("event_id") % 50
+    m = m.withColumn("value", F.when(kind == 3, F.expr("left(value, length(value) - 5)")).when(kind == 7, "no json at all")
+                     .otherwise(F.col("value")))
+    m.write.parquet(base + "/messages")
+    SI.start_ingest(spark.readStream.schema(m.schema).parquet(base + "/messages"), schema.valid_ranges(spark), base + "/tables",
+                    base + "/checkpoint").awaitTermination()
+    out = None
+    for outcome in SI.OUTCOMES:
+        part = SI.read_outcome(spark, base + "/tables", outcome).select(F.lit(outcome).alias("outcome"), "reason")
+        out = part if out is None else out.unionByName(part)
+    short = F.when(F.col("reason").startswith("Out of range"), "Out of range").otherwise(F.col("reason"))
+    return out.groupBy("outcome", short.alias("reason")).agg(F.count("*").alias("messages"))
+
+
+NEWEST_FIRST = ["-unix_micros(CAST(window_start AS TIMESTAMP))", "sensor_id"]
+
+
+def _paged(spark, d, frame, key, rows_per_part=2000):
+    return PG.PagedTable.write(frame(spark, d), scratch_path(spark, "pages"), key, rows_per_part)
+
+
+@register("L1_deep", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 5970""")
+def q_l1_deep(spark, d):
+    """L1: page 200 of the stored table, from the parts that hold it."""
+    return agg_text(_paged(spark, d, agg, NEWEST_FIRST).page(200))
+
+
+@register("L1_after", f"""
+SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg ORDER BY window_start DESC, sensor_id LIMIT 30 OFFSET 3000""")
+def q_l1_after(spark, d):
+    """L1 by key: the page after the last row of page 100."""
+    pages = _paged(spark, d, agg, NEWEST_FIRST)
+    last = pages.page(100).selectExpr(*NEWEST_FIRST).collect()[-1:]     # one page, in order
+    return agg_text(pages.after(tuple(last[0])) if last else pages.page(101))
+
+
+@register("L2_deep", "SELECT * FROM meta_d ORDER BY sensor_id LIMIT 30 OFFSET 90")
+def q_l2_deep(spark, d):
+    """L2: page 4 of the stored metadata."""
+    return _paged(spark, d, lambda spark, d: EN.metadata_scan(meta(spark, d)), ["sensor_id"], 50).page(4)
+
+
+@register("L3_pages")
+def q_l3_pages(spark, d):
+    """L3 from the fences of the stored table."""
+    return _paged(spark, d, agg, NEWEST_FIRST).total(30)
+
+
+ORACLE["L3_pages"] = ORACLE["L3"]
+
+
+def _clustered(spark, d):
+    """The minute table and the metadata, bucketed by sensor."""
+    names = []
+    for kind, df, time in (("minutes", agg(spark, d), "window_start"), ("meta", meta(spark, d), None)):
+        names.append(f"sp_{kind}_{uuid.uuid4().hex[:12]}")
+        CL.write_clustered(df, names[-1], scratch_path(spark, f"clustered-{kind}"), time)
+    return [CL.clustered(spark, n) for n in names]
+
+
+@register("J4_stored")
+def q_j4_stored(spark, d):
+    """J4 over the clustered tables: a co-located semi join."""
+    minutes, sensors = _clustered(spark, d)
+    return agg_text(EN.history_of_type(minutes, sensors, "traffic_loop"))
+
+
+@register("P4_stored", f"SELECT * EXCLUDE (breaches), {AGG_TEXT_SQL} FROM agg WHERE sensor_id = 'Loop-0001'")
+def q_p4_stored(spark, d):
+    """One sensor looked up in the clustered table (one bucket is read)."""
+    return agg_text(_clustered(spark, d)[0].filter(F.col("sensor_id") == "Loop-0001"))
+
+
+ORACLE["J4_stored"] = ORACLE["J4"]
+
+
 @register("T3_stream", f"""
 SELECT * FROM (
   SELECT sensor_id, metric, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
@@ -1408,7 +1522,7 @@ ORACLE["flagship"] = ORACLE["A3"]
 DIGITS = 9
 _WIDE = "vehicle_count_per_min avg_speed_kmh avg_wait_time_s pm25 noise_db temp_c"
 ROUNDED = {
-    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T1_multi", "T2", "T2_late", "S4"], _WIDE),
+    **dict.fromkeys(["P9", "Q1", "J1", "P4", "P4_sensor", "J2", "J3", "J4", "Q2", "T5", "L1", "L4", "T1", "T1_multi", "T2", "T2_late", "S4", "L1_deep", "L1_after", "J4_stored", "P4_stored"], _WIDE),
     **dict.fromkeys(["A2", "T3", "A14", "A14_view", "T4", "T4_multi", "T3_stream"], "avg_value"),
     **dict.fromkeys(["Q2_period", "Q2_day"], "vehicle_count_per_min avg_speed_kmh avg_wait_time_s"),
     **dict.fromkeys(["A13", "A13_5min", "A13_view", "A13_view_day"], "avg_vehicles"),

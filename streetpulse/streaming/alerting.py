@@ -10,6 +10,7 @@ same rows into the same ``batch_id`` folder: each alert is stored once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.alerts import alerts_from_readings, notification_text
 from .day_table import DayTable
@@ -26,9 +27,17 @@ def alert_stream(readings: DataFrame, limits: DataFrame) -> DataFrame:
     return alerts_from_readings(readings, limits)
 
 
-def critical_feed_stream(alerts: DataFrame) -> DataFrame:
+def critical_feed_stream(alerts: DataFrame, redelivery: str = "24 hours") -> DataFrame:
     """T9 stream form: each critical alert once, with its short text."""
-    return notification_text(alerts.filter("severity = 'critical'"))
+    return notification_text(once_each(alerts.filter("severity = 'critical'"), redelivery))
+
+
+def once_each(alerts: DataFrame, redelivery: str = "24 hours") -> DataFrame:
+    """Each alert id once, however often its message is delivered within
+    ``redelivery``: ids are kept as state until the watermark passes them. An
+    alert without a time has no such state and may come again."""
+    timed = alerts.withColumn("_at", F.col("timestamp").cast("timestamp")).withWatermark("_at", redelivery)
+    return timed.dropDuplicatesWithinWatermark(["alert_id"]).drop("_at")
 
 
 def start_alerts(readings: DataFrame, limits: DataFrame, alerts_path, messages_path: str,
