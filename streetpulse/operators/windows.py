@@ -250,6 +250,61 @@ def spikes(valid: DataFrame, bucket_unit: str = "hour", hot_rows: int = HOT_KEY_
             .select("event_id", "sensor_id", "metric", "ts", "value", "recent_avg"))
 
 
+def segments(df: DataFrame, keys: list[str], order: list[str], bucket: Column, carry: int, held: list[str],
+             also: dict[str, Column] | None = None, keep: Column | None = None) -> DataFrame:
+    """Two-phase scan of each key's rows in order, from one read of ``df``: one
+    row per (key, time bucket) with ``rows`` (its rows as sorted structs) and
+    ``before`` (the ``carry`` rows that precede them, from earlier buckets).
+
+    A bucket's tail is a mergeable value: only tails, never rows, meet in the
+    window over a key, so a hot key is spread over its buckets. The rows stay in
+    the exchange of the first phase, which the second one reads again. ``also``
+    adds aggregates; ``keep`` says which rows are held. Rows without a key or a
+    time are left out."""
+    row = F.struct(*[F.col(c) for c in [*order, *held]])
+    for k in keys:   # both phases then have the same filters, and share one exchange
+        df = df.filter(F.col(k).isNotNull())
+    g = df.withColumn("_bucket", bucket).filter("_bucket IS NOT NULL").groupBy(*keys, "_bucket").agg(
+        F.array_sort(F.collect_list(row if keep is None else F.when(keep, row))).alias("rows"),
+        *[c.alias(n) for n, c in (also or {}).items()])
+    tails = g.select(*keys, "_bucket", F.slice("rows", F.greatest(F.size("rows") - carry + 1, F.lit(1)), carry).alias("_tail")) \
+        .filter(F.size("_tail") > 0)
+    # ``carry`` buckets with rows hold at least ``carry`` rows
+    w = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(-carry, -1)
+    seen = F.flatten(F.collect_list("_tail").over(w))
+    before = tails.withColumn("_seen", seen).select(
+        *keys, "_bucket", F.slice("_seen", F.greatest(F.size("_seen") - carry + 1, F.lit(1)), carry).alias("before"))
+    joined = g.join(before, [*keys, "_bucket"], "left")
+    return joined.withColumn("before", F.coalesce("before", F.slice("rows", 1, 0)))
+
+
+def _spike_structs() -> Column:
+    """Of a segment: its spikes as structs with ``recent_avg``."""
+    every, p = F.concat("before", "rows"), F.size("before")
+    def value(i):
+        return F.get(every, i)["value"]
+    with_mean = F.transform("rows", lambda r, i: F.struct(
+        r.alias("r"), ((value(p + i - 2) + value(p + i - 1) + r["value"]) / 3.0).alias("recent_avg")))
+    return F.filter(with_mean, lambda x: F.coalesce(x["r"]["value"] > x["recent_avg"] * 2, F.lit(False)))
+
+
+def spikes_scanned(valid: DataFrame, bucket_unit: str = "minute") -> DataFrame:
+    """Q4 as a two-phase scan: one read of the readings."""
+    s = segments(valid, ["sensor_id", "metric"], ["ts", "event_id"], time_floor("ts", bucket_unit), 2, ["value"])
+    return s.select("sensor_id", "metric", F.explode(_spike_structs()).alias("s")).select(
+        "s.r.event_id", "sensor_id", "metric", "s.r.ts", "s.r.value", "s.recent_avg")
+
+
+def counters_scanned(validated: DataFrame, bucket_unit: str = "minute") -> DataFrame:
+    """A20 as a two-phase scan: valid and invalid readings and spikes from one
+    read of the validated readings."""
+    s = segments(validated, ["sensor_id", "metric"], ["ts", "event_id"], time_floor("ts", bucket_unit), 2, ["value"],
+                 {"n_valid": F.count_if("is_valid"), "n_invalid": F.count_if(~F.col("is_valid"))}, F.col("is_valid"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return s.agg(total("n_valid").alias("messages_processed"), total("n_invalid").alias("validation_errors"),
+                 total(F.size(_spike_structs())).alias("anomalies_detected"))
+
+
 # --------------------------------------------------------------------------- T3
 def sliding_windows(valid: DataFrame, size: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
     """T3 batch form: sliding-window avg/min/max/count per sensor and metric."""

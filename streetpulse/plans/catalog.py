@@ -432,7 +432,7 @@ WHERE value > recent_avg * 2"""
 
 @register("Q4", SPIKES_SQL)
 def q_q4(spark, d):
-    return WI.spikes(valid(spark, d))
+    return WI.spikes_scanned(valid(spark, d))
 
 
 @register("A20", f"""
@@ -440,7 +440,7 @@ SELECT (SELECT count(*) FROM validated WHERE is_valid) AS messages_processed,
        (SELECT count(*) FROM validated WHERE NOT is_valid) AS validation_errors,
        (SELECT count(*) FROM ({SPIKES_SQL})) AS anomalies_detected""")
 def q_a20(spark, d):
-    return QU.processing_counters(validated(spark, d), WI.spikes(valid(spark, d)))
+    return WI.counters_scanned(validated(spark, d))
 
 
 @register("T3", f"""
