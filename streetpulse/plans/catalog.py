@@ -1316,6 +1316,7 @@ from ..ml import hybrid as MH  # noqa: E402
 from ..ml import isolation as MI  # noqa: E402
 from ..ml import lifecycle as ML  # noqa: E402
 from ..ml import patterns as MP  # noqa: E402
+from ..ml import registry as MR  # noqa: E402
 from ..ml import forest as MF  # noqa: E402
 from ..streaming import scoring as SS  # noqa: E402
 
@@ -1504,6 +1505,29 @@ def q_a19(spark, d):
     return SK.read_versions(spark, base + "/stats").drop("written_at", "query")
 
 
+@register("T8_versions")
+def q_t8_versions(spark, d):
+    """T8/M11 with a model registry: a stream of four micro-batches, a second
+    version published after the second one; rows by batch and model version."""
+    base = scratch_path(spark, "registry")
+    registry = MR.Registry(spark, base + "/models")
+    registry.publish(trained_bundle(spark, d), "v1")
+
+    def after(df, batch_id):
+        if batch_id == 1:
+            registry.publish(trained_bundle(spark, d), "v2")
+
+    minutes = history(spark, d, "traffic_loop")
+    edges = minutes.agg(F.min("window_start"), F.max("window_start")).first()
+    for i in range(SLICES if edges[0] is not None else 0):
+        lo, hi = (edges[0] + (edges[1] - edges[0]) * k / SLICES for k in (i, i + 1))
+        inside = (F.col("window_start") >= F.lit(lo)) & ((F.col("window_start") < F.lit(hi)) if i < SLICES - 1 else F.lit(True))
+        minutes.filter(inside).coalesce(1).write.mode("append").parquet(base + "/minutes")
+    stream = spark.readStream.schema(minutes.schema).option("maxFilesPerTrigger", 1).parquet(base + "/minutes")
+    SS.start_scoring(stream, registry, base + "/scored", base + "/stats", base + "/checkpoint", on_batch=after).awaitTermination()
+    return SK.read_versions(spark, base + "/scored").groupBy("batch_id", "ai_model_version").agg(F.count("*").alias("rows"))
+
+
 # =================================================================== flagship
 @register("flagship")
 def q_flagship(spark, d):

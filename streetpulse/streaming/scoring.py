@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..ml.hybrid import ModelBundle, hybrid_score
+from ..ml.registry import Registry
 from ..operators.features import traffic_inputs
 from ..sources.fixtures import sensor_type_from_id
 from .sinks import write_batch
@@ -39,17 +40,23 @@ def _is_traffic():
     return F.coalesce(sensor_type_from_id(F.col("sensor_id")) == "traffic_loop", measured)
 
 
-def start_scoring(minute_rows: DataFrame, bundle: ModelBundle | None, scored_path: str, stats_path: str,
-                  checkpoint: str, trigger: dict | None = None, fallback: str = "default"):
+def start_scoring(minute_rows: DataFrame, bundle: ModelBundle | Registry | None, scored_path: str, stats_path: str,
+                  checkpoint: str, trigger: dict | None = None, fallback: str = "default", on_batch=None):
     """Score every emitted traffic minute; trigger defaults to availableNow
-    (use ``{"processingTime": "20 seconds"}`` for a running service)."""
+    (use ``{"processingTime": "20 seconds"}`` for a running service). With a
+    registry each micro-batch is scored by the version current at its start."""
     traffic = minute_rows.filter(_is_traffic())
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        scored = hybrid_score(traffic_inputs(df), bundle, fallback).persist()
+        model = bundle
+        if isinstance(bundle, Registry):
+            model = bundle.for_batch(df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct", batch_id)
+        scored = hybrid_score(traffic_inputs(df), model, fallback).persist()
         try:
             write_batch(scored, scored_path, batch_id)
             write_batch(batch_statistics(scored, batch_id).drop("batch_id"), stats_path, batch_id)
+            if on_batch:
+                on_batch(scored, batch_id)
         finally:
             scored.unpersist()
 
