@@ -1505,7 +1505,12 @@ def q_a19(spark, d):
     return SK.read_versions(spark, base + "/stats").drop("written_at", "query")
 
 
-@register("T8_versions")
+@register("T8_versions", f"""
+SELECT CAST(batch AS INTEGER) AS batch_id, CASE WHEN batch < 2 THEN 'v1' ELSE 'v2' END AS ai_model_version, count(*) AS "rows"
+FROM (SELECT least({SLICES - 1}, (epoch_us(window_start) - lo) * {SLICES} // (hi - lo)) AS batch
+      FROM {HIST_SQL['traffic_loop']}, (SELECT min(epoch_us(window_start)) AS lo, max(epoch_us(window_start)) AS hi
+                                        FROM {HIST_SQL['traffic_loop']}))
+GROUP BY batch""")
 def q_t8_versions(spark, d):
     """T8/M11 with a model registry: a stream of four micro-batches, a second
     version published after the second one; rows by batch and model version."""
