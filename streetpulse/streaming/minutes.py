@@ -41,6 +41,12 @@ def _checked(readings: DataFrame, ranges: DataFrame) -> DataFrame:
     return checked.withColumn("is_valid", F.col("is_valid") & ~ahead)
 
 
+def valid_stream(readings: DataFrame, ranges: DataFrame, grace: str = "1 minute") -> DataFrame:
+    """Valid readings under a watermark of ``grace``."""
+    return (_checked(readings, ranges).filter("is_valid").select("sensor_id", "ts", "metric", "value")
+            .withWatermark("ts", grace))
+
+
 def minute_stream(readings: DataFrame, ranges: DataFrame, grace: str = "1 minute", limits=None,
                   observe: bool = True) -> DataFrame:
     checked = _checked(readings, ranges)

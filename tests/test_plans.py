@@ -8,7 +8,7 @@ from conftest import SF
 
 from streetpulse.plans.catalog import QUERIES
 
-STREAMING_OR_MODELS = {"T1", "T1_multi", "T2", "S4", "T4", "T4_multi", "T6", "T6_multi", "T7_stream", "S8_stored", "S5", "T9_stream", "T3_stream", "T8", "A19",
+STREAMING_OR_MODELS = {"T1", "T1_multi", "T2", "S4", "T4", "T4_multi", "T6", "T6_multi", "T7_stream", "S8_stored", "S5", "T9_stream", "T3_stream", "T1_chained", "T3_chained", "T8", "A19",
                        "M1", "A21", "M2", "M3", "M4", "M4_importances", "M5", "M6", "M8", "A18_models", "M9",
                        "M11"}
 RELATIONAL = [k for k in QUERIES if k not in STREAMING_OR_MODELS]
