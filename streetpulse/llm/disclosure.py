@@ -217,7 +217,11 @@ def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     terms = F.array_join(F.transform("terms", lambda x: F.concat_ws(
         ":", F.lit("term"), x["start"].cast("string"), x["end"].cast("string"))), ",")
     spans = F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif(terms, F.lit("")))
-    return rows.join(added, "text_key", "left").select(
+    # Texts without entities have no key and no added spans: they do not enter
+    # the join, where all of them would meet in one task.
+    keyed = rows.where("text_key IS NOT NULL").join(added, "text_key", "left")
+    clean = rows.where("text_key IS NULL").withColumn("terms", F.lit(None).cast(added.schema["terms"].dataType))
+    return keyed.unionByName(clean).select(
         "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", spans.alias("spans"),
         F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"))
 

@@ -133,3 +133,12 @@ def test_all_occurrences_go_and_far_terms_count(spark):
     out = {r.doc_id: r.text for r in D.sanitised_documents(spark, df).collect()}
     for i in range(3):
         assert "Miller" not in out[i] and "Quagmire" not in out[i] and "plain7" in out[i] and f"end{i}" in out[i]
+
+
+def test_texts_without_entities_enter_no_join(spark):
+    """They have no key: joined on it they would all meet in one task."""
+    rows = [(i, f"plain words {i}") for i in range(300)] + [(900 + i, f"Miller at miller@mail.example.com {i}") for i in range(3)]
+    out = D.personal_data(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.splitlines()[0].startswith("Union") and "isnull(text_key" in plan and "isnotnull(text_key" in plan
+    assert out.count() == len(rows) and out.where("n_email = 0 AND spans != ''").count() == 0
