@@ -161,15 +161,26 @@ def _gram_counts(batches):
     yield from flush()
 
 
+def _least_hashes(ids: DataFrame, sample: int) -> DataFrame:
+    """The ``sample`` (doc_id, lang) of least hash of each language. Of n ids only
+    those are ranked whose hash is below the share (sample + 8 sqrt(sample) + 64) / n
+    of all hashes: a little over ``sample`` a language, however many it has (fewer
+    than ``sample`` are below it once in 10^14 languages)."""
+    h = F.xxhash64("doc_id")
+    many = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("many"))
+    share = F.lit(sample + 8 * sample ** 0.5 + 64.0) / F.col("many")
+    near = ids.join(many, "lang").where((h.cast("double") + 2.0 ** 63) / 2.0 ** 64 < share)
+    order = W.partitionBy("lang").orderBy(h, "doc_id")
+    return near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample).select("doc_id", "lang")
+
+
 def fit_filters(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     """Fit on (doc_id, text, lang). Collected: at most 1 / LEAST n-grams per
     language and size."""
     able = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = able.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).where(
-        F.col("at") <= sample).select("doc_id", "lang").distinct()
-    # At most ``sample`` rows per language are broadcast.
-    counts = able.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select(
+    chosen = _least_hashes(able.select("doc_id", "lang").distinct(), sample)
+    # At most ``sample`` ids per language are broadcast; equal rows count once.
+    counts = able.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).distinct().select(
         "lang", "text").mapInPandas(_gram_counts, "lang string, size int, gram long, n long")
     per = counts.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("size", "lang").agg(F.sum("n").alias("all"))

@@ -36,6 +36,24 @@ def test_masks_of_any_number_of_languages(n):
         assert f.counts(grams[lang])[i] == 50 and int(np.argmax(f.counts(grams[lang]))) == i
 
 
+def test_chosen_ids_are_those_of_least_hash(spark):
+    ids = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 9, "en").otherwise("de").alias("lang"))
+    rows = ids.withColumn("h", F.xxhash64("doc_id")).collect()
+    for sample in (1, 50, 400, 100_000):
+        got = {(r.doc_id, r.lang) for r in L._least_hashes(ids, sample).collect()}
+        want = {(r.doc_id, r.lang) for lang in ("en", "de")
+                for r in sorted((r for r in rows if r.lang == lang), key=lambda r: (r.h, r.doc_id))[:sample]}
+        assert got == want
+
+
+def test_repeated_rows_teach_once(spark):
+    rows = [(i, "the cat and the dog " + "x" * i, "en", "s", 1) for i in range(40)] + \
+           [(100 + i, "der hund und die katze " + "y" * i, "de", "s", 1) for i in range(40)]
+    once = L.fit_filters(spark.createDataFrame(rows, E.SCHEMA))
+    often = L.fit_filters(spark.createDataFrame(rows + rows[:1] * 500, E.SCHEMA))
+    assert once.languages == often.languages and (once.masks == often.masks).all()
+
+
 def test_letters():
     assert "".join(map(chr, L.letters("  Ab1c--DÉ 9"))) == " ab c dé "
     assert len(L.letters(None)) == len(L.letters("12 !")) == len(L.letters("")) == 0
