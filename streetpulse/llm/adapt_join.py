@@ -37,6 +37,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -123,7 +124,9 @@ def _ids(pdf: pd.DataFrame) -> list:
 
 
 MEASURED = ("doc_id long, node long, n long, digest binary, " + ", ".join(f"bits{i} long" for i in range(WORDS))
-            + ", block int, counts binary")
+            + ", block int, task long, counts binary")
+SUMS = "block int, task long, counts binary"
+FAN_IN = 256    # blocks summed in one group
 
 
 def _measure(batches):
@@ -143,7 +146,8 @@ def _measure(batches):
             counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts))
         df = pd.DataFrame(out, columns=["doc_id", "node", "n", "digest", *BITS])
         df["doc_id"] = pd.array([r[0] for r in out], dtype="Int64")
-        yield df.assign(block=pd.array([None] * len(df), dtype="Int32"), counts=None)
+        yield df.assign(block=pd.array([None] * len(df), dtype="Int32"),
+                        task=pd.array([None] * len(df), dtype="Int64"), counts=None)
     if counts.any():
         k = range(0, len(counts), SKETCH_BLOCK)
         yield pd.DataFrame({
@@ -151,22 +155,29 @@ def _measure(batches):
             "n": pd.array([None] * len(k), dtype="Int64"), "digest": None,
             **{b: pd.array([None] * len(k), dtype="Int64") for b in BITS},
             "block": pd.array([i // SKETCH_BLOCK for i in k], dtype="Int32"),
+            "task": pd.array([TaskContext.get().partitionId()] * len(k), dtype="Int64"),
             "counts": [counts[i:i + SKETCH_BLOCK].astype(np.uint32).tobytes() for i in k]})
 
 
 def _sum_blocks(pdfs):
     total = np.zeros(SKETCH_BLOCK, np.int64)
     for raw in pdfs["counts"]:
-        total += np.frombuffer(raw, np.uint32)
-    return pd.DataFrame({"block": pdfs["block"][:1], "counts": [total.tobytes()]})
-
-
-def _sketch(measured: DataFrame) -> np.ndarray:
-    """The counters of the whole corpus (2**SKETCH_BITS numbers, whatever its size)."""
-    parts = measured.where("block IS NOT NULL").select("block", "counts").groupBy("block").applyInPandas(
-        _sum_blocks, "block int, counts binary").collect()
+        total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * SKETCH_BLOCK else np.int64)   # a task's, or a sum
+    return pd.DataFrame({"block": pdfs["block"][:1], "task": pdfs["task"][:1], "counts": [total.tobytes()]})
+
+
+def _sketch(measured: DataFrame, fan_in: int = FAN_IN) -> np.ndarray:
+    """The counters of the whole corpus (2**SKETCH_BITS numbers, whatever its size).
+    The tasks' blocks are summed as a tree: about ``fan_in`` of them meet in a
+    group, dealt by the hash of their counters and task."""
+    parts = measured.where("block IS NOT NULL").select("block", "task", "counts")
+    groups = parts.where("block = 0").count()       # one block of each number a task
+    while groups > fan_in:
+        groups = -(-groups // fan_in)
+        parts = parts.groupBy("block", F.pmod(F.xxhash64("task", F.lit(groups)), F.lit(groups)).alias("task")) \
+            .applyInPandas(_sum_blocks, SUMS)
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in parts:
+    for r in parts.groupBy("block").applyInPandas(_sum_blocks, SUMS).collect():
         counts[r["block"] * SKETCH_BLOCK:(r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.int64)
     return counts
 

@@ -152,3 +152,13 @@ def test_labels_merged_in_rounds_are_those_of_all_links(spark, rounds):
         parent[b] = a
     got = {r.node: r.label for r in labels.collect()}
     assert all(got.get(i, i) == find(i) for i in range(26))
+
+
+def test_sketch_summed_as_a_tree(spark):
+    """The counters are the same whatever the number of blocks a group takes."""
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 91}" for j in range(30))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    measured = docs.mapInPandas(A._measure, A.MEASURED).persist()
+    flat = A._sketch(measured)
+    assert flat.sum() > 0 and all((A._sketch(measured, k) == flat).all() for k in (2, 4))
+    measured.unpersist()
