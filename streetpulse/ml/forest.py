@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import FEATURES, duration_of, severity_of
+from .patterns import dealt_for_passes
 
 MIN_SAMPLES = 20
 @dataclass
@@ -44,7 +45,7 @@ def fit_states(samples: DataFrame, num_trees: int = 100, seed: int = 42,
             RandomForestClassifier(featuresCol="_scaled", labelCol="_label", numTrees=num_trees, seed=seed,
                                    predictionCol="_pred", probabilityCol="_prob", rawPredictionCol="_rawpred"),
         ]
-        model = Pipeline(stages=stages).fit(data)
+        model = Pipeline(stages=stages).fit(dealt_for_passes(data, n))
         labels = model.stages[2].labels
         model = PipelineModel(stages=model.stages + [
             IndexToString(inputCol="_pred", outputCol="predicted_state", labels=labels)])

@@ -25,6 +25,7 @@ from ..operators.features import FEATURES
 PATTERN_NAMES = ["Free Flow", "Light Traffic", "Heavy Congestion", "Gridlock"]
 MIN_SAMPLES = 20
 CONFIDENCE_FLOOR = 0.1
+ROWS_PER_TASK = 25_000
 
 
 @dataclass
@@ -41,6 +42,13 @@ def _prep_stages():
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)]
 
 
+def dealt_for_passes(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` training rows in tasks of about ``ROWS_PER_TASK``, without a shuffle:
+    a fit makes hundreds of passes, and each pass starts a task per partition,
+    however few rows a partition holds."""
+    return rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+
+
 def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
                  min_samples: int = MIN_SAMPLES, parallelism: int = 4) -> PatternModel | None:
     """M1: best (lowest ``trainingCost``) of ``restarts`` seeded K-Means fits;
@@ -54,7 +62,7 @@ def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         if n < min_samples:
             return None
         prep = Pipeline(stages=_prep_stages()).fit(data)
-        scaled = prep.transform(data).persist()
+        scaled = prep.transform(dealt_for_passes(data, n)).select("_scaled").persist()
 
         def fit(i):
             m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=300).fit(scaled)

@@ -82,3 +82,19 @@ def test_constant_history_has_no_division_by_zero(spark):
     model = MP.fit_patterns(feats, restarts=2)
     out = MP.predict_patterns(model, feats).agg(F.min("pattern_confidence")).first()[0]
     assert out is not None and out >= 0.1
+
+
+def test_passes_of_a_fit_do_not_start_a_task_per_shuffle_partition(spark, monkeypatch):
+    from streetpulse.ml import forest as MF
+    feats = with_features(_traffic(spark)).repartition(64).persist()
+    seen = {}
+    for owner in (P.KMeans, MF.Pipeline):
+        def fit(self, rows, *args, _fit=owner.fit, _name=owner.__name__):
+            seen.setdefault(_name, []).append((rows.rdd.getNumPartitions(), rows.count()))
+            return _fit(self, rows, *args)
+        monkeypatch.setattr(owner, "fit", fit)
+    model = P.fit_patterns(feats, restarts=2)
+    assert seen["KMeans"] == [(1, 405)] * 2
+    assert MF.fit_states(P.training_set(P.predict_patterns(model, feats)), num_trees=3) is not None
+    assert seen["Pipeline"][-1] == (1, 405)
+    feats.unpersist()
