@@ -312,11 +312,22 @@ def sliding_windows(valid: DataFrame, size: str = "10 minutes", slide: str = "1
     part = valid.groupBy("sensor_id", "metric", F.window("ts", slide).alias("p")).agg(
         F.sum("value").alias("s"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
     part = part.select("sensor_id", "metric", F.col("p.start").alias("at"), "s", "lo", "hi", "n")
-    return (part.groupBy("sensor_id", "metric", F.window("at", size, slide).alias("w"))
+    # They are dealt by the hours in which their windows start (a few go to two
+    # hours) and expanded only behind that exchange, which also serves the groups.
+    hours = F.sequence(_hour(F.expr(f"at - INTERVAL {size}")), _hour(F.col("at")), F.expr("INTERVAL 1 HOUR"))
+    dealt = part.withColumn("hour", F.explode(hours)).repartition("sensor_id", "metric", "hour")
+    starts = F.expr(f"sequence(at, at - INTERVAL {size}, -(INTERVAL {slide}))")
+    wide = (dealt.withColumn("window_start", F.explode(starts))
+            .filter(F.expr(f"window_start > at - INTERVAL {size}") & (_hour(F.col("window_start")) == F.col("hour"))))
+    return (wide.groupBy("sensor_id", "metric", "hour", "window_start")
             .agg((F.sum("s") / F.sum("n")).alias("avg_value"), F.min("lo").alias("min_value"),
                  F.max("hi").alias("max_value"), F.sum("n").alias("count"))
-            .select("sensor_id", "metric", F.col("w.start").alias("window_start"),
-                    F.col("w.end").alias("window_end"), "avg_value", "min_value", "max_value", "count"))
+            .select("sensor_id", "metric", "window_start", F.expr(f"window_start + INTERVAL {size}").alias("window_end"),
+                    "avg_value", "min_value", "max_value", "count"))
+
+
+def _hour(ts: Column) -> Column:
+    return time_floor(ts, "hour")
 
 
 # --------------------------------------------------------------------------- T5

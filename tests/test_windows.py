@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 from helpers import T, readings_df, rows
@@ -141,3 +142,22 @@ def test_running_buffer_split_equals_plain(spark):
     split = sorted(rows(WI.running_buffer_stats(df, 20, hot_rows=100), *cols))
     plain = sorted(rows(WI.running_buffer_stats(df, 20), *cols))
     assert split == plain and len(split) == 1200
+
+
+def test_sliding_windows_are_expanded_behind_the_exchange(spark):
+    start = T("2024-01-01 08:00:00")
+    df = readings_df(spark, [(i, "Loop-0001", start + dt.timedelta(minutes=7 * i % 200, seconds=i % 50), "avg_speed", float(i))
+                             for i in range(150)])
+    for size, slide in ((10, 1), (90, 15)):
+        got = WI.sliding_windows(df, f"{size} minutes", f"{slide} minutes")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        last = plan.index("Exchange")      # top down: the last exchange comes before the expansion
+        assert "Generate explode(sequence(at" in plan[:last] and "REPARTITION_BY_COL" in plan[last:].split("\n")[0]
+        want = {}
+        for r in df.collect():
+            first = (r.ts - start) // dt.timedelta(minutes=slide) * slide
+            for back in range(0, size, slide):
+                want.setdefault(start + dt.timedelta(minutes=first - back), []).append(r.value)
+        assert {r.window_start: (r["count"], r.min_value, r.max_value, round(r.avg_value, 9)) for r in got.collect()} == {
+            k: (len(v), min(v), max(v), round(sum(v) / len(v), 9)) for k, v in want.items()}
+        assert got.count() == len(want)
