@@ -40,14 +40,16 @@ def minute_partials(readings: DataFrame, ranges: DataFrame, grace: str = "1 minu
 
 def sliding_partials(minutes: DataFrame, size: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
     """Second operator: the sliding windows, with the total and count of the
-    newest minute they hold (``last_*``, ``last_end``). ``slide`` must be a minute
+    minute they end with (``last_*``, null without one). ``slide`` must be a minute
     for every minute to be the last one of some window."""
-    return (minutes.groupBy("sensor_id", "metric", F.window(F.window_time("minute"), size, slide).alias("w"))
+    wide = minutes.withColumn("w", F.window(F.window_time("minute"), size, slide))
+    # One partial per minute: the newest one is told by its end, so no time is kept beside it.
+    own = F.col("minute")["end"] == F.col("w")["end"]
+    return (wide.groupBy("sensor_id", "metric", "w")
             .agg(F.sum("total").alias("total"), F.sum("n").alias("count"),
                  F.min("least").alias("min_value"), F.max("most").alias("max_value"),
-                 F.max(F.col("minute")["end"]).alias("last_end"),
-                 F.max_by("total", F.col("minute")["end"]).alias("last_total"),
-                 F.max_by("n", F.col("minute")["end"]).alias("last_n")))
+                 F.max(F.when(own, F.col("total"))).alias("last_total"),
+                 F.max(F.when(own, F.col("n"))).alias("last_n")))
 
 
 def sliding_rows(windows: DataFrame) -> DataFrame:
@@ -59,9 +61,9 @@ def sliding_rows(windows: DataFrame) -> DataFrame:
 
 
 def closed_minutes(windows: DataFrame, limits=None) -> DataFrame:
-    """T1 rows (D3): of every window whose newest minute is its last, that minute."""
-    own = windows.where(F.col("last_end") == F.col("w")["end"]).select(
-        "sensor_id", "metric", F.timestamp_add("MINUTE", F.lit(-1), F.col("last_end")).cast("timestamp_ntz")
+    """T1 rows (D3): of every window that ends with a minute, that minute."""
+    own = windows.where(F.col("last_n").isNotNull()).select(
+        "sensor_id", "metric", F.timestamp_add("MINUTE", F.lit(-1), F.col("w")["end"]).cast("timestamp_ntz")
         .alias("window_start"), (F.col("last_total") / F.col("last_n")).alias("value"))
     means = [mean(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in minute_metrics(limits)]
     return minute_rows(own.groupBy("sensor_id", "window_start").agg(*means), limits)

@@ -93,3 +93,12 @@ def test_nothing_closed_gives_no_rows(spark):
     _start(spark, base, _source(base, [[("Loop-0001", "2024-01-01T10:00:10Z", "avg_speed", 1.0)]]))
     minutes, sliding = _tables(spark, base)
     assert minutes.count() == 0 and sliding.count() == 0
+
+
+def test_windows_keep_no_time_beside_the_minute_they_end_with(spark):
+    """One row of state per window: what is kept is shuffled and written for each of a minute's ten windows."""
+    base = tempfile.mkdtemp(prefix="sp-chain-")
+    stream = parse_messages(json_file_stream(spark, _source(base, MESSAGES[:1])))
+    windows = SC.sliding_partials(SC.minute_partials(stream, schema.valid_ranges(spark)))
+    kept = [c for c in windows.columns if c not in ("sensor_id", "metric", "w")]
+    assert kept == ["total", "count", "min_value", "max_value", "last_total", "last_n"]
