@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.features import traffic_inputs, with_features
+from ..session import scratch_path
 from . import forest, isolation, patterns
 from .hybrid import MODEL_VERSION, ModelBundle
 
@@ -70,19 +71,25 @@ def traffic_features(minutes: DataFrame) -> DataFrame:
     return with_features(traffic_inputs(minutes))
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` through files of the shared checkpoint folder. A cached table keeps
+    the partitions of the shuffle it came from, and every pass over it starts a task
+    for each; files are written in partitions sized by their bytes and read that way."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def train_all(minutes: DataFrame, restarts: int = 10, trees: int = 100, seed: int = 42) -> ModelBundle:
     """M1 -> M3 -> M4, and M5, each behind its minimum sample guard."""
-    feats = traffic_features(minutes).persist()
-    try:
-        pm = patterns.fit_patterns(feats, restarts=restarts, seed=seed)
-        sm = None
-        if pm is not None:
-            labelled = patterns.training_set(patterns.predict_patterns(pm, feats))
-            sm = forest.fit_states(labelled, num_trees=trees, seed=seed)
-        am = isolation.fit_isolation(feats, ["sensor_id", "window_start"], seed=seed)
-        return ModelBundle(pm, sm, am, MODEL_VERSION)
-    finally:
-        feats.unpersist()
+    feats = _written(traffic_features(minutes), "training-features")
+    pm = patterns.fit_patterns(feats, restarts=restarts, seed=seed)
+    sm = None
+    if pm is not None:
+        labelled = patterns.training_set(patterns.predict_patterns(pm, feats))
+        sm = forest.fit_states(labelled, num_trees=trees, seed=seed)
+    am = isolation.fit_isolation(feats, ["sensor_id", "window_start"], seed=seed)
+    return ModelBundle(pm, sm, am, MODEL_VERSION)
 
 
 def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees: int = 100) -> DataFrame:
@@ -92,15 +99,15 @@ def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees
     forest: share of training rows flagged (target: the contamination), each in
     a column of its own."""
     spark = minutes.sparkSession
-    feats = traffic_features(minutes)
-    labelled = patterns.training_set(patterns.predict_patterns(bundle.patterns, feats))
+    feats = _written(traffic_features(minutes), "quality-features")
+    labelled = _written(patterns.training_set(patterns.predict_patterns(bundle.patterns, feats)), "quality-samples")
     train, test = labelled.randomSplit([0.8, 0.2], seed=seed)
     sm = forest.fit_states(train, num_trees=trees, seed=seed)
     if sm is None:
         return spark.createDataFrame([], "model_type string, date date, training_samples int, accuracy_score double, "
                                          "precision_score double, recall_score double, silhouette double, "
                                          "flagged_share double, model_version string, last_updated timestamp_ntz")
-    pred = sm.pipeline.transform(forest._prepare(test))
+    pred = _written(sm.pipeline.transform(forest._prepare(test)).select("_label", "_pred"), "quality-predictions")
 
     def metric(name):
         return MulticlassClassificationEvaluator(labelCol="_label", predictionCol="_pred", metricName=name).evaluate(pred)
@@ -120,7 +127,7 @@ def model_quality(minutes: DataFrame, bundle: ModelBundle, seed: int = 42, trees
     stats = spark.createDataFrame(rows, "model_type string, training_samples long, accuracy_score double, "
                                         "precision_score double, recall_score double, silhouette double, "
                                         "flagged_share double")
-    newest = minutes.agg(F.max("window_start")).scalar()
+    newest = feats.agg(F.max("window_start")).scalar()
     return stats.select(
         "model_type", F.to_date(newest).alias("date"), F.col("training_samples").cast("int"),
         "accuracy_score", "precision_score", "recall_score", "silhouette", "flagged_share",

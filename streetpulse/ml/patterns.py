@@ -25,7 +25,7 @@ from ..operators.features import FEATURES
 PATTERN_NAMES = ["Free Flow", "Light Traffic", "Heavy Congestion", "Gridlock"]
 MIN_SAMPLES = 20
 CONFIDENCE_FLOOR = 0.1
-ROWS_PER_TASK = 25_000
+ROWS_PER_TASK = 100_000
 
 
 @dataclass
@@ -50,19 +50,20 @@ def dealt_for_passes(rows: DataFrame, n: int) -> DataFrame:
 
 
 def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-                 min_samples: int = MIN_SAMPLES, parallelism: int = 4) -> PatternModel | None:
+                 min_samples: int = MIN_SAMPLES, parallelism: int = 5) -> PatternModel | None:
     """M1: best (lowest ``trainingCost``) of ``restarts`` seeded K-Means fits;
     None below ``min_samples``. The scaler is fitted once; the independent
-    restarts run as concurrent Spark jobs over the cached scaled rows."""
+    restarts run as concurrent Spark jobs. The scaled rows are left uncached: a fit
+    then keeps its own vectors for its passes (in memory, what does not fit on disk),
+    while over a cached table each pass would decode all rows again."""
     from concurrent.futures import ThreadPoolExecutor
     data = features.select(*FEATURES).persist()
-    scaled = None
     try:
         n = data.count()
         if n < min_samples:
             return None
         prep = Pipeline(stages=_prep_stages()).fit(data)
-        scaled = prep.transform(dealt_for_passes(data, n)).select("_scaled").persist()
+        scaled = prep.transform(dealt_for_passes(data, n)).select("_scaled")
 
         def fit(i):
             m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=300).fit(scaled)
@@ -75,8 +76,6 @@ def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         centers = [list(map(float, c)) for c in best.clusterCenters()]
         return PatternModel(model, labels, centers, float(cost), int(n))
     finally:
-        if scaled is not None:
-            scaled.unpersist()
         data.unpersist()
 
 

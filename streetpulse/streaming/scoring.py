@@ -7,6 +7,11 @@ reach the tasks as a broadcast. Per batch the scored rows go to a versioned
 table and one statistics row (row count, state distribution, mean confidence,
 anomaly rate, model versions) is computed by an aggregation: no row is
 collected to the driver.
+
+A micro-batch leaves its state in one partition per shuffle partition, however few
+rows they hold. Its minutes are therefore written once, and scored and counted
+from files in the caller's session, which sizes partitions by bytes; the folder of
+minutes is overwritten by the next micro-batch.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from ..ml.hybrid import ModelBundle, hybrid_score
 from ..ml.registry import Registry
 from ..operators.features import traffic_inputs
 from ..sources.fixtures import sensor_type_from_id
-from .sinks import write_batch
+from .sinks import batch_path, write_batch
 
 
 def batch_statistics(scored: DataFrame, batch_id: int) -> DataFrame:
@@ -46,19 +51,21 @@ def start_scoring(minute_rows: DataFrame, bundle: ModelBundle | Registry | None,
     (use ``{"processingTime": "20 seconds"}`` for a running service). With a
     registry each micro-batch is scored by the version current at its start."""
     traffic = minute_rows.filter(_is_traffic())
+    spark = minute_rows.sparkSession
+    inputs_path = scored_path.rstrip("/") + "-inputs"
 
     def sink(df: DataFrame, batch_id: int) -> None:
         model = bundle
         if isinstance(bundle, Registry):
             model = bundle.for_batch(df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct", batch_id)
-        scored = hybrid_score(traffic_inputs(df), model, fallback).persist()
-        try:
-            write_batch(scored, scored_path, batch_id)
-            write_batch(batch_statistics(scored, batch_id).drop("batch_id"), stats_path, batch_id)
-            if on_batch:
-                on_batch(scored, batch_id)
-        finally:
-            scored.unpersist()
+        inputs, folder = traffic_inputs(df), batch_path(spark, inputs_path, 0)  # one folder a query
+        inputs.write.mode("overwrite").parquet(folder)
+        rows = hybrid_score(spark.read.schema(inputs.schema).parquet(folder), model, fallback)
+        write_batch(rows, scored_path, batch_id)
+        scored = spark.read.schema(rows.schema).parquet(batch_path(spark, scored_path, batch_id))
+        write_batch(batch_statistics(scored, batch_id).drop("batch_id"), stats_path, batch_id)
+        if on_batch:
+            on_batch(scored, batch_id)
 
     return (traffic.writeStream.outputMode("append").foreachBatch(sink)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

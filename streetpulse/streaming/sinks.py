@@ -22,12 +22,17 @@ def _folder(spark: SparkSession, batch_id: int) -> str:
     return f"query={query}/batch_id={int(batch_id)}"
 
 
+def batch_path(spark: SparkSession, table_path: str, batch_id: int) -> str:
+    """Folder of the running micro-batch's rows in the table."""
+    return os.path.join(table_path, _folder(spark, batch_id))
+
+
 VERSION = ["written_at", "query", "batch_id"]  # columns of a stored row's version
 
 
 def write_batch(df: DataFrame, table_path: str, batch_id: int) -> None:
     (df.withColumn("written_at", F.current_timestamp())
-       .write.mode("overwrite").parquet(os.path.join(table_path, _folder(df.sparkSession, batch_id))))
+       .write.mode("overwrite").parquet(batch_path(df.sparkSession, table_path, batch_id)))
 
 
 def read_versions(spark: SparkSession, table_path: str) -> DataFrame:

@@ -98,3 +98,46 @@ def test_passes_of_a_fit_do_not_start_a_task_per_shuffle_partition(spark, monkey
     assert MF.fit_states(P.training_set(P.predict_patterns(model, feats)), num_trees=3) is not None
     assert seen["Pipeline"][-1] == (1, 405)
     feats.unpersist()
+
+
+def test_training_reads_files_not_a_partition_per_shuffle_partition(spark, monkeypatch):
+    from streetpulse.ml import lifecycle as L
+    seen = {}
+
+    def patterns_fit(feats, **kw):
+        seen["patterns"] = (feats.rdd.getNumPartitions(), feats.count())
+
+    def isolation_fit(feats, key, **kw):
+        seen["isolation"] = (feats.rdd.getNumPartitions(), feats.count())
+    monkeypatch.setattr(L.patterns, "fit_patterns", patterns_fit)
+    monkeypatch.setattr(L.isolation, "fit_isolation", isolation_fit)
+    minutes = spark.range(120).repartition(64).selectExpr(
+        "'Loop-0001' AS sensor_id", "timestamp_ntz'2024-01-01 10:00:00' AS window_start", "20.0D AS vehicle_count_per_min",
+        "40.0D AS avg_speed_kmh", "10.0D AS avg_wait_time_s").repartition(64)
+    L.train_all(minutes)
+    assert all(parts <= 16 and n == 120 for parts, n in seen.values()) and len(seen) == 2
+
+
+def test_restarts_keep_their_own_vectors(spark, monkeypatch):
+    fit, cached = P.KMeans.fit, []
+
+    def noted(self, rows, *args):
+        cached.append(rows.storageLevel.useMemory)
+        return fit(self, rows, *args)
+    monkeypatch.setattr(P.KMeans, "fit", noted)
+    P.fit_patterns(with_features(_traffic(spark)), restarts=2)
+    assert cached == [False, False]
+
+
+def test_scored_micro_batches_are_read_from_files(spark, tmp_path):
+    from streetpulse.streaming import scoring as SS
+    rows = spark.range(40).selectExpr("concat('Loop-', id) AS sensor_id", "timestamp_ntz'2024-01-01 10:00:00' AS window_start",
+                                      "20.0D AS vehicle_count_per_min", "40.0D AS avg_speed_kmh", "10.0D AS avg_wait_time_s")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).repartition(64)
+    seen = []
+    SS.start_scoring(stream, None, str(tmp_path / "scored"), str(tmp_path / "stats"), str(tmp_path / "c"), fallback="rules",
+                     on_batch=lambda df, i: seen.append((df.rdd.getNumPartitions() <= 16, df.count()))).awaitTermination()
+    assert seen == [(True, 40)]
+    stats = spark.read.parquet(str(tmp_path / "stats")).collect()
+    assert [r.rows for r in stats] == [40] and spark.read.parquet(str(tmp_path / "scored")).count() == 40
