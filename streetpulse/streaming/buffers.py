@@ -33,7 +33,7 @@ from ..session import rocksdb_state
 OUTPUT_SCHEMA = ("kind string, sensor_id string, metric string, event_id long, ts timestamp, value double, "
                  "avg_value double, min_value double, max_value double, count long, window_size long, "
                  "range_start timestamp, range_end timestamp")
-_NAMES = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
+_NAT = np.iinfo(np.int64).min    # the number of a missing time
 _READING = "event_id long, ts_us long, metric string, value double"
 _READINGS = "event_id array<long>, ts_us array<long>, metric array<string>, value array<double>, old array<boolean>"
 _KINDS = (np.int64, np.int64, object, np.float64, bool)
@@ -108,7 +108,7 @@ class SensorBuffer(StatefulProcessor):
         known = bool(held)
         recent = _arrays(*zip(*held), [True] * len(held)) if held else _NONE
         tails = {}
-        for (metric,), (ids, ts, value) in list(self.tails.iterator()):
+        for (metric,), (ids, ts, value) in list(self.tails.iterator()) if known else ():  # kept and dropped together
             tails[metric] = _arrays(ids, ts, [metric] * len(ids), value, [True] * len(ids))
         pending, waiting, buckets = list(tails.values()), 0, {}
         for pdf in rows:
@@ -121,13 +121,16 @@ class SensorBuffer(StatefulProcessor):
                 self._to_spool(pending, buckets)
                 pending, waiting = [], 0
         carried: dict = {}
+        spikes = []
         if buckets:
             if pending:
                 self._to_spool(pending, buckets)
             for bucket in sorted(buckets):
-                yield from self._spikes(key[0], find_spikes(self._from_spool(bucket, buckets[bucket]), carried))
+                found = find_spikes(self._from_spool(bucket, buckets[bucket]), carried)
+                if found:
+                    yield _frame(key[0], found)
         else:
-            yield from self._spikes(key[0], find_spikes(_together(pending), carried))
+            spikes = find_spikes(_together(pending), carried)
         for metric, last in carried.items():
             old = tails.get(metric)
             if old is None or not np.array_equal(old[0], last[0]):
@@ -135,7 +138,7 @@ class SensorBuffer(StatefulProcessor):
         self.recent.put(list(zip(*[c.tolist() for c in recent[:4]])))
         if not known:   # one timer a sensor, moved on when it expires
             self.handle.registerTimer(int(recent[1][-1]) // 1000 + self.retention_ms)
-        yield self._stats(key[0], recent)
+        yield _frame(key[0], spikes, recent)   # one frame: building and sending it costs more than its rows
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         newest = max((r[1] for r in self.recent.get()), default=None)
@@ -147,38 +150,35 @@ class SensorBuffer(StatefulProcessor):
             self.tails.clear()
         return iter([])
 
-    def _spikes(self, sensor_id, found: list) -> Iterator[pd.DataFrame]:
-        if found:
-            metric, ids, ts, value, recent = zip(*found)
-            yield _frame(kind="spike", sensor_id=sensor_id, metric=metric, event_id=ids,
-                         ts=np.array(ts, "datetime64[us]"), value=value, avg_value=recent)
-
-    def _stats(self, sensor_id, recent: list[np.ndarray]) -> pd.DataFrame:
-        _, ts, metric, value, _ = recent
-        names = sorted(set(metric))
-        own = [value[metric == m] for m in names]
-        start, end = ts[[0, -1]].astype("datetime64[us]")
-        return _frame(kind="stats", sensor_id=sensor_id, metric=names, avg_value=[float(v.mean()) for v in own],
-                      min_value=[v.min() for v in own], max_value=[v.max() for v in own], count=[len(v) for v in own],
-                      window_size=len(ts), range_start=start, range_end=end)
-
-
-def _frame(**columns) -> pd.DataFrame:
-    """Output rows; columns not given are null."""
-    n = len(columns["metric"])
-    out = {}
-    for name in _NAMES:
-        value = columns.get(name)
-        if name in ("event_id", "count", "window_size"):
-            out[name] = pd.array([None] * n if value is None else [value] * n if np.isscalar(value) else value, dtype="Int64")
-        elif name in ("ts", "range_start", "range_end"):
-            out[name] = np.full(n, np.datetime64("NaT"), "datetime64[us]") if value is None else (
-                value if isinstance(value, np.ndarray) else np.full(n, value))
-        elif name in ("kind", "sensor_id", "metric"):
-            out[name] = [value] * n if isinstance(value, str) else list(value)
-        else:
-            out[name] = np.full(n, np.nan) if value is None else np.asarray(value, np.float64)
-    return pd.DataFrame(out, columns=_NAMES)
+
+def _frame(sensor_id, spikes: list, recent: list[np.ndarray] | None = None) -> pd.DataFrame:
+    """Output rows: the spikes, then the buffer's statistics per metric. Columns
+    a row does not have are null."""
+    metric, ids, at, value, mean = (list(c) for c in zip(*spikes)) if spikes else ([], [], [], [], [])
+    names, own, span, window = [], [], [None, None], 0
+    if recent is not None:
+        _, ts, metrics, values, _ = recent
+        names = sorted(set(metrics))
+        own = [values[metrics == m] for m in names]
+        span, window = ts[[0, -1]], len(ts)
+    n, k = len(spikes), len(names)
+
+    def column(spike, stats, dtype=object):
+        """A column of the spikes' and the statistics' values; None: all null."""
+        empty = np.nan if dtype is np.float64 else None
+        return np.array((spike or [empty] * n) + (stats or [empty] * k), dtype)
+
+    def times(spike, stat):
+        return np.array((spike or [_NAT] * n) + [_NAT if stat is None else stat] * k, np.int64).view("datetime64[us]")
+    return pd.DataFrame({
+        "kind": column(["spike"] * n, ["stats"] * k), "sensor_id": column([sensor_id] * n, [sensor_id] * k),
+        "metric": column(metric, names), "event_id": column(ids, None), "ts": times(at, None),
+        "value": column(value, None, np.float64),
+        "avg_value": column(mean, [float(v.mean()) for v in own], np.float64),
+        "min_value": column(None, [v.min() for v in own], np.float64),
+        "max_value": column(None, [v.max() for v in own], np.float64),
+        "count": column(None, [len(v) for v in own]), "window_size": column(None, [window] * k),
+        "range_start": times(None, span[0]), "range_end": times(None, span[1])}, copy=False)
 
 
 def buffered_stream(readings: DataFrame, n: int = 20, retention: str = "24 hours", spool_rows: int = 200_000) -> DataFrame:

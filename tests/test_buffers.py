@@ -143,3 +143,16 @@ def test_timer_moves_on_and_drops_idle_state():
     assert handle.timers[1] == START // 1000 + 11_000 and handle.states["recent"]["list"]
     list(processor.handleExpiredTimer(("Loop-0",), None, Expired(handle.timers[1])))
     assert not handle.states["recent"] and not handle.states["tails"]
+
+
+def test_a_sensor_sends_one_frame_a_batch(spark):
+    processor, handle = SB.SensorBuffer(20, 3_600_000), Handle()
+    processor.init(handle)
+    pdf = made(400, sensors=1)
+    frames = list(processor.handleInputRows(("Loop-0",), iter([pdf.iloc[:200], pdf.iloc[200:]]), None))
+    assert len(frames) == 1 and set(frames[0]["kind"]) == {"spike", "stats"}
+    rows = spark.createDataFrame(frames[0].astype(object).where(frames[0].notna(), None), SB.OUTPUT_SCHEMA).collect()
+    spikes, stats = ([r for r in rows if r.kind == k] for k in ("spike", "stats"))
+    assert sorted((r.event_id, r.avg_value) for r in spikes) == plain(pdf)[0]
+    assert all(r.ts is not None and r.window_size is None and r.range_start is None for r in spikes)
+    assert all(r.ts is None and r.event_id is None and r.window_size == 20 and r.range_end is not None for r in stats)
