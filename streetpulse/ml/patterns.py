@@ -2,20 +2,26 @@
 the cluster profile that names the clusters (A21).
 
 Spark ML K-Means on the nine standardised features. The reference restarts
-K-Means 10 times and keeps the best; here each restart is a seeded fit (run
-concurrently) and the lowest ``trainingCost`` wins (ties: lowest seed). The model is k centres of nine numbers, so the
-distance-based confidence is computed with array expressions against the
-centres as literals (JVM-side, no UDF).
+K-Means 10 times and keeps the best; here each restart takes its starting
+centres from a seeded Spark ML K-Means, all restarts move on together, one pass
+over the rows a step, and the lowest cost wins (ties: lowest seed). The model is
+k centres of nine numbers, so the cluster and the distance-based confidence are
+computed with array expressions against the centres as literals (JVM-side, no UDF).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +32,9 @@ PATTERN_NAMES = ["Free Flow", "Light Traffic", "Heavy Congestion", "Gridlock"]
 MIN_SAMPLES = 20
 CONFIDENCE_FLOOR = 0.1
 ROWS_PER_TASK = 100_000
+MAX_STEPS = 300
+TOLERANCE = 1e-4  # centres that move no further stand still
+SAME_COST = 1e-9  # restarts in one optimum differ by the rounding of their sums
 
 
 @dataclass
@@ -49,13 +58,70 @@ def dealt_for_passes(rows: DataFrame, n: int) -> DataFrame:
     return rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))
 
 
+def move_together(scaled: DataFrame, starts: list[np.ndarray], max_steps: int = MAX_STEPS) -> list[tuple]:
+    """Lloyd's steps of all restarts from their starting centres until none of a
+    restart's centres moves by more than ``TOLERANCE``: (cost, centres) of each. A step
+    is one job over the rows for all restarts that still move; a task returns k rows
+    of sums a restart. A centre without rows stays."""
+    def step(rows: np.ndarray, restarts: list[np.ndarray]) -> list[np.ndarray]:
+        """Of every restart, for every centre: the sum, number and squared distance of the rows nearest to it."""
+        out, squares = [], (rows * rows).sum(axis=1)
+        for centers in restarts:
+            apart = (centers * centers).sum(axis=1) - 2.0 * rows @ centers.T
+            near = apart.argmin(axis=1)
+            held = (near[:, None] == np.arange(len(centers))).astype("float64")
+            cost = np.maximum(squares + apart[np.arange(len(rows)), near], 0.0)
+            out.append(held.T @ np.column_stack([rows, np.ones(len(rows)), cost]))
+        return out
+
+    def blocks(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"block": [np.stack(list(pdf["x"])).astype("float64").tobytes()]})
+    width = len(FEATURES)
+    rows = scaled.select(vector_to_array("_scaled").alias("x")).mapInPandas(blocks, "block binary").rdd.map(
+        lambda r: np.frombuffer(r["block"], dtype="float64").reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+    done, moving = [(0.0, c) for c in starts], list(range(len(starts)))
+    try:
+        for _ in range(max_steps):
+            if not moving:
+                break
+            at = [done[i][1] for i in moving]
+            sums = rows.map(lambda block, at=at: step(block, at)).reduce(lambda a, b: [x + y for x, y in zip(a, b)])
+            for i, old, got in zip(list(moving), at, sums):
+                n = got[:, width:width + 1]
+                new = np.where(n > 0, got[:, :width] / np.maximum(n, 1.0), old)
+                done[i] = (float(got[:, width + 1].sum()), new)
+                if (((new - old) ** 2).sum(axis=1) <= TOLERANCE ** 2).all():
+                    moving.remove(i)
+        return done
+    finally:
+        rows.unpersist()
+
+
+class NearestCenter(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """``cluster``: the number of the centre nearest to ``_scaled`` (ties: the first)."""
+
+    centers = Param(Params._dummy(), "centers", "centres, a list of numbers each")
+
+    def __init__(self, centers: list[list[float]] | None = None):
+        super().__init__()
+        if centers is not None:
+            self._set(centers=centers)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        x = vector_to_array("_scaled")
+        apart = [F.struct(_distance(x, c), F.lit(i).alias("cluster")) for i, c in enumerate(self.getOrDefault("centers"))]
+        return dataset.withColumn("cluster", F.array_min(F.array(*apart))["cluster"])
+
+
 def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
                  min_samples: int = MIN_SAMPLES, parallelism: int = 5) -> PatternModel | None:
-    """M1: best (lowest ``trainingCost``) of ``restarts`` seeded K-Means fits;
-    None below ``min_samples``. The scaler is fitted once; the independent
-    restarts run as concurrent Spark jobs. The scaled rows are left uncached: a fit
-    then keeps its own vectors for its passes (in memory, what does not fit on disk),
-    while over a cached table each pass would decode all rows again."""
+    """M1: best (lowest cost) of ``restarts`` seeded K-Means fits; None below
+    ``min_samples``. The scaler is fitted once; the restarts' starting centres (k-means||)
+    are found by concurrent Spark jobs. The scaled rows are left uncached: the passes
+    keep their own vectors (in memory, what does not fit on disk), while over a cached
+    table each pass would decode all rows again."""
     from concurrent.futures import ThreadPoolExecutor
     data = features.select(*FEATURES).persist()
     try:
@@ -65,15 +131,17 @@ def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         prep = Pipeline(stages=_prep_stages()).fit(data)
         scaled = prep.transform(dealt_for_passes(data, n)).select("_scaled")
 
-        def fit(i):
-            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=300).fit(scaled)
-            return m.summary.trainingCost, i, m
+        def start(i):
+            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=0).fit(scaled)
+            return np.array(m.clusterCenters())
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
-            cost, _, best = min(pool.map(fit, range(restarts)), key=lambda r: (r[0], r[1]))
-        model = PipelineModel(stages=list(prep.stages) + [best])
+            fits = move_together(scaled, list(pool.map(start, range(restarts))))
+        least = min(cost for cost, _ in fits)
+        cost, best = next(f for f in fits if f[0] <= least * (1 + SAME_COST))
+        centers = [list(map(float, c)) for c in best]
+        model = PipelineModel(stages=list(prep.stages) + [NearestCenter(centers)])
         labels = name_clusters(model.transform(data))
-        centers = [list(map(float, c)) for c in best.clusterCenters()]
         return PatternModel(model, labels, centers, float(cost), int(n))
     finally:
         data.unpersist()

@@ -141,3 +141,42 @@ def test_scored_micro_batches_are_read_from_files(spark, tmp_path):
     assert seen == [(True, 40)]
     stats = spark.read.parquet(str(tmp_path / "stats")).collect()
     assert [r.rows for r in stats] == [40] and spark.read.parquet(str(tmp_path / "scored")).count() == 40
+
+
+def test_restarts_share_their_passes_and_end_as_single_fits(spark, monkeypatch):
+    """Before, every restart ran its own passes: KMeans fitted to the end, some 40 steps of two stages each."""
+    steps = []
+    fit = P.KMeans.fit
+
+    def noted(self, rows, *args):
+        steps.append(self.getMaxIter())
+        return fit(self, rows, *args)
+    feats = with_features(_traffic(spark))
+    with monkeypatch.context() as m:
+        m.setattr(P.KMeans, "fit", noted)
+        model = P.fit_patterns(feats, restarts=3)
+    assert steps == [0, 0, 0]
+    scaled = P.PipelineModel(model.pipeline.stages[:2]).transform(feats)
+    alone = [P.KMeans(k=4, seed=42 + i, featuresCol="_scaled", predictionCol="cluster", maxIter=300).fit(scaled.coalesce(1))
+             for i in range(3)]
+    best = min(alone, key=lambda one: one.summary.trainingCost)
+    assert abs(model.training_cost - best.summary.trainingCost) <= 1e-6 * best.summary.trainingCost
+    assert all(abs(a - b) < 1e-6 for x, y in zip(sorted(model.centers), sorted(c.tolist() for c in best.clusterCenters()))
+               for a, b in zip(x, y))
+    ours = model.pipeline.transform(feats).select("_scaled", "cluster").collect()
+    assert [r.cluster for r in ours] == [model.centers.index(min(model.centers, key=lambda c: sum(
+        (a - b) ** 2 for a, b in zip(c, r._scaled)))) for r in ours]
+
+
+def test_anomaly_trees_are_fitted_beside_the_patterns(spark, monkeypatch):
+    import threading
+    from streetpulse.ml import lifecycle as L
+    begun = threading.Event()
+    monkeypatch.setattr(L.isolation, "fit_isolation", lambda *a, **kw: begun.set())
+    monkeypatch.setattr(L.patterns, "fit_patterns", lambda *a, **kw: begun.wait(20) or 1 / 0)
+    rows = spark.range(30).selectExpr("'Loop-0001' AS sensor_id", "timestamp_ntz'2024-01-01 10:00:00' AS window_start",
+                                      "20.0D AS vehicle_count_per_min", "40.0D AS avg_speed_kmh", "10.0D AS avg_wait_time_s")
+    monkeypatch.setattr(L.patterns, "predict_patterns", lambda model, feats: feats)
+    monkeypatch.setattr(L.patterns, "training_set", lambda rows: rows)
+    monkeypatch.setattr(L.forest, "fit_states", lambda rows, **kw: rows)
+    assert L.train_all(rows).patterns is True
