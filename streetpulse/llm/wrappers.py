@@ -56,9 +56,11 @@ DROPPED = frozenset("head title script style noscript template nav footer aside
 CONTAINERS = frozenset("article main section div td body".split())
 SLOTS = frozenset("article main section div body".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
-SAME_CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th",
-               "option": "option"}
-SCOPE = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr", "th": "tr", "option": "select"}
+BLOCK_SCOPE = CONTAINERS | {"li", "blockquote", "td", "th"}
+SAME_CLOSES = {tag: frozenset(closed.split()) for tag, closed in {
+    "li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}.items()}
+SCOPE = {tag: frozenset(around.split()) for tag, around in {
+    "li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr", "th": "tr", "option": "select"}.items()}
 BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion
     banner sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr
     notice notices notification alert newsletter subscribe subscription signup login popup modal share sharing social
@@ -71,13 +73,24 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert dial
 class Node:
     __slots__ = ("tag", "mark", "skip", "flat", "children", "constant")
 
-    def __init__(self, tag: str, attrs: list, inside: bool = False):
-        got = {k: v or "" for k, v in reversed(attrs)}
+    def __init__(self, tag: str, attrs: list, around: list[Node] = ()):
         self.tag, self.flat, self.children, self.constant = tag, False, [], False
-        self.mark = tag + "".join("." + x for x in got.get("class", "").split()[:2])
-        self.skip = tag in DROPPED or "hidden" in got or got.get("role", "").lower() in ROLES
-        if not self.skip and tag not in ("body", "html", "article", "main"):
-            self.skip = named(f"{got.get('class', '')} {got.get('id', '')}".lower(), inside)
+        if not attrs:
+            self.mark, self.skip = tag, tag in DROPPED
+            return
+        got = {k: v or "" for k, v in reversed(attrs)}
+        names, ident = got.get("class", ""), got.get("id", "")
+        inside = bool(names or ident) and any(n.tag in ("article", "main") for n in around)
+        self.mark, self.skip = marked(tag, names, ident, got.get("role", ""), "hidden" in got, inside)
+
+
+@functools.lru_cache(4096)
+def marked(tag: str, names: str, ident: str, role: str, hidden: bool, inside: bool) -> tuple[str, bool]:
+    """(mark, whether it is boilerplate by itself) of an element; pages repeat theirs."""
+    skip = tag in DROPPED or hidden or role.lower() in ROLES
+    if not skip and tag not in ("body", "html", "article", "main"):
+        skip = named(f"{names} {ident}".lower(), inside)
+    return tag + "".join("." + x for x in names.split()[:2]), skip
 
 
 def named(names: str, inside: bool) -> bool:
@@ -102,6 +115,9 @@ class Tree(HTMLParser):
         self.feed(html)
         self.close()
 
+    def updatepos(self, i, j):  # line numbers are not asked for
+        return j
+
     def _pop(self, tags, scope=()) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
@@ -118,12 +134,11 @@ class Tree(HTMLParser):
                 self._lose(tag)
             return
         if tag not in INLINE and tag not in VOID:
-            self._pop(CLOSED_BY_BLOCK, CONTAINERS | {"li", "blockquote", "td", "th"})
+            self._pop(CLOSED_BY_BLOCK, BLOCK_SCOPE)
         if tag in SAME_CLOSES:
-            self._pop(SAME_CLOSES[tag].split(), SCOPE[tag].split())
-        inside = any(n.tag in ("article", "main") for n in self.open)
-        node = Node(tag, attrs, inside)
-        if tag == "header" and not inside:
+            self._pop(SAME_CLOSES[tag], SCOPE[tag])
+        node = Node(tag, attrs, self.open)
+        if tag == "header" and not any(n.tag in ("article", "main") for n in self.open):
             node.skip = True
         self.open[-1].children.append(node)
         if tag in VOID:
@@ -154,6 +169,9 @@ class Tree(HTMLParser):
                     last = self.gone.pop()
                     self.gone_of[last] -= 1
                 return
+        if self.open[-1].tag == tag and len(self.open) > 1:
+            self.open.pop()
+            return
         if any(n.tag == tag for n in self.open[1:]) and not (
                 tag in INLINE and any(n.tag not in INLINE for n in self._above(tag))):
             self._pop({tag})
@@ -405,6 +423,7 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
 
     def count(batches):
         held: Counter = Counter()
+        loaded = functools.lru_cache(SAMPLES)(json.loads)  # a host's pages come together
 
         def out():
             rows = [(*k, n) for k, n in held.items()]
@@ -413,7 +432,7 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
         for pdf in batches:
             for host, b, r in zip(pdf["host"], pdf["bones"], pdf["ref"]):
                 page = json.loads(b)
-                held[host, vote(page, json.loads(r)), None] += 1
+                held[host, vote(page, loaded(r)), None] += 1
                 held.update({(host, None, f"{tags} {n[2]}") for n, tags, _ in texts_of(page)})
                 if len(held) > FLUSH:
                     yield out()
