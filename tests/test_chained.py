@@ -102,3 +102,25 @@ def test_windows_keep_no_time_beside_the_minute_they_end_with(spark):
     windows = SC.sliding_partials(SC.minute_partials(stream, schema.valid_ranges(spark)))
     kept = [c for c in windows.columns if c not in ("sensor_id", "metric", "w")]
     assert kept == ["total", "count", "min_value", "max_value", "last_total", "last_n"]
+
+
+def test_sliding_state_follows_the_batches_not_the_table(spark, monkeypatch):
+    """Before, all events were one micro-batch, whose windows were all kept until its end."""
+    from conftest import SF
+    from pyspark.sql.streaming import DataStreamWriter
+    from streetpulse.plans import catalog as C
+    queries, start = [], DataStreamWriter.start
+
+    def noted(self, *args, **kw):
+        queries.append(start(self, *args, **kw))
+        return queries[-1]
+    monkeypatch.setattr(DataStreamWriter, "start", noted)
+
+    def rows():
+        return sorted((r.sensor_id, r.metric, r.window_start, round(r.avg_value, 9), r.min_value, r.max_value, r["count"])
+                      for r in C.QUERIES["T3_stream"](spark, SF).collect())
+    whole = rows()
+    monkeypatch.setattr(C, "EVENTS_PER_BATCH", C.FX.events(spark, SF).count() // 5)
+    assert whole and rows() == whole
+    most = [max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) for q in queries]
+    assert most[1] < 0.75 * most[0]
