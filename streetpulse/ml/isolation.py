@@ -108,9 +108,41 @@ def _standardised(df: DataFrame, means, scales) -> list[Column]:
             for i, (f, m, s) in enumerate(zip(INPUTS, means, scales))]
 
 
+def _walks(model: IsolationModel) -> list[tuple]:
+    """Every tree laid out for walking all rows a level at a time: (levels, feature,
+    threshold, the two children of each node side by side, path length if the walk
+    ends there). A leaf is its own child, so no row is looked at for having arrived."""
+    out = []
+    for feature, threshold, left, right, size in zip(model.feature, model.threshold, model.left, model.right, model.size):
+        inner, nodes = feature >= 0, np.arange(len(feature))
+        depth, level, levels = np.zeros(len(feature)), np.zeros(1, dtype="int64"), 0
+        while len(level := level[inner[level]]):
+            levels += 1
+            level = np.concatenate([left[level], right[level]])
+            depth[level] = levels
+        children = np.column_stack([np.where(inner, right, nodes), np.where(inner, left, nodes)]).ravel()
+        out.append((levels, np.where(inner, feature, 0).astype("int32"), threshold, children.astype("int32"),
+                    depth + c_factor(size)))
+    return out
+
+
+def _mean_path(X: np.ndarray, walks: list[tuple]) -> np.ndarray:
+    """Mean path length of every row of ``X`` over the trees."""
+    n = len(X)
+    values, rows = np.ascontiguousarray(X.T).ravel(), np.arange(n, dtype="int32")
+    total = np.zeros(n)
+    for levels, feature, threshold, children, length in walks:
+        node = np.zeros(n, dtype="int32")
+        starts = feature * n  # of each node's input in ``values``
+        for _ in range(levels):
+            left = values.take(starts.take(node) + rows) <= threshold.take(node)
+            node = children.take(2 * node + left)
+        total += length.take(node)
+    return total / len(walks)
+
+
 def _score_udf(spark: SparkSession, model: IsolationModel):
-    payload = (model.feature, model.threshold, model.left, model.right, model.size, model.psi,
-               model.means, model.scales)
+    payload = (_walks(model), model.psi, model.means, model.scales)
     try:
         shared = spark.sparkContext.broadcast(payload)
 
@@ -123,29 +155,12 @@ def _score_udf(spark: SparkSession, model: IsolationModel):
 
     @F.pandas_udf("double")
     def score(vc: pd.Series, sp: pd.Series, wt: pd.Series) -> pd.Series:
-        feat, thr, left, right, size, psi, means, scales = trees()
+        walks, psi, means, scales = trees()
         X = np.column_stack([vc.fillna(0.0).to_numpy(dtype="float64"), sp.fillna(0.0).to_numpy(dtype="float64"),
                              wt.fillna(0.0).to_numpy(dtype="float64")])
         X = (X - np.asarray(means)) / np.asarray(scales)
-        n = len(X)
-        rows = np.arange(n)
-        total = np.zeros(n)
-        for t in range(feat.shape[0]):
-            node = np.zeros(n, dtype="int64")
-            depth = np.zeros(n)
-            while True:
-                f = feat[t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                go_left = X[rows, np.where(inner, f, 0)] <= thr[t, node]
-                nxt = np.where(go_left, left[t, node], right[t, node])
-                node = np.where(inner, nxt, node)
-                depth += inner
-            total += depth + c_factor(size[t, node])
-        mean_path = total / feat.shape[0]
         # score_samples convention: the opposite of the anomaly score
-        return pd.Series(-np.power(2.0, -mean_path / float(c_factor([psi])[0])))
+        return pd.Series(-np.power(2.0, -_mean_path(X, walks) / float(c_factor([psi])[0])))
     return score
 
 

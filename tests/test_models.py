@@ -180,3 +180,25 @@ def test_anomaly_trees_are_fitted_beside_the_patterns(spark, monkeypatch):
     monkeypatch.setattr(L.patterns, "training_set", lambda rows: rows)
     monkeypatch.setattr(L.forest, "fit_states", lambda rows, **kw: rows)
     assert L.train_all(rows).patterns is True
+
+
+def test_rows_walk_the_anomaly_trees_as_one_by_one():
+    """Before, a row's walk was worked out again from six two-dimensional look-ups a level."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    samples = [pd.DataFrame(rng.normal(size=(64, 3)), columns=["_z0", "_z1", "_z2"]).assign(tree=t) for t in range(6)]
+    samples[2][["_z0", "_z1", "_z2"]] = 1.0  # a tree of one leaf
+    m = I.from_frame(pd.concat([I._grow(42, 64)(s) for s in samples]), [0.0] * 3, [1.0] * 3, 64, 0.0, 1000, 0.1)
+    X = rng.normal(size=(300, 3)) * 2
+    X[::7, 1] = np.nan
+
+    def walk(x, t):
+        node = depth = 0
+        while m.feature[t, node] >= 0:
+            node = (m.left if x[m.feature[t, node]] <= m.threshold[t, node] else m.right)[t, node]
+            depth += 1
+        return depth + I.c_factor([m.size[t, node]])[0]
+    alone = [sum((walk(x, t) for t in range(6)), 0.0) / 6 for x in X]
+    assert I._mean_path(X, I._walks(m)).tolist() == alone
+    assert len(I._mean_path(X[:0], I._walks(m))) == 0
