@@ -51,11 +51,11 @@ def _prep_stages():
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)]
 
 
-def dealt_for_passes(rows: DataFrame, n: int) -> DataFrame:
-    """``n`` training rows in tasks of about ``ROWS_PER_TASK``, without a shuffle:
+def dealt_for_passes(rows: DataFrame, n: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``n`` training rows in tasks of about ``rows_per_task``, without a shuffle:
     a fit makes hundreds of passes, and each pass starts a task per partition,
     however few rows a partition holds."""
-    return rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+    return rows.coalesce(max(1, -(-n // rows_per_task)))
 
 
 def move_together(scaled: DataFrame, starts: list[np.ndarray], max_steps: int = MAX_STEPS) -> list[tuple]:
@@ -110,16 +110,15 @@ class NearestCenter(Transformer, DefaultParamsReadable, DefaultParamsWritable):
             self._set(centers=centers)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        x = vector_to_array("_scaled")
-        apart = [F.struct(_distance(x, c), F.lit(i).alias("cluster")) for i, c in enumerate(self.getOrDefault("centers"))]
-        return dataset.withColumn("cluster", F.array_min(F.array(*apart))["cluster"])
+        return with_cluster(dataset, self.getOrDefault("centers")).drop("_apart")
 
 
 def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
                  min_samples: int = MIN_SAMPLES, parallelism: int = 5) -> PatternModel | None:
     """M1: best (lowest cost) of ``restarts`` seeded K-Means fits; None below
     ``min_samples``. The scaler is fitted once; the restarts' starting centres (k-means||)
-    are found by concurrent Spark jobs. The scaled rows are left uncached: the passes
+    are found by concurrent Spark jobs; the row solver is named, as to choose one Spark
+    makes a pass over the rows before each fit. The scaled rows are left uncached: the passes
     keep their own vectors (in memory, what does not fit on disk), while over a cached
     table each pass would decode all rows again."""
     from concurrent.futures import ThreadPoolExecutor
@@ -132,7 +131,8 @@ def fit_patterns(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         scaled = prep.transform(dealt_for_passes(data, n)).select("_scaled")
 
         def start(i):
-            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=0).fit(scaled)
+            m = KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="cluster", maxIter=0,
+                       solver="row").fit(scaled)
             return np.array(m.clusterCenters())
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
@@ -172,20 +172,28 @@ def _distance(x: Column, center: list[float]) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
 
 
+def with_cluster(rows: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """``_apart``, the distances of ``_scaled`` to all centres, and ``cluster``, the number
+    of the nearest one (ties: the first). The distances are a column of their own:
+    Spark does not share expressions with lambdas, so each use would work them out again."""
+    return (rows.withColumn("_x", vector_to_array("_scaled"))
+            .withColumn("_apart", F.array(*[_distance(F.col("_x"), c) for c in centers])).drop("_x")
+            .withColumn("cluster", (F.array_position("_apart", F.array_min("_apart")) - 1).cast("int")))
+
+
 def predict_patterns(model: PatternModel | None, features: DataFrame) -> DataFrame:
     """M2: ``pattern`` and ``pattern_confidence = max(0.1, 1 - d_min / d_max)``
     over the distances to all centres; 'Unknown', 0.0 without a model."""
     if model is None:
         return features.withColumn("cluster", F.lit(None).cast("int")) \
             .withColumn("pattern", F.lit("Unknown")).withColumn("pattern_confidence", F.lit(0.0))
-    out = model.pipeline.transform(features)
-    x = vector_to_array("_scaled")
-    dists = F.array(*[_distance(x, c) for c in model.centers])
+    out = with_cluster(PipelineModel(stages=model.pipeline.stages[:-1]).transform(features), model.centers)
+    dists = F.col("_apart")
     conf = F.greatest(F.lit(CONFIDENCE_FLOOR), F.coalesce(1.0 - F.try_divide(F.array_min(dists), F.array_max(dists)), F.lit(0.0)))
     names = F.create_map(*[F.lit(v) for kv in sorted(model.labels.items()) for v in kv])
     pattern = F.coalesce(names[F.col("cluster")], F.concat(F.lit("Pattern "), F.col("cluster").cast("string")))
     return (out.withColumn("pattern", pattern).withColumn("pattern_confidence", conf)
-            .drop("_raw", "_scaled"))
+            .drop("_raw", "_scaled", "_apart"))
 
 
 def training_set(patterned: DataFrame) -> DataFrame:

@@ -202,3 +202,28 @@ def test_rows_walk_the_anomaly_trees_as_one_by_one():
     alone = [sum((walk(x, t) for t in range(6)), 0.0) / 6 for x in X]
     assert I._mean_path(X, I._walks(m)).tolist() == alone
     assert len(I._mean_path(X[:0], I._walks(m))) == 0
+
+
+def test_starts_make_no_pass_to_choose_a_solver(spark, monkeypatch):
+    fit, solvers = P.KMeans.fit, []
+
+    def noted(self, rows, *args):
+        solvers.append(self.getSolver())
+        return fit(self, rows, *args)
+    monkeypatch.setattr(P.KMeans, "fit", noted)
+    model = P.fit_patterns(with_features(_traffic(spark)), restarts=2)
+    assert solvers == ["row", "row"] and model.samples == 405
+
+
+def test_distances_are_worked_out_once_a_row(spark):
+    """Before, the cluster, the least and the greatest distance each worked out all of them."""
+    feats = with_features(_traffic(spark))
+    model = P.fit_patterns(feats, restarts=2)
+    out = P.predict_patterns(model, feats)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == len(model.centers)
+    assert "_apart" not in out.columns and "_apart" not in model.pipeline.transform(feats).columns
+    scaled = P.PipelineModel(model.pipeline.stages[:2]).transform(feats).select(*P.FEATURES[:3], "_scaled")
+    for r in out.join(scaled, P.FEATURES[:3]).collect():
+        apart = [sum((a - b) ** 2 for a, b in zip(c, r._scaled)) ** 0.5 for c in model.centers]
+        assert r.cluster == apart.index(min(apart)) and r.pattern == model.labels[r.cluster]
+        assert abs(r.pattern_confidence - max(0.1, 1 - min(apart) / max(apart))) < 1e-12
