@@ -16,6 +16,9 @@ from ..operators.features import FEATURES, duration_of, severity_of
 from .patterns import dealt_for_passes
 
 MIN_SAMPLES = 20
+ROWS_PER_TASK = 20_000  # a level takes every row through all trees: more work a row than a K-Means step
+
+
 @dataclass
 class StateModel:
     pipeline: PipelineModel
@@ -45,7 +48,7 @@ def fit_states(samples: DataFrame, num_trees: int = 100, seed: int = 42,
             RandomForestClassifier(featuresCol="_scaled", labelCol="_label", numTrees=num_trees, seed=seed,
                                    predictionCol="_pred", probabilityCol="_prob", rawPredictionCol="_rawpred"),
         ]
-        model = Pipeline(stages=stages).fit(dealt_for_passes(data, n))
+        model = Pipeline(stages=stages).fit(dealt_for_passes(data, n, ROWS_PER_TASK))
         labels = model.stages[2].labels
         model = PipelineModel(stages=model.stages + [
             IndexToString(inputCol="_pred", outputCol="predicted_state", labels=labels)])

@@ -227,3 +227,19 @@ def test_distances_are_worked_out_once_a_row(spark):
         apart = [sum((a - b) ** 2 for a, b in zip(c, r._scaled)) ** 0.5 for c in model.centers]
         assert r.cluster == apart.index(min(apart)) and r.pattern == model.labels[r.cluster]
         assert abs(r.pattern_confidence - max(0.1, 1 - min(apart) / max(apart))) < 1e-12
+
+
+def test_forest_rows_are_dealt_over_more_tasks_than_a_k_means_step(spark, monkeypatch):
+    from streetpulse.ml import forest as MF
+    feats = with_features(_traffic(spark)).repartition(64).persist()
+    samples = P.training_set(P.predict_patterns(P.fit_patterns(feats, restarts=2), feats))
+    fit, seen = MF.Pipeline.fit, []
+
+    def noted(self, rows, *args):
+        seen.append((rows.rdd.getNumPartitions(), rows.count()))
+        return fit(self, rows, *args)
+    monkeypatch.setattr(MF.Pipeline, "fit", noted)
+    monkeypatch.setattr(MF, "ROWS_PER_TASK", 100)
+    assert MF.fit_states(samples, num_trees=3) is not None
+    assert seen == [(5, 405)] and 100 < P.ROWS_PER_TASK
+    feats.unpersist()
