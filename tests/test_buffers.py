@@ -156,3 +156,38 @@ def test_a_sensor_sends_one_frame_a_batch(spark):
     assert sorted((r.event_id, r.avg_value) for r in spikes) == plain(pdf)[0]
     assert all(r.ts is not None and r.window_size is None and r.range_start is None for r in spikes)
     assert all(r.ts is None and r.event_id is None and r.window_size == 20 and r.range_end is not None for r in stats)
+
+
+def test_a_call_works_on_all_sensors_of_its_group():
+    """Before, every sensor was a key: a call, its state calls and a frame for each, each micro-batch."""
+    processor, handle = SB.SensorBuffer(20, 3_600_000), Handle()
+    processor.init(handle)
+    pdf = made(4000, sensors=60, seed=3)
+    out = pd.concat([frame for part in (pdf.iloc[:2500], pdf.iloc[2500:])
+                     for frame in processor.handleInputRows((7,), iter([part.sample(frac=1, random_state=1)]), None)])
+    spikes, stats = plain(pdf)
+    got = out[out["kind"] == "spike"]
+    assert sorted(zip(got["event_id"], got["avg_value"])) == spikes
+    newest = out[out["kind"] == "stats"].groupby(["sensor_id", "metric"]).last()
+    assert {k: (r.avg_value, r.min_value, r.max_value, r["count"], r.window_size, r.range_start, r.range_end)
+            for k, r in newest.iterrows()} == stats
+    assert len(handle.states["recent"]["list"]) == 20 and len(handle.states["tails"]) == 2
+    assert len(handle.timers) == 1
+
+
+def test_sensors_of_a_group_are_dropped_one_by_one():
+    processor, handle = SB.SensorBuffer(5, 1000), Handle()
+    processor.init(handle)
+    for sensor, at in (("Loop-1", 50), ("Loop-0", 10), ("Loop-2", 60)):     # Loop-0 is due before the timer that is set
+        pdf = made(9, seed=at).assign(sensor_id=sensor, ts=(START + at * 1_000_000 + np.arange(9)).astype("datetime64[us]"))
+        list(processor.handleInputRows((7,), iter([pdf]), None))
+    assert handle.timers == [START // 1000 + 51_000, START // 1000 + 11_000]
+
+    def held():
+        return {s for v in handle.states["recent"].get() for s in SB._unpacked(v)[5]}
+    list(processor.handleExpiredTimer((7,), None, Expired(handle.timers[1])))
+    assert held() == {"Loop-1", "Loop-2"} and handle.timers[2] == START // 1000 + 51_000
+    list(processor.handleExpiredTimer((7,), None, Expired(handle.timers[2])))
+    assert held() == {"Loop-2"} and {s for v in handle.states["tails"].values() for s in SB._unpacked(v)[5]} == {"Loop-2"}
+    list(processor.handleExpiredTimer((7,), None, Expired(handle.timers[3])))
+    assert not handle.states["recent"] and not handle.states["tails"]
