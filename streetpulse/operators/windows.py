@@ -16,6 +16,7 @@ Scale notes
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -311,23 +312,41 @@ def sliding_windows(valid: DataFrame, size: str = "10 minutes", slide: str = "1
     # Partial sums per slide first: the tenfold expansion then only meets those.
     part = valid.groupBy("sensor_id", "metric", F.window("ts", slide).alias("p")).agg(
         F.sum("value").alias("s"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
-    part = part.select("sensor_id", "metric", F.col("p.start").alias("at"), "s", "lo", "hi", "n")
-    # They are dealt by the hours in which their windows start (a few go to two
-    # hours) and expanded only behind that exchange, which also serves the groups.
-    hours = F.sequence(_hour(F.expr(f"at - INTERVAL {size}")), _hour(F.col("at")), F.expr("INTERVAL 1 HOUR"))
-    dealt = part.withColumn("hour", F.explode(hours)).repartition("sensor_id", "metric", "hour")
-    starts = F.expr(f"sequence(at, at - INTERVAL {size}, -(INTERVAL {slide}))")
-    wide = (dealt.withColumn("window_start", F.explode(starts))
-            .filter(F.expr(f"window_start > at - INTERVAL {size}") & (_hour(F.col("window_start")) == F.col("hour"))))
-    return (wide.groupBy("sensor_id", "metric", "hour", "window_start")
+    part = part.select("sensor_id", "metric", slide_number(F.col("p.start"), slide).alias("at"), "s", "lo", "hi", "n")
+    start = slide_start(F.col("first"), slide)
+    return (dealt_windows(part, size, slide).groupBy("sensor_id", "metric", "block", "first")
             .agg((F.sum("s") / F.sum("n")).alias("avg_value"), F.min("lo").alias("min_value"),
                  F.max("hi").alias("max_value"), F.sum("n").alias("count"))
-            .select("sensor_id", "metric", "window_start", F.expr(f"window_start + INTERVAL {size}").alias("window_end"),
+            .select("sensor_id", "metric", start.alias("window_start"), (start + F.expr(f"INTERVAL {size}")).alias("window_end"),
                     "avg_value", "min_value", "max_value", "count"))
 
 
-def _hour(ts: Column) -> Column:
-    return time_floor(ts, "hour")
+def micros(text: str) -> int:
+    return pd.Timedelta(text).value // 1000
+
+
+def slide_number(start: Column, slide: str) -> Column:
+    """Number of the slide that starts then, counted from the epoch."""
+    return (F.unix_micros(start.cast("timestamp")) / micros(slide)).cast("bigint")
+
+
+def slide_start(number: Column, slide: str) -> Column:
+    return F.timestamp_micros(number * micros(slide)).cast("timestamp_ntz")
+
+
+def dealt_windows(part: DataFrame, size: str, slide: str) -> DataFrame:
+    """Partials of slide number ``at``, once per sliding window that holds them
+    (``first``: the window's first slide). They are dealt by sensor, metric and
+    the hour's ``block`` of windows (a few go to two) and expanded only behind
+    that exchange, which also serves groups of them by block and window."""
+    each, back = max(1, 3_600_000_000 // micros(slide)), -(-micros(size) // micros(slide)) - 1
+
+    def block(number):
+        return number - F.pmod(number, F.lit(each))
+    blocks = F.sequence(block(F.col("at") - back), block(F.col("at")), F.lit(each).cast("bigint"))
+    dealt = part.withColumn("block", F.explode(blocks)).repartition("sensor_id", "metric", "block")
+    return (dealt.withColumn("first", F.explode(F.expr(f"sequence(at, at - {back}L, -1L)")))
+            .filter((F.col("first") >= F.col("block")) & (F.col("first") < F.col("block") + each)))
 
 
 # --------------------------------------------------------------------------- T5

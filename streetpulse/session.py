@@ -111,14 +111,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Streams started inside keep their state in the RocksDB store, which
-    state variables and timers need. A stream takes its settings when it
-    starts, so the session's own setting is put back right after."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def started_with(spark: SparkSession, settings: dict[str, str]):
+    """Streams started inside have these settings. A stream takes its settings when
+    it starts, so the session's own are put back right after."""
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in the RocksDB store, which
+    state variables and timers need."""
+    return started_with(spark, {"spark.sql.streaming.stateStore.providerClass":
+                                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
+
+
+STATE_PARTITIONS_PER_CORE = 8
+
+
+def state_partitions(spark: SparkSession):
+    """Streams started inside have ``STATE_PARTITIONS_PER_CORE`` state partitions a
+    core, or the session's shuffle partitions if those are fewer. Every partition
+    loads and writes its state each micro-batch, which costs some tenths of a
+    second, however few rows it has. The number belongs to the checkpoint."""
+    key = "spark.sql.shuffle.partitions"
+    cores = spark.sparkContext.defaultParallelism
+    return started_with(spark, {key: str(min(int(spark.conf.get(key)), STATE_PARTITIONS_PER_CORE * cores))})

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..session import rocksdb_state
+from ..session import rocksdb_state, state_partitions
 
 OUTPUT_SCHEMA = ("kind string, sensor_id string, metric string, event_id long, ts timestamp, value double, "
                  "avg_value double, min_value double, max_value double, count long, window_size long, "
@@ -267,6 +267,6 @@ def start_buffers(readings: DataFrame, sink, checkpoint: str, n: int = 20, reten
                   spool_rows: int = 200_000, trigger: dict | None = None, groups: int = GROUPS):
     """Run T4/T6; ``sink(df, batch_id)`` takes each micro-batch's rows."""
     stream = buffered_stream(readings, n, retention, spool_rows, groups)
-    with rocksdb_state(readings.sparkSession):
+    with rocksdb_state(readings.sparkSession), state_partitions(readings.sparkSession):
         return (stream.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})).start())

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import split_complete, validate
-from ..operators.windows import aggregates_minute
+from ..operators.windows import aggregates_minute, micros
 from .day_table import DayTable
 from .sinks import write_batch
 
@@ -106,13 +106,12 @@ def dropped_late_rows(query) -> int:
 
 def sliding_stream(readings: DataFrame, ranges: DataFrame, size: str = "10 minutes", slide: str = "1 minute",
                    grace: str = "1 minute") -> DataFrame:
-    """T3 stream form: sliding-window avg/min/max/count per sensor and metric,
-    emitted when the watermark closes each window."""
-    from ..functions.columns import mean
-    valid = _checked(readings, ranges).filter("is_valid").withWatermark("ts", grace)
-    return (valid.groupBy("sensor_id", "metric", F.window("ts", size, slide).alias("w"))
-            .agg(mean("value").alias("avg_value"), F.min("value").alias("min_value"),
-                 F.max("value").alias("max_value"), F.count("*").alias("count"))
-            .select("sensor_id", "metric", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "avg_value", "min_value",
-                    "max_value", "count"))
+    """T3 stream form: sum, count, least and greatest value per sensor, metric
+    and slide, for an update-mode sink that makes the windows (``start_sliding``
+    of ``chained``). A slide stays open until the watermark (newest event time -
+    grace) closes the last window that holds it."""
+    held = micros(grace) + micros(size) - micros(slide)
+    valid = _checked(readings, ranges).filter("is_valid").withWatermark("ts", f"{held} microseconds")
+    return (valid.groupBy("sensor_id", "metric", F.window("ts", slide).alias("minute"))
+            .agg(F.sum("value").alias("total"), F.count("*").alias("n"),
+                 F.min("value").alias("least"), F.max("value").alias("most")))

@@ -52,8 +52,27 @@ def newest_rows(versions: DataFrame, key: str = "sensor_id") -> DataFrame:
     return versions.withColumn("_v", F.rank().over(w)).filter("_v = 1").drop("_v", *VERSION)
 
 
-def read_upserted(spark: SparkSession, table_path: str, keys=("sensor_id", "window_start")) -> DataFrame:
-    return newest_versions(read_versions(spark, table_path), keys)
+def read_upserted(spark: SparkSession, table_path: str, keys=("sensor_id", "window_start"), time: str | None = None) -> DataFrame:
+    """``time``: a column of the keys, for tables whose batches hold each key once
+    at most. A batch whose range of it no other batch's meets then holds the only
+    version of its keys; just the other batches' rows are ranked."""
+    versions = read_versions(spark, table_path)
+    if time is None:
+        return newest_versions(versions, keys)
+    batch = F.concat_ws("/", "query", "batch_id")
+    spans = (versions.groupBy(batch.alias("batch"))
+             .agg(F.min(time).alias("least"), F.max(time).alias("most"), F.count_if(F.col(time).isNull()).alias("without"))
+             .orderBy("least", "most").collect())     # one row a batch
+    shared, reach = set(), None      # reach: the batch that goes furthest so far
+    for s in spans:
+        if s.without:
+            shared.update(x.batch for x in spans)
+        if s.least is not None and reach is not None and s.least <= reach.most:
+            shared.update((s.batch, reach.batch))
+        if s.least is not None and (reach is None or s.most > reach.most):
+            reach = s
+    alone = versions.where(~batch.isin(*shared)).drop(*VERSION)
+    return alone.unionByName(newest_versions(versions.where(batch.isin(*shared)), keys)) if shared else alone
 
 
 def compact(spark: SparkSession, table_path: str, out_path: str,

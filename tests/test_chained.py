@@ -124,3 +124,71 @@ def test_sliding_state_follows_the_batches_not_the_table(spark, monkeypatch):
     assert whole and rows() == whole
     most = [max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) for q in queries]
     assert most[1] < 0.75 * most[0]
+
+
+def _count_stateful_rows(spark, monkeypatch, name, sf):
+    """State rows over all operators and micro-batches of the query's stream at their most."""
+    from pyspark.sql.streaming import DataStreamWriter
+    from streetpulse.plans import catalog as C
+    queries, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: (queries.append(start(self, *a, **k)), queries[-1])[1])
+    rows = C.QUERIES[name](spark, sf).count()
+    return rows, max(sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in queries[0].recentProgress if p["stateOperators"])
+
+
+def test_state_has_a_row_per_minute_not_per_window(spark, monkeypatch):
+    """Before, a reading had a row of state in each of its ten windows."""
+    from conftest import SF
+    for name in ("T3_stream", "T3_chained"):
+        rows, state = _count_stateful_rows(spark, monkeypatch, name, SF)
+        assert rows > 1000 and state < rows / 5
+        monkeypatch.undo()
+
+
+def test_late_reading_counts_in_windows_still_open(spark):
+    """T3 alone: a reading behind its minute, but not behind all windows that hold it."""
+    base = tempfile.mkdtemp(prefix="sp-slide-")
+    at = "2024-01-01T10:{}Z".format
+    batches = [[("Loop-0001", at("00:10"), "avg_speed", 1.0)], [("Loop-0001", at("06:00"), "avg_speed", 2.0)],
+               [("Loop-0001", at("06:10"), "avg_speed", 4.0)],
+               [("Loop-0001", at("02:30"), "avg_speed", 8.0)],      # windows to 10:05 are closed
+               [("Loop-0001", at("30:00"), "avg_speed", 16.0)]]
+    stream = parse_messages(json_file_stream(spark, _source(base, batches), max_files_per_trigger=1))
+    SC.start_sliding(stream, schema.valid_ranges(spark), base + "/t", base + "/c").awaitTermination()
+    got = {r.window_end.minute: (r["count"], r.min_value, r.max_value) for r in SK.read_versions(spark, base + "/t").collect()}
+    want = {m: (1, 1.0, 1.0) for m in range(1, 6)} | {6: (2, 1.0, 8.0)} | {m: (4, 1.0, 8.0) for m in range(7, 11)} \
+        | {m: (3, 2.0, 8.0) for m in (11, 12)} | {m: (2, 2.0, 4.0) for m in range(13, 17)}
+    assert got == want
+
+
+def test_each_micro_batch_is_one_slice(spark, monkeypatch, tmp_path):
+    """Slices of few or equal times: a file of a later slice in a batch would make the rest of it late."""
+    from streetpulse.plans import catalog as C
+    ev = spark.range(40).selectExpr("id AS event_id", "CAST(timestamp_seconds(1704067200 + IF(id < 30, 60, 600 * id)) AS TIMESTAMP_NTZ) AS ts",
+                                    "id AS user_id", "'view' AS event_type", "1.0D AS value", "'' AS props")
+    ev.write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    stream = C.time_ordered_stream(spark, str(tmp_path), 6)
+    q = (stream.writeStream.foreachBatch(lambda df, i: seen.append(df.agg(F.min("ts"), F.max("ts")).first()))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    spans = [tuple(s) for s in seen if s[0] is not None]
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_batches_apart_in_time_are_read_without_ranking(spark, tmp_path):
+    def put(batch, query, *minutes):
+        rows = spark.createDataFrame([("s", m, float(batch)) for m in minutes], "sensor_id string, m int, v double").selectExpr(
+            "sensor_id", "CAST(timestamp_seconds(60 * m) AS TIMESTAMP_NTZ) AS window_start", "v", "timestamp_seconds(%d) AS written_at" % batch)
+        rows.write.parquet(f"{tmp_path}/t/query={query}/batch_id={batch}")
+
+    def read(**more):
+        return SK.read_upserted(spark, f"{tmp_path}/t", **more)
+    put(0, "a", 1, 2, 3)
+    put(1, "a", 4, 5)
+    assert "Window" not in read(time="window_start")._jdf.queryExecution().optimizedPlan().toString()
+    put(2, "b", 5, 9)
+    put(3, "b", 20, None)
+    put(4, "b", None)
+    for rows in (read(), read(time="window_start")):
+        assert sorted((r.v for r in rows.collect())) == [0.0, 0.0, 0.0, 1.0, 2.0, 2.0, 3.0, 4.0]
