@@ -1348,7 +1348,7 @@ def q_t3_stream(spark, d):
 def _run_chained(spark, d):
     """T1 and T3 as one stream of two chained operators over four micro-batches, or more of a large table."""
     base = scratch_path(spark, "chained")
-    SC.start_minutes_and_sliding(sliced_stream(spark, d), schema.valid_ranges(spark), base + "/minutes",
+    SC.start_minutes_and_sliding(time_ordered_stream(spark, d, SLICES), schema.valid_ranges(spark), base + "/minutes",
                                  base + "/sliding", base + "/checkpoint").awaitTermination()
     return base
 
@@ -1356,13 +1356,13 @@ def _run_chained(spark, d):
 @register("T1_chained")
 def q_t1_chained(spark, d):
     """T1 from the chained stream: a projection of the second operator's rows."""
-    return agg_text(SK.read_upserted(spark, _run_chained(spark, d) + "/minutes"))
+    return agg_text(SK.read_upserted(spark, _run_chained(spark, d) + "/minutes", time="window_start"))
 
 
 @register("T3_chained")
 def q_t3_chained(spark, d):
     """T3 from the chained stream: minute partials expanded, not readings."""
-    return SK.read_upserted(spark, _run_chained(spark, d) + "/sliding", SC.SLIDING_KEYS)
+    return SK.read_upserted(spark, _run_chained(spark, d) + "/sliding", SC.SLIDING_KEYS, "window_start")
 
 
 ORACLE["T1_chained"], ORACLE["T3_chained"] = ORACLE["T1"], ORACLE["T3_stream"]
